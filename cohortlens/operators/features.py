@@ -57,7 +57,7 @@ def _genus_value(taxon: str) -> Column:
 def shannon_expr() -> Column:
     """-sum(x ln x) over species rows with x > 0; natural log; not renormalised."""
     x = F.col("relative_abundance")
-    return F.coalesce(-F.sum(F.when(_is_s() & (x > 0), x * F.ln(x))), F.lit(0.0))
+    return F.coalesce(F.lit(0.0) - F.sum(F.when(_is_s() & (x > 0), x * F.ln(x))), F.lit(0.0))
 
 
 def detected_expr() -> Column:

@@ -265,3 +265,13 @@ def scores(spark, sf_dir) -> DataFrame:
         F.col("event_type").alias("grp"),
         F.when(F.col("event_type").isin("purchase", "click"), 1).otherwise(0).alias("y"),
         (F.col("value") / (F.col("value") + F.lit(50.0))).alias("score"))
+
+
+def bracken_tables(spark, sf_dir) -> DataFrame:
+    """Per-run abundance estimate rows (the files combined by S3)."""
+    s = _shares(_lines(spark, sf_dir), F.col("p_name"))
+    q = s.q.cast("bigint")
+    return s.select(_run_id(s.o_orderkey).alias("run_accession"), F.col("taxon").alias("name"),
+                    s.taxid.alias("taxonomy_id"), F.lit("S").alias("taxonomy_lvl"),
+                    q.alias("kraken_assigned_reads"), F.lit(0).cast("bigint").alias("added_reads"),
+                    q.alias("new_est_reads"), (s.q / s.total).alias("fraction_total_reads"))
