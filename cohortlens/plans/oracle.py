@@ -176,3 +176,25 @@ def sql(deps, body: str) -> str:
 
 def add_cte(name: str, deps, text: str) -> None:
     CTES[name] = (tuple(deps), text)
+
+
+def erfc_sql(x: str) -> str:
+    """The same complementary error function approximation, in SQL."""
+    from cohortlens.functions.columns import ERFC_COEFFS
+    z = f"abs({x})"
+    t = f"(1.0 / (1.0 + 0.5 * {z}))"
+    poly = f"{ERFC_COEFFS[-1]!r}"
+    for c in reversed(ERFC_COEFFS[:-1]):
+        poly = f"({c!r} + {t} * {poly})"
+    ans = f"({t} * exp(-({z}) * ({z}) + {poly}))"
+    return f"(CASE WHEN ({x}) >= 0 THEN {ans} ELSE 2.0 - {ans} END)"
+
+
+def mw_p_sql(N0="N0", N1="N1", R0="R0", tie="tie") -> str:
+    """Two-sided asymptotic rank-sum p (tie + continuity corrected)."""
+    N = f"({N0} + {N1})"
+    U0 = f"({R0} - {N0} * ({N0} + 1) / 2)"
+    U = f"greatest({U0}, {N0} * {N1} - {U0})"
+    s = f"sqrt({N0} * {N1} / 12 * (({N} + 1) - {tie} / ({N} * ({N} - 1))))"
+    z = f"(({U} - {N0} * {N1} / 2 - 0.5) / {s})"
+    return f"least(1.0, {erfc_sql(f'{z} / sqrt(2.0)')})"
