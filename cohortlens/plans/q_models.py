@@ -1 +1,149 @@
-"""placeholder"""
+"""Queries: folds, scaling, fold-score summaries and MLlib model jobs."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from cohortlens.operators import evaluation as ev
+from cohortlens.operators import ml
+from cohortlens.operators import stats as ss
+from cohortlens.operators.folds import assign_folds, fold_balance
+from cohortlens.plans.catalog import register
+from cohortlens.plans.oracle import add_cte, sql
+from cohortlens.plans.q_stats import _binary
+
+K, REPEATS, SEED = 5, 10, 42
+SINGLE_SEED = 7
+
+add_cte("bin", ("md",), """
+SELECT run_accession, CASE WHEN label = 'cancer' THEN 1 ELSE 0 END AS y FROM md
+WHERE label IN ('healthy', 'cancer')""")
+
+
+def _folds_sql(k, repeats, seed):
+    return f"""
+SELECT run_accession, y, CAST(r AS INTEGER) AS repeat,
+       CAST((row_number() OVER (PARTITION BY r, y ORDER BY md5('{seed}:' || r || ':' || run_accession), run_accession) - 1) % {k} AS INTEGER) AS fold
+FROM bin, range({repeats}) t(r)"""
+
+
+add_cte("folds", ("bin",), _folds_sql(K, REPEATS, SEED))
+add_cte("folds1", ("bin",), _folds_sql(K, 1, SINGLE_SEED))
+
+
+def _fauc_cte(name, folds):
+    add_cte(name, ("blong", folds), f"""
+SELECT feature, model, repeat, fold,
+       (sum(n1 * (cum - t + (t + 1) / 2)) - sum(n1) * (sum(n1) + 1) / 2) / (sum(n0) * sum(n1)) AS auc
+FROM (SELECT *, n0 + n1 AS t, sum(n0 + n1) OVER (PARTITION BY feature, model, repeat, fold ORDER BY score
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+      FROM (SELECT feature, model, repeat, fold, score, count_if(y = 1)::DOUBLE AS n1, count_if(y = 0)::DOUBLE AS n0
+            FROM (SELECT b.feature, m.model, f.repeat, f.fold, b.y,
+                         round(CASE WHEN m.model = 'raw_score' THEN b.value ELSE -b.value END, 9) AS score
+                  FROM blong b JOIN {folds} f USING (run_accession),
+                       (VALUES ('raw_score'), ('neg_score')) m(model)) s
+            GROUP BY ALL) c) r
+GROUP BY feature, model, repeat, fold""")
+
+
+_fauc_cte("fauc", "folds")
+_fauc_cte("fauc1", "folds1")
+for _n, _src in (("esum", "fauc"), ("esum1", "fauc1")):
+    add_cte(_n, (_src,), f"""
+SELECT feature AS feature_set, model, count(auc) AS n_folds, avg(auc) AS auc_mean, stddev_pop(auc) AS auc_std,
+       min(auc) AS auc_min, max(auc) AS auc_max, quantile_cont(auc, 0.025) AS "auc_2.5%",
+       quantile_cont(auc, 0.975) AS "auc_97.5%"
+FROM {_src} GROUP BY feature, model""")
+ESUM_ROUNDED = """feature_set, model, n_folds, round(auc_mean, 6) AS auc_mean, round(auc_std, 6) AS auc_std,
+  round(auc_min, 6) AS auc_min, round(auc_max, 6) AS auc_max, round("auc_2.5%", 6) AS "auc_2.5%",
+  round("auc_97.5%", 6) AS "auc_97.5%\""""
+
+
+def _feature_scores(spark, sf, k=K, repeats=REPEATS, seed=SEED):
+    """Every model feature used directly as a score (and negated) on each
+    test fold: SQL-checkable fold AUCs for the evaluation operators."""
+    df = _binary(spark, sf)
+    cols = ss.feature_groups(df.columns)["all"]
+    folds = assign_folds(df, k, repeats, seed)
+    long = ss.to_long(df.select("run_accession", "y", *[F.col(f"`{c}`") for c in cols]), cols,
+                      ["run_accession", "y"])
+    j = long.join(folds.select("run_accession", "repeat", "fold"), "run_accession")
+    models = F.explode(F.array(F.lit("raw_score"), F.lit("neg_score"))).alias("model")
+    j = j.select("*", models)
+    score = F.round(F.when(F.col("model") == "raw_score", F.col("value")).otherwise(-F.col("value")), 9)
+    scored = j.select(F.col("feature").alias("feature_set"), "model", "repeat", "fold", "y",
+                      score.alias("score"))
+    return ev.fold_aucs(scored, ["feature_set", "model"])
+
+
+def _summary(spark, sf, repeats=REPEATS, seed=SEED):
+    return ev.eval_summary(_feature_scores(spark, sf, K, repeats, seed))
+
+
+@register("folds", sql(["folds"], "SELECT * FROM folds"))
+def q_folds(spark, sf):
+    """M4: stratified 5-fold x 10 repeats by keyed shuffles."""
+    return assign_folds(_binary(spark, sf), K, REPEATS, SEED)
+
+
+@register("fold_balance", sql(["folds"], "SELECT repeat, fold, y, count(*) AS n FROM folds GROUP BY ALL"))
+def q_fold_balance(spark, sf):
+    """M4 invariant: per (repeat, fold, class) counts."""
+    return fold_balance(assign_folds(_binary(spark, sf), K, REPEATS, SEED))
+
+
+@register("standardize", sql(["core", "bin"], """
+SELECT run_accession,
+  round(CASE WHEN stddev_pop(Shannon_diversity) OVER () > 0 THEN (Shannon_diversity - avg(Shannon_diversity) OVER ()) / stddev_pop(Shannon_diversity) OVER () ELSE 0.0 END, 6) AS Shannon_diversity,
+  round(CASE WHEN stddev_pop(number_of_detected_species) OVER () > 0 THEN (number_of_detected_species - avg(number_of_detected_species) OVER ()) / stddev_pop(number_of_detected_species) OVER () ELSE 0.0 END, 6) AS number_of_detected_species,
+  round(CASE WHEN stddev_pop(total_bacterial_abundance) OVER () > 0 THEN (total_bacterial_abundance - avg(total_bacterial_abundance) OVER ()) / stddev_pop(total_bacterial_abundance) OVER () ELSE 0.0 END, 6) AS total_bacterial_abundance
+FROM core JOIN bin USING (run_accession)"""))
+def q_standardize(spark, sf):
+    """Zero-impute, centre and scale by the population std."""
+    df = _binary(spark, sf)
+    cols = list(ss.DIVERSITY)
+    return ml.standardize(df, cols).select("run_accession", *cols)
+
+
+@register("fold_auc", sql(["fauc"], """
+SELECT feature AS feature_set, model, repeat, fold, round(auc, 6) AS auc FROM fauc"""))
+def q_fold_auc(spark, sf):
+    """M2 per fold (J9): AUC of each feature used as a score on each test fold."""
+    return _feature_scores(spark, sf)
+
+
+@register("eval_summary", sql(["esum"], f"SELECT {ESUM_ROUNDED} FROM esum"))
+def q_eval_summary(spark, sf):
+    """Mean, population std, min, max, 2.5%/97.5% of 50 fold AUCs."""
+    return _summary(spark, sf)
+
+
+@register("best_by_set", sql(["esum"], """
+SELECT feature_set, round(max(auc_mean), 6) AS best_auc FROM esum GROUP BY feature_set"""))
+def q_best_by_set(spark, sf):
+    """Best mean AUC per feature set."""
+    return ev.best_by_set(_summary(spark, sf))
+
+
+@register("best_model", sql(["esum"], f"""
+SELECT {ESUM_ROUNDED} FROM esum
+QUALIFY row_number() OVER (PARTITION BY feature_set ORDER BY auc_mean DESC, model) = 1"""))
+def q_best_model(spark, sf):
+    """Best model per feature set."""
+    return ev.best_model_per_set(_summary(spark, sf))
+
+
+@register("best_overall", sql(["esum"], f"""
+SELECT {ESUM_ROUNDED} FROM esum ORDER BY auc_mean DESC, feature_set, model LIMIT 1"""))
+def q_best_overall(spark, sf):
+    """U8: the overall best (set, model)."""
+    return ev.best_overall(_summary(spark, sf))
+
+
+@register("cv_compare", sql(["esum", "esum1"], """
+SELECT feature_set, model, round(auc_mean, 6) AS auc_mean, round(auc_std, 6) AS auc_std, 'single_5fold' AS cv_type FROM esum1
+UNION ALL
+SELECT feature_set, model, round(auc_mean, 6), round(auc_std, 6), 'repeated_5fold' FROM esum"""))
+def q_cv_compare(spark, sf):
+    """V4: single shuffled 5-fold against repeated 5-fold summaries."""
+    return ev.cv_compare(_summary(spark, sf, 1, SINGLE_SEED), _summary(spark, sf))
