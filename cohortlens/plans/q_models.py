@@ -147,3 +147,91 @@ SELECT feature_set, model, round(auc_mean, 6), round(auc_std, 6), 'repeated_5fol
 def q_cv_compare(spark, sf):
     """V4: single shuffled 5-fold against repeated 5-fold summaries."""
     return ev.cv_compare(_summary(spark, sf, 1, SINGLE_SEED), _summary(spark, sf))
+
+
+# ---- MLlib jobs (rows-only checks: solvers differ from any SQL engine) -------
+QUERY_TREES = 50  # the API default is 500 trees; the registered query uses 50
+CV_MODELS = (ml.ModelSpec("logistic_l2", "logistic_l2", C=1.0),
+             ml.ModelSpec("logistic_l1", "logistic_l1", C=2.0),
+             ml.ModelSpec("random_forest", "random_forest", num_trees=QUERY_TREES))
+L1 = CV_MODELS[1]
+
+
+def _train(spark, sf):
+    df = _binary(spark, sf)
+    return df, ss.feature_sets(df.columns)
+
+
+@register("cv_models")
+def q_cv_models(spark, sf):
+    """6 feature sets x 3 models over a stratified 5-fold split:
+    fold AUC summary per (set, model)."""
+    df, sets = _train(spark, sf)
+    folds = assign_folds(df, K, 1, SINGLE_SEED)
+    oof = ml.cross_validate(df, sets, CV_MODELS, folds)
+    return ev.eval_summary(ml.cv_aucs(oof))
+
+
+@register("cv_sensitivity")
+def q_cv_sensitivity(spark, sf):
+    """Logistic L1 under 3-, 5- and 8-fold schemes (one repeat each)."""
+    df, sets = _train(spark, sf)
+    outs = []
+    for k in (3, 5, 8):
+        folds = assign_folds(df, k, 1, SEED)
+        oof = ml.cross_validate(df, sets, [L1], folds)
+        outs.append(ev.eval_summary(ml.cv_aucs(oof)).withColumn("cv_scheme", F.lit(f"{k}fold_x1")))
+    out = outs[0]
+    for o in outs[1:]:
+        out = out.unionByName(o)
+    return out
+
+
+@register("oof_scores")
+def q_oof_scores(spark, sf):
+    """Out-of-fold probabilities of logistic L1 on presence features."""
+    df, sets = _train(spark, sf)
+    folds = assign_folds(df, K, 1, SINGLE_SEED)
+    return ml.cross_validate(df, {"panel_presence": sets["panel_presence"]}, [L1], folds)
+
+
+@register("coefficients")
+def q_coefficients(spark, sf):
+    """Final logistic L1 fit on all samples: coefficients, direction."""
+    df, sets = _train(spark, sf)
+    cols = sets["panel_presence_plus_diversity"]
+    model, use, _ = ml.fit(df, cols, L1)
+    return ml.coefficients(model, use, spark)
+
+
+def _perm(spark, sf, repeats=5):
+    df, sets = _train(spark, sf)
+    cols = sets["panel_log_plus_diversity"]
+    _, use, score = ml.fit(df, cols, L1)
+    return ml.permutation_importance(df, use, score, repeats=repeats, seed=SEED)
+
+
+@register("perm_importance")
+def q_perm_importance(spark, sf):
+    """Permutation importance (AUC drop, 5 keyed permutations per feature)."""
+    return _perm(spark, sf)
+
+
+@register("effect_importance")
+def q_effect_importance(spark, sf):
+    """Presence and log effects joined with permutation importance."""
+    df = _binary(spark, sf)
+    g = ss.feature_groups(df.columns)
+    eff = (ss.univariate_effects(df, g["panel_present"], "presence").withColumn("feature_type", F.lit("presence"))
+           .unionByName(ss.univariate_effects(df, g["panel_log"], "log10").withColumn("feature_type", F.lit("log10"))))
+    return eff.join(_perm(spark, sf), "feature", "inner")
+
+
+@register("pca")
+def q_pca(spark, sf):
+    """M6: two principal components of the standardised model features."""
+    df = _binary(spark, sf)
+    cols = ss.feature_groups(df.columns)["all"]
+    scores, ratio = ml.pca2(df, cols)
+    return scores.withColumn("explained_variance_1", F.lit(ratio[0])).withColumn(
+        "explained_variance_2", F.lit(ratio[1]))
