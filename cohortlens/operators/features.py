@@ -31,15 +31,25 @@ CORE_COLUMNS = ("F_nucleatum_species_abundance", "Fusobacterium_genus_abundance"
 ID_COLUMNS = ("sample_id", "run_accession", "label", "age_group", "library_name")
 
 def _is_s() -> Column:
-    return F.col("level") == "species"
+    return F.col("__is_s")
 
 
 def _is_g() -> Column:
-    return F.col("level") == "genus"
+    return F.col("__is_g")
 
 
 def _val() -> Column:
-    return F.coalesce(F.col("relative_abundance"), F.lit(0.0))
+    return F.col("__v")
+
+
+def prepare_long(long: DataFrame) -> DataFrame:
+    """Per-row helpers computed once (not once per aggregate)."""
+    return long.select(
+        "run_accession", "taxon", "relative_abundance",
+        (F.col("level") == "species").alias("__is_s"),
+        (F.col("level") == "genus").alias("__is_g"),
+        F.coalesce(F.col("relative_abundance"), F.lit(0.0)).alias("__v"),
+        first_token(F.col("taxon")).alias("__tok"))
 
 
 def _species_sum(taxon: str) -> Column:
@@ -50,7 +60,7 @@ def _genus_value(taxon: str) -> Column:
     """Genus-level value with the fallback: real genus rows when the run has
     any, otherwise species rows grouped by their first token.  NULL = absent."""
     direct = F.sum(F.when(_is_g() & (F.col("taxon") == taxon), _val()))
-    derived = F.sum(F.when(_is_s() & (first_token(F.col("taxon")) == taxon), _val()))
+    derived = F.sum(F.when(_is_s() & (F.col("__tok") == taxon), _val()))
     return F.when(F.max(_is_g()), direct).otherwise(derived)
 
 
@@ -79,7 +89,7 @@ def run_profile(long: DataFrame, panel: Sequence[str], focal_species: str,
     for i, taxon in enumerate(panel):
         aggs.append(F.coalesce(_species_sum(taxon), _genus_value(taxon), F.lit(0.0))
                     .alias(f"__p{i}"))
-    return long.groupBy("run_accession").agg(*aggs)
+    return prepare_long(long).groupBy("run_accession").agg(*aggs)
 
 
 def domain_abundance(reports: DataFrame, domain: str) -> DataFrame:

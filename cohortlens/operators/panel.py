@@ -37,23 +37,28 @@ def auto_panel(long: DataFrame, n: int, levels: str = "both",
                metric: str = "mean_x_prevalence") -> DataFrame:
     """Top-n taxa per level by score (desc), taxon (asc); rank from 1.
 
-    ``row_number() <= n`` over a level window is planned as a per-partition
-    group limit before the shuffle, so only n rows per level and task move."""
+    Lazy and single-pass: which levels are non-empty is read off the scored
+    taxon table itself (one row per level and taxon, i.e. vocabulary-sized),
+    so the split ceil(n/2)/floor(n/2) needs no separate job.  The
+    ``row_number() <= limit`` filter is planned as a per-partition group
+    limit before the shuffle."""
     spark = long.sparkSession
     if n <= 0:
         return spark.createDataFrame([], PANEL_SCHEMA)
-    selected = resolve_levels(long, levels)
-    n_by = split_n(n, selected)
-    n_by = {k: v for k, v in n_by.items() if v > 0}
-    if not n_by:
-        return spark.createDataFrame([], PANEL_SCHEMA)
-    scored = score_taxa(long.filter(F.col("level").isin(list(n_by))), metric)
-    limit = F.lit(0)
-    for lvl, k in n_by.items():
-        limit = F.when(F.col("level") == lvl, F.lit(k)).otherwise(limit)
+    forced = levels in ("species", "genus")
+    src = long.filter(F.col("level") == levels) if forced else long.filter(
+        F.col("level").isin("species", "genus"))
+    scored = score_taxa(src, metric)
+    if forced:
+        limit = F.lit(n)
+    else:
+        nlev = F.size(F.collect_set("level").over(Window.partitionBy()))
+        limit = (F.when(nlev < 2, F.lit(n))
+                 .when(F.col("level") == "species", F.lit(int(math.ceil(n / 2))))
+                 .otherwise(F.lit(int(math.floor(n / 2)))))
     w = Window.partitionBy("level").orderBy(F.col("score").desc(), F.col("taxon").asc())
-    ranked = scored.withColumn("rank", F.row_number().over(w))
-    return (ranked.filter(F.col("rank") <= limit)
+    ranked = scored.withColumn("rank", F.row_number().over(w)).withColumn("__limit", limit)
+    return (ranked.filter(F.col("rank") <= F.col("__limit"))
                   .select("level", "taxon", F.lit(metric).alias("metric"),
                           F.col("score").cast("double").alias("score"),
                           F.col("rank").cast("int").alias("rank")))

@@ -217,7 +217,7 @@ SELECT run_accession, round(coalesce(0.0 - sum(CASE WHEN level = 'species' AND r
 FROM long GROUP BY run_accession"""))
 def q_diversity(spark, sf):
     """A5: Shannon diversity per run with abundance rows."""
-    return _long(spark, sf).groupBy("run_accession").agg(fe.shannon_expr().alias("Shannon_diversity"))
+    return fe.prepare_long(_long(spark, sf)).groupBy("run_accession").agg(fe.shannon_expr().alias("Shannon_diversity"))
 
 
 @register("detected_species", sql(["long"], """
@@ -225,7 +225,7 @@ SELECT run_accession, count_if(level = 'species' AND relative_abundance > 0) AS
 FROM long GROUP BY run_accession"""))
 def q_detected(spark, sf):
     """A4: species rows with abundance > 0 per run."""
-    return (_long(spark, sf).groupBy("run_accession")
+    return (fe.prepare_long(_long(spark, sf)).groupBy("run_accession")
             .agg(fe.detected_expr().alias("number_of_detected_species")))
 
 

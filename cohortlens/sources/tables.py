@@ -119,9 +119,17 @@ def _lines(spark, sf_dir) -> DataFrame:
               .join(o, li.l_orderkey == o.o_orderkey))
 
 
+def _part_quantities(lines: DataFrame) -> DataFrame:
+    """Quantity per (order, part name, part type): the one pre-aggregate all
+    abundance bindings derive from (identical subplans share one exchange)."""
+    return (lines.groupBy("o_orderkey", "o_custkey", "p_name", "p_type")
+                 .agg(F.sum("l_quantity").alias("l_quantity"), F.min("p_partkey").alias("p_partkey")))
+
+
 def _shares(lines: DataFrame, taxon) -> DataFrame:
-    per = (lines.groupBy("o_orderkey", "o_custkey", taxon.alias("taxon"))
-                .agg(F.sum("l_quantity").alias("q"), F.min("p_partkey").alias("taxid")))
+    pq = _part_quantities(lines)
+    per = (pq.groupBy("o_orderkey", "o_custkey", taxon.alias("taxon"))
+             .agg(F.sum("l_quantity").alias("q"), F.min("p_partkey").alias("taxid")))
     w = Window.partitionBy("o_orderkey")
     return per.withColumn("total", F.sum("q").over(w))
 
@@ -137,8 +145,11 @@ def species_abundance(spark, sf_dir) -> DataFrame:
 
 def genus_abundance(spark, sf_dir) -> DataFrame:
     """Genus table: first word of the part name; a fifth of runs have none."""
-    lines = _lines(spark, sf_dir).filter((F.col("o_orderkey") % 5) != 0)
-    s = _shares(lines, F.split(F.col("p_name"), " ").getItem(0))
+    lines = _lines(spark, sf_dir)
+    pq = _part_quantities(lines).filter((F.col("o_orderkey") % 5) != 0)
+    per = (pq.groupBy("o_orderkey", "o_custkey", F.split(F.col("p_name"), " ").getItem(0).alias("taxon"))
+             .agg(F.sum("l_quantity").alias("q")))
+    s = per.withColumn("total", F.sum("q").over(Window.partitionBy("o_orderkey")))
     return s.select(_run_id(s.o_orderkey).alias("run_accession"),
                     _sample_id(s.o_custkey).alias("sample_id"),
                     F.col("taxon").alias("name"),
