@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cohortlens.operators.features import QC_SCHEMA
 from cohortlens.operators.metadata import first_per_key
@@ -116,7 +117,7 @@ def stage_summary(md: DataFrame, sub_log: DataFrame, qc_log: DataFrame, listing:
 
 def qc_parse_reports(docs: DataFrame) -> DataFrame:
     """Nested QC JSON -> (valid, before, after); unreadable text -> valid false."""
-    schema = QC_SCHEMA.add("_corrupt_record", "string")
+    schema = T.StructType(QC_SCHEMA.fields + [T.StructField("_corrupt_record", T.StringType())])
     j = F.from_json(F.col("json"), schema, {"mode": "PERMISSIVE",
                                              "columnNameOfCorruptRecord": "_corrupt_record"})
     p = docs.select("run_accession", j.alias("j"))

@@ -89,7 +89,7 @@ def read_qc_documents(spark: SparkSession, paths) -> DataFrame:
     paths = [p for p in ([paths] if isinstance(paths, str) else list(paths)) if _exists(spark, p)]
     if not paths:
         return spark.createDataFrame([], "run_accession string, json string")
-    df = spark.read.option("wholetext", True).text(paths)
+    df = spark.read.text(paths, wholetext=True)
     return df.select(_run_from_file(r"\.fastp\.json").alias("run_accession"),
                      F.col("value").alias("json"))
 
