@@ -20,8 +20,9 @@ from pyspark.sql import functions as F
 from cohortlens.operators.evaluation import fold_aucs
 from cohortlens.operators.prefix import prefix_sum
 from cohortlens.operators.stats import roc_auc
+from cohortlens.session import cut_lineage
 
-MAX_DRIVER_THREADS = 4
+MAX_DRIVER_THREADS = 8
 
 
 @dataclass(frozen=True)
@@ -44,21 +45,31 @@ DEFAULT_MODELS = (ModelSpec("logistic_l2", "logistic_l2", C=1.0),
                   ModelSpec("random_forest", "random_forest"))
 
 
-def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
+def column_stats(df: DataFrame, cols: Sequence[str]) -> dict:
+    """One aggregate row: n and, per column (NULL read as 0), mean,
+    population std, min and max."""
+    aggs = [F.count(F.lit(1)).alias("__n")]
+    for i, c in enumerate(cols):
+        x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0))
+        aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"),
+                 F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
+    row = df.agg(*aggs).first()
+    return {"n": row["__n"], "cols": {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 0.0,
+                                          row[f"lo{i}"], row[f"hi{i}"]) for i, c in enumerate(cols)}}
+
+
+def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None,
+                stats: dict | None = None) -> DataFrame:
     """NULL -> 0, then (x - mean) / population std; constant -> 0.
 
-    Statistics are one aggregate row (2 numbers per column) taken from
-    ``fit_on`` (the training fold) and applied as literals."""
-    src = (fit_on if fit_on is not None else df).na.fill(0.0, subset=list(cols))
-    aggs = []
-    for c in cols:
-        aggs += [F.avg(F.col(f"`{c}`")).alias(f"m{len(aggs)}"),
-                 F.stddev_pop(F.col(f"`{c}`")).alias(f"s{len(aggs)}")]
-    row = src.agg(*aggs).first()
+    Statistics are one aggregate row (bounded by the column count) taken
+    from ``fit_on`` (the training fold) and applied as literals."""
+    if stats is None:
+        stats = column_stats(fit_on if fit_on is not None else df, cols)
     out = df.na.fill(0.0, subset=list(cols))
     exprs = {}
-    for i, c in enumerate(cols):
-        m, s = row[2 * i] or 0.0, row[2 * i + 1] or 0.0
+    for c in cols:
+        m, s = stats["cols"][c][0], stats["cols"][c][1]
         x = F.col(f"`{c}`").cast("double")
         exprs[c] = (x - F.lit(m)) / F.lit(s) if s > 0 else F.lit(0.0)
     return out.withColumns(exprs)
@@ -78,23 +89,25 @@ def _estimator(spec: ModelSpec, n_train: int, n_features: int):
     reg = 1.0 / (spec.C * max(n_train, 1))
     return LogisticRegression(labelCol="y", featuresCol="features", regParam=reg,
                               elasticNetParam=1.0 if spec.kind == "logistic_l1" else 0.0,
-                              standardization=False, maxIter=2000, tol=1e-6)
+                              standardization=False, maxIter=200, tol=1e-6)
 
 
 def fit(train: DataFrame, cols: Sequence[str], spec: ModelSpec):
-    """Fit one model; returns (model, transform function for new rows)."""
+    """Fit one model; returns (model, used columns, scoring function).
+
+    One aggregate job gives the row count, the scaling statistics and the
+    constant-column check; then the MLlib fit."""
     cols = list(cols)
+    stats = column_stats(train, cols)
     if spec.kind == "random_forest":
         # Columns constant in the training fold carry no split; MLlib would
         # stop a node when only such columns are drawn, so they are dropped.
-        stats = train.agg(*[F.count_distinct(F.col(f"`{c}`")).alias(c) for c in cols]).first()
-        use = [c for c in cols if stats[c] > 1] or cols[:1]
+        use = [c for c in cols if stats["cols"][c][2] != stats["cols"][c][3]] or cols[:1]
     else:
         use = cols
-    prep = (lambda d: standardize(d, use, fit_on=train)) if spec.scaled else (lambda d: d)
+    prep = (lambda d: standardize(d, use, stats=stats)) if spec.scaled else (lambda d: d)
     tr = _vectorize(prep(train), use).select("features", F.col("y").cast("double").alias("y"))
-    n = tr.count()
-    model = _estimator(spec, n, len(use)).fit(tr)
+    model = _estimator(spec, stats["n"], len(use)).fit(tr)
 
     def score(d: DataFrame) -> DataFrame:
         v = _vectorize(prep(d), use)
@@ -128,7 +141,11 @@ def cross_validate(df: DataFrame, sets: dict[str, list[str]], models: Sequence[M
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    return out
+    # The union has one branch per fitted model; write it once to the shared
+    # checkpoint folder so that AUCs and summaries do not re-run every model.
+    scored = cut_lineage(out)
+    data.unpersist()
+    return scored
 
 
 def cv_aucs(oof: DataFrame) -> DataFrame:

@@ -35,6 +35,10 @@ def get_spark(master: str | None = None, app: str = "cohortlens",
     if master:
         builder = builder.master(master)
     conf = dict(_BASE_CONF)
+    # Local mode runs everything in the driver JVM; give it room (a cluster
+    # deployment sets driver/executor memory through spark-submit instead).
+    if master and master.startswith("local"):
+        conf.setdefault("spark.driver.memory", os.environ.get("COHORTLENS_DRIVER_MEMORY", "12g"))
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
