@@ -134,3 +134,19 @@ FROM md m LEFT JOIN qc_docs d USING (run_accession)"""))
 def q_qc_summary(spark, sf):
     """Per-run QC totals; missing key -> 0, unreadable -> NULL."""
     return st.qc_summary(_md(spark, sf), tb.qc_documents(spark, sf))
+
+
+@register("stage_failures_stream", sql(["stage_log"], """
+SELECT stage, run_accession, status, regexp_extract(status, '^failed(?:: (.*))?$', 1) AS message, event_id
+FROM stage_log WHERE status = 'failed' OR starts_with(status, 'failed: ')"""))
+def q_stage_failures_stream(spark, sf):
+    """F4 as Structured Streaming: the stage log lands as files in the shared
+    folder and a streaming query keeps the failures (drained availableNow)."""
+    import uuid
+
+    from cohortlens.session import checkpoint_dir
+    from cohortlens.streaming import stage_monitor as sm
+    src = f"{checkpoint_dir(spark).rstrip('/')}/stage-log-{uuid.uuid4().hex}"
+    tb.stage_log(spark, sf).repartition(4).write.parquet(src)
+    out = sm.drain_to_table(sm.failures_stream(sm.read_stage_log_stream(spark, src)))
+    return out.select("stage", "run_accession", "status", "message", "event_id")
