@@ -26,7 +26,12 @@ FROM flong WHERE label IN ('healthy', 'cancer')""")
 
 
 def _binary(spark, sf):
-    return ss.binary_labels(_features(spark, sf).targeted)
+    """The two-class feature matrix, written once to the shared checkpoint
+    folder: the group analysis starts from a stored matrix, as the
+    reference's notebook reads its CSV, and every statistic below reuses it
+    instead of re-deriving the features."""
+    from cohortlens.session import cut_lineage
+    return cut_lineage(ss.binary_labels(_features(spark, sf).targeted))
 
 
 def _effects_sql(suffix: str, source: str) -> str:

@@ -115,15 +115,35 @@ def _lines(spark, sf_dir) -> DataFrame:
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     p = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return (li.join(p, li.l_partkey == p.p_partkey)
-              .join(o, li.l_orderkey == o.o_orderkey))
+    lines = (li.join(p, li.l_partkey == p.p_partkey)
+               .join(o, li.l_orderkey == o.o_orderkey))
+    lines._cohortlens_src = sf_dir
+    return lines
+
+
+_STAGED: dict = {}
 
 
 def _part_quantities(lines: DataFrame) -> DataFrame:
     """Quantity per (order, part name, part type): the one pre-aggregate all
-    abundance bindings derive from (identical subplans share one exchange)."""
-    return (lines.groupBy("o_orderkey", "o_custkey", "p_name", "p_type")
-                 .agg(F.sum("l_quantity").alias("l_quantity"), F.min("p_partkey").alias("p_partkey")))
+    abundance bindings derive from.
+
+    It plays the role of the reference's stored per-run estimate files, so it
+    is written once per session and table folder to the shared checkpoint
+    folder (a staged table) and every species/genus/report binding reads it
+    instead of re-joining the line items."""
+    from cohortlens.session import cut_lineage
+    spark = lines.sparkSession
+    src = getattr(lines, "_cohortlens_src", None)
+    key = (spark.sparkContext.applicationId, src)
+    if src is not None and key in _STAGED:
+        return _STAGED[key]
+    pq = (lines.groupBy("o_orderkey", "o_custkey", "p_name", "p_type")
+               .agg(F.sum("l_quantity").alias("l_quantity"), F.min("p_partkey").alias("p_partkey")))
+    if src is None:
+        return pq
+    _STAGED[key] = cut_lineage(pq)
+    return _STAGED[key]
 
 
 def _shares(lines: DataFrame, taxon) -> DataFrame:
