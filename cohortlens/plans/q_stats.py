@@ -25,13 +25,19 @@ SELECT run_accession, label, CASE WHEN label = 'cancer' THEN 1 ELSE 0 END AS y,
 FROM flong WHERE label IN ('healthy', 'cancer')""")
 
 
+_STAGED_MATRIX: dict = {}
+
+
 def _binary(spark, sf):
-    """The two-class feature matrix, written once to the shared checkpoint
-    folder: the group analysis starts from a stored matrix, as the
-    reference's notebook reads its CSV, and every statistic below reuses it
-    instead of re-deriving the features."""
+    """The two-class feature matrix, written once per session and table
+    folder to the shared checkpoint folder: the group analysis starts from a
+    stored matrix, as the reference's notebook reads the feature CSV, and
+    every statistic reuses it instead of re-deriving the features."""
     from cohortlens.session import cut_lineage
-    return cut_lineage(ss.binary_labels(_features(spark, sf).targeted))
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _STAGED_MATRIX:
+        _STAGED_MATRIX[key] = cut_lineage(ss.binary_labels(_features(spark, sf).targeted))
+    return _STAGED_MATRIX[key]
 
 
 def _effects_sql(suffix: str, source: str) -> str:
