@@ -159,7 +159,10 @@ def box_stats(df: DataFrame, cols: Sequence[str], label: str = "label") -> DataF
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     v = F.col("value")
-    j = long.join(q, [label, "feature"])  # quartile table: one row per (label, feature)
+    # The quartile table has one row per (class, feature): bounded by the
+    # column list times the class vocabulary, so it is broadcast; a shuffle
+    # join would send every value of a (class, feature) to one task.
+    j = long.join(F.broadcast(q), [label, "feature"])
     agg = j.groupBy(label, "feature").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_low"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_high"),
