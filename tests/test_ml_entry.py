@@ -55,3 +55,28 @@ def test_entry_and_registry(spark):
     q, o = ent.queries(), ent.oracle_sql()
     assert set(o) <= set(q) and len(q) >= 60
     assert not math.isnan(len(q))
+
+
+def test_analyse_composite(spark):
+    from cohortlens.plans.analysis import analyse
+    rng = np.random.default_rng(1)
+    n = 120
+    y = rng.integers(0, 2, n)
+    rows = []
+    for i in range(n):
+        v = float(y[i] * 1.5 + rng.normal())
+        rows.append((f"s{i}", f"r{i}", "cancer" if y[i] else "healthy", v, float(rng.normal()),
+                     float(rng.normal()), int(rng.integers(0, 5)), float(rng.normal()), float(v > 0.7),
+                     float(rng.normal()), int(rng.random() > 0.5)))
+    schema = ("sample_id string, run_accession string, label string, F_nucleatum_species_abundance double, "
+              "Fusobacterium_genus_abundance double, total_bacterial_abundance double, "
+              "number_of_detected_species int, Shannon_diversity double, panel_a_log10 double, "
+              "panel_b_log10 double, panel_a_present int")
+    df = spark.createDataFrame(rows, schema)
+    out = analyse(df, models=(ml.ModelSpec("logistic_l1", "logistic_l1", C=2.0),), k=3, repeats=1,
+                  sensitivity_folds=(3,), perm_repeats=2, threads=2)
+    assert out["model_comparison_results"].count() == 6
+    assert out["cv_comparison_results"].count() == 12
+    assert out["presence_effect_sizes"].count() == 1
+    assert {"feature", "p_value", "importance_mean", "feature_type"} <= set(out["effect_importance"].columns)
+    assert out["feature_importance"].count() > 0
