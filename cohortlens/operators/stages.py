@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from cohortlens.operators.features import QC_SCHEMA
 from cohortlens.operators.metadata import first_per_key
 
+# Status vocabulary of the stage logs and the read-file name pattern.
 DONE_STATUSES = ("downloaded", "subsampled", "qc_done", "kraken_done", "bracken_done",
                  "skipped_existing")
 FASTQ_NAME = r"^(.+?)(?:_([12]))?\.fastq(\.gz)?$"

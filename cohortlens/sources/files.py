@@ -12,6 +12,7 @@ from cohortlens.operators.abundance import LONG_SCHEMA, abundance_long
 from cohortlens.operators.metadata import REQUIRED_METADATA_COLUMNS, require_columns
 from cohortlens.functions.columns import trim_ws
 
+# Column names and types of the tool output formats read here.
 REPORT_COLUMNS = "percentage double, clade_reads bigint, taxon_reads bigint, rank_code string, taxid bigint, name string"
 ESTIMATE_COLUMNS = ("name string, taxonomy_id bigint, taxonomy_lvl string, kraken_assigned_reads bigint, "
                     "added_reads bigint, new_est_reads bigint, fraction_total_reads double")
