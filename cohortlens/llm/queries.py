@@ -63,6 +63,95 @@ def op2_token_codes(spark, sf_dir):
     return token_table(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=1)
 
 
+def _licence_sql() -> str:
+    from cohortlens.llm.license_digest import COPYRIGHT_LINE, LICENSES, MARKS, SPELLINGS
+
+    def quoted(text: str) -> str:
+        return "'" + text.replace("'", "''") + "'"
+
+    def form(column: str) -> str:
+        out = (f"regexp_replace(regexp_replace(translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+               f"'abcdefghijklmnopqrstuvwxyz'), {quoted(COPYRIGHT_LINE)}, chr(10), 'g'), {quoted(MARKS)}, ' ', 'g')")
+        for one, other in SPELLINGS:
+            out = f"replace({out}, {quoted(one)}, {quoted(other)})"
+        return f"sha256(trim({out}, ' '))"
+    names = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in LICENSES.items())
+    return f"""
+SELECT doc_id, canonical_sha256, license
+FROM (SELECT doc_id, {form("text")} AS canonical_sha256 FROM documents)
+LEFT JOIN (SELECT {form("body")} AS known, min(name) AS license FROM (VALUES {names}) v(name, body) GROUP BY 1)
+  ON canonical_sha256 = known AND known <> sha256('')"""
+
+
+def _url_sql() -> str:
+    from cohortlens.llm.url_filter import CANONICAL, GOTO, HREF, REFRESH, RULES
+    q = lambda text: text.replace("'", "''")
+    lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
+    host = lambda url: lower(f"regexp_extract(coalesce({url}, ''), '://([^/?#]*)', 1)")
+    path = lambda url: f"regexp_extract(coalesce({url}, ''), '://[^/?#]*([^?#]*)', 1)"
+    rules = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
+
+    def node(url: str) -> str:
+        bare = f"regexp_extract({url}, '^([^#]*)', 1)"
+        return (f"CASE WHEN contains({bare}, '://') THEN " + lower(f"regexp_extract({bare}, '^(.*?://[^/?#]*)', 1)")
+                + f" || regexp_extract({bare}, '^.*?://[^/?#]*(.*)$', 1) END")
+    return f"""
+WITH RECURSIVE rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+links AS (
+  SELECT url, unnest([regexp_extract(regexp_extract(html, '{q(CANONICAL)}', 0), '{q(HREF)}', 1),
+                      regexp_extract(regexp_extract(html, '{q(REFRESH)}', 0), '{q(GOTO)}', 1)]) AS link
+  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
+targets AS (
+  SELECT url AS source, CASE WHEN starts_with(l, '//') THEN regexp_extract(url, '^([^:]*):', 1) || ':' || l
+    WHEN starts_with(l, '/') THEN regexp_extract(url, '^([^:]*):', 1) || '://' || {host("url")} || l
+    WHEN contains(l, '://') THEN l END AS target
+  FROM (SELECT url, replace(link, '&amp;', '&') AS l FROM links WHERE link <> '')),
+edges AS (SELECT {node("source")} AS a, {node("target")} AS b FROM targets WHERE target IS NOT NULL),
+ways AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
+reach AS (SELECT a AS node, a AS other FROM ways UNION SELECT reach.node, ways.b FROM reach JOIN ways ON ways.a = reach.other),
+best AS (
+  SELECT u, arg_max(rule_host || rule_path, rank) AS rule, arg_max(rule_verdict, rank) AS verdict
+  FROM (SELECT u, rule_host, rule_path, rule_verdict,
+          length(rule_host || rule_path) * 2 + (rule_verdict = 'allow')::int AS rank
+        FROM (SELECT url AS u FROM pages UNION SELECT other FROM reach) JOIN rules
+          ON ({host("u")} = rule_host OR ends_with({host("u")}, '.' || rule_host)) AND starts_with({path("u")}, rule_path))
+  GROUP BY u),
+shared AS (
+  SELECT node, min(other) AS component, CASE WHEN bool_or(verdict = 'allow') THEN 'allow' WHEN count(verdict) > 0 THEN 'block' END AS taken
+  FROM reach LEFT JOIN best ON u = other GROUP BY node)
+SELECT page_id, {host("url")} AS host, {path("url")} AS path, rule, coalesce(verdict, taken, 'allow') AS verdict,
+       CASE WHEN taken IS NOT NULL THEN component END AS component
+FROM pages LEFT JOIN best ON u = url LEFT JOIN shared ON node = {node("url")}"""
+
+
+@_query("op3_pii_bootstrap")
+def op3_pii_bootstrap(spark, sf_dir):
+    """Personal data in all documents: fixed forms and bootstrapped contexts."""
+    from cohortlens.llm.pii_bootstrap import personal_data
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
+@_query("op4_url_filter", _url_sql())
+def op4_url_filter(spark, sf_dir):
+    """Verdicts of all pages, with decisions carried along redirects and canonical links."""
+    from cohortlens.llm.url_filter import url_verdicts
+    return url_verdicts(table(spark, sf_dir, "pages"))
+
+
+@_query("op5_license_digest", _licence_sql())
+def op5_license_digest(spark, sf_dir):
+    """Whole documents that are known licence texts, by a canonical digest."""
+    from cohortlens.llm.license_digest import license_matches
+    return license_matches(table(spark, sf_dir, "documents"))
+
+
+@_query("op6_toxicity_cnn")
+def op6_toxicity_cnn(spark, sf_dir):
+    """Toxicity scores of all documents by a convolutional classifier."""
+    from cohortlens.llm.toxicity_cnn import toxicity_table
+    return toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query("op10_exact_dedup", f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256

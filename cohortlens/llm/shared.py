@@ -55,6 +55,22 @@ def slices(batches, rows: int = SLICE_ROWS):
             yield batch.slice(start, rows)
 
 
+def text_slices(batches, column: int, size: int = 16 << 20):
+    """Cut the record batches of a task into pieces of about ``size`` bytes of text (one row at least)."""
+    import numpy as np
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False),
+                         dtype=np.int64)
+        start = 0
+        while start < batch.num_rows:
+            before = ends[start - 1] if start else 0
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(start, stop - start)
+            start = stop
+
+
 def texts_of(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null reads as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
