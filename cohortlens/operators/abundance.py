@@ -13,7 +13,7 @@ LONG_SCHEMA = "run_accession string, sample_id string, level string, taxon strin
 REPORT_SCHEMA = ("run_accession string, percentage double, clade_reads bigint, "
                  "taxon_reads bigint, rank_code string, taxid bigint, name string")
 # Above this many distinct taxa the matrix stays long (Spark's pivot limit).
-PIVOT_MAX_VALUES = 10000
+BLOCK_COLUMNS = 2000
 
 
 def empty_long(spark: SparkSession) -> DataFrame:
@@ -98,26 +98,32 @@ def score_taxa(long: DataFrame, metric: str = "mean_x_prevalence") -> DataFrame:
 
 
 def matrix_taxa(long: DataFrame) -> list[str]:
-    """Sorted distinct taxa for the pivot header (bounded by PIVOT_MAX_VALUES)."""
-    rows = (long.select("taxon").distinct().orderBy("taxon")
-                .limit(PIVOT_MAX_VALUES + 1).collect())
-    taxa = [r[0] for r in rows]
-    if len(taxa) > PIVOT_MAX_VALUES:
-        raise ValueError("too many taxa for a wide matrix; use abundance_matrix_long")
-    return taxa
+    """Sorted distinct taxa: the header of the wide matrix."""
+    return [r[0] for r in long.select("taxon").distinct().orderBy("taxon").collect()]
 
 
 def abundance_matrix(long: DataFrame, taxa: Sequence[str] | None = None) -> DataFrame:
     """sample x taxon matrix, values summed over runs and levels, 0 fill.
 
-    Rows come from the abundance table (not the metadata)."""
+    Rows come from the abundance table (not the metadata).  The header is
+    part of the schema; for vocabularies too wide for one schema see
+    ``matrix_blocks`` and ``abundance_matrix_long``."""
     if taxa is None:
         taxa = matrix_taxa(long)
-    wide = (long.groupBy("sample_id").pivot("taxon", list(taxa))
-                .agg(F.sum(F.coalesce("relative_abundance", F.lit(0.0)))))
+    cells = abundance_matrix_long(long)
+    wide = cells.groupBy("sample_id").pivot("taxon", list(taxa)).agg(F.first("value"))
     return wide.na.fill(0.0, subset=list(taxa)) if taxa else wide
 
 
+def matrix_blocks(long: DataFrame, taxa: Sequence[str] | None = None, width: int = BLOCK_COLUMNS):
+    """The wide matrix as (taxa, frame) blocks of at most ``width`` columns, all taxa covered.
+
+    Every block has a row for each sample; blocks join on ``sample_id``."""
+    taxa = matrix_taxa(long) if taxa is None else list(taxa)
+    for k in range(0, len(taxa), width):
+        yield taxa[k:k + width], abundance_matrix(long, taxa[k:k + width])
+
+
 def abundance_matrix_long(long: DataFrame) -> DataFrame:
     """Sparse (sample, taxon, value) form of the matrix for very many taxa."""
     return (long.groupBy("sample_id", "taxon")

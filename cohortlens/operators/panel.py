@@ -69,15 +69,12 @@ def merge_panel(spark, config_taxa: Sequence[str], picks: DataFrame,
     """Config taxa first, then species picks, then genus picks; first
     occurrence kept; excluded names dropped.  Returns (position, taxon)."""
     cfg = [t for t in config_taxa if not is_excluded(t, excluded)]
-    base = spark.createDataFrame([(i, t) for i, t in enumerate(cfg)], "pos long, taxon string")
-    offset = len(cfg)
-    level_rank = F.when(F.col("level") == "species", 0).otherwise(1)
-    dyn = picks.select(
-        (F.lit(offset) + level_rank * F.lit(1_000_000) + F.col("rank")).cast("long").alias("pos"),
-        "taxon")
+    base = spark.createDataFrame([(0, i, t) for i, t in enumerate(cfg)], "part int, place int, taxon string")
+    dyn = picks.select(F.when(F.col("level") == "species", 1).otherwise(2).alias("part"),
+                       F.col("rank").alias("place"), "taxon")
     from cohortlens.operators.abundance import exclude_taxa
     dyn = exclude_taxa(dyn, excluded)
-    merged = base.unionByName(dyn).groupBy("taxon").agg(F.min("pos").alias("pos"))
+    merged = base.unionByName(dyn).groupBy("taxon").agg(F.min(F.struct("part", "place")).alias("pos"))
     w = Window.orderBy("pos")  # panel-sized: a handful of rows
     return merged.select(F.row_number().over(w).alias("position"), "taxon")
 

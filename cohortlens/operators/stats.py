@@ -23,14 +23,6 @@ DIVERSITY = ("Shannon_diversity", "number_of_detected_species", "total_bacterial
 SUMMARY = ("sequencing_depth_proxy", "number_of_detected_species", "Shannon_diversity",
            "total_bacterial_abundance")
 FUSO = ("Fusobacterium_genus_abundance", "F_nucleatum_species_abundance")
-# Values equal to this many decimals are the same value for distinct counts,
-# constancy and ranks: derived features are sums whose last bits depend on
-# summation order, which must not split mathematical ties.
-TIE_DIGITS = 9
-
-
-def tie_key(c: Column) -> Column:
-    return F.round(c, TIE_DIGITS)
 
 
 # ---- projection helpers (F6-F8) ----------------------------------------------
@@ -67,8 +59,8 @@ def feature_sets(columns: Sequence[str]) -> dict[str, list[str]]:
 
 
 def coerce_numeric(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """invalid numbers -> NULL (try_cast; plain cast raises under ANSI)."""
-    return df.withColumns({c: F.col(f"`{c}`").try_cast("double") for c in cols})
+    """invalid numbers and NaN -> NULL (try_cast; plain cast raises under ANSI)."""
+    return df.withColumns({c: F.nanvl(F.col(f"`{c}`").try_cast("double"), F.lit(None)) for c in cols})
 
 
 def to_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -88,7 +80,7 @@ def feature_sanity(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     v = F.col("value")
     return long.groupBy("feature").agg(
         F.count_if(v.isNull()).alias("missing"),
-        F.count_distinct(tie_key(v)).alias("n_unique"),
+        F.count_distinct(v).alias("n_unique"),
         F.avg(v).alias("mean"),
         F.stddev_samp(v).alias("std"))
 
@@ -210,9 +202,9 @@ def univariate_effects(df: DataFrame, cols: Sequence[str], source: str, y: str =
     means = long.groupBy("feature").agg(
         F.avg(F.when(F.col(y) == 0, v)).alias("healthy_mean"),
         F.avg(F.when(F.col(y) == 1, v)).alias("cancer_mean"),
-        F.count_distinct(tie_key(v)).alias("n_unique"),
+        F.count_distinct(v).alias("n_unique"),
         F.count_if(v.isNull()).alias("n_null"))
-    rs = rank_sums(long.filter(v.isNotNull()).withColumn("value", tie_key(v)), ["feature"], "value", y)
+    rs = rank_sums(long.filter(v.isNotNull()), ["feature"], "value", y)
     p = mann_whitney_p(F.col("N0"), F.col("N1"), F.col("R0"), F.col("tie"))
     out = means.filter(F.col("n_unique") > 1).join(rs, "feature", "left")
     diff = F.col("cancer_mean") - F.col("healthy_mean")

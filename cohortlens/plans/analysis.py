@@ -14,7 +14,7 @@ from cohortlens.operators.folds import assign_folds
 
 
 def analyse(features: DataFrame, models: Sequence[ml.ModelSpec] = ml.DEFAULT_MODELS,
-            k: int = 5, repeats: int = 10, seed: int = 42, single_seed: int = 7,
+            k: int = 5, repeats: int = 10, seed: int = 42, single_seed: int = 42,
             sensitivity_folds: Sequence[int] = (3, 5, 8), perm_repeats: int = 50,
             threads: int = ml.MAX_DRIVER_THREADS) -> dict[str, DataFrame]:
     """Binary labels -> effects -> CV of every (set, model) -> best model ->
@@ -27,7 +27,7 @@ def analyse(features: DataFrame, models: Sequence[ml.ModelSpec] = ml.DEFAULT_MOD
     df = ss.coerce_numeric(df, groups["all"])
     sets = ss.feature_sets(df.columns)
     presence = ss.univariate_effects(df, groups["panel_present"], "presence")
-    log = ss.univariate_effects(df, groups["panel_log"], "log10")
+    log = ss.univariate_effects(df, groups["panel_log"], "log10_abundance")
 
     folds = assign_folds(df, k, repeats, seed)
     n_feat = {s: len(c) for s, c in sets.items()}
@@ -64,7 +64,7 @@ def analyse(features: DataFrame, models: Sequence[ml.ModelSpec] = ml.DEFAULT_MOD
     importance = ml.coefficients(model, use, df.sparkSession) if spec.scaled else None
     perm = ml.permutation_importance(df, use, score, repeats=perm_repeats, seed=seed)
     effects = (presence.withColumn("feature_type", F.lit("presence"))
-               .unionByName(log.withColumn("feature_type", F.lit("log10"))))
+               .unionByName(log.withColumn("feature_type", F.lit("log10_abundance"))))
     pca_scores, ratio = ml.pca2(df, groups["all"])
     out = {
         "model_comparison_results": comparison,

@@ -10,6 +10,7 @@ from cohortlens.operators import panel as pn
 from cohortlens.operators.metadata import clean_metadata, first_runs, subset_runs
 from cohortlens.plans.catalog import register
 from cohortlens.plans.features import build_features
+from cohortlens.functions.columns import panel_column_name
 from cohortlens.plans.oracle import (PANEL_CFG_KEPT, add_cte, first_tok, sql, strip)
 from cohortlens.sources import tables as tb
 
@@ -67,11 +68,10 @@ WHERE rank <= CASE WHEN nlev = 2 AND level = 'species' THEN CAST(ceil({TOP_N} /
 _cfg_rows = ", ".join(f"({i}, '{t}')" for i, t in enumerate(PANEL_CFG_KEPT))
 add_cte("panel", ("picks",), f"""
 SELECT row_number() OVER (ORDER BY pos) AS position, taxon FROM (
-  SELECT taxon, min(pos) AS pos FROM (
-    SELECT * FROM (VALUES {_cfg_rows}) c(pos, taxon)
+  SELECT taxon, min(row(part, place)) AS pos FROM (
+    SELECT 0 AS part, pos AS place, taxon FROM (VALUES {_cfg_rows}) c(pos, taxon)
     UNION ALL
-    SELECT {len(PANEL_CFG_KEPT)} + CASE WHEN level = 'species' THEN 0 ELSE 1000000 END + rank, taxon
-    FROM picks) u
+    SELECT CASE WHEN level = 'species' THEN 1 ELSE 2 END, rank, taxon FROM picks) u
   GROUP BY taxon) m""")
 add_cte("pv", ("md", "panel", "ss", "gmap"), """
 SELECT m.run_accession, p.position, p.taxon, 'panel_' || replace(p.taxon, ' ', '_') AS col,
@@ -104,18 +104,19 @@ SELECT m.sample_id, m.run_accession, m.label, m.age_group, m.library_name,
        CAST(coalesce(q.d, 0) AS BIGINT) AS sequencing_depth_proxy
 FROM md m LEFT JOIN prof p USING (run_accession) LEFT JOIN dom d USING (run_accession)
 LEFT JOIN depth q USING (run_accession)""")
-# DuckDB resolves a dynamic PIVOT before sibling CTEs exist, so each pivot
-# source carries its own WITH clause.
-add_cte("wv", (), "PIVOT (" + sql(["pv"], "SELECT run_accession, col, round(v, 6) AS v FROM pv")
-        + ") ON col USING first(v) GROUP BY run_accession")
-add_cte("wl", (), "PIVOT (" + sql(["pv"], "SELECT run_accession, col || '_log10' AS col, "
-        "round(log10(v + 1e-6), 6) AS v FROM pv") + ") ON col USING first(v) GROUP BY run_accession")
-add_cte("wp", (), "PIVOT (" + sql(["pv"], "SELECT run_accession, col || '_present' AS col, "
-        "CAST(CASE WHEN v >= 1e-4 THEN 1 ELSE 0 END AS INTEGER) AS v FROM pv")
-        + ") ON col USING first(v) GROUP BY run_accession")
-add_cte("features", ("core", "wv", "wl", "wp"), """
-SELECT c.*, wv.* EXCLUDE (run_accession), wl.* EXCLUDE (run_accession), wp.* EXCLUDE (run_accession)
-FROM core c JOIN wv USING (run_accession) JOIN wl USING (run_accession) JOIN wp USING (run_accession)""")
+# Wide columns are written out: the configured panel is known beforehand.
+def _wide_sql() -> str:
+    out = []
+    for taxon in PANEL_CFG_KEPT:
+        col, value = panel_column_name(taxon), f"max(CASE WHEN taxon = '{taxon}' THEN v END)"
+        out += [f'round({value}, 6) AS "{col}"', f'round(log10({value} + 1e-6), 6) AS "{col}_log10"',
+                f'CAST(CASE WHEN {value} >= 1e-4 THEN 1 ELSE 0 END AS INTEGER) AS "{col}_present"']
+    return ", ".join(out)
+
+
+add_cte("features", ("core", "pv"), f"""
+SELECT c.*, w.* EXCLUDE (run_accession)
+FROM core c JOIN (SELECT run_accession, {_wide_sql()} FROM pv GROUP BY run_accession) w USING (run_accession)""")
 CORE_ROUNDED = """sample_id, run_accession, label, age_group, library_name,
   round(F_nucleatum_species_abundance, 6) AS F_nucleatum_species_abundance,
   round(Fusobacterium_genus_abundance, 6) AS Fusobacterium_genus_abundance,
@@ -202,13 +203,15 @@ def q_panel_merge(spark, sf):
               .select(F.col("position").cast("int").alias("position"), "taxon"))
 
 
-@register("abundance_matrix", sql(["long"], """
-SELECT sample_id, round(COALESCE(COLUMNS(* EXCLUDE (sample_id)), 0.0), 6)
-FROM (PIVOT (SELECT sample_id, taxon, relative_abundance FROM long) ON taxon
-      USING sum(coalesce(relative_abundance, 0.0)) GROUP BY sample_id) p"""))
+_TAXA = sorted(a + b for a in tb.TAXON_FIRST for b in ("", *(f" {x}" for x in tb.TAXON_SECOND)))
+
+
+@register("abundance_matrix", sql(["long"], "SELECT sample_id, " + ", ".join(
+    f"""round(coalesce(sum(CASE WHEN taxon = '{t}' THEN relative_abundance END), 0.0), 6) AS "{t}\"""" for t in _TAXA)
+    + " FROM long GROUP BY sample_id"))
 def q_abundance_matrix(spark, sf):
-    """A1: sample x taxon, summed over runs and both levels, zero-filled."""
-    return ab.abundance_matrix(_long(spark, sf))
+    """A1: sample x taxon, summed over runs and both levels, zero-filled (taxa of the tables' vocabulary)."""
+    return ab.abundance_matrix(_long(spark, sf), _TAXA)
 
 
 @register("diversity", sql(["long"], """
@@ -247,8 +250,8 @@ def q_depth(spark, sf):
 
 @register("targeted_features", sql(["features"], f"SELECT {CORE_ROUNDED}, * EXCLUDE (sample_id, run_accession, label, age_group, library_name, F_nucleatum_species_abundance, Fusobacterium_genus_abundance, total_bacterial_abundance, number_of_detected_species, Shannon_diversity, sequencing_depth_proxy) FROM features"))
 def q_targeted(spark, sf):
-    """C1 (flagship): targeted feature matrix with a config + auto panel."""
-    return _features(spark, sf).targeted
+    """C1 (flagship): targeted feature matrix of the configured panel (the automatic one: ``panel_values``)."""
+    return _features(spark, sf, top_n=0).targeted
 
 
 @register("panel_values", sql(["pv"], """

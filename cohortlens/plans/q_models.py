@@ -13,7 +13,7 @@ from cohortlens.plans.oracle import add_cte, sql
 from cohortlens.plans.q_stats import _binary
 
 K, REPEATS, SEED = 5, 10, 42
-SINGLE_SEED = 7
+SINGLE_SEED = 42
 
 add_cte("bin", ("md",), """
 SELECT run_accession, CASE WHEN label = 'cancer' THEN 1 ELSE 0 END AS y FROM md
@@ -226,7 +226,7 @@ def q_effect_importance(spark, sf):
     df = _binary(spark, sf)
     g = ss.feature_groups(df.columns)
     eff = (ss.univariate_effects(df, g["panel_present"], "presence").withColumn("feature_type", F.lit("presence"))
-           .unionByName(ss.univariate_effects(df, g["panel_log"], "log10").withColumn("feature_type", F.lit("log10"))))
+           .unionByName(ss.univariate_effects(df, g["panel_log"], "log10_abundance").withColumn("feature_type", F.lit("log10_abundance"))))
     return eff.join(_perm(spark, sf), "feature", "inner")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from cohortlens.operators import stats as ss
 from cohortlens.plans.catalog import register
 from cohortlens.plans.oracle import add_cte, mw_p_sql, sql
@@ -40,25 +42,34 @@ def _binary(spark, sf):
     return _STAGED_MATRIX[key]
 
 
+#: The features are sums of doubles, whose last bits go by the order of the
+#: rows; the queries settle them before two engines compare equal values.
+SETTLED_DIGITS = 9
+
+
+def _settled(df, cols):
+    return df.withColumns({c: F.round(F.col(f"`{c}`").cast("double"), SETTLED_DIGITS) for c in cols})
+
+
 def _effects_sql(suffix: str, source: str) -> str:
     return sql(["blong"], f"""
-, e AS (SELECT * FROM blong WHERE feature LIKE 'panel\\_%{suffix}' ESCAPE '\\'),
-cnt AS (SELECT feature, round(value, 9) AS value, count_if(y = 0)::DOUBLE AS n0, count_if(y = 1)::DOUBLE AS n1
+, e AS (SELECT * REPLACE (round(value, 9) AS value) FROM blong WHERE feature LIKE 'panel\\_%{suffix}' ESCAPE '\\'),
+cnt AS (SELECT feature, value, count_if(y = 0)::DOUBLE AS n0, count_if(y = 1)::DOUBLE AS n1
         FROM e WHERE value IS NOT NULL GROUP BY ALL),
 rk AS (SELECT *, n0 + n1 AS t, sum(n0 + n1) OVER (PARTITION BY feature ORDER BY value
         ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM cnt),
 rs AS (SELECT feature, sum(n0) AS N0, sum(n1) AS N1, sum(n0 * (cum - t + (t + 1) / 2)) AS R0,
               sum(t * t * t - t) AS tie FROM rk GROUP BY feature),
 mn AS (SELECT feature, avg(CASE WHEN y = 0 THEN value END) AS hm, avg(CASE WHEN y = 1 THEN value END) AS cm,
-              count(DISTINCT round(value, 9)) AS nu, count_if(value IS NULL) AS nn FROM e GROUP BY feature)
+              count(DISTINCT value) AS nu, count_if(value IS NULL) AS nn FROM e GROUP BY feature)
 SELECT feature, '{source}' AS feature_source, round(hm, 6) AS healthy_mean, round(cm, 6) AS cancer_mean,
        round(cm - hm, 6) AS mean_diff, round(abs(cm - hm), 6) AS abs_diff,
        CASE WHEN nn = 0 THEN round({mw_p_sql()}, 6) END AS p_value
 FROM mn LEFT JOIN rs USING (feature) WHERE nu > 1""").replace("\n, e AS", ",\ne AS", 1)
 
 
-@register("label_counts", sql(["features"], """
-SELECT label, count(*) AS count FROM features WHERE label IN ('healthy', 'cancer') GROUP BY label"""))
+@register("label_counts", sql(["core"], """
+SELECT label, count(*) AS count FROM core WHERE label IN ('healthy', 'cancer') GROUP BY label"""))
 def q_label_counts(spark, sf):
     """Class sizes after keeping the two labels."""
     return ss.label_counts(_binary(spark, sf))
@@ -71,14 +82,20 @@ def q_feature_sanity(spark, sf):
     """Missing, distinct, mean and sample std of every model feature."""
     df = _binary(spark, sf)
     cols = ss.feature_groups(df.columns)["all"]
-    return ss.feature_sanity(ss.coerce_numeric(df, cols), cols)
+    return ss.feature_sanity(_settled(ss.coerce_numeric(df, cols), cols), cols)
+
 
+_CORE_ALL = ["sample_id", "run_accession", "label", "age_group", "library_name", *CORE6]
 
-@register("null_counts", sql(["features"], """
-SELECT column_name AS "column", nulls FROM (
-  UNPIVOT (SELECT count_if(COLUMNS(*) IS NULL) FROM features WHERE label IN ('healthy', 'cancer'))
-  ON COLUMNS(*) INTO NAME column_name VALUE nulls) u
-ORDER BY nulls DESC, column_name LIMIT 15"""))
+
+@register("null_counts", sql(["core", "pv", "md"], "SELECT * FROM (" + "\nUNION ALL\n".join(
+    f"""SELECT '{c}' AS "column", count_if({c} IS NULL) AS nulls FROM core WHERE label IN ('healthy', 'cancer')"""
+    for c in _CORE_ALL) + """
+UNION ALL
+SELECT p.col || s.suffix, count_if(p.v IS NULL) FROM pv p JOIN md m USING (run_accession),
+  (VALUES (''), ('_log10'), ('_present')) s(suffix)
+WHERE m.label IN ('healthy', 'cancer') GROUP BY ALL) u
+ORDER BY nulls DESC, "column" LIMIT 15"""))
 def q_null_counts(spark, sf):
     """Null count per column, top 15 (count desc, name asc)."""
     return ss.null_counts(_binary(spark, sf).drop("y"))
@@ -117,22 +134,25 @@ def q_box_stats(spark, sf):
 def q_effects_presence(spark, sf):
     """Presence features: class means, difference, rank-sum p."""
     df = _binary(spark, sf)
-    return ss.univariate_effects(df, ss.feature_groups(df.columns)["panel_present"], "presence")
+    cols = ss.feature_groups(df.columns)["panel_present"]
+    return ss.univariate_effects(_settled(df, cols), cols, "presence")
 
 
-@register("effects_log", _effects_sql("\\_log10", "log10"))
+@register("effects_log", _effects_sql("\\_log10", "log10_abundance"))
 def q_effects_log(spark, sf):
     """log10 features: class means, difference, rank-sum p."""
     df = _binary(spark, sf)
-    return ss.univariate_effects(df, ss.feature_groups(df.columns)["panel_log"], "log10")
+    cols = ss.feature_groups(df.columns)["panel_log"]
+    return ss.univariate_effects(_settled(df, cols), cols, "log10_abundance")
 
 
-@register("top_effects", "SELECT * FROM (" + _effects_sql("\\_log10", "log10")
+@register("top_effects", "SELECT * FROM (" + _effects_sql("\\_log10", "log10_abundance")
           + ") x ORDER BY round(abs_diff, 12) DESC, p_value ASC NULLS LAST, feature LIMIT 15")
 def q_top_effects(spark, sf):
     """15 largest log effects (abs diff desc, p asc, name)."""
     df = _binary(spark, sf)
-    eff = ss.univariate_effects(df, ss.feature_groups(df.columns)["panel_log"], "log10")
+    cols = ss.feature_groups(df.columns)["panel_log"]
+    eff = ss.univariate_effects(_settled(df, cols), cols, "log10_abundance")
     return ss.top_effects(eff, 15)
 
 

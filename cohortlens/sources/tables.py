@@ -27,6 +27,11 @@ BINDING_PANEL = ("small ring", "hot gear", "blue bolt", "red", "cold_widget",
                  "Large  Anvil", "new")
 
 
+# The words of ``part.p_name`` in the given tables.
+TAXON_FIRST = ("blue", "cold", "hot", "large", "new", "old", "red", "small")
+TAXON_SECOND = ("anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget")
+
+
 def binding_config(top_n: int = 6, levels: str = "both",
                    metric: str = "mean_x_prevalence") -> FeatureConfig:
     return FeatureConfig(panel_taxa=BINDING_PANEL, excluded_taxa=BINDING_EXCLUDED,
