@@ -58,8 +58,8 @@ def keyed_uniform(*parts: Column) -> Column:
     number is computable in any SQL engine with md5.
     """
     key = F.concat_ws(":", *[p.cast("string") for p in parts])
-    top32 = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("bigint")
-    return top32.cast("double") / F.lit(4294967296.0)
+    top52 = F.conv(F.substring(F.md5(key), 1, 13), 16, 10).cast("bigint")
+    return top52.cast("double") / F.lit(float(1 << 52))
 
 
 def clamp_fraction(target: Column, total: Column) -> Column:

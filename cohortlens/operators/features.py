@@ -146,12 +146,11 @@ def targeted_features(md: DataFrame, long: DataFrame, reports: DataFrame | None,
         F.coalesce("Shannon_diversity", F.lit(0.0)).alias("Shannon_diversity"),
         F.coalesce("sequencing_depth_proxy", F.lit(0)).cast("bigint").alias("sequencing_depth_proxy"),
     ]
-    seen = set()
-    for i, taxon in enumerate(panel):
-        name = panel_column_name(taxon)
-        if name in seen:
-            continue
-        seen.add(name)
+    # Taxa that share a column name: the column keeps the first one's place and
+    # holds the last one's value.
+    last = {panel_column_name(taxon): i for i, taxon in enumerate(panel)}
+    for name in dict.fromkeys(map(panel_column_name, panel)):
+        i = last[name]
         v = F.coalesce(F.col(f"__p{i}"), F.lit(0.0))
         cols += [v.alias(name), log10_pseudo(v, pseudocount).alias(f"{name}_log10"),
                  presence_flag(v, threshold).alias(f"{name}_present")]

@@ -105,9 +105,14 @@ def raw_exists(md: DataFrame, listing: DataFrame, match: str = "exact") -> DataF
 def stage_summary(md: DataFrame, sub_log: DataFrame, qc_log: DataFrame, listing: DataFrame,
                   match: str = "exact", order_cols=("ts", "event_id")) -> DataFrame:
     """Per metadata run: raw files exist, subsampled reads and QC reads after
-    from the first log row of each run (NULL when the run has no row)."""
-    sub = first_log_rows(sub_log.select("run_accession", *order_cols, "subsampled_reads"), order_cols)
-    qc = first_log_rows(qc_log.select("run_accession", *order_cols, "total_reads_after"), order_cols)
+    from the latest log row with a count (NULL when the run has none): logs are
+    append-only, so a retry adds a row behind the failed attempt's."""
+    def latest(log, count):
+        row = F.max(F.struct(*order_cols, count)).alias("row")
+        return log.filter(F.col(count).isNotNull()).groupBy("run_accession").agg(row).select(
+            "run_accession", f"row.{count}")
+    sub = latest(sub_log, "subsampled_reads")
+    qc = latest(qc_log, "total_reads_after")
     out = (md.select("run_accession", "sample_id")
              .join(raw_exists(md, listing, match), "run_accession", "left")
              .join(sub.select("run_accession", "subsampled_reads"), "run_accession", "left")

@@ -19,11 +19,11 @@ def _md(spark, sf):
 
 
 add_cte("first_sub", ("stage_log",), """
-SELECT run_accession, subsampled_reads FROM stage_log WHERE stage = 'subsample'
-QUALIFY row_number() OVER (PARTITION BY run_accession ORDER BY ts, event_id) = 1""")
+SELECT run_accession, subsampled_reads FROM stage_log WHERE stage = 'subsample' AND subsampled_reads IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY run_accession ORDER BY ts DESC, event_id DESC) = 1""")
 add_cte("first_qc", ("stage_log",), """
-SELECT run_accession, total_reads_after FROM stage_log WHERE stage = 'qc'
-QUALIFY row_number() OVER (PARTITION BY run_accession ORDER BY ts, event_id) = 1""")
+SELECT run_accession, total_reads_after FROM stage_log WHERE stage = 'qc' AND total_reads_after IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY run_accession ORDER BY ts DESC, event_id DESC) = 1""")
 add_cte("files", ("listing",), f"""
 SELECT file_name, regexp_extract(file_name, {NAME_RE}, 1) AS run_accession,
        coalesce(TRY_CAST(nullif(regexp_extract(file_name, {NAME_RE}, 2), '') AS INTEGER), 0) AS mate,

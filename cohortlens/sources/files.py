@@ -27,10 +27,32 @@ STAGE_LOG_SCHEMAS = {
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob names anything but empty files."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p) and (fs.getFileStatus(p).isDirectory() or fs.getFileStatus(p).getLen() > 0)
+    found = fs.globStatus(p)
+    return found is not None and any(f.isDirectory() or f.getLen() > 0 for f in found)
+
+
+def _per_run_files(spark: SparkSession, paths, pattern: str):
+    """A reader and the paths of per-run files; None when nothing is there.
+
+    One path may be a folder or a glob: the reader lists it and takes the files
+    named like ``pattern``.  A list of files goes to the reader as it is."""
+    reader = spark.read.option("ignoreMissingFiles", True).option("pathGlobFilter", pattern)
+    if isinstance(paths, str):
+        return reader, ([paths] if _exists(spark, paths) else None)
+    listed = [p for p in paths if _exists(spark, p)]
+    return reader, listed or None
+
+
+def _file_order():
+    """Order of rows over several files: file, place in the file.
+
+    Files are packed into partitions by size, so the row id alone is no order."""
+    return F.struct(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+                    F.monotonically_increasing_id().alias("row"))
 
 
 def _run_from_file(suffix_regex: str):
@@ -46,16 +68,16 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
         raise FileNotFoundError(f"Metadata CSV not found: {path}")
     df = spark.read.option("header", True).option("inferSchema", False).csv(path)
     require_columns(df, REQUIRED_METADATA_COLUMNS)
-    return df.withColumn("ordinal", F.monotonically_increasing_id())
+    return df.select("*", _file_order().alias("ordinal"))
 
 
 def read_taxonomy_reports(spark: SparkSession, paths) -> DataFrame:
     """Headerless six-column TSV per run ``{run}.report.tsv``; names
     stripped; empty or missing files contribute nothing."""
-    paths = [p for p in ([paths] if isinstance(paths, str) else list(paths)) if _exists(spark, p)]
+    reader, paths = _per_run_files(spark, paths, "*.report.tsv")
     if not paths:
         return spark.createDataFrame([], "run_accession string, " + REPORT_COLUMNS)
-    df = spark.read.schema(REPORT_COLUMNS).option("sep", "\t").option("header", False).csv(paths)
+    df = reader.schema(REPORT_COLUMNS).option("sep", "\t").option("header", False).csv(paths)
     return df.select(_run_from_file(r"\.report\.tsv").alias("run_accession"),
                      "percentage", "clade_reads", "taxon_reads", "rank_code", "taxid",
                      trim_ws(F.col("name")).alias("name"))
@@ -63,10 +85,10 @@ def read_taxonomy_reports(spark: SparkSession, paths) -> DataFrame:
 
 def read_abundance_estimates(spark: SparkSession, paths, level: str = "species") -> DataFrame:
     """S3: per-run estimate TSVs ``{run}.bracken_<level>.tsv`` with header."""
-    paths = [p for p in ([paths] if isinstance(paths, str) else list(paths)) if _exists(spark, p)]
+    reader, paths = _per_run_files(spark, paths, f"*.bracken_{level}.tsv")
     if not paths:
         return spark.createDataFrame([], "run_accession string, " + ESTIMATE_COLUMNS)
-    df = spark.read.schema(ESTIMATE_COLUMNS).option("sep", "\t").option("header", True).csv(paths)
+    df = reader.schema(ESTIMATE_COLUMNS).option("sep", "\t").option("header", True).csv(paths)
     return df.select(_run_from_file(rf"\.bracken_{level}\.tsv").alias("run_accession"), *df.columns)
 
 
@@ -87,10 +109,10 @@ def read_abundance_levels(spark: SparkSession, directory: str) -> DataFrame:
 def read_qc_documents(spark: SparkSession, paths) -> DataFrame:
     """One JSON document per file ``{run}.fastp.json`` as text; parsing
     (and the malformed -> NULL rule) is ``stages.qc_parse_reports``."""
-    paths = [p for p in ([paths] if isinstance(paths, str) else list(paths)) if _exists(spark, p)]
+    reader, paths = _per_run_files(spark, paths, "*.fastp.json")
     if not paths:
         return spark.createDataFrame([], "run_accession string, json string")
-    df = spark.read.text(paths, wholetext=True)
+    df = reader.text(paths, wholetext=True)
     return df.select(_run_from_file(r"\.fastp\.json").alias("run_accession"),
                      F.col("value").alias("json"))
 
@@ -101,7 +123,7 @@ def read_stage_log(spark: SparkSession, path: str, stage: str) -> DataFrame:
     if not _exists(spark, path):
         return spark.createDataFrame([], schema)
     return (spark.read.schema(schema).option("header", True).csv(path)
-                 .withColumn("ordinal", F.monotonically_increasing_id()))
+                 .select("*", _file_order().alias("ordinal")))
 
 
 def read_feature_matrix(spark: SparkSession, path: str) -> DataFrame:
