@@ -45,12 +45,17 @@ DEFAULT_MODELS = (ModelSpec("logistic_l2", "logistic_l2", C=1.0),
                   ModelSpec("random_forest", "random_forest"))
 
 
+def _filled(c: str):
+    """A column as double; NULL and NaN read as 0."""
+    return F.coalesce(F.nanvl(F.col(f"`{c}`").cast("double"), F.lit(0.0)), F.lit(0.0))
+
+
 def column_stats(df: DataFrame, cols: Sequence[str]) -> dict:
-    """One aggregate row: n and, per column (NULL read as 0), mean,
+    """One aggregate row: n and, per column (NULL and NaN read as 0), mean,
     population std, min and max."""
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, c in enumerate(cols):
-        x = F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0))
+        x = _filled(c)
         aggs += [F.avg(x).alias(f"m{i}"), F.stddev_pop(x).alias(f"s{i}"),
                  F.min(x).alias(f"lo{i}"), F.max(x).alias(f"hi{i}")]
     row = df.agg(*aggs).first()
@@ -66,17 +71,16 @@ def standardize(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = N
     from ``fit_on`` (the training fold) and applied as literals."""
     if stats is None:
         stats = column_stats(fit_on if fit_on is not None else df, cols)
-    out = df.na.fill(0.0, subset=list(cols))
     exprs = {}
     for c in cols:
         m, s = stats["cols"][c][0], stats["cols"][c][1]
-        x = F.col(f"`{c}`").cast("double")
+        x = _filled(c)
         exprs[c] = (x - F.lit(m)) / F.lit(s) if s > 0 else F.lit(0.0)
-    return out.withColumns(exprs)
+    return df.withColumns(exprs)
 
 
 def _vectorize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    arr = F.array(*[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)) for c in cols])
+    arr = F.array(*[_filled(c) for c in cols])
     return df.withColumn("features", array_to_vector(arr))
 
 
@@ -220,6 +224,7 @@ def pca2(df: DataFrame, cols: Sequence[str], id_col: str = "run_accession"):
         col = pcs[:, k]
         signs.append(-1.0 if col[abs(col).argmax()] < 0 else 1.0)
     arr = vector_to_array("pc")
-    out = model.transform(z).select(id_col, "label", (arr[0] * signs[0]).alias("pc1"),
+    ids = [c for c in ("sample_id", id_col, "label") if c in df.columns]
+    out = model.transform(z).select(*ids, (arr[0] * signs[0]).alias("pc1"),
                                     (arr[1] * signs[1]).alias("pc2"))
     return out, [float(x) for x in model.explainedVariance.toArray()]

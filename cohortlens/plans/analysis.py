@@ -61,11 +61,12 @@ def analyse(features: DataFrame, models: Sequence[ml.ModelSpec] = ml.DEFAULT_MOD
     spec = next(m for m in models if m.name == top["model"])
     cols = sets[top["feature_set"]]
     model, use, score = ml.fit(df, cols, spec)
-    importance = ml.coefficients(model, use, df.sparkSession) if spec.scaled else None
     perm = ml.permutation_importance(df, use, score, repeats=perm_repeats, seed=seed)
+    # A forest has no coefficients; its feature importance is the permutation table.
+    importance = ml.coefficients(model, use, df.sparkSession) if spec.scaled else perm
     effects = (presence.withColumn("feature_type", F.lit("presence"))
                .unionByName(log.withColumn("feature_type", F.lit("log10_abundance"))))
-    pca_scores, ratio = ml.pca2(df, groups["all"])
+    pca_scores, ratio = ml.pca2(df, cols)
     out = {
         "model_comparison_results": comparison,
         "cv_comparison_results": cv_cmp,
@@ -75,8 +76,7 @@ def analyse(features: DataFrame, models: Sequence[ml.ModelSpec] = ml.DEFAULT_MOD
         "permutation_importance": perm,
         "effect_importance": effects.join(perm, "feature", "inner"),
     }
-    if importance is not None:
-        out["feature_importance"] = importance
+    out["feature_importance"] = importance
     if pca_scores is not None:
         out["pca_scores"] = pca_scores.withColumn("explained_variance_1", F.lit(ratio[0])) \
                                       .withColumn("explained_variance_2", F.lit(ratio[1]))

@@ -232,9 +232,9 @@ def q_effect_importance(spark, sf):
 
 @register("pca")
 def q_pca(spark, sf):
-    """M6: two principal components of the standardised model features."""
-    df = _binary(spark, sf)
-    cols = ss.feature_groups(df.columns)["all"]
+    """M6: two principal components of the standardised presence and diversity features."""
+    df, sets = _train(spark, sf)
+    cols = sets["panel_presence_plus_diversity"]
     scores, ratio = ml.pca2(df, cols)
     return scores.withColumn("explained_variance_1", F.lit(ratio[0])).withColumn(
         "explained_variance_2", F.lit(ratio[1]))

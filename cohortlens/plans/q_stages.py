@@ -147,6 +147,6 @@ def q_stage_failures_stream(spark, sf):
     from cohortlens.session import checkpoint_dir
     from cohortlens.streaming import stage_monitor as sm
     src = f"{checkpoint_dir(spark).rstrip('/')}/stage-log-{uuid.uuid4().hex}"
-    tb.stage_log(spark, sf).repartition(4).write.parquet(src)
+    tb.stage_log(spark, sf).write.parquet(src)
     out = sm.drain_to_table(sm.failures_stream(sm.read_stage_log_stream(spark, src)))
     return out.select("stage", "run_accession", "status", "message", "event_id")

@@ -55,18 +55,15 @@ def get_spark(master: str | None = None, app: str = "cohortlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when it is unset (local tests)
-    is a fresh scratch folder created and registered.
+    The cluster's setting always wins.  Only when neither it nor the context
+    names one (local tests) is a fresh scratch folder created.  The folder is
+    registered once in a session, so all checkpoints share one subfolder.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() if hasattr(
-            spark.sparkContext, "getCheckpointDir") else None
-    if not current:
-        current = tempfile.mkdtemp(prefix="cohortlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isEmpty():
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
+    return named or context._jsc.sc().getCheckpointDir().get()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

@@ -40,19 +40,17 @@ def status_counts_stream(log_stream: DataFrame) -> DataFrame:
     return log_stream.groupBy("stage", "status").agg(F.count("*").alias("n"))
 
 
-def first_seen_stream(log_stream: DataFrame) -> DataFrame:
-    """First row seen per (stage, run): streaming de-duplication; state is
-    one key per run and stage (bounded by the cohort)."""
-    return log_stream.dropDuplicates(["stage", "run_accession"])
-
-
 def drain_to_table(df: DataFrame, name: str | None = None, mode: str = "append") -> DataFrame:
     """Run a streaming DataFrame over everything available (availableNow)
-    into an in-memory table and return that table as a batch DataFrame."""
+    into Parquet files of the shared folder and return them as a batch
+    DataFrame.  In complete mode every batch replaces the one before."""
     spark = df.sparkSession
     name = name or f"stream_{uuid.uuid4().hex[:12]}"
-    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
-    q = (df.writeStream.format("memory").queryName(name).outputMode(mode)
-           .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(name)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
+    writer = df.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True)
+    if mode == "complete":
+        writer = writer.foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(f"{base}/rows"))
+    else:
+        writer = writer.format("parquet").option("path", f"{base}/rows")
+    writer.start().awaitTermination()
+    return spark.read.schema(df.schema).parquet(f"{base}/rows")

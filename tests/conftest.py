@@ -10,10 +10,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from cohortlens.session import get_spark
-    s = get_spark("local[4]", app="cohortlens-tests", shuffle_partitions=4)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        d = tempfile.mkdtemp(prefix="cohortlens-test-ckpt-")
-        s.conf.set("spark.checkpoint.dir", d)
+    s = get_spark("local[4]", app="cohortlens-tests", shuffle_partitions=4,
+                  extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="cohortlens-test-ckpt-")})
     yield s
     s.stop()
 

@@ -16,5 +16,3 @@ def test_stream_matches_batch(spark, tmp_dir):
     counts = {(r.stage, r.status): r.n for r in
               sm.drain_to_table(sm.status_counts_stream(stream), mode="complete").collect()}
     assert counts == {("qc", "failed: x"): 10, ("qc", "qc_done"): 20}
-    firsts = sm.drain_to_table(sm.first_seen_stream(stream)).count()
-    assert firsts == 30
