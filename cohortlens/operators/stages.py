@@ -28,14 +28,21 @@ def completed_runs(log: DataFrame, stage: str | None = None) -> DataFrame:
     return lg.filter(F.col("status").isin(*DONE_STATUSES)).select("run_accession").distinct()
 
 
-def pending_runs(md: DataFrame, log: DataFrame, stage: str | None = None) -> DataFrame:
-    """Metadata runs without a completed (or skipped) entry: still to do."""
-    return md.join(completed_runs(log, stage), "run_accession", "left_anti")
+def _with_output(done: DataFrame, outputs: DataFrame | None) -> DataFrame:
+    """Completed runs whose output (run_accession, length) is there and not empty, if outputs are given."""
+    if outputs is None:
+        return done
+    return done.join(outputs.filter(F.col("length") > 0).select("run_accession").distinct(), "run_accession", "left_semi")
 
 
-def skipped_runs(md: DataFrame, log: DataFrame, stage: str | None = None) -> DataFrame:
-    """Metadata runs with a completed entry: logged skipped_existing on rerun."""
-    return (md.join(completed_runs(log, stage), "run_accession", "left_semi")
+def pending_runs(md: DataFrame, log: DataFrame, stage: str | None = None, outputs: DataFrame | None = None) -> DataFrame:
+    """Metadata runs without a completed (or skipped) entry, or with an empty output: still to do."""
+    return md.join(_with_output(completed_runs(log, stage), outputs), "run_accession", "left_anti")
+
+
+def skipped_runs(md: DataFrame, log: DataFrame, stage: str | None = None, outputs: DataFrame | None = None) -> DataFrame:
+    """Metadata runs with a completed entry (and output): logged skipped_existing on rerun."""
+    return (md.join(_with_output(completed_runs(log, stage), outputs), "run_accession", "left_semi")
               .withColumn("status", F.lit("skipped_existing")))
 
 

@@ -192,6 +192,44 @@ def mann_whitney_p(N0: Column, N1: Column, R0: Column, tie: Column) -> Column:
     return F.least(F.lit(1.0), erfc(z / F.lit(math.sqrt(2.0))))
 
 
+#: A class of at most so many values, without ties, gets the exact p-value.
+EXACT_SIZE = 8
+
+
+def exact_rank_sum_p(n0: int, n1: int, u: float) -> float:
+    """Two-sided exact p of U = ``u`` (the larger one) without ties.
+
+    Counts the ways in which the smaller class can take its ranks, one rank at
+    a time: ways[k][s] of k ranks with a rank sum of s above the least one."""
+    import numpy as np
+    k, top = int(min(n0, n1)), int(n0 * n1)
+    ways = np.zeros((k + 1, top + 1))
+    ways[0, 0] = 1.0
+    for rank in range(int(n0 + n1)):
+        # Taking this rank as the j-th adds rank - (j - 1) to U.
+        for j in range(min(k, rank + 1), 0, -1):
+            step = rank - (j - 1)
+            if step <= top:
+                ways[j, step:] += ways[j - 1, :top + 1 - step]
+    share = ways[k] / ways[k].sum()
+    return float(min(1.0, 2 * share[int(math.ceil(u)):].sum()))
+
+
+def _with_exact_p(effects: DataFrame) -> DataFrame:
+    """Replace the asymptotic p of small classes without ties (columns N0, N1, R0, tie, p)."""
+    small = (F.least("N0", "N1") <= EXACT_SIZE) & (F.least("N0", "N1") > 0) & (F.col("tie") == 0)
+    u0 = F.col("R0") - F.col("N0") * (F.col("N0") + 1) / 2
+    effects = effects.withColumn("U", F.greatest(u0, F.col("N0") * F.col("N1") - u0))
+    # As many rows as there are features.
+    cases = effects.filter(small).select("N0", "N1", "U").distinct().collect()
+    if not cases:
+        return effects
+    rows = [(r["N0"], r["N1"], r["U"], exact_rank_sum_p(int(r["N0"]), int(r["N1"]), r["U"])) for r in cases]
+    table = effects.sparkSession.createDataFrame(rows, "e0 double, e1 double, eu double, exact_p double")
+    return effects.join(F.broadcast(table), small & (F.col("N0") == F.col("e0")) & (F.col("N1") == F.col("e1"))
+                        & (F.col("U") == F.col("eu")), "left").withColumn("p", F.coalesce("exact_p", "p"))
+
+
 def univariate_effects(df: DataFrame, cols: Sequence[str], source: str, y: str = "y") -> DataFrame:
     """Per feature healthy/cancer means, difference, absolute
     difference and rank-sum p; constant features skipped; a feature with
@@ -206,12 +244,16 @@ def univariate_effects(df: DataFrame, cols: Sequence[str], source: str, y: str =
         F.count_if(v.isNull()).alias("n_null"))
     rs = rank_sums(long.filter(v.isNotNull()), ["feature"], "value", y)
     p = mann_whitney_p(F.col("N0"), F.col("N1"), F.col("R0"), F.col("tie"))
-    out = means.filter(F.col("n_unique") > 1).join(rs, "feature", "left")
+    out = means.filter(F.col("n_unique") > 1).join(rs, "feature", "left").withColumn("p", p)
+    # A feature with nulls has no p-value, so the class sizes decide for all of them.
+    sizes = df.agg(F.count_if(F.col(y) == 0), F.count_if(F.col(y) == 1)).first()
+    if min(sizes) <= EXACT_SIZE:
+        out = _with_exact_p(out)
     diff = F.col("cancer_mean") - F.col("healthy_mean")
     return out.select(
         "feature", F.lit(source).alias("feature_source"), "healthy_mean", "cancer_mean",
         diff.alias("mean_diff"), F.abs(diff).alias("abs_diff"),
-        F.when(F.col("n_null") == 0, p).alias("p_value"))
+        F.when(F.col("n_null") == 0, F.col("p")).alias("p_value"))
 
 
 def effect_order(effects: DataFrame) -> list[Column]:
@@ -224,6 +266,18 @@ def top_effects(effects: DataFrame, n: int = 15) -> DataFrame:
     return effects.orderBy(*effect_order(effects)).limit(n)
 
 
+def direction_table(log_effects: DataFrame, presence_effects: DataFrame, n: int = 20) -> DataFrame:
+    """The first ``n`` log effects, or presence effects where there are none: means, differences, p."""
+    use = presence_effects if log_effects.isEmpty() else log_effects
+    return use.orderBy(*effect_order(use)).limit(n).select(
+        "feature", "healthy_mean", "cancer_mean", "mean_diff", "abs_diff", "p_value")
+
+
+def least_varying(sanity: DataFrame, n: int = 20) -> DataFrame:
+    """The ``n`` features with the fewest distinct values (name breaks ties)."""
+    return sanity.orderBy("n_unique", "feature").limit(n)
+
+
 def roc_auc(scores: DataFrame, keys: Sequence[str] = (), score: str = "score", y: str = "y") -> DataFrame:
     """M2: AUC = (R1 - N1(N1+1)/2) / (N0 N1), ties counted half."""
     rs = rank_sums(scores.select(*keys, F.col(score).alias("value"), y), keys, "value", y)

@@ -156,6 +156,29 @@ def q_top_effects(spark, sf):
     return ss.top_effects(eff, 15)
 
 
+@register("direction_table", "SELECT feature, healthy_mean, cancer_mean, mean_diff, abs_diff, p_value FROM ("
+          + _effects_sql("\\_log10", "log10_abundance")
+          + ") x ORDER BY round(abs_diff, 12) DESC, p_value ASC NULLS LAST, feature LIMIT 20")
+def q_direction_table(spark, sf):
+    """Means, difference and p of the 20 largest log effects (presence effects where there are none)."""
+    df = _binary(spark, sf)
+    groups = ss.feature_groups(df.columns)
+    df = _settled(df, groups["panel_log"] + groups["panel_present"])
+    return ss.direction_table(ss.univariate_effects(df, groups["panel_log"], "log10_abundance"),
+                              ss.univariate_effects(df, groups["panel_present"], "presence"))
+
+
+@register("least_varying", sql(["blong"], """
+SELECT feature, count_if(value IS NULL) AS missing, count(DISTINCT round(value, 9)) AS n_unique,
+       round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS std FROM blong GROUP BY feature
+ORDER BY n_unique, feature LIMIT 20"""))
+def q_least_varying(spark, sf):
+    """The 20 features with the fewest distinct values."""
+    df = _binary(spark, sf)
+    cols = ss.feature_groups(df.columns)["all"]
+    return ss.least_varying(ss.feature_sanity(_settled(ss.coerce_numeric(df, cols), cols), cols))
+
+
 add_cte("auc_cnt", ("scores",), """
 SELECT score, count_if(y = 1)::DOUBLE AS n1, count_if(y = 0)::DOUBLE AS n0 FROM scores GROUP BY score""")
 

@@ -98,3 +98,37 @@ def test_tiny_fractions(spark):
     got = spark.range(2000).select(keyed_uniform(F.lit("r"), F.col("id"), F.lit(1)).alias("u")).collect()
     assert all(0 <= r.u < 1 for r in got) and len({r.u for r in got}) == 2000
     assert any(not math.isclose(r.u * 2**32 % 1, 0) for r in got)
+
+
+def test_exact_p_matches_counting():
+    from itertools import combinations
+    for n0, n1 in ((3, 3), (2, 5), (6, 4), (8, 2)):
+        total = [sum(c) - n0 * (n0 + 1) / 2 for c in combinations(range(1, n0 + n1 + 1), n0)]
+        for u in range(math.ceil(n0 * n1 / 2), n0 * n1 + 1):
+            want = min(1.0, 2 * sum(t >= u for t in total) / len(total))
+            assert math.isclose(ss.exact_rank_sum_p(n0, n1, u), want, rel_tol=1e-9)
+
+
+def test_small_classes_get_the_exact_p(spark):
+    df = spark.createDataFrame([(0, 1.0, 1.0), (0, 2.0, 1.0), (0, 3.0, 2.0), (1, 4.0, 2.0), (1, 5.0, 3.0), (1, 6.0, 3.0)],
+                               "y int, panel_a double, panel_b double")
+    got = {r.feature: r.p_value for r in ss.univariate_effects(df, ["panel_a", "panel_b"], "x").collect()}
+    assert math.isclose(got["panel_a"], 0.1) and got["panel_b"] != 0.1
+
+
+def test_direction_table_falls_back_to_presence(spark):
+    df = spark.createDataFrame([(0, 0.0, 1.0), (1, 1.0, 1.0), (0, 0.0, 1.0)], "y int, panel_a_present double, panel_a_log10 double")
+    log, pres = ss.univariate_effects(df, ["panel_a_log10"], "l"), ss.univariate_effects(df, ["panel_a_present"], "p")
+    got = ss.direction_table(log, pres)
+    assert got.columns == ["feature", "healthy_mean", "cancer_mean", "mean_diff", "abs_diff", "p_value"]
+    assert [r.feature for r in got.collect()] == ["panel_a_present"]
+
+
+def test_empty_outputs_are_redone(spark):
+    md = spark.createDataFrame([("a",), ("b",), ("c",)], "run_accession string")
+    log = spark.createDataFrame([(r, "subsample", "subsampled") for r in "ab"], "run_accession string, stage string, status string")
+    done = sg.completed_runs(log).count()
+    outputs = spark.createDataFrame([("a", 10), ("b", 0)], "run_accession string, length long")
+    assert done == 2
+    assert sorted(r[0] for r in sg.pending_runs(md, log, None, outputs).collect()) == ["b", "c"]
+    assert [r.run_accession for r in sg.skipped_runs(md, log, None, outputs).collect()] == ["a"]
