@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import first_token, level_suffix, normalize_taxon, trim_ws
+from cohortlens.operators.salted import salted_join
 
 LONG_SCHEMA = "run_accession string, sample_id string, level string, taxon string, relative_abundance double"
 REPORT_SCHEMA = ("run_accession string, percentage double, clade_reads bigint, "
@@ -141,14 +142,14 @@ def abundance_by_rank(reports: DataFrame, md: DataFrame | None = None) -> DataFr
     out = r.select("run_accession", "name", "percentage", "rank_code",
                    F.when(F.col("rank_code") == "S", "species").otherwise("genus").alias("level"))
     if md is not None:
-        out = out.join(md.select("run_accession", "sample_id"), "run_accession", "left")
+        out = salted_join(out, md.select("run_accession", "sample_id"), "run_accession", "left")
     return out
 
 
 def combine_abundance(tables: DataFrame, md: DataFrame, level: str = "S") -> DataFrame:
     """Per-run abundance rows of metadata runs, with run and sample prepended
     and the level's file suffix as a column."""
-    joined = tables.join(md.select("run_accession", "sample_id"), "run_accession", "inner")
+    joined = salted_join(tables, md.select("run_accession", "sample_id"), "run_accession")
     rest = [c for c in tables.columns if c != "run_accession"]
     return joined.select("run_accession", "sample_id", *rest,
                          level_suffix(F.lit(level)).alias("level_suffix"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators import reads as rd
+from cohortlens.operators.salted import salted_join
 from cohortlens.operators.stages import pending_runs, skipped_runs
 
 
@@ -24,7 +25,7 @@ def subsample_runs(md: DataFrame, reads: DataFrame, log: DataFrame | None = None
     else:
         skipped = None
         todo = md.select("run_accession")
-    todo_reads = reads.join(todo, "run_accession", "left_semi")
+    todo_reads = salted_join(reads, todo, "run_accession", "left_semi")
     slog = rd.sample_log(todo_reads, fraction=fraction, target=target, seed=seed)
     missing = (todo.join(slog.select("run_accession"), "run_accession", "left_anti")
                .withColumn("status", F.concat(F.lit("failed: No FASTQ files found for "),
@@ -34,4 +35,10 @@ def subsample_runs(md: DataFrame, reads: DataFrame, log: DataFrame | None = None
         out = out.unionByName(skipped, allowMissingColumns=True)
     sampled = (rd.sample_target(todo_reads, target, seed) if target is not None
                else rd.sample_reads(todo_reads, fraction if fraction is not None else 0.1, seed))
+    # Where a run has second mates, its trailing first mates without one go.
+    paired = sampled.filter(F.col("mate") == 2).select("run_accession").distinct()
+    ends = sampled.filter(F.col("mate") == 2).select("run_accession", "rec_id")
+    lone = (salted_join(sampled.filter(F.col("mate") == 1), paired, "run_accession", "left_semi")
+            .join(ends, ["run_accession", "rec_id"], "left_anti").select("run_accession", "mate", "rec_id"))
+    sampled = sampled.join(lone, ["run_accession", "mate", "rec_id"], "left_anti")
     return sampled, out.select("run_accession", "status", "original_reads", "subsampled_reads", "fraction")

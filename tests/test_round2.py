@@ -132,3 +132,23 @@ def test_empty_outputs_are_redone(spark):
     assert done == 2
     assert sorted(r[0] for r in sg.pending_runs(md, log, None, outputs).collect()) == ["b", "c"]
     assert [r.run_accession for r in sg.skipped_runs(md, log, None, outputs).collect()] == ["a"]
+
+
+def test_a_hot_run_goes_to_several_tasks(spark):
+    from cohortlens.operators.salted import salted_join
+    reads = spark.range(4000).select(F.when(F.col("id") % 10 < 7, "hot").otherwise(F.col("id").cast("string")).alias("run_accession"),
+                                     F.lit(1).alias("mate"), F.col("id").alias("rec_id"))
+    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled",
+                                          "spark.sql.shuffle.partitions")}
+    try:
+        for k, v in zip(old, ("-1", "false", "16")):
+            spark.conf.set(k, v)
+        joined = salted_join(reads, rd.run_totals(reads), "run_accession")
+        tasks = joined.filter("run_accession = 'hot'").groupBy(F.spark_partition_id().alias("t")).count().collect()
+        assert len(tasks) > 3 and max(r["count"] for r in tasks) < 1600
+        assert joined.count() == 4000
+        log = {r.run_accession: r.original_reads for r in rd.sample_log(reads, target=100).collect()}
+        assert log["hot"] == 2800 and len(log) == 1201
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
