@@ -34,7 +34,7 @@ def register(name: str, oracle: str | None = None):
 
 def _load_all():
     # Importing the modules fills the registry.
-    from cohortlens.plans import q_features, q_stages, q_reads, q_stats, q_models  # noqa: F401
+    from cohortlens.plans import q_features, q_files, q_stages, q_reads, q_stats, q_models  # noqa: F401
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

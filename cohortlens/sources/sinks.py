@@ -43,9 +43,12 @@ def write_failures(log: DataFrame, path: str) -> bool:
     return True
 
 
-def write_cohort_outputs(tables: Mapping[str, DataFrame], root: str, cohort: str) -> None:
-    """K5: every analysis table under ``root/<name>/cohort=<cohort>``."""
+def write_cohort_outputs(tables: Mapping[str, DataFrame], root: str, cohort: str, fmt: str = "parquet") -> None:
+    """K5: every analysis table under ``root/<name>/cohort=<cohort>``, as Parquet or as CSV with header."""
     for name, df in tables.items():
-        (df.withColumn("cohort", F.lit(cohort)).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy("cohort")
-           .parquet(f"{root}/{name}"))
+        w = (df.withColumn("cohort", F.lit(cohort)).write.mode("overwrite")
+             .option("partitionOverwriteMode", "dynamic").partitionBy("cohort"))
+        if fmt == "csv":
+            w.option("header", True).csv(f"{root}/{name}")
+        else:
+            w.format(fmt).save(f"{root}/{name}")
