@@ -1,21 +1,28 @@
 """N-gram Jaccard join by grouped prefixes.
 
 A set's prefix is its first ``n - ceil(t n) + 1`` shingles in a corpus-wide
-order, rare ones first; two sets of similarity ``t`` share a prefix token.
+order, rare ones first; two sets of similarity ``t`` share prefix tokens.
 Sets with one prefix and one size are collapsed into a group, equal sets into
 a class before that, so copies of any number cost one row from there on.
 
-1. A pass counts in how many documents each shingle stands, in hashed
-   counters of a fixed number; the order is (magnitude of the counter, hash).
-   It is a function of the shingle alone, so filtering by it loses no pair.
-2. A second pass gives each document's size, set digest and prefix.
+1. One pass over the texts gives each document's size, set digest and its
+   shingles of a fixed quarter of the hash space (more if the quarter holds
+   fewer than the prefix needs), packed into chunks of documents.
+2. Chunks send their shingles, Golomb-coded, to owners of hash ranges, which
+   count the documents of each over the whole corpus and answer with grades.
+   The order is (in the quarter, grade, hash): a function of the shingle
+   alone, so filtering by it loses no pair.  Shingles of a single document
+   come first and need not be emitted at all.  One document of each class that
+   shares a prefix token goes through both steps again, with all shingles in
+   the order, which makes prefixes and positions far more selective.
 3. Groups that share a token are candidates.  First every group of a token and
    size band is held against the band's most typical member, and every class
    against its group's first; the links found make components.  Then the lists
    that still hold several components give the other pairs, between
-   components only and under the size and position filters.  Pairs within a
-   component would not change it, so a list of thousands of near copies is
-   never paired off.
+   components only.  Pairs within a component would not change it, so a list
+   of thousands of near copies is never paired off.  A pair must pass the
+   size filter, the position filter and a lower bound of the tokens that
+   similar sets have in common in their prefixes.
 4. Candidates are expanded to their members and verified on whole sets.
 
 Defined cases: a null or empty text has no shingles and links with nothing;
@@ -27,7 +34,7 @@ empty result; further columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import zlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -35,99 +42,162 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortlens.llm import golomb
 from cohortlens.llm.components import components
-from cohortlens.llm.shared import cut, slices, stash, with_ids
+from cohortlens.llm.shared import cut, discard, stash, text_slices, with_ids, without_ids
 from cohortlens.llm.shingles import shingle_sets
 
-#: log2 of the number of hashed counters; they are broadcast as one byte each.
-COUNTER_BITS = 22
-CHUNK = 1 << 14
+#: Masks of the shingles that are counted and stand first in the order: those
+#: of a quarter of the hash space in the first round, all in the second.
+QUARTER, ALL = 3, 0
+#: Shingles of a chunk of documents.
+CHUNK_TOKENS = 1 << 18
+#: Counting goes by the upper bits of a shingle.
+KEY_BITS = 48
+#: Steps of set size between n and t n, by which tokens are matched.
+FINE = 4
 #: Parts into which a document's partners are dealt for verification.
 VERIFY_PARTS = 64
 
-SIGNATURE = "doc_id long, n long, digest binary, prefix_key binary, prefix array<long>, typical float"
+CHUNK = "chunk long, doc_ids array<long>, sizes binary, digests binary, counted binary, tokens binary, filled binary, fill binary"
+SIGNATURE = ("doc_id long, n long, digest binary, prefix_key binary, typical float, pos array<int>, tokens array<long>")
 
 
-# ---- the order of shingles
+def prefix_length(n: int, num: int, den: int) -> int:
+    return n - -(-num * n // den) + 1
+
+
+# ---- chunks of documents
+
+def _chunks(size: int, num: int, den: int, mask: int):
+    names = [x.split()[0] for x in CHUNK.split(", ")]
+
+    def row(number, ids, sizes, digests, tokens, fill):
+        ints = lambda x: np.array(x, "<i4").tobytes()
+        flat = lambda x: np.concatenate([np.empty(0, np.uint64), *x]).tobytes()
+        values = [number, ids, ints(sizes), b"".join(digests), ints([len(x) for x in tokens]), flat(tokens),
+                  ints([len(x) for x in fill]), flat(fill)]
+        kinds = [pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 6]
+        return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds, strict=True)], names=names)
 
-def _count(size: int, bits: int):
     def run(batches):
-        counts = np.zeros(1 << bits, np.uint32)
-        for piece in slices(batches):
-            sets = shingle_sets(piece.column(0), size)
-            if sets:
-                at = (np.concatenate(sets) & np.uint64((1 << bits) - 1)).astype(np.int64)
-                places, n = np.unique(at, return_counts=True)
-                counts[places] += n.astype(np.uint32)
-        part = TaskContext.get().partitionId()
-        for k in range(0, len(counts), CHUNK):
-            if counts[k:k + CHUNK].any():
-                code = zlib.compress(counts[k:k + CHUNK].astype("<u8").tobytes(), 1)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k // CHUNK], pa.int32()), pa.array([part % 256], pa.int32()),
-                     pa.array([code], pa.binary())], names=["chunk", "part", "counts"])
+        part, number, held = TaskContext.get().partitionId(), 0, 0
+        ids, sizes, digests, tokens, fill = [], [], [], [], []
+        for piece in text_slices(batches, 1, 4 << 20):
+            for doc_id, mine in zip(piece.column(0).to_pylist(), shingle_sets(piece.column(1), size), strict=True):
+                first = (mine & np.uint64(mask)) == 0
+                ids.append(doc_id)
+                sizes.append(len(mine))
+                digests.append(hashlib.blake2b(mine.tobytes(), digest_size=16).digest())
+                tokens.append(mine[first])
+                wanted = prefix_length(len(mine), num, den) if len(mine) else 0
+                fill.append(mine[~first][:max(0, wanted - len(tokens[-1]))])
+                held += len(tokens[-1])
+                if held >= CHUNK_TOKENS:
+                    yield row((part << 32) + number, ids, sizes, digests, tokens, fill)
+                    number, held, ids, sizes, digests, tokens, fill = number + 1, 0, [], [], [], [], []
+        if ids:
+            yield row((part << 32) + number, ids, sizes, digests, tokens, fill)
     return run
 
 
-def _add(table: pa.Table) -> pa.Table:
-    total = np.zeros(CHUNK, np.uint64)
-    for code in table.column("counts").to_pylist():
-        total += np.frombuffer(zlib.decompress(code), "<u8")
-    return pa.table({"chunk": table.column("chunk").slice(0, 1), "part": table.column("part").slice(0, 1),
-                     "counts": pa.array([zlib.compress(total.astype("<u8").tobytes(), 1)], pa.binary())})
+# ---- in how many documents a shingle stands
 
+def _span(owners: int) -> int:
+    return -(-(1 << KEY_BITS) // owners)
 
-def magnitudes(docs: DataFrame, size: int, bits: int = COUNTER_BITS) -> np.ndarray:
-    """log2 of the number of documents behind each hashed counter, one byte each.
 
-    Tasks send compressed counters, which are added in two steps; what comes to
-    the driver has a fixed size, 2**bits bytes.
-    """
-    kind = "chunk int, part int, counts binary"
-    counts = docs.select("text").mapInArrow(_count(size, bits), kind)
-    counts = counts.groupBy("chunk", "part").applyInArrow(_add, kind)
-    counts = counts.groupBy("chunk").applyInArrow(_add, kind)
-    out = np.zeros(1 << bits, np.uint8)
-    for row in counts.select("chunk", "counts").toLocalIterator():
-        n = np.frombuffer(zlib.decompress(row["counts"]), "<u8")
-        at = row["chunk"] * CHUNK
-        out[at:at + len(n)] = np.floor(np.log2(np.maximum(n, 1).astype(float))).astype(np.uint8)
-    return out
+def _keys(code: bytes) -> np.ndarray:
+    return np.frombuffer(code, np.uint64) >> np.uint64(64 - KEY_BITS)
 
 
-# ---- signatures and sets
+def _send(owners: int):
+    span = _span(owners)
 
-def prefix_length(n: int, num: int, den: int) -> int:
-    return n - -(-num * n // den) + 1
+    def run(batches):
+        for batch in batches:
+            for chunk, code in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                keys, counts = np.unique(_keys(code), return_counts=True)
+                owner = (keys // np.uint64(span)).astype(np.int64)
+                cuts = np.flatnonzero(np.diff(owner, prepend=-1)).tolist()
+                out = []
+                for a, b in zip(cuts, [*cuts[1:], len(keys)], strict=True):
+                    bits = golomb.parameter(span, b - a)
+                    out.append((int(owner[a]), b - a, bits,
+                                golomb.encode(keys[a:b] - np.uint64(owner[a] * span), bits), counts[a:b].astype("<u4").tobytes()))
+                columns = list(zip(*out, strict=True)) or [()] * 5
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chunk] * len(out), pa.int64()), pa.array(columns[0], pa.int32()),
+                     pa.array(columns[1], pa.int32()), pa.array(columns[2], pa.int32()),
+                     pa.array(columns[3], pa.binary()), pa.array(columns[4], pa.binary())],
+                    names=["chunk", "owner", "n", "bits", "code", "counts"])
+    return run
+
+
+def _grade(table: pa.Table) -> pa.Table:
+    """An owner: the chunks' shingles and counts in, a grade for each (0: one document) out."""
+    rows = table.to_pylist()
+    lists = [golomb.decode(r["code"], r["n"], r["bits"]) for r in rows]
+    _, where = np.unique(np.concatenate(lists), return_inverse=True)
+    total = np.bincount(where, weights=np.concatenate([np.frombuffer(r["counts"], "<u4") for r in rows]).astype(float))
+    grades = np.ceil(4 * np.log2(total)).astype(np.uint8)[where]
+    parts = np.split(grades, np.cumsum([len(x) for x in lists])[:-1])
+    return pa.table({"chunk": pa.array([r["chunk"] for r in rows], pa.int64()),
+                     "owner": pa.array([r["owner"] for r in rows], pa.int32()),
+                     "grades": pa.array([p.tobytes() for p in parts], pa.binary())})
 
 
-def _sign(size: int, num: int, den: int, order):
+# ---- signatures and sets
+
+def _sign(num: int, den: int):
     def run(batches):
-        grade = order.value
-        low = np.uint64(len(grade) - 1)
-        for piece in slices(batches):
-            rows = {k: [] for k in ("n", "digest", "key", "prefix", "typical")}
-            for mine in shingle_sets(piece.column(1), size):
-                n = len(mine)
-                grades = grade[(mine & low).astype(np.int64)]
-                first = np.argsort(grades, kind="stable")[:prefix_length(n, num, den)] if n else []
-                prefix = mine[first]
-                rows["n"].append(n)
-                rows["digest"].append(hashlib.blake2b(mine.tobytes(), digest_size=16).digest())
-                rows["key"].append(hashlib.blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest())
-                rows["prefix"].append(prefix.view(np.int64))
-                rows["typical"].append(float(grades.mean()) if n else 0.0)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(rows["n"], pa.int64()), pa.array(rows["digest"], pa.binary()),
-                 pa.array(rows["key"], pa.binary()), pa.array(rows["prefix"], pa.list_(pa.int64())),
-                 pa.array(rows["typical"], pa.float32())],
-                names=["doc_id", "n", "digest", "prefix_key", "prefix", "typical"])
+        for batch in batches:
+            for r in batch.to_pylist():
+                tokens, fill = np.frombuffer(r["tokens"], np.uint64), np.frombuffer(r["fill"], np.uint64)
+                known = np.frombuffer(b"".join(x["grades"] for x in sorted(r["answers"] or [], key=lambda x: x["owner"])), np.uint8)
+                _, where = np.unique(_keys(r["tokens"]), return_inverse=True)
+                grades = known[where] if len(where) else known
+                sizes = np.frombuffer(r["sizes"], "<i4").tolist()
+                a = b = 0
+                keys, typical, places, prefixes = [], [], [], []
+                for n, t, f in zip(sizes, np.frombuffer(r["counted"], "<i4").tolist(),
+                                   np.frombuffer(r["filled"], "<i4").tolist(), strict=True):
+                    own = grades[a:a + t]
+                    order = np.argsort(own, kind="stable")[:prefix_length(n, num, den) if n else 0]
+                    prefix = np.concatenate([tokens[a:a + t][order], fill[b:b + f]])
+                    shared = np.concatenate([own[order] > 0, np.ones(f, bool)])
+                    keys.append(hashlib.blake2b(prefix.tobytes() + n.to_bytes(8, "little"), digest_size=16).digest())
+                    typical.append(float(own.mean()) if t else 0.0)
+                    at = np.flatnonzero(shared)
+                    places.append(at)
+                    prefixes.append(prefix[at].view(np.int64))
+                    a, b = a + t, b + f
+                digests = [r["digests"][i:i + 16] for i in range(0, len(r["digests"]), 16)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(r["doc_ids"], pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
+                     pa.array(keys, pa.binary()), pa.array(typical, pa.float32()),
+                     pa.array(places, pa.list_(pa.int32())), pa.array(prefixes, pa.list_(pa.int64()))],
+                    names=["doc_id", "n", "digest", "prefix_key", "typical", "pos", "tokens"])
     return run
 
 
+def signatures(docs: DataFrame, size: int, num: int, den: int, mask: int) -> DataFrame:
+    """Size, digest, prefix key and the shared prefix tokens with their places, per document."""
+    owners = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    chunks = stash(docs.mapInArrow(_chunks(size, num, den, mask), CHUNK), "jaccard-chunks")
+    sent = chunks.select("chunk", "tokens").mapInArrow(
+        _send(owners), "chunk long, owner int, n int, bits int, code binary, counts binary")
+    answers = (sent.groupBy("owner").applyInArrow(_grade, "chunk long, owner int, grades binary")
+               .groupBy(F.col("chunk").alias("a_chunk")).agg(F.collect_list(F.struct("owner", "grades")).alias("answers")))
+    joined = chunks.join(answers, F.col("chunk") == F.col("a_chunk"), "left").drop("a_chunk", "chunk")
+    out = stash(joined.mapInArrow(_sign(num, den), SIGNATURE), "jaccard-signatures")
+    discard(chunks)
+    return out
+
+
 def _sets(size: int):
     def run(batches):
-        for piece in slices(batches):
+        for piece in text_slices(batches, 1, 4 << 20):
             codes = [x.tobytes() for x in shingle_sets(piece.column(1), size)]
             yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(codes, pa.binary())],
                                              names=["doc_id", "members"])
@@ -176,96 +246,153 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
 
 # ---- the join
 
-def _fits(a: str, b: str, num: int, den: int):
+def _need(a: str, b: str, num: int, den: int) -> str:
+    """The least overlap of two sets of similarity num/den."""
+    return f"cast(ceil({num} * ({a}.n + {b}.n) / cast({num + den} as double) - 1e-9) as long)"
+
+
+def _prefix(a: str, num: int, den: int) -> str:
+    return f"({a}.n - cast(ceil({num} * {a}.n / cast({den} as double) - 1e-9) as long) + 1)"
+
+
+def _sizes_fit(a: str, b: str, num: int, den: int) -> str:
     """Size and position filter: the overlap that is still possible reaches the one that is needed."""
-    need = F.expr(f"{den + num} * least({a}.n - {a}.first_shared, {b}.n - {b}.first_shared) >= {num} * ({a}.n + {b}.n)")
-    return need & F.expr(f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n)")
+    return (f"{den} * least({a}.n, {b}.n) >= {num} * greatest({a}.n, {b}.n)"
+            f" and least({a}.n - {a}.pos, {b}.n - {b}.pos) >= {_need(a, b, num, den)}")
+
+
+def _least_common(a: str, b: str, num: int, den: int) -> str:
+    """Tokens that the prefixes of two similar sets have in common at least.
+
+    Of the first k common tokens, the last stands at place k + (n - overlap)
+    at most in either set.
+    """
+    need = _need(a, b, num, den)
+    return f"least({_prefix(a, num, den)} - {a}.n, {_prefix(b, num, den)} - {b}.n) + {need}"
+
+
+def _classes(signs: DataFrame) -> DataFrame:
+    """One row for each distinct set: its prefix and the smallest ``doc_id`` (rep)."""
+    classes = signs.where("n > 0").groupBy("n", "digest", "prefix_key", "typical", "pos", "tokens").agg(F.min("doc_id").alias("rep"))
+    return stash(classes.where("rep is not null"), "jaccard-classes")
+
+
+def _tokens(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The groups (sets of one prefix and size), and their tokens that more than one set holds."""
+    groups = classes.groupBy("n", "prefix_key", "pos", "tokens").agg(
+        F.min("rep").alias("gid"), F.count(F.lit(1)).alias("classes"), F.max("typical").alias("typical"))
+    tokens = groups.select("gid", "n", "prefix_key", "classes", "typical", F.explode(F.arrays_zip("pos", "tokens")).alias("t")).select(
+        "gid", "n", "prefix_key", "classes", "typical", F.col("t.pos").alias("pos"), F.col("t.tokens").alias("token"))
+    shared = tokens.groupBy("token").agg(F.sum("classes").alias("held")).where("held > 1").select("token")
+    return groups, tokens.join(shared, "token")
 
 
-def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100,
-                       counter_bits: int = COUNTER_BITS) -> DataFrame:
+def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """doc_id, n_shingles, component_id: one row for each row of ``docs``.
 
     Two documents link when ``den * intersection >= num * union`` of their sets
     of ``size``-word shingles; ``component_id`` is the smallest ``doc_id``
     reachable by links, the document's own included.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    order = spark.sparkContext.broadcast(magnitudes(docs, size, counter_bits))
-    signs = stash(docs.mapInArrow(_sign(size, num, den, order), SIGNATURE), "jaccard-signatures")
-
-    # Equal sets make a class, classes with one prefix and size a group.
-    classes = stash(signs.where("n > 0").groupBy("n", "digest", "prefix_key", "prefix", "typical")
-                    .agg(F.min("doc_id").alias("rep")), "jaccard-classes")
-    nodes = classes.where("rep is not null")
-    groups = nodes.groupBy("n", "prefix_key", "prefix").agg(
-        F.min("rep").alias("gid"), F.count(F.lit(1)).alias("classes"), F.max("typical").alias("typical"))
-    tokens = groups.select("gid", "n", "classes", "typical", F.posexplode("prefix").alias("pos", "token"))
-    # A token of a single group with a single class gives no pair.
-    shared = tokens.groupBy("token").agg(F.sum("classes").alias("held")).where("held > 1").select("token")
-    live = stash(tokens.join(shared, "token").withColumn(
+    signs = signatures(docs, size, num, den, QUARTER)
+    classes = _classes(signs)
+    groups, tokens = _tokens(classes)
+    hit = cut(tokens.select("n", "prefix_key").distinct())
+    reps = cut(classes.join(hit, ["n", "prefix_key"], "left_semi").select(F.col("rep").alias("doc_id")))
+
+    # Again for one document of each class that has a token in common with
+    # another, now in the order of all their shingles.
+    signs2 = signatures(with_ids(docs, reps), size, num, den, ALL)
+    nodes = _classes(signs2)
+    groups, tokens = _tokens(nodes)
+    live = stash(tokens.withColumn(
         "band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int")), "jaccard-tokens")
 
     # Stars: each group with the most typical of its token and band, each class with its group's first.
     best = live.groupBy("token", "band").agg(F.max(F.struct("typical", "gid")).alias("best")).select(
         F.col("token").alias("t"), F.col("band").alias("d"), F.col("best.gid").alias("hub"))
-    stars = (live.join(best, (F.col("token") == F.col("t")) & (F.col("band") == F.col("d")))
-             .where("gid <> hub").select(F.col("hub").alias("a"), F.col("gid").alias("b")).distinct())
-    member = nodes.select("rep", F.col("n").alias("m_n"), F.col("prefix_key"))
+    near = (live.join(best, (F.col("token") == F.col("t")) & (F.col("band") == F.col("d")))
+            .where("gid <> hub").select("hub", "gid").distinct())
+    profile = stash(live.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list("token").alias("own")), "jaccard-profiles")
+    stars = _share_enough(near.toDF("a", "b"), profile.withColumnRenamed("gid", "id"), num, den)
+    member = nodes.select("rep", F.col("n").alias("m_n"), "prefix_key")
     first = groups.where("classes > 1").select("gid", "n", F.col("prefix_key").alias("p_key"))
     expanded = cut(member.join(first, (F.col("prefix_key") == F.col("p_key")) & (F.col("m_n") == F.col("n")))
                    .select("gid", "rep"))
     within = expanded.where("gid <> rep").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
     stars = cut(stars.union(within))
-
-    involved = live.select(F.col("gid").alias("doc_id")).union(expanded.select("rep")).distinct()
-    sets = stash(with_ids(docs, involved).mapInArrow(_sets(size), "doc_id long, members binary"), "jaccard-sets")
-    links = cut(verified(stars, sets, num, den))
+    links = _verified(stars, docs, size, num, den)
     parts = components(links)
 
-    # What is left: pairs between components that share a token, members expanded.
-    places = live.join(expanded.withColumnRenamed("gid", "e_gid"), F.col("gid") == F.col("e_gid"), "left").select(
-        "token", "n", "pos", "band", F.coalesce("rep", "gid").alias("id"))
-    places = places.join(parts, F.col("id") == F.col("node"), "left").select(
-        "token", "n", "pos", "band", "id", F.coalesce("component", "id").alias("part"))
-    mixed = places.groupBy("token").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi")
-    open_ = places.join(mixed.select(F.col("token").alias("t")), F.col("token") == F.col("t"), "left_semi")
-    opening = places.groupBy("id").agg(F.min("pos").alias("first_shared")).withColumnRenamed("id", "o_id")
-    open_ = stash(open_.join(opening, F.col("id") == F.col("o_id")).drop("o_id"), "jaccard-open")
-    held = open_.groupBy("token", "part", "band").agg(
-        F.max(F.col("n") - F.col("first_shared")).alias("room"), F.min("n").alias("least"))
-    x, y = held.alias("x"), held.alias("y")
-    beside = x.join(y, F.expr(
-        "x.token = y.token and x.part < y.part and abs(x.band - y.band) <= 1"
-        f" and {den + num} * least(x.room, y.room) >= {num} * (x.least + y.least)")).select(
-        F.col("x.token").alias("token"), F.col("x.part").alias("p"), F.col("x.band").alias("pb"),
-        F.col("y.part").alias("q"), F.col("y.band").alias("qb"))
+    # What is left: pairs between components that share tokens, members expanded.
+    # A token counts for a partner of a given size only if it stands early
+    # enough for the overlap such a pair needs; sizes go by fine steps.
+    ids = live.select("gid").distinct().join(expanded.withColumnRenamed("gid", "e_gid"), F.col("gid") == F.col("e_gid"), "left")
+    ids = ids.select("gid", F.coalesce("rep", "gid").alias("id")).join(parts, F.col("id") == F.col("node"), "left").select(
+        F.col("gid").alias("i_gid"), "id", F.coalesce("component", "id").alias("part"))
+    places = live.join(ids, F.col("gid") == F.col("i_gid")).select("token", "n", "pos", "id", "part")
+    step = math.log(den / num) / FINE
+    places = (places.withColumn("own", F.floor(F.log(F.col("n").cast("double")) / F.lit(step) + 1e-9).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.col("own") - FINE - 1, F.col("own") + FINE + 1)))
+              .where(F.expr(f"n - pos + 1e-6 >= {num / (num + den)!r} * (n + exp(other * {step!r}))")))
+    key = ["token", F.least("own", "other").alias("lower"), F.greatest("own", "other").alias("upper")]
+    mixed = places.groupBy(*key).agg(F.min("part").alias("lo"), F.max("part").alias("hi"), F.min("own").alias("o_lo"),
+                                     F.max("own").alias("o_hi")).where(
+        "lo < hi and o_lo = lower and o_hi = upper").select(
+        F.col("token").alias("t"), F.col("lower").alias("l"), F.col("upper").alias("u"))
+    open_ = stash(places.join(mixed, (F.col("token") == F.col("t")) & (F.least("own", "other") == F.col("l"))
+                              & (F.greatest("own", "other") == F.col("u")), "left_semi"), "jaccard-open")
+    held = open_.groupBy("token", "own", "other", "part").agg(F.max(F.col("n") - F.col("pos")).alias("room"),
+                                                             F.min("n").alias("least"))
+    p, q = held.alias("p"), held.alias("q")
+    beside = p.join(q, F.expr(
+        "p.token = q.token and p.own = q.other and p.other = q.own and p.part < q.part"
+        f" and {den + num} * least(p.room, q.room) >= {num} * (p.least + q.least)")).select(
+        F.col("p.token").alias("token"), F.col("p.own").alias("own"), F.col("p.other").alias("other"),
+        F.col("p.part").alias("part_p"), F.col("q.part").alias("part_q"))
     u, v, w = open_.alias("u"), open_.alias("v"), beside.alias("w")
-    pairs = (w.join(u, F.expr("w.token = u.token and w.p = u.part and w.pb = u.band"))
-             .join(v, F.expr("w.token = v.token and w.q = v.part and w.qb = v.band")
-                   & _fits("u", "v", num, den))
+    pairs = (w.join(u, F.expr("w.token = u.token and w.own = u.own and w.other = u.other and w.part_p = u.part"))
+             .join(v, F.expr("w.token = v.token and w.own = v.other and w.other = v.own and w.part_q = v.part and "
+                             + _sizes_fit("u", "v", num, den)))
              .select(F.least("u.id", "v.id").alias("a"), F.greatest("u.id", "v.id").alias("b")).distinct())
     tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cut(pairs.join(tried, ["a", "b"], "left_anti"))
-    more = cut(verified(rest, sets, num, den))
-    if not more.isEmpty():
+    rest = pairs.join(tried, ["a", "b"], "left_anti")
+    rest = cut(_share_enough(rest, ids.join(profile, F.col("i_gid") == F.col("gid")).select("id", "n", "own"), num, den))
+    if not rest.isEmpty():
         parts = components(parts.where("node <> component").select(
-            F.col("node").alias("a"), F.col("component").alias("b")).union(more))
+            F.col("node").alias("a"), F.col("component").alias("b")).union(_verified(rest, docs, size, num, den)))
 
-    found = nodes.join(parts, F.col("rep") == F.col("node"), "left").select(
-        F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("part"))
-    found = stash(found, "jaccard-found")
+    found = stash(classes.join(parts, F.col("rep") == F.col("node"), "left").select(
+        F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("part")), "jaccard-found")
+    discard(classes, nodes, signs2, live, profile, open_)
     return signs.join(found, F.col("digest") == F.col("c_digest"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("part")).alias("component_id"))
 
 
+def _share_enough(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:
+    """Those ``pairs`` (a, b) whose prefixes share as many tokens as similar sets of their sizes must."""
+    x, y = profiles.alias("x"), profiles.alias("y")
+    enough = (f"{den} * least(x.n, y.n) >= {num} * greatest(x.n, y.n)"
+              f" and size(array_intersect(x.own, y.own)) >= {_least_common('x', 'y', num, den)}")
+    return (pairs.alias("s").join(x, F.expr("s.a = x.id")).join(y, F.expr("s.b = y.id")).where(F.expr(enough))
+            .select("s.a", "s.b"))
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
+    """Read the texts of the paired documents again and verify the pairs on their sets."""
+    involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = stash(with_ids(docs, involved).mapInArrow(_sets(size), "doc_id long, members binary"), "jaccard-sets")
+    links = cut(verified(pairs, sets, num, den))
+    discard(sets)
+    return links
+
+
 def drop_near_copies(docs: DataFrame, size: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the document with the smallest ``doc_id``.
 
     Rows without ``doc_id`` stay.
     """
-    from cohortlens.llm.shared import without_ids
     found = jaccard_components(docs, size, num, den)
     return without_ids(docs, found.where("doc_id <> component_id").select("doc_id"))

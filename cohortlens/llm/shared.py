@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -41,7 +42,17 @@ def stash(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back."""
     path = fresh_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stash_path = path
+    return out
+
+
+def discard(*stashed: DataFrame) -> None:
+    """Remove the files of stashed frames that nothing reads any more."""
+    for df in stashed:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df.stash_path)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +87,23 @@ def texts_of(column: pa.Array) -> list[bytes]:
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]
 
 
+def quiet_collector(run):
+    """Wrap a task's function: no cyclic garbage collection while it runs.
+
+    The tasks make millions of small objects without cycles; looking through
+    them again and again costs a quarter of their time.
+    """
+    def wrapped(batches):
+        on = gc.isenabled()
+        gc.disable()
+        try:
+            yield from run(batches)
+        finally:
+            if on:
+                gc.enable()
+    return wrapped
+
+
 def ragged(starts, lengths):
     """Flat positions of many runs: ``starts[i] .. starts[i]+lengths[i]-1`` one after another."""
     import numpy as np
