@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-COPYRIGHT_LINE = "(^|\n)[ \t*#/;-]*(copyright|\\(c\\)|©|all rights reserved)[^\n]*"
+#: A notice goes on with a sign, a year or "by"; a wrapped line of a licence may begin with "copyright" too.
+COPYRIGHT_LINE = "(^|\n)[ \t*#/;-]*(copyright[ \t:,]+(\\(c\\)|©|[0-9<\\[{]|by )|\\(c\\)|©|all rights reserved)[^\n]*"
 #: ASCII characters that are no letters or digits, and typographic marks.
 MARKS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\\x{2018}\\x{2019}\\x{201C}\\x{201D}\\x{2013}\\x{2014}\\x{2022}\\x{A9}\\x{A0}]+"
 # Spellings that licence texts use for one another.
