@@ -17,14 +17,16 @@ texts; an empty table gives an empty file set; other columns are ignored.
 
 from __future__ import annotations
 
+import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import fresh_path, ragged, slices, texts_of
+from cohortlens.llm.shared import fresh_path, quiet_collector, ragged, text_slices, texts_of
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -32,6 +34,8 @@ RANK_BITS = 512
 BLOCK_IDS = 1 << 20
 #: Distinct words whose ids a Python worker keeps.
 WORD_CACHE = 1 << 20
+#: Words that the tokenizer gets at a time; its results are larger than the ids.
+ENCODE_WORDS = 8192
 
 LEVEL = "struct<chunks:binary,bitmap:binary,ranks:binary>"
 BLOCK = (f"shard_doc long, shard_null boolean, block int, doc_ids array<long>, offsets binary, "
@@ -101,6 +105,8 @@ class WordEncoder:
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        # Spark runs a worker for each core; more threads in each only cost memory.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self._clear()
 
@@ -110,9 +116,10 @@ class WordEncoder:
         self.starts, self.lengths, self.words = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64), 0
 
     def _add(self, words: list[bytes]):
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)]
+        lists = [e.ids for k in range(0, len(words), ENCODE_WORDS) for e in self.tokenizer.encode_batch_fast(
+            [w.decode() for w in words[k:k + ENCODE_WORDS]], add_special_tokens=False)]
         lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        flat = np.fromiter((i for x in lists for i in x), np.int32, int(lengths.sum()))
+        flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))
         while self.used + len(flat) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.empty_like(self.pool)])
         while self.words + len(words) > len(self.starts):
@@ -149,13 +156,17 @@ class WordEncoder:
         tail = np.array([w[-1:] in (b".", b",") and w[-2:-1].isalpha() for w in words], bool)
         place = self.places([w[:-1] if t else w for w, t in zip(words, tail, strict=True)] + [b".", b",", b""])
         stop, comma, none = place[-3:]
-        ending = np.where(tail, [stop if w[-1:] == b"." else comma for w in words], none) if words else tail
-        both = np.stack([place[:-3], ending], axis=1).astype(np.int64)[at].ravel()
-        lengths = self.lengths[both]
-        # White space at either end of a text gives empty words, which have no ids.
-        ids = self.pool[ragged(self.starts[both], lengths)]
+        ending = np.array([none if not t else stop if w[-1:] == b"." else comma
+                           for w, t in zip(words, tail, strict=True)], np.int64)
+        # The ids of each distinct word of these texts, one after another; empty
+        # words (white space at an end of a text) have none.
+        both = np.stack([place[:-3], ending], axis=1).ravel()
+        pool = self.pool[ragged(self.starts[both], self.lengths[both])]
+        sizes = self.lengths[both].reshape(-1, 2).sum(axis=1)
+        lengths = sizes[at]
+        ids = pool[ragged((np.cumsum(sizes) - sizes)[at], lengths)]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        edges = np.concatenate([[0], np.cumsum(per_text)]) * 2
+        edges = np.concatenate([[0], np.cumsum(per_text)])
         return ids, np.diff(ends[edges])
 
 
@@ -188,7 +199,7 @@ def _blocks(path: str, end_id: int):
         coder = encoder(path)
         number, began, shard = 0, False, None
         docs, lengths, parts, held = [], [], [], 0
-        for piece in slices(batches):
+        for piece in text_slices(batches, 1, 4 << 20):
             doc_ids = piece.column(0).to_pylist()
             ids, counts = coder.encode(texts_of(piece.column(1)))
             ids = np.insert(ids, np.cumsum(counts), end_id)
@@ -202,7 +213,7 @@ def _blocks(path: str, end_id: int):
                 number, docs, lengths, parts, held = number + 1, [], [], [], 0
         if docs:
             yield _block_batch(shard, number, docs, lengths, parts)
-    return run
+    return quiet_collector(run)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
