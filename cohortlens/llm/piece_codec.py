@@ -27,13 +27,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import ragged, text_slices, texts_of
+from cohortlens.llm.shared import quiet_collector, ragged, text_slices, texts_of
 
 MARK = "▁"
 #: Of so many documents one is encoded with the SentencePiece library too.
 PARITY_EVERY = 256
 #: Distinct words whose ids a Python worker keeps.
-WORD_CACHE = 1 << 20
+WORD_CACHE = 1 << 19
+#: Words that the tokenizer gets at a time; its results are larger than the ids.
+ENCODE_WORDS = 8192
 # Types of a piece and of a model in the file format.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -171,7 +173,8 @@ class PieceCodec:
             self._clear()
             fresh = words
         if fresh:
-            lists = [e.ids for e in self.tokenizer.encode_batch_fast([MARK + w.decode() for w in fresh], add_special_tokens=False)]
+            lists = [e.ids for k in range(0, len(fresh), ENCODE_WORDS) for e in self.tokenizer.encode_batch_fast(
+                [MARK + w.decode() for w in fresh[k:k + ENCODE_WORDS]], add_special_tokens=False)]
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))
             while self.used + len(flat) > len(self.pool):
@@ -246,7 +249,7 @@ def check_parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarra
 def _run(path: str, parity_every: int, with_ids: bool):
     def run(batches):
         coder = codec(path)
-        for piece in text_slices(batches, 1):
+        for piece in text_slices(batches, 1, 4 << 20):
             raw = [t.decode() for t in texts_of(piece.column(1))]
             texts = [coder.normalise(t) for t in raw]
             ids, counts = coder.encode(texts)
@@ -263,7 +266,7 @@ def _run(path: str, parity_every: int, with_ids: bool):
                 columns.append(pa.array(parts, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    return run
+    return quiet_collector(run)
 
 
 def piece_table(docs: DataFrame, path: str, parity_every: int = PARITY_EVERY, with_ids: bool = False) -> DataFrame:

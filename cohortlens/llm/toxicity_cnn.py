@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import slices, text_slices
+from cohortlens.llm.shared import quiet_collector, slices, text_slices
 from cohortlens.llm.shingles import word_codes
 
 MAX_TRAIN = 6_000
@@ -258,7 +258,7 @@ def _score(model, kind: pa.Schema):
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[2:], pa.array(scores, pa.float64()), pa.array(flagged)],
                 names=[*piece.schema.names[2:], "__score", "__flagged"])
-    return run
+    return quiet_collector(run)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
