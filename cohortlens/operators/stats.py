@@ -92,42 +92,39 @@ def null_counts(df: DataFrame, top: int = 15) -> DataFrame:
     return long.orderBy(F.col("nulls").desc(), F.col("column")).limit(top)
 
 
-def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
-                    value: str = "value") -> DataFrame:
-    """Exact linear-interpolation quantiles per key (numpy's default).
+def quantile_columns(long: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
+                     value: str = "value") -> DataFrame:
+    """Exact linear-interpolation quantiles per key (numpy's default), one column each.
 
-    Distinct values are counted per key, ranked with the distributed prefix
-    sum, and the two order statistics around position 1 + p (n - 1) are
-    picked: no group is ever gathered into one task."""
+    Distinct values are counted per key and ranked with the distributed prefix
+    sum once; one aggregation picks the two order statistics around position
+    1 + p (n - 1) of every p.  No group is ever gathered into one task."""
     keys = list(keys)
     v = F.col(value)
     counts = long.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
     cum = prefix_sum(counts, [v], ["c"], keys)  # c_cum: rows <= value
     n = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
     cum = cum.join(n, keys)  # key-sized side
-    out = []
-    for p in probs:
-        pos = F.lit(1.0) + F.lit(float(p)) * (F.col("n") - 1)  # 1-based fractional position
-        lo_rank = F.floor(pos)
-        hi_rank = F.ceil(pos)
-        # value at rank r: the smallest value whose cumulative count >= r
-        hit_lo = (F.col("c_cum") >= lo_rank) & (F.col("c_cum") - F.col("c") < lo_rank)
-        hit_hi = (F.col("c_cum") >= hi_rank) & (F.col("c_cum") - F.col("c") < hi_rank)
-        agg = cum.groupBy(*keys).agg(
-            F.max(F.when(hit_lo, v)).alias("lo"), F.max(F.when(hit_hi, v)).alias("hi"),
-            F.first(pos - lo_rank).alias("frac"))
-        out.append(agg.select(*keys, F.lit(float(p)).alias("prob"),
-                              (F.col("lo") + (F.col("hi") - F.col("lo")) * F.col("frac")).alias("quantile")))
-    res = out[0]
-    for o in out[1:]:
-        res = res.unionByName(o)
-    return res
-
-
-def _quantile_wide(long: DataFrame, keys, probs, names) -> DataFrame:
-    q = exact_quantiles(long, keys, probs)
-    return q.groupBy(*keys).pivot("prob", [float(p) for p in probs]).agg(F.first("quantile")) \
-            .withColumnsRenamed({str(float(p)): nm for p, nm in zip(probs, names)})
+    place = lambda p: F.lit(1.0) + F.lit(float(p)) * (F.col("n") - 1)  # noqa: E731  1-based, fractional
+
+    def at(rank):  # the smallest value whose cumulative count reaches the rank
+        return F.max(F.when((F.col("c_cum") >= rank) & (F.col("c_cum") - F.col("c") < rank), v))
+
+    picked = [x for i, p in enumerate(probs) for x in (
+        at(F.floor(place(p))).alias(f"__lo{i}"), at(F.ceil(place(p))).alias(f"__hi{i}"))]
+    agg = cum.groupBy(*keys).agg(F.max("n").alias("n"), *picked)
+    return agg.select(*keys, *[
+        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (place(p) - F.floor(place(p)))).alias(name)
+        for i, (p, name) in enumerate(zip(probs, names))])
+
+
+def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
+                    value: str = "value") -> DataFrame:
+    """The quantiles of ``quantile_columns`` in long form: (keys..., prob, quantile)."""
+    names = [f"__q{i}" for i in range(len(probs))]
+    wide = quantile_columns(long, keys, probs, names, value)
+    rows = F.array(*[F.struct(F.lit(float(p)).alias("prob"), F.col(n).alias("quantile")) for p, n in zip(probs, names)])
+    return wide.select(*keys, F.inline(rows))
 
 
 def class_describe(df: DataFrame, cols: Sequence[str], label: str = "label") -> DataFrame:
@@ -137,7 +134,7 @@ def class_describe(df: DataFrame, cols: Sequence[str], label: str = "label") ->
     base = long.groupBy(label, "feature").agg(
         F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    q = _quantile_wide(long, [label, "feature"], (0.25, 0.5, 0.75), ("q25", "q50", "q75"))
+    q = quantile_columns(long, [label, "feature"], (0.25, 0.5, 0.75), ("q25", "q50", "q75"))
     return base.join(q, [label, "feature"], "left").select(
         label, "feature", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
@@ -146,7 +143,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], label: str = "label") -> DataF
     """Quartiles, 1.5 IQR whiskers (most extreme points inside the
     fences) and outlier counts per (label, feature)."""
     long = to_long(df, cols, [label]).filter(F.col("value").isNotNull())
-    q = _quantile_wide(long, [label, "feature"], (0.25, 0.5, 0.75), ("q1", "median", "q3"))
+    q = quantile_columns(long, [label, "feature"], (0.25, 0.5, 0.75), ("q1", "median", "q3"))
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
