@@ -70,7 +70,9 @@ def checked_calls(calls: DataFrame, schemas=SCHEMAS) -> DataFrame:
     """The calls with ``canonical`` arguments and ``faults``, sorted names of what breaks the schema."""
     spark = calls.sparkSession
     # A configuration list: as many rows as tools.
-    known = spark.createDataFrame(list(schemas), "s_tool string, name string, type string, required boolean")
+    names = ("s_tool", "name", "type", "required")
+    known = spark.range(1).select(F.inline(F.array(*[
+        F.struct(*[F.lit(v).alias(k) for k, v in zip(names, row, strict=True)]) for row in schemas])))
     known = F.broadcast(known.groupBy("s_tool").agg(
         F.collect_list(F.struct("name", "type", "required")).alias("params")))
     # Arguments may come as an object or as a string that holds one.
