@@ -152,3 +152,18 @@ def test_a_hot_run_goes_to_several_tasks(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_a_run_is_written_by_several_tasks_and_read_back_in_order(spark, tmp_dir):
+    import glob
+    rows = [("r", 1, i, f"@{i}", "AC", "+", "@I") for i in range(400)] + [("s", 2, i, f"@s{i}", "AC", "+", "II") for i in range(3)]
+    reads = spark.createDataFrame(rows, "run_accession string, mate int, rec_id long, header string, seq string, plus string, qual string")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rd.write_fastq(reads.repartition(5), f"{tmp_dir}/out")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    assert len(glob.glob(f"{tmp_dir}/out/run_accession=r/mate=1/part-*")) > 2
+    back = rd.read_reads(spark, f"{tmp_dir}/out").collect()
+    assert sorted((r.run_accession, r.mate, r.rec_id, r.header) for r in back) == sorted((r[0], r[1], r[2], r[3]) for r in rows)
