@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.shared import text_slices, texts_of
 
 #: Edits for each character of an item.
-RATE = 0.05
+RATE = 0.08
 #: Characters of the items that are broadcast at once.
 BLOCK_CHARS = 2_000_000
 

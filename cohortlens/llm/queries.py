@@ -154,7 +154,7 @@ def op6_toxicity_cnn(spark, sf_dir):
 
 @_query("op7_decontaminate")
 def op7_decontaminate(spark, sf_dir):
-    """Benchmark items that occur in documents, with up to one edit in twenty characters."""
+    """Benchmark items that occur in documents, with up to eight edits in a hundred characters."""
     from cohortlens.llm.decontaminate import contaminated
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 

@@ -41,7 +41,7 @@ def corpus():
         if i % 2:
             item = random.choice(items[:13])[1]
             at = random.randint(0, len(text))
-            text = text[:at] + edited(item, random.randint(0, int(0.08 * len(item)))).replace(" ", "\n ").upper() + text[at:]
+            text = text[:at] + edited(item, random.randint(0, int(0.12 * len(item)))).replace(" ", "\n ").upper() + text[at:]
         docs.append((i, text))
     return docs + [(200, None), (201, ""), (None, items[0][1]), (202, items[1][1]), (202, items[1][1]),
                    (203, "z " * 100_000 + items[2][1])], items
