@@ -22,6 +22,7 @@ share a ``doc_id`` share its label; further columns are ignored.
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -225,31 +226,40 @@ def held_out(column: str = "doc_id"):
     return F.crc32(F.col(column).cast("string")) % 4 == 2
 
 
+def _fit_sample(batches):
+    """The one task that fits: the bounded sample in, the pickled model out."""
+    rows = [r for batch in batches for r in batch.to_pylist()]
+    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
+    texts = pa.array([r["text"] for r in rows], pa.string())
+    toxic = np.array([r["toxic"] for r in rows], np.int64)
+    unseen = np.array([xxhash.xxh32_intdigest(str(r["doc_id"]), 3) % CALIBRATE == 0 for r in rows], bool)
+    model = fit(texts.filter(pa.array(~unseen, pa.bool_())), toxic[~unseen])
+    held = pa.table({"text": texts.filter(pa.array(unseen, pa.bool_()))})
+    scores = np.concatenate([np.empty(0), *(score_texts(model, piece.column(0)) for piece in slices(held.to_batches()))])
+    calibrate(model, scores, toxic[unseen], [r["lang"] for r, u in zip(rows, unseen, strict=True) if u])
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+
 def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
-    """Fit and calibrate on the labelled rows that are not held out."""
+    """Fit and calibrate on the labelled rows that are not held out.
+
+    The sample goes to one task, which is bounded by ``max_train`` and
+    ``MAX_TRAIN_CHARS``; only the model, of a fixed size, comes to the driver.
+    """
     known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
              .groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").cast("int").alias("toxic")))
     n = known.count()
     share = min(1.0, max_train / max(n, 1))
     known = known.where(F.pmod(F.xxhash64("l_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    sample = (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
+    sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
               .where(F.length("text") <= MAX_TRAIN_CHARS)
-              .join(known, F.col("doc_id") == F.col("l_id"))
-              .select("doc_id", "text", "lang", "toxic").toArrow().combine_chunks().sort_by("doc_id"))
-    column = sample.column("text").combine_chunks() if sample.num_rows else pa.array([], pa.string())
-    if isinstance(column, pa.ChunkedArray):
-        column = pa.concat_arrays(column.chunks)
-    toxic = np.array(sample.column("toxic").to_pylist(), np.int64)
-    unseen = np.array([xxhash.xxh32_intdigest(str(i), 3) % CALIBRATE == 0 for i in sample.column("doc_id").to_pylist()], bool)
-    model = fit(column.filter(pa.array(~unseen)), toxic[~unseen])
-    scores = np.concatenate([np.empty(0), *(score_texts(model, piece.column(0)) for piece in slices(
-        pa.table({"text": column.filter(pa.array(unseen))}).to_batches()))])
-    calibrate(model, scores, toxic[unseen], [x for x, u in zip(sample.column("lang").to_pylist(), unseen, strict=True) if u])
-    return model
+              .join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "lang", "toxic"))
+    found = sample.repartition(1).mapInArrow(_fit_sample, "model binary").collect()
+    return pickle.loads(bytes(found[0]["model"])) if found else fit(pa.array([], pa.string()), np.empty(0, np.int64))
 
 
-def _score(model, kind: pa.Schema):
+def _score(model):
     def run(batches):
         for piece in text_slices(batches, 0, 4 << 20):
             scores = score_texts(model.value, piece.column(0))
@@ -269,7 +279,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType()),
                          T.StructField("__flagged", T.BooleanType())])
     return docs.select(F.col("text").cast("string").alias("__text"), lang.cast("string").alias("__lang"), "*").mapInArrow(
-        _score(shared, None), kind)
+        _score(shared), kind)
 
 
 def toxicity_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
