@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,7 +9,7 @@ from pyspark.sql import types as T
 __all__ = [
     "normalize_taxon", "first_token", "trim_ws", "level_suffix", "log10_pseudo",
     "presence_flag", "panel_column_name", "keyed_uniform", "clamp_fraction",
-    "erfc", "direction_label", "round_doubles", "ordered_unique",
+    "erfc", "round_doubles",
 ]
 
 
@@ -85,21 +83,6 @@ def erfc(x: Column) -> Column:
     return F.when(x >= 0, ans).otherwise(F.lit(2.0) - ans)
 
 
-def erfc_py(x: float) -> float:
-    z = abs(x)
-    t = 1.0 / (1.0 + 0.5 * z)
-    poly = ERFC_COEFFS[-1]
-    for coef in reversed(ERFC_COEFFS[:-1]):
-        poly = coef + t * poly
-    ans = t * math.exp(-z * z + poly)
-    return ans if x >= 0 else 2.0 - ans
-
-
-def direction_label(coef: Column) -> Column:
-    """Positive coefficient -> cancer-associated; zero and negative -> healthy."""
-    return F.when(coef > 0, "cancer-associated").otherwise("healthy-associated")
-
-
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every DOUBLE/FLOAT column (for engine-independent comparison)."""
     cols = []
@@ -109,7 +92,3 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
-
-
-def ordered_unique(items) -> list:
-    return list(dict.fromkeys(items))

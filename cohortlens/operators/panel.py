@@ -13,51 +13,29 @@ from cohortlens.operators.abundance import is_excluded, score_taxa
 PANEL_SCHEMA = "level string, taxon string, metric string, score double, rank int"
 
 
-def resolve_levels(long: DataFrame, levels: str) -> list[str]:
-    """'species'/'genus' force one level; 'both' keeps the non-empty ones."""
-    if levels == "species":
-        return ["species"]
-    if levels == "genus":
-        return ["genus"]
-    out = []
-    for lvl in ("species", "genus"):
-        if not long.filter(F.col("level") == lvl).isEmpty():
-            out.append(lvl)
-    return out
-
-
-def split_n(n: int, selected: Sequence[str]) -> dict[str, int]:
-    """Both levels: ceil(n/2) species and floor(n/2) genus; one level gets n."""
-    if list(selected) == ["species", "genus"]:
-        return {"species": int(math.ceil(n / 2)), "genus": int(math.floor(n / 2))}
-    return {selected[0]: n} if selected else {}
-
-
 def auto_panel(long: DataFrame, n: int, levels: str = "both",
                metric: str = "mean_x_prevalence") -> DataFrame:
     """Top-n taxa per level by score (desc), taxon (asc); rank from 1.
 
-    Lazy and single-pass: which levels are non-empty is read off the scored
-    taxon table itself (one row per level and taxon, i.e. vocabulary-sized),
-    so the split ceil(n/2)/floor(n/2) needs no separate job.  The
-    ``row_number() <= limit`` filter is planned as a per-partition group
-    limit before the shuffle."""
+    Each level's n best come from a distributed top-n (no window over the
+    taxa); the split ceil(n/2) / floor(n/2) is decided on those 2n rows, in
+    which a level is present exactly when it has taxa."""
     spark = long.sparkSession
     if n <= 0:
         return spark.createDataFrame([], PANEL_SCHEMA)
     forced = levels in ("species", "genus")
-    src = long.filter(F.col("level") == levels) if forced else long.filter(
-        F.col("level").isin("species", "genus"))
-    scored = score_taxa(src, metric)
-    if forced:
-        limit = F.lit(n)
-    else:
-        nlev = F.size(F.collect_set("level").over(Window.partitionBy()))
-        limit = (F.when(nlev < 2, F.lit(n))
-                 .when(F.col("level") == "species", F.lit(int(math.ceil(n / 2))))
-                 .otherwise(F.lit(int(math.floor(n / 2)))))
+    wanted = [levels] if forced else ["species", "genus"]
+    tops = [score_taxa(long.filter(F.col("level") == level), metric)
+            .orderBy(F.col("score").desc(), F.col("taxon").asc()).limit(n) for level in wanted]
+    best = tops[0]
+    for t in tops[1:]:
+        best = best.unionByName(t)
     w = Window.partitionBy("level").orderBy(F.col("score").desc(), F.col("taxon").asc())
-    ranked = scored.withColumn("rank", F.row_number().over(w)).withColumn("__limit", limit)
+    present = F.size(F.collect_set("level").over(Window.partitionBy()))
+    limit = (F.when(present < 2, F.lit(n))
+             .when(F.col("level") == "species", F.lit(int(math.ceil(n / 2))))
+             .otherwise(F.lit(int(math.floor(n / 2)))))
+    ranked = best.withColumn("rank", F.row_number().over(w)).withColumn("__limit", limit)
     return (ranked.filter(F.col("rank") <= F.col("__limit"))
                   .select("level", "taxon", F.lit(metric).alias("metric"),
                           F.col("score").cast("double").alias("score"),
