@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import text_slices, texts_of
+from cohortlens.llm.shared import lean_task, text_slices, texts_of
 
 #: Edits for each character of an item.
 RATE = 0.08
@@ -137,7 +137,7 @@ def _built(shared) -> Items:
 def _match(shared):
     def run(batches):
         block = _built(shared)
-        for piece in text_slices(batches, 1):
+        for piece in text_slices(batches, 1, 4 << 20):
             out = [], [], [], []
             for doc_id, text in zip(piece.column(0).to_pylist(), texts_of(piece.column(1)), strict=True):
                 for k, distance, budget in block.matches(fold(text)):
@@ -152,7 +152,7 @@ def _match(shared):
 def _keep(shared):
     def run(batches):
         block = _built(shared)
-        for piece in text_slices(batches, 0):
+        for piece in text_slices(batches, 0, 4 << 20):
             clean = [not block.matches(fold(t)) for t in texts_of(piece.column(0))]
             yield pa.RecordBatch.from_arrays([pc.filter(c, pa.array(clean, pa.bool_())) for c in piece.columns[1:]],
                                              schema=pa.schema(list(piece.schema)[1:]))
@@ -179,12 +179,12 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> D
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = docs.sparkSession.createDataFrame([], kind)
     for shared in item_blocks(benchmark, rate):
-        out = out.union(texts.mapInArrow(_match(shared), kind))
+        out = out.union(texts.mapInArrow(lean_task(_match(shared)), kind))
     return out
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows of ``docs`` in which no item occurs, with all their columns."""
     for shared in item_blocks(benchmark, rate):
-        docs = docs.select(F.col("text").alias("__text"), "*").mapInArrow(_keep(shared), docs.schema)
+        docs = docs.select(F.col("text").alias("__text"), "*").mapInArrow(lean_task(_keep(shared)), docs.schema)
     return docs

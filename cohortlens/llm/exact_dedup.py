@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import golomb
-from cohortlens.llm.shared import cut, texts_of, with_ids, without_ids
+from cohortlens.llm.shared import cut, lean_task, texts_of, with_ids, without_ids
 
 FINGERPRINT_BITS = 48
 #: Rows that a sender sorts at a time.
@@ -140,12 +140,12 @@ def fingerprint_table(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """One row per document: uid, doc_id, digest (SHA-256), suspect (may have a copy)."""
     spark = docs.sparkSession
     owners = owners or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    blocks = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_send(owners), BLOCK))
+    blocks = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean_task(_send(owners)), BLOCK))
     answers = (blocks.select("sender", "owner", "n", "bits", "code")
                .groupBy("owner").applyInArrow(_answer, "sender long, owner int, marks binary"))
     joined = (blocks.select("sender", "owner", "n", "uids", "doc_ids", "digests", "member")
               .join(answers, ["sender", "owner"]))
-    return cut(joined.mapInArrow(_unpack, "uid long, doc_id long, digest binary, suspect boolean"))
+    return cut(joined.mapInArrow(lean_task(_unpack), "uid long, doc_id long, digest binary, suspect boolean"))
 
 
 def exact_groups(docs: DataFrame, broadcast_suspects: int = BROADCAST_SUSPECTS) -> DataFrame:
@@ -162,11 +162,11 @@ def exact_groups(docs: DataFrame, broadcast_suspects: int = BROADCAST_SUSPECTS)
     if n <= broadcast_suspects:
         found = _fingerprints([bytes(r[0]) for r in wanted.toLocalIterator()]) if n else np.empty(0, np.uint64)
         known = spark.sparkContext.broadcast(np.unique(found)) if n else None
-        texts = docs.select("text").mapInArrow(_texts(known), "digest binary, body binary")
+        texts = docs.select("text").mapInArrow(lean_task(_texts(known)), "digest binary, body binary")
         if not n:
             texts = texts.where("false")
     else:
-        texts = docs.select("text").mapInArrow(_texts(None), "digest binary, body binary").join(
+        texts = docs.select("text").mapInArrow(lean_task(_texts(None)), "digest binary, body binary").join(
             wanted, "digest", "left_semi")
     # The byte check: the shuffle key is the whole text, combined before it is dealt out.
     bodies = texts.groupBy("digest", "body").agg(F.count(F.lit(1)).alias("copies"))

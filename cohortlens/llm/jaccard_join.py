@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import golomb
 from cohortlens.llm.components import components
-from cohortlens.llm.shared import cut, discard, stash, text_slices, with_ids, without_ids
+from cohortlens.llm.shared import cut, discard, lean_task, stash, text_slices, with_ids, without_ids
 from cohortlens.llm.shingles import shingle_sets
 
 #: Masks of the shingles that are counted and stand first in the order: those
@@ -184,13 +184,13 @@ def _sign(num: int, den: int):
 def signatures(docs: DataFrame, size: int, num: int, den: int, mask: int) -> DataFrame:
     """Size, digest, prefix key and the shared prefix tokens with their places, per document."""
     owners = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chunks = stash(docs.mapInArrow(_chunks(size, num, den, mask), CHUNK), "jaccard-chunks")
+    chunks = stash(docs.mapInArrow(lean_task(_chunks(size, num, den, mask)), CHUNK), "jaccard-chunks")
     sent = chunks.select("chunk", "tokens").mapInArrow(
-        _send(owners), "chunk long, owner int, n int, bits int, code binary, counts binary")
+        lean_task(_send(owners)), "chunk long, owner int, n int, bits int, code binary, counts binary")
     answers = (sent.groupBy("owner").applyInArrow(_grade, "chunk long, owner int, grades binary")
                .groupBy(F.col("chunk").alias("a_chunk")).agg(F.collect_list(F.struct("owner", "grades")).alias("answers")))
     joined = chunks.join(answers, F.col("chunk") == F.col("a_chunk"), "left").drop("a_chunk", "chunk")
-    out = stash(joined.mapInArrow(_sign(num, den), SIGNATURE), "jaccard-signatures")
+    out = stash(joined.mapInArrow(lean_task(_sign(num, den)), SIGNATURE), "jaccard-signatures")
     discard(chunks)
     return out
 
@@ -241,7 +241,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     centres = centres.join(sets, centres["a"] == sets["doc_id"]).select(
         "a", "part", F.lit(None).cast("long").alias("b"), "members")
     return (partners.union(centres).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
-            .mapInArrow(_verify(num, den), "a long, b long"))
+            .mapInArrow(lean_task(_verify(num, den)), "a long, b long"))
 
 
 # ---- the join
@@ -383,7 +383,7 @@ def _share_enough(pairs: DataFrame, profiles: DataFrame, num: int, den: int) ->
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Read the texts of the paired documents again and verify the pairs on their sets."""
     involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stash(with_ids(docs, involved).mapInArrow(_sets(size), "doc_id long, members binary"), "jaccard-sets")
+    sets = stash(with_ids(docs, involved).mapInArrow(lean_task(_sets(size)), "doc_id long, members binary"), "jaccard-sets")
     links = cut(verified(pairs, sets, num, den))
     discard(sets)
     return links

@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import quiet_collector, ragged, text_slices, texts_of
+from cohortlens.llm.shared import lean_task, ragged, text_slices, texts_of
 
 MARK = "▁"
 #: Of so many documents one is encoded with the SentencePiece library too.
@@ -266,7 +266,7 @@ def _run(path: str, parity_every: int, with_ids: bool):
                 columns.append(pa.array(parts, pa.binary()))
                 names.append("ids")
             yield pa.RecordBatch.from_arrays(columns, names=names)
-    return quiet_collector(run)
+    return lean_task(run)
 
 
 def piece_table(docs: DataFrame, path: str, parity_every: int = PARITY_EVERY, with_ids: bool = False) -> DataFrame:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import fresh_path, quiet_collector, ragged, text_slices, texts_of
+from cohortlens.llm.shared import fresh_path, lean_task, ragged, text_slices, texts_of
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -213,7 +213,7 @@ def _blocks(path: str, end_id: int):
                 number, docs, lengths, parts, held = number + 1, [], [], [], 0
         if docs:
             yield _block_batch(shard, number, docs, lengths, parts)
-    return quiet_collector(run)
+    return lean_task(run)
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> None:
@@ -266,7 +266,7 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, decoded from the files."""
     blocks = read_blocks(spark, path)
     docs = blocks.select("shard_doc", "shard_null", "block", "doc_ids", "offsets", "levels").mapInArrow(
-        _documents, "shard_doc long, shard_null boolean, block int, doc_id long, within long, n_tokens long, "
+        lean_task(_documents), "shard_doc long, shard_null boolean, block int, doc_id long, within long, n_tokens long, "
                     "ids_crc32 long")
     starts = block_starts(blocks).select(F.col("shard_null").alias("b_null"), F.col("shard_doc").alias("b_doc"),
                                          F.col("block").alias("b"), "first")

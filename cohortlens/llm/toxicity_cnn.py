@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import quiet_collector, slices, text_slices
+from cohortlens.llm.shared import lean_task, slices, text_slices
 from cohortlens.llm.shingles import word_codes
 
 MAX_TRAIN = 6_000
@@ -255,20 +255,20 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
               .where(F.length("text") <= MAX_TRAIN_CHARS)
               .join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "lang", "toxic"))
-    found = sample.repartition(1).mapInArrow(_fit_sample, "model binary").collect()
+    found = sample.repartition(1).mapInArrow(lean_task(_fit_sample), "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else fit(pa.array([], pa.string()), np.empty(0, np.int64))
 
 
 def _score(model):
     def run(batches):
-        for piece in text_slices(batches, 0, 4 << 20):
+        for piece in text_slices(batches, 0, 2 << 20):
             scores = score_texts(model.value, piece.column(0))
             own = [model.value.thresholds.get(x or "", model.value.threshold) for x in piece.column(1).to_pylist()]
             flagged = (scores >= np.array(own)) & (model.value.constant is None)
             yield pa.RecordBatch.from_arrays(
                 [*piece.columns[2:], pa.array(scores, pa.float64()), pa.array(flagged)],
                 names=[*piece.schema.names[2:], "__score", "__flagged"])
-    return quiet_collector(run)
+    return lean_task(run)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
