@@ -23,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import lean_task, text_slices, texts_of
+from cohortlens.llm.shared import bounded_batches, lean_task, text_slices, texts_of
 
 #: Edits for each character of an item.
 RATE = 0.08
@@ -162,6 +162,7 @@ def _keep(shared):
 def item_blocks(benchmark: DataFrame, rate: float, block_chars: int = BLOCK_CHARS) -> list:
     """The items as broadcasts of about ``block_chars`` characters each."""
     import uuid
+    bounded_batches(benchmark.sparkSession)
     items = benchmark.select("item_id", "text").where("text is not null and text <> ''")
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = -(-total // block_chars)

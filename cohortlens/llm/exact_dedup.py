@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import golomb
-from cohortlens.llm.shared import cut, lean_task, texts_of, with_ids, without_ids
+from cohortlens.llm.shared import bounded_batches, cut, lean_task, texts_of, with_ids, without_ids
 
 FINGERPRINT_BITS = 48
 #: Rows that a sender sorts at a time.
@@ -139,6 +139,7 @@ def _texts(known):
 def fingerprint_table(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """One row per document: uid, doc_id, digest (SHA-256), suspect (may have a copy)."""
     spark = docs.sparkSession
+    bounded_batches(spark)
     owners = owners or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     blocks = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean_task(_send(owners)), BLOCK))
     answers = (blocks.select("sender", "owner", "n", "bits", "code")

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import golomb
 from cohortlens.llm.components import components
-from cohortlens.llm.shared import cut, discard, lean_task, stash, text_slices, with_ids, without_ids
+from cohortlens.llm.shared import bounded_batches, cut, discard, lean_task, stash, text_slices, with_ids, without_ids
 from cohortlens.llm.shingles import shingle_sets
 
 #: Masks of the shingles that are counted and stand first in the order: those
@@ -294,6 +294,7 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     of ``size``-word shingles; ``component_id`` is the smallest ``doc_id``
     reachable by links, the document's own included.
     """
+    bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signs = signatures(docs, size, num, den, QUARTER)
     classes = _classes(signs)

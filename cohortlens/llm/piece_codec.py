@@ -27,13 +27,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import lean_task, ragged, text_slices, texts_of
+from cohortlens.llm.shared import bounded_batches, lean_task, ragged, text_slices, texts_of
 
 MARK = "▁"
 #: Of so many documents one is encoded with the SentencePiece library too.
 PARITY_EVERY = 256
 #: Distinct words whose ids a Python worker keeps.
-WORD_CACHE = 1 << 19
+WORD_CACHE = 1 << 18
 #: Words that the tokenizer gets at a time; its results are larger than the ids.
 ENCODE_WORDS = 8192
 # Types of a piece and of a model in the file format.
@@ -249,7 +249,7 @@ def check_parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarra
 def _run(path: str, parity_every: int, with_ids: bool):
     def run(batches):
         coder = codec(path)
-        for piece in text_slices(batches, 1, 4 << 20):
+        for piece in text_slices(batches, 1, 1 << 20):
             raw = [t.decode() for t in texts_of(piece.column(1))]
             texts = [coder.normalise(t) for t in raw]
             ids, counts = coder.encode(texts)
@@ -271,6 +271,7 @@ def _run(path: str, parity_every: int, with_ids: bool):
 
 def piece_table(docs: DataFrame, path: str, parity_every: int = PARITY_EVERY, with_ids: bool = False) -> DataFrame:
     """doc_id, n_pieces, ids_crc32, round_trip (and ids as little-endian 32-bit integers, if asked for)."""
+    bounded_batches(docs.sparkSession)
     kind = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _run(path, parity_every, with_ids), kind)

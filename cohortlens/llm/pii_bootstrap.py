@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import cut, lean_task, stash
+from cohortlens.llm.shared import bounded_batches, cut, lean_task, stash
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -177,6 +177,7 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
 
 def personal_data(docs: DataFrame, confidence: float = CONFIDENCE, support: int = SUPPORT) -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone (base spans), base_sha256, spans (all), n_added."""
+    bounded_batches(docs.sparkSession)
     rows = stash(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean_task(_scan), ROW), "pii-spans")
     near = rows.select("uid", F.explode("near").alias("s")).select("uid", "s.*")
     seen = near.select("kind", "value", "seed", F.explode("patterns").alias("pattern"))

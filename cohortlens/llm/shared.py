@@ -60,6 +60,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch between Spark and Python.  Texts are long, and Spark's
+#: default of 10,000 rows would hold tens of megabytes on both sides.
+ARROW_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let the session hand texts to Python in batches of at most ``ARROW_ROWS`` rows."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= ARROW_ROWS:
+        spark.conf.set(key, ARROW_ROWS)
+
+
 def slices(batches, rows: int = SLICE_ROWS):
     """Cut the record batches of a task into pieces of at most ``rows`` rows."""
     for batch in batches:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import fresh_path, lean_task, ragged, text_slices, texts_of
+from cohortlens.llm.shared import bounded_batches, fresh_path, lean_task, ragged, text_slices, texts_of
 
 CHUNK_BITS = 8
 RANK_BITS = 512
@@ -222,6 +222,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int) -> Non
     Documents are dealt by ranges of ``doc_id``; a shard is named by its first
     ``doc_id``, which orders the shards.
     """
+    bounded_batches(docs.sparkSession)
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
                .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
     ordered.mapInArrow(_blocks(tokenizer, end_id), BLOCK).write.option("compression", "zstd").parquet(path)

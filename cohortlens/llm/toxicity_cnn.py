@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import lean_task, slices, text_slices
+from cohortlens.llm.shared import bounded_batches, lean_task, slices, text_slices
 from cohortlens.llm.shingles import word_codes
 
 MAX_TRAIN = 6_000
@@ -274,6 +274,7 @@ def _score(model):
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """The columns of ``docs`` with ``__score`` and ``__flagged``."""
     from pyspark.sql import types as T
+    bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
     kind = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType()),
