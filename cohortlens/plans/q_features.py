@@ -250,8 +250,8 @@ def q_depth(spark, sf):
 
 @register("targeted_features", sql(["features"], f"SELECT {CORE_ROUNDED}, * EXCLUDE (sample_id, run_accession, label, age_group, library_name, F_nucleatum_species_abundance, Fusobacterium_genus_abundance, total_bacterial_abundance, number_of_detected_species, Shannon_diversity, sequencing_depth_proxy) FROM features"))
 def q_targeted(spark, sf):
-    """C1 (flagship): targeted feature matrix of the configured panel (the automatic one: ``panel_values``)."""
-    return _features(spark, sf, top_n=0).targeted
+    """C1 (flagship): targeted feature matrix with a config + auto panel (its SQL names the configured columns only)."""
+    return _features(spark, sf).targeted
 
 
 @register("panel_values", sql(["pv"], """
