@@ -137,19 +137,18 @@ def cross_validate(df: DataFrame, sets: dict[str, list[str]], models: Sequence[M
         part = data.filter(F.col("repeat") == rep)
         _, _, score = fit(part.filter(F.col("fold") != f), cols, m)
         test = part.filter(F.col("fold") == f).select(id_col, "y", "repeat", "fold", *cols)
-        return score(test).select(F.lit(s).alias("feature_set"), F.lit(m.name).alias("model"),
-                                  "repeat", "fold", id_col, "y", "score")
+        # Written at once to the shared checkpoint folder: AUCs and summaries do
+        # not re-run the model, and the driver need not keep all of them.
+        return cut_lineage(score(test).select(F.lit(s).alias("feature_set"), F.lit(m.name).alias("model"),
+                                              "repeat", "fold", id_col, "y", "score"))
 
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
         parts = list(pool.map(run, jobs))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    # The union has one branch per fitted model; write it once to the shared
-    # checkpoint folder so that AUCs and summaries do not re-run every model.
-    scored = cut_lineage(out)
     data.unpersist()
-    return scored
+    return out
 
 
 def cv_aucs(oof: DataFrame) -> DataFrame:

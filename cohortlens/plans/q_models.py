@@ -13,6 +13,7 @@ from cohortlens.plans.oracle import add_cte, sql
 from cohortlens.plans.q_stats import _binary
 
 K, REPEATS, SEED = 5, 10, 42
+PERMUTATIONS = 50
 SINGLE_SEED = 42
 
 add_cte("bin", ("md",), """
@@ -150,13 +151,7 @@ def q_cv_compare(spark, sf):
 
 
 # ---- MLlib jobs (rows-only checks: solvers differ from any SQL engine) -------
-# The API default forest is 500 trees of depth up to 30; the registered
-# query runs 20 trees of depth up to 12 so that 30 forest fits stay cheap.
-QUERY_TREES, QUERY_DEPTH = 20, 12
-CV_MODELS = (ml.ModelSpec("logistic_l2", "logistic_l2", C=1.0),
-             ml.ModelSpec("logistic_l1", "logistic_l1", C=2.0),
-             ml.ModelSpec("random_forest", "random_forest", num_trees=QUERY_TREES,
-                          max_depth=QUERY_DEPTH))
+CV_MODELS = ml.DEFAULT_MODELS
 L1 = CV_MODELS[1]
 
 
@@ -167,23 +162,23 @@ def _train(spark, sf):
 
 @register("cv_models")
 def q_cv_models(spark, sf):
-    """6 feature sets x 3 models over a stratified 5-fold split:
+    """6 feature sets x 3 models over a stratified 5-fold split, 10 times:
     fold AUC summary per (set, model)."""
     df, sets = _train(spark, sf)
-    folds = assign_folds(df, K, 1, SINGLE_SEED)
+    folds = assign_folds(df, K, REPEATS, SEED)
     oof = ml.cross_validate(df, sets, CV_MODELS, folds)
     return ev.eval_summary(ml.cv_aucs(oof))
 
 
 @register("cv_sensitivity")
 def q_cv_sensitivity(spark, sf):
-    """Logistic L1 under 3-, 5- and 8-fold schemes (one repeat each)."""
+    """Logistic L1 under 3-, 5- and 8-fold schemes (10 repeats each)."""
     df, sets = _train(spark, sf)
     outs = []
     for k in (3, 5, 8):
-        folds = assign_folds(df, k, 1, SEED)
+        folds = assign_folds(df, k, REPEATS, SEED)
         oof = ml.cross_validate(df, sets, [L1], folds)
-        outs.append(ev.eval_summary(ml.cv_aucs(oof)).withColumn("cv_scheme", F.lit(f"{k}fold_x1")))
+        outs.append(ev.eval_summary(ml.cv_aucs(oof)).withColumn("cv_scheme", F.lit(f"{k}fold_x{REPEATS}")))
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)
@@ -192,10 +187,10 @@ def q_cv_sensitivity(spark, sf):
 
 @register("oof_scores")
 def q_oof_scores(spark, sf):
-    """Out-of-fold probabilities of logistic L1 on presence features."""
+    """Out-of-fold probabilities of logistic L1 on every feature set, 10 repeats."""
     df, sets = _train(spark, sf)
-    folds = assign_folds(df, K, 1, SINGLE_SEED)
-    return ml.cross_validate(df, {"panel_presence": sets["panel_presence"]}, [L1], folds)
+    folds = assign_folds(df, K, REPEATS, SEED)
+    return ml.cross_validate(df, sets, [L1], folds)
 
 
 @register("coefficients")
@@ -207,7 +202,7 @@ def q_coefficients(spark, sf):
     return ml.coefficients(model, use, spark)
 
 
-def _perm(spark, sf, repeats=5):
+def _perm(spark, sf, repeats=PERMUTATIONS):
     df, sets = _train(spark, sf)
     cols = sets["panel_log_plus_diversity"]
     _, use, score = ml.fit(df, cols, L1)
@@ -216,7 +211,7 @@ def _perm(spark, sf, repeats=5):
 
 @register("perm_importance")
 def q_perm_importance(spark, sf):
-    """Permutation importance (AUC drop, 5 keyed permutations per feature)."""
+    """Permutation importance (AUC drop, 50 keyed permutations per feature)."""
     return _perm(spark, sf)
 
 

@@ -37,3 +37,25 @@ def test_flagship_holds_every_panel_taxon(spark, duck):
         c = panel_column_name(taxon)
         assert [rows[run][c], rows[run][f"{c}_log10"]] == pytest.approx([value, log], abs=2e-6)
         assert rows[run][f"{c}_present"] == present
+
+
+def test_model_queries_run_the_operators_defaults(spark, monkeypatch):
+    from cohortlens.plans import q_models as qm
+    df = spark.range(4).selectExpr("id", "'x' AS cv_scheme")
+    sets = {name: [f"{name}_1"] for name in ("panel_presence", "panel_log", "panel_log_plus_diversity")}
+    folds, runs, perms = [], [], []
+    monkeypatch.setattr(qm, "_train", lambda *_: (df, sets))
+    monkeypatch.setattr(qm, "assign_folds", lambda _, k, repeats, seed: folds.append((k, repeats)))
+    monkeypatch.setattr(qm.ml, "cross_validate", lambda _, s, models, f: runs.append((s, list(models))) or df)
+    monkeypatch.setattr(qm.ml, "cv_aucs", lambda oof: oof)
+    monkeypatch.setattr(qm.ev, "eval_summary", lambda aucs: aucs)
+    monkeypatch.setattr(qm.ml, "fit", lambda *_: (None, [], None))
+    monkeypatch.setattr(qm.ml, "permutation_importance", lambda *_, repeats, seed: perms.append(repeats) or df)
+    qm.q_cv_models(spark, "")
+    qm.q_oof_scores(spark, "")
+    qm.q_cv_sensitivity(spark, "")
+    qm.q_perm_importance(spark, "")
+    assert folds == [(5, 10), (5, 10), (3, 10), (5, 10), (8, 10)] and perms == [50]
+    assert all(s == sets for s, _ in runs)
+    forest = next(m for m in runs[0][1] if m.kind == "random_forest")
+    assert (forest.num_trees, forest.max_depth) == (500, 30)
