@@ -10,8 +10,12 @@ chooses the threshold of ``flagged``, calibrated on labelled rows that the fit
 did not see.
 
 The fit reads a bounded sample of labelled rows: about ``MAX_TRAIN`` of them,
-chosen by a hash of ``doc_id``, of at most ``MAX_TRAIN_CHARS`` characters each.
-Scoring covers every row and whole texts.
+chosen by a hash of ``doc_id``, of at most ``MAX_TRAIN_CHARS`` characters each,
+without the one in ``CALIBRATE`` that is left to the thresholds.  The thresholds
+come from all labelled rows, not held out, that the fit did not read: whole
+texts of any length are scored in Spark, counted by language and score (in
+steps of 1 / ``STEPS`` of its logit) and cut where running sums give the best
+F1.  Scoring covers every row and whole texts.
 
 Defined cases: a null text counts as empty; an empty text gets the score of a
 text without any signal; without labels of both classes every score is the
@@ -29,16 +33,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import bounded_batches, lean_task, slices, text_slices
+from cohortlens.llm.shared import bounded_batches, cut, discard, lean_task, stash, text_slices
 from cohortlens.llm.shingles import word_codes
 
 MAX_TRAIN = 6_000
 MAX_TRAIN_CHARS = 60_000
-#: Share of the labelled sample that calibrates the thresholds.
+#: One in so many rows of the labelled sample is left to the thresholds.
 CALIBRATE = 5
+#: Steps of a logit; scores lie within 30 on both sides, which bounds a language's counts.
+STEPS = 4096
 ROWS_BITS = 16
 DIM = 16
 FILTERS = 8
@@ -196,30 +202,30 @@ def fit(column: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
-def calibrate(model: Model, scores: np.ndarray, toxic: np.ndarray, langs: list, least: int = 30) -> None:
-    """A threshold for each language: the best F1 on rows that the fit did not see.
+def calibrate(model: Model, scored: DataFrame, least: int = 30) -> None:
+    """A threshold for each language: the best F1 over ``scored`` (lang, score, toxic), rows that the fit did not see.
 
     A language with fewer than ``least`` such rows, or one class only, takes
     the threshold of all rows together.  The threshold lies midway between the
     lowest score that is flagged and the next below it, and not under 0.2.
+    Only the thresholds, a row for each language, come to the driver.
     """
-    def best(s, y):
-        order = np.argsort(-s, kind="stable")
-        s, y = s[order], y[order]
-        hit = np.cumsum(y)
-        f1 = 2 * hit / (np.arange(1, len(y) + 1) + y.sum())
-        f1[:-1][s[:-1] == s[1:]] = -1
-        k = int(f1.argmax())
-        return float(max(0.2, (s[k] + (s[k + 1] if k + 1 < len(s) else 0)) / 2))
-
-    if not len(toxic) or toxic.min() == toxic.max():
-        return
-    model.threshold = best(scores, toxic)
-    langs = np.array([x or "" for x in langs])
-    for lang in sorted(set(langs.tolist())):
-        own = langs == lang
-        if own.sum() >= least and 0 < toxic[own].sum() < own.sum():
-            model.thresholds[lang] = best(scores[own], toxic[own])
+    step = F.floor(F.log(F.col("score") / (1 - F.col("score"))) * STEPS).alias("step")
+    own = cut(scored.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), step).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hit"), F.min("score").alias("low"), F.max("score").alias("high")))
+    # The rows of all languages together have no language.
+    every = own.groupBy("step").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit"), F.min("low").alias("low"),
+                                    F.max("high").alias("high")).withColumn("lang", F.lit(None).cast("string"))
+    whole = Window.partitionBy("lang")
+    down = whole.orderBy(F.col("step").desc())
+    sums = own.unionByName(every).select(
+        "lang", "step", "low", F.lead("high", 1, 0.0).over(down).alias("below"), F.sum("n").over(down).alias("n"),
+        F.sum("hit").over(down).alias("hit"), F.sum("n").over(whole).alias("rows"), F.sum("hit").over(whole).alias("toxic"))
+    best = sums.where("toxic > 0 and toxic < rows").where(F.col("lang").isNull() | (F.col("rows") >= least)).groupBy("lang").agg(
+        F.max_by((F.col("low") + F.col("below")) / 2, F.struct(2 * F.col("hit") / (F.col("n") + F.col("toxic")), "step")).alias("at"))
+    found = {r["lang"]: max(0.2, r["at"]) for r in best.collect()}
+    model.threshold = found.pop(None, model.threshold)
+    model.thresholds = found
 
 
 def held_out(column: str = "doc_id"):
@@ -230,35 +236,65 @@ def _fit_sample(batches):
     """The one task that fits: the bounded sample in, the pickled model out."""
     rows = [r for batch in batches for r in batch.to_pylist()]
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    texts = pa.array([r["text"] for r in rows], pa.string())
-    toxic = np.array([r["toxic"] for r in rows], np.int64)
-    unseen = np.array([xxhash.xxh32_intdigest(str(r["doc_id"]), 3) % CALIBRATE == 0 for r in rows], bool)
-    model = fit(texts.filter(pa.array(~unseen, pa.bool_())), toxic[~unseen])
-    held = pa.table({"text": texts.filter(pa.array(unseen, pa.bool_()))})
-    scores = np.concatenate([np.empty(0), *(score_texts(model, piece.column(0)) for piece in slices(held.to_batches()))])
-    calibrate(model, scores, toxic[unseen], [r["lang"] for r, u in zip(rows, unseen, strict=True) if u])
+    model = fit(pa.array([r["text"] for r in rows], pa.string()), np.array([r["toxic"] for r in rows], np.int64))
     yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
-    """Fit and calibrate on the labelled rows that are not held out.
+def _lang(docs: DataFrame) -> Column:
+    return (F.col("lang") if "lang" in docs.columns else F.lit(None)).cast("string")
+
+
+def _labelled(labels: DataFrame, max_train: int) -> DataFrame:
+    """l_id, toxic, sampled (whether the fit may read it) of the labels that are not held out."""
+    known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+             .groupBy(F.col("doc_id").cast("long").alias("l_id")).agg(F.max("toxic").cast("int").alias("toxic")))
+    share = min(1.0, max_train / max(known.count(), 1))
+    return known.withColumn("sampled", (F.pmod(F.xxhash64("l_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
+                            & (F.pmod(F.xxhash64("l_id", F.lit(3)), F.lit(CALIBRATE)) != 0))
+
+
+def _short(text: str = "text") -> Column:
+    return F.length(F.coalesce(text, F.lit(""))) <= MAX_TRAIN_CHARS
+
+
+def _fitted(docs: DataFrame, known: DataFrame) -> Model:
+    """The model, still without thresholds.
 
     The sample goes to one task, which is bounded by ``max_train`` and
     ``MAX_TRAIN_CHARS``; only the model, of a fixed size, comes to the driver.
     """
-    known = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-             .groupBy(F.col("doc_id").alias("l_id")).agg(F.max("toxic").cast("int").alias("toxic")))
-    n = known.count()
-    share = min(1.0, max_train / max(n, 1))
-    known = known.where(F.pmod(F.xxhash64("l_id"), F.lit(1 << 20)) < int(share * (1 << 20)))
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
-    sample = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), lang.alias("lang"))
-              .where(F.length("text") <= MAX_TRAIN_CHARS)
-              .join(known, F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "lang", "toxic"))
+    sample = (docs.where(_short()).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+              .join(known.where("sampled"), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "toxic"))
     found = sample.repartition(1).mapInArrow(lean_task(_fit_sample), "model binary").collect()
     return pickle.loads(bytes(found[0]["model"])) if found else fit(pa.array([], pa.string()), np.empty(0, np.int64))
 
 
+def _scores(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id, lang, short, score of every row, written once; texts are not shuffled to meet their labels."""
+    return stash(score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lang(docs).alias("lang"),
+                                   _short().alias("short")), model, ("doc_id", "lang", "short")).select(
+        "doc_id", "lang", "short", F.col("__score").alias("score")), "toxicity-scores")
+
+
+def _calibrated(model: Model, scores: DataFrame, known: DataFrame) -> Model:
+    """``model`` with thresholds from all rows of ``scores`` that have a label and that the fit did not read."""
+    if model.constant is None:
+        calibrate(model, scores.join(known, F.col("doc_id") == F.col("l_id")).where("not (sampled and short)"))
+    return model
+
+
+def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Model:
+    """Fit and calibrate on the labelled rows that are not held out."""
+    known = _labelled(labels, max_train)
+    model = _fitted(docs, known)
+    if model.constant is not None:
+        return model
+    scores = _scores(docs.where(F.col("doc_id").isNotNull() & ~held_out()), model)
+    _calibrated(model, scores, known)
+    discard(scores)
+    return model
+
+
 def _score(model):
     def run(batches):
         for piece in text_slices(batches, 0, 2 << 20):
@@ -271,25 +307,32 @@ def _score(model):
     return lean_task(run)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of ``docs`` with ``__score`` and ``__flagged``."""
+def score(docs: DataFrame, model: Model, columns=None) -> DataFrame:
+    """The columns of ``docs`` (or those named) with ``__score`` and ``__flagged``."""
     from pyspark.sql import types as T
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    lang = F.col("lang") if "lang" in docs.columns else F.lit(None)
-    kind = T.StructType([*docs.schema.fields, T.StructField("__score", T.DoubleType()),
+    names = docs.columns if columns is None else list(columns)
+    kind = T.StructType([*(docs.schema[c] for c in names), T.StructField("__score", T.DoubleType()),
                          T.StructField("__flagged", T.BooleanType())])
-    return docs.select(F.col("text").cast("string").alias("__text"), lang.cast("string").alias("__lang"), "*").mapInArrow(
-        _score(shared), kind)
+    return docs.select(F.col("text").cast("string").alias("__text"), _lang(docs).alias("__lang"),
+                       *[f"`{c}`" for c in names]).mapInArrow(_score(shared), kind)
 
 
 def toxicity_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted (score of 0.3 and over), flagged (the language's threshold)."""
-    model = train(docs, labels)
-    slim = docs.select("doc_id", "text", *[c for c in ("lang",) if c in docs.columns])
-    return score(slim, model).select(
-        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.col("__score").alias("score"),
-        (F.col("__score") >= 0.3).cast("int").alias("predicted"), F.col("__flagged").alias("flagged"))
+    known = _labelled(labels, MAX_TRAIN)
+    model = _fitted(docs, known)
+    scores = _scores(docs, model)
+    _calibrated(model, scores, known)
+    own = F.lit(model.threshold)
+    if model.thresholds:
+        each = F.create_map(*[F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair])
+        own = F.coalesce(F.try_element_at(each, F.coalesce("lang", F.lit(""))), own)
+    return scores.select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"),
+        ((F.col("score") >= own) & F.lit(model.constant is None)).alias("flagged"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -67,3 +67,33 @@ def test_batches_do_not_matter():
     whole = score_texts(model, column)
     single = [score_texts(model, column.slice(i, 1))[0] for i in range(len(column))]
     assert np.allclose(whole, single, atol=1e-6)
+
+
+def test_thresholds_come_from_all_labelled_rows_of_any_length(spark, make_docs, monkeypatch):
+    from cohortlens.llm import toxicity_cnn as tc
+    monkeypatch.setattr(tc, "MAX_TRAIN_CHARS", 2000)
+    rows, labels = corpus(2400)
+    # A rare language, far under 30 rows of the fit's sample, and texts that are too long for it.
+    rows = [(i, t + " word1" * 400 if i % 10 in (5, 6) else t, "xx" if i % 30 in (0, 1) else "long" if i % 10 in (5, 6) else "en")
+            for i, t, _ in rows]
+    kind = "doc_id long, quality int, toxic int"
+    docs, known = make_docs(rows), spark.createDataFrame(labels, kind)
+    seen = []
+    real = tc.calibrate
+    monkeypatch.setattr(tc, "calibrate", lambda model, scored: (seen.append(scored.collect()), real(model, scored)))
+    model = train(docs, known, max_train=400)
+    assert set(model.thresholds) == {"en", "long", "xx"}
+    # Every open label is read either by the fit or for the thresholds, never by both.
+    toxic = {i: t for i, _, t in labels if zlib.crc32(str(i).encode()) % 4 != 2}
+    used = {r.doc_id for r in seen[0]}
+    fitted = {r.l_id for r in tc._labelled(known, 400).where("sampled").collect()}
+    text = {i: t for i, t, _ in rows}
+    assert used == {i for i in toxic if i not in fitted or len(text[i]) > 2000} and len(used) > len(toxic) - 400
+    # The best F1 by brute force over exact scores.
+    for lang, cut_at in [*model.thresholds.items(), (None, model.threshold)]:
+        own = [r for r in seen[0] if lang in (None, r.lang)]
+        f1 = lambda at: 2 * sum(r.toxic for r in own if r.score >= at) / (  # noqa: E731, B023
+            sum(r.score >= at for r in own) + sum(r.toxic for r in own))  # noqa: B023
+        assert f1(cut_at) >= max(f1(r.score) for r in own if r.score >= 0.2) - 0.01
+    by_id = {r.doc_id: r for r in toxicity_table(docs, known).collect()}
+    assert len(by_id) == len(rows)
