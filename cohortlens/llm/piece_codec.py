@@ -7,8 +7,9 @@ batches.  Where no piece has a marker after another character, merges never
 cross the blank before a word, so each distinct word is encoded once and
 texts are put together from their words; texts with runs of blanks (or a
 literal marker) are encoded whole.  Decoding goes from ids back to text, and
-every document is compared with its normalised text.  A share of the documents
-is also encoded with the SentencePiece library; a difference is an error.
+every document is compared with its normalised text.  Every document is also
+encoded, whole, with the SentencePiece library; ``parity`` says whether the ids
+are equal.
 
 Defined cases: a null text counts as empty and has no ids; repeated rows each
 get a row; an empty table gives an empty result; further columns are ignored.
@@ -30,8 +31,8 @@ from pyspark.sql import functions as F
 from cohortlens.llm.shared import bounded_batches, lean_task, ragged, text_slices, texts_of
 
 MARK = "▁"
-#: Of so many documents one is encoded with the SentencePiece library too.
-PARITY_EVERY = 256
+#: Of so many documents one is encoded with the SentencePiece library too (0: none); ``parity`` is null for the others.
+PARITY_EVERY = 1
 #: Distinct words whose ids a Python worker keeps.
 WORD_CACHE = 1 << 18
 #: Words that the tokenizer gets at a time; its results are larger than the ids.
@@ -236,13 +237,25 @@ def codec(path: str) -> PieceCodec:
     return _CODECS[path]
 
 
-def check_parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarray, which) -> None:
-    """Compare the ids of some texts with those of the SentencePiece library."""
+_LIBRARY: dict = {}
+
+
+def parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarray, which) -> list[bool | None]:
+    """Whether the ids of each text are those of the SentencePiece library; null for texts that are not in ``which``."""
     import sentencepiece
-    ends = np.concatenate([[0], np.cumsum(counts)])
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    if path not in _LIBRARY:
+        _LIBRARY[path] = sentencepiece.SentencePieceProcessor(model_file=path)
+    model, ends = _LIBRARY[path], np.concatenate([[0], np.cumsum(counts)]).tolist()
+    out: list[bool | None] = [None] * len(texts)
     for i in which:
-        if model.encode(texts[i]) != ids[ends[i]:ends[i + 1]].tolist():
+        out[i] = model.encode(texts[i]) == ids[ends[i]:ends[i + 1]].tolist()
+    return out
+
+
+def check_parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarray, which) -> None:
+    """Compare the ids of some texts with those of the SentencePiece library."""
+    for i, same in enumerate(parity(path, texts, ids, counts, which)):
+        if same is False:
             raise ValueError(f"ids differ from the SentencePiece library's for {texts[i][:200]!r}")
 
 
@@ -254,14 +267,15 @@ def _run(path: str, parity_every: int, with_ids: bool):
             texts = [coder.normalise(t) for t in raw]
             ids, counts = coder.encode(texts)
             back = coder.decode(ids, counts)
-            if parity_every:
-                check_parity(path, raw, ids, counts, [i for i, t in enumerate(raw) if zlib.crc32(t.encode()) % parity_every == 0])
+            which = [i for i, t in enumerate(raw) if parity_every and zlib.crc32(t.encode()) % parity_every == 0]
+            same = parity(path, raw, ids, counts, which)
             ends = np.concatenate([[0], np.cumsum(counts)]).tolist()
             code = ids.astype("<u4").tobytes()
             parts = [code[4 * a:4 * b] for a, b in zip(ends, ends[1:], strict=False)]
             columns = [piece.column(0), pa.array(counts, pa.int64()), pa.array([zlib.crc32(p) for p in parts], pa.int64()),
-                       pa.array([b == t.encode() for b, t in zip(back, texts, strict=True)], pa.bool_())]
-            names = ["doc_id", "n_pieces", "ids_crc32", "round_trip"]
+                       pa.array([b == t.encode() for b, t in zip(back, texts, strict=True)], pa.bool_()),
+                       pa.array(same, pa.bool_())]
+            names = ["doc_id", "n_pieces", "ids_crc32", "round_trip", "parity"]
             if with_ids:
                 columns.append(pa.array(parts, pa.binary()))
                 names.append("ids")
@@ -270,8 +284,8 @@ def _run(path: str, parity_every: int, with_ids: bool):
 
 
 def piece_table(docs: DataFrame, path: str, parity_every: int = PARITY_EVERY, with_ids: bool = False) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, round_trip (and ids as little-endian 32-bit integers, if asked for)."""
+    """doc_id, n_pieces, ids_crc32, round_trip, parity (and ids as little-endian 32-bit integers, if asked for)."""
     bounded_batches(docs.sparkSession)
-    kind = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean" + ", ids binary" * with_ids
+    kind = "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean, parity boolean" + ", ids binary" * with_ids
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         _run(path, parity_every, with_ids), kind)

@@ -6,7 +6,7 @@ import sentencepiece
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cohortlens.llm.piece_codec import UNIGRAM, ModelFile, PieceCodec, build_tokenizer, check_parity, piece_table
+from cohortlens.llm.piece_codec import UNIGRAM, ModelFile, PieceCodec, build_tokenizer, check_parity, parity, piece_table
 from cohortlens.llm.queries import tokenizer_file
 
 PATH = tokenizer_file("piece_bpe_32k.model")
@@ -75,3 +75,18 @@ def test_documents(make_docs):
         want.append((i, len(ids) // 4, zlib.crc32(ids), "▁" not in (t or ""), ids))
     assert sorted(((*r[:4], bytes(r.ids)) for r in got), key=repr) == sorted(want, key=repr)
     assert piece_table(make_docs([]), PATH).collect() == []
+
+
+def test_every_document_is_compared_with_the_library(make_docs):
+    rows = list(enumerate(TEXTS)) + [(100, None), (None, "no id"), (5, "twice"), (5, "twice")]
+    got = piece_table(make_docs(rows), PATH).collect()
+    assert len(got) == len(rows) and all(r.parity is True for r in got)
+    assert {r.parity for r in piece_table(make_docs(rows), PATH, parity_every=0).collect()} == {None}
+
+
+def test_a_difference_shows_in_its_row():
+    texts = ["some words", "other words", "third"]
+    ids, counts = CODEC.encode(texts)
+    ids = ids.copy()
+    ids[counts[0]] += 1
+    assert parity(PATH, texts, ids, counts, [0, 1]) == [True, False, None]
