@@ -3,7 +3,10 @@
 A text is brought to a canonical form: A-Z lowered, copyright lines dropped,
 punctuation and white space folded to single blanks, equivalent spellings
 united.  The SHA-256 digest of that form is hash-joined to the digests of
-known licence texts, which go through the same expressions.
+known licence texts, which go through the same expressions.  Known are
+``LICENSES`` and the files of ``licenses/`` (named by their SPDX identifier),
+each with and without its title lines and with and without what follows its
+terms.
 
 Defined cases: a null text counts as empty; an empty canonical form matches no
 licence; two names of one canonical text give the first by name; repeated rows
@@ -13,6 +16,8 @@ ignored.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +85,44 @@ required.
     "MIT notice": "Released under the MIT License.",
 }
 
+FILES = Path(__file__).with_name("licenses")
+#: Title lines at the top of a file.
+HEADS = {"Apache-2.0": 3, "Artistic-1.0-Perl": 1, "CC-BY-SA-4.0": 2, "CC0-1.0": 2, "GFDL-1.2": 2, "GFDL-1.3": 2, "GPL-1.0": 2,
+         "GPL-2.0": 2, "GPL-3.0": 2, "LGPL-2.0": 2, "LGPL-2.1": 2, "LGPL-3.0": 2, "MPL-1.1": 3, "MPL-2.0": 2, "OFL-1.1": 2}
+#: Where the terms end; an appendix may follow.
+TAILS = ("END OF TERMS AND CONDITIONS", "ADDENDUM: How to use this License", "Creative Commons is not a party to its public")
+# Titles that texts without one of their own are given (besides their name).
+TITLES = {
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD 0-Clause License"),
+    "BSD-2-Clause": ("BSD 2-Clause License", 'BSD 2-Clause "Simplified" License', "The 2-Clause BSD License", "Simplified BSD License",
+                     "FreeBSD License", "BSD License"),
+    "BSD-3-Clause": ("BSD 3-Clause License", 'BSD 3-Clause "New" or "Revised" License', "The 3-Clause BSD License", "New BSD License",
+                     "Revised BSD License", "Modified BSD License", "BSD License"),
+    "BSD-3-Clause-UC": ("BSD 3-Clause License", "BSD License"),
+    "ISC": ("ISC License", "ISC License (ISC)"),
+    "MIT": ("MIT License", "MIT License (MIT)", "(MIT License)", "Expat License", "MIT/Expat License", "License (MIT)"),
+    "Zlib": ("zlib License", "zlib/libpng License"),
+}
+
+
+def known_texts() -> list[tuple[str, str]]:
+    """(name, text) of every form of the known licences."""
+    bodies = dict(LICENSES) | {f.stem: f.read_text(encoding="utf-8") for f in sorted(FILES.glob("*.txt"))}
+    out = []
+    for name, body in bodies.items():
+        forms = [body]
+        for mark in TAILS:
+            if mark in body:
+                before = body[:body.rindex(mark)]
+                forms += [before, before + mark] if mark.startswith("END") else [before]
+        for form in forms:
+            lines = form.splitlines()
+            titled = [i for i, line in enumerate(lines) if line.strip()][:HEADS.get(name, 0)]
+            out += [(name, form), *((name, "\n".join(lines[i + 1:])) for i in titled)]
+        for title in TITLES.get(name, ()):
+            out += [(name, f"{title}\n\n{body}"), (name, f"The {title}\n\n{body}"), (name, f"{name}\n\n{body}")]
+    return out
+
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
@@ -97,8 +140,8 @@ def digest(text: Column) -> Column:
 
 def license_matches(docs: DataFrame, licenses: dict[str, str] | None = None) -> DataFrame:
     """doc_id, canonical_sha256, license (null where the text is none of the known ones)."""
-    names = LICENSES if licenses is None else licenses
-    known = docs.sparkSession.createDataFrame([(k, v) for k, v in names.items()], "license string, body string")
+    names = known_texts() if licenses is None else list(licenses.items())
+    known = docs.sparkSession.createDataFrame(names, "license string, body string")
     known = known.groupBy(digest(F.col("body")).alias("known_sha256")).agg(F.min("license").alias("license"))
     # A configuration list: as many rows as known licences.
     shown = docs.select("doc_id", digest(F.col("text")).alias("canonical_sha256"))

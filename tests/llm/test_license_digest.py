@@ -1,6 +1,6 @@
 import hashlib
 
-from cohortlens.llm.license_digest import LICENSES, license_matches
+from cohortlens.llm.license_digest import FILES, LICENSES, license_matches
 
 
 def test_known_texts_in_other_dress(spark, make_docs):
@@ -21,3 +21,23 @@ def test_digest_is_of_the_canonical_form(spark, make_docs):
 
 def test_empty_table(make_docs):
     assert license_matches(make_docs([])).collect() == []
+
+
+def test_usual_headed_files_and_long_licences(spark, make_docs):
+    text = lambda name: (FILES / f"{name}.txt").read_text()
+    gpl, apache = text("GPL-3.0"), text("Apache-2.0")
+    terms = apache[:apache.index("APPENDIX")] if "APPENDIX" in apache else apache
+    cases = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + LICENSES["MIT"]),
+        ("MIT", "The MIT License (MIT)\n\nCopyright (c) 2014-2016 Some One <a@b.c>\nCopyright (c) 2017 Other\n\n" + LICENSES["MIT"]),
+        ("MIT", "(The MIT License)\n\n" + LICENSES["MIT"]), ("ISC", "ISC License\n\nCopyright (c) 2004 X\n\n" + LICENSES["ISC"]),
+        ("ISC", "The ISC License\n\n" + LICENSES["ISC"]), ("Zlib", "zlib License\n\n(C) 1995 X\n\n" + LICENSES["Zlib"]),
+        ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2019, X\nAll rights reserved.\n\n" + text("BSD-3-Clause").split("\n", 1)[1]),
+        ("BSD-2-Clause", "Copyright 2019 X\n" + text("BSD-2-Clause").split("\n", 1)[1]),
+        ("GPL-3.0", gpl), ("GPL-3.0", gpl[:gpl.index("How to Apply These Terms to Your")]), ("GPL-3.0", gpl.split("\n", 2)[2]),
+        ("Apache-2.0", apache), ("Apache-2.0", terms), ("Apache-2.0", apache[:apache.index("END OF TERMS")]),
+        *((f.stem, f.read_text()) for f in sorted(FILES.glob("*.txt"))),
+        (None, "MIT License"), (None, "MIT License\n\nMIT License\n\n" + LICENSES["MIT"]), (None, gpl + " more"),
+    ]
+    got = {r.doc_id: r.license for r in license_matches(make_docs([(i, t) for i, (_, t) in enumerate(cases)])).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(cases)}
