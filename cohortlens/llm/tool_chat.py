@@ -2,7 +2,8 @@
 
 A message whose text is a JSON object with ``tool_calls`` gives, besides its
 content, one row for each call (``id``, ``name``, ``arguments``, also in the
-nested ``function`` form); one with ``tool_call_id`` is a result.  Results are
+nested ``function`` form); one with ``tool_call_id`` is a result.  Further
+fields of such a message go into ``more`` of its line.  Results are
 hash-joined to the first call with their identifier in the conversation.  The
 order keys put every result after its call, at the later of the two turns.
 Arguments are checked against parameter schemas; every row is serialised as
@@ -11,8 +12,9 @@ canonical JSON (sorted keys, no blanks).
 Rows come out one by one with order keys (conv_id, at_turn, step, place), so
 a conversation of any length never gathers in one task.
 
-Defined cases: null or non-JSON texts are plain messages, a null text is an
-empty one; a null ``conv_id`` is one conversation; a repeated call identifier
+Defined cases: null or non-JSON texts are plain messages with their whole text,
+and so are objects without a readable ``tool_calls`` array or ``tool_call_id``
+and those with an unreadable ``tool_calls``; a null text is an empty one; a null ``conv_id`` is one conversation; a repeated call identifier
 links to the first call (by turn, then place) and later ones are ``repeated``;
 a result without a call is an ``orphan``, a call without a result
 ``unanswered``; unreadable arguments are invalid; an empty table gives an
@@ -50,11 +52,20 @@ def _canonical(text: Column) -> Column:
 
 
 def parsed_messages(chats: DataFrame) -> DataFrame:
-    """conv_id, turn, role, message (its parsed form, null for plain texts), text."""
-    looks = F.trim(F.coalesce("text", F.lit(""))).rlike(r"^\{(?s:.*)\"tool_call(s|_id)\"(?s:.*)\}$")
-    return chats.select(
-        "conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"),
-        F.when(looks, F.from_json("text", MESSAGE, {"mode": "PERMISSIVE"})).alias("message"))
+    """conv_id, turn, role, text, message (its parsed form, null for plain texts), more (the message's other fields)."""
+    looks = F.coalesce("text", F.lit("")).rlike(r"^\s*\{(?s:.*)\"tool_call(s|_id)\"(?s:.*)\}\s*$")
+    out = chats.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"),
+                       F.when(looks, _canonical(F.col("text"))).alias("object"))
+    out = out.withColumns({"message": F.from_json("object", MESSAGE, {"mode": "PERMISSIVE"}),
+                           "fields": F.from_json("object", "map<string,variant>")})
+    calls, given = F.col("message.tool_calls"), F.try_element_at("fields", F.lit("tool_calls"))
+    # A null there means no calls; anything else has to be an array of objects.
+    no_calls = given.isNull() | (F.schema_of_variant(given) == "VOID")
+    whole = F.schema_of_variant(given).startswith("ARRAY") & calls.isNotNull() & ~F.exists(calls, lambda c: c.isNull())
+    readable = F.coalesce(whole, F.lit(False)) | (no_calls & F.col("message.tool_call_id").isNotNull())
+    more = F.map_filter("fields", lambda k, _: ~k.isin("content", "tool_calls", "tool_call_id"))
+    return out.select("conv_id", "turn", "role", "text", F.when(readable, F.col("message")).alias("message"),
+                      F.when(readable & (F.size(more) > 0), more).alias("more"))
 
 
 def calls_of(messages: DataFrame) -> DataFrame:
@@ -99,7 +110,7 @@ def format_chats(chats: DataFrame, schemas=SCHEMAS) -> DataFrame:
     calls = checked_calls(calls_of(messages), schemas)
     results = messages.where("message.tool_call_id is not null").select(
         "conv_id", "turn", "role", F.col("message.tool_call_id").alias("call_id"),
-        F.coalesce("message.content", F.lit("")).alias("content"))
+        F.coalesce("message.content", F.lit("")).alias("content"), "more")
     first = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(
         F.min(F.struct("turn", "place")).alias("at")).select(
         F.col("conv_id").alias("f_conv"), F.col("call_id").alias("f_call"), "at")
@@ -111,7 +122,7 @@ def format_chats(chats: DataFrame, schemas=SCHEMAS) -> DataFrame:
         F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"), F.lit("plain").alias("status"),
         F.lit("").alias("faults"),
         F.to_json(F.struct(F.when(F.col("message").isNull(), F.col("text")).otherwise(
-            F.coalesce("message.content", F.lit(""))).alias("content"), "role", "turn")).alias("line"))
+            F.coalesce("message.content", F.lit(""))).alias("content"), "more", "role", "turn")).alias("line"))
     linked = (calls.join(first, F.col("conv_id").eqNullSafe(F.col("f_conv")) & (F.col("call_id") == F.col("f_call")), "left")
               .join(answered, F.col("conv_id").eqNullSafe(F.col("r_conv")) & (F.col("call_id") == F.col("r_call")), "left"))
     is_first = F.col("at").isNull() | (F.struct("turn", "place") == F.col("at"))
@@ -125,5 +136,5 @@ def format_chats(chats: DataFrame, schemas=SCHEMAS) -> DataFrame:
         "conv_id", F.greatest("turn", "at.turn").alias("at_turn"), F.lit(2).alias("step"),
         F.coalesce("at.place", F.lit(0)).alias("place"), "turn", F.lit("result").alias("kind"), "call_id",
         F.when(F.col("at").isNull(), "orphan").otherwise("linked").alias("status"), F.lit("").alias("faults"),
-        F.to_json(F.struct("call_id", "content", "role", "turn")).alias("line"))
+        F.to_json(F.struct("call_id", "content", "more", "role", "turn")).alias("line"))
     return plain.unionByName(call_rows).unionByName(result_rows)

@@ -67,3 +67,21 @@ def test_empty_table_and_no_python(spark):
     plan = format_chats(spark.createDataFrame([(1, 0, "user", "x")], "conv_id long, turn long, role string, text string"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert not any(x in text for x in ("Python", "Pandas", "Arrow"))
+
+
+def test_no_text_is_lost(spark):
+    broken = ['{the "tool_calls" field is explained here}', '{"tool_call_id": "a", "content": }', '{"tool_calls": 5, "content": "c"}',
+              '{"tool_calls": [1, "x"], "content": "c"}', '{"tool_calls": "none", "tool_call_id": "q"}', '{"x": {"tool_call_id": "a"}}',
+              '{"tool_calls": null, "content": "c"}', '{"tool_calls": [{"id": "a"}, null]}']
+    got = chat(spark, [(1, i, "user", t) for i, t in enumerate(broken)])
+    assert {r["turn"]: (r["kind"], json.loads(r["line"])["content"]) for r in got} == {
+        i: ("message", t) for i, t in enumerate(broken)} and len(got) == len(broken)
+
+
+def test_further_fields_stay_in_the_line(spark):
+    rows = [(1, 0, "assistant", '\n{"tool_calls": [{"id": "a", "name": "lookup", "arguments": {"key": "k"}}], "b": [1, null], "a": {"z": 1}} '),
+            (1, 1, "tool", '{"tool_call_id": "a", "content": "c", "name": "lookup", "tool_calls": null}'), (1, 2, "user", "plain")]
+    got = {(r["kind"], r["turn"]): r["line"] for r in chat(spark, rows)}
+    assert got["message", 0] == '{"content":"","more":{"a":{"z":1},"b":[1,null]},"role":"assistant","turn":0}'
+    assert got["result", 1] == '{"call_id":"a","content":"c","more":{"name":"lookup"},"role":"tool","turn":1}'
+    assert got["message", 2] == '{"content":"plain","role":"user","turn":2}' and ("call", 0) in got and len(got) == 4
