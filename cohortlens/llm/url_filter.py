@@ -6,9 +6,10 @@ connected components over redirect and canonical-link edges carry an explicit
 allow, else a block, to every member; else the default holds.
 
 Edges come from the pages (``<link rel=canonical>``, ``<meta http-equiv=refresh>``)
-and from a table of redirects (source, target), if one is given.  Absolute,
-scheme-relative and root-relative targets count, others are no edges.  A node
-is a URL without its fragment.
+and from a table of redirects (source, target), if one is given.  Targets that
+are relative to the scheme, the root or the page's URL are resolved; those of
+schemes without ``://`` (``mailto:``) are no edges.  A node is a URL without its
+fragment.
 
 Defined cases: a null URL, or one without ``://``, has an empty host and path,
 fits no rule and has no aliases; equal URLs are one node and share a verdict;
@@ -51,12 +52,28 @@ def rule_for(host: Column, path: Column, rules=RULES) -> Column:
     return F.array_max(found)
 
 
+def _without_dots(path: Column) -> Column:
+    """A path that begins with a slash, its parts ``.`` and ``..`` folded."""
+    parts = F.split(path, "/")
+    kept = F.aggregate(F.slice(parts, 2, F.size(parts)), F.array().cast("array<string>"), lambda done, part: F.when(
+        part == ".", done).when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).otherwise(
+        F.concat(done, F.array(part))))
+    ends = F.element_at(parts, -1).isin(".", "..") & (F.size(kept) > 0)
+    return F.concat(F.lit("/"), F.array_join(kept, "/"), F.when(ends, "/").otherwise(""))
+
+
 def _target(base: Column, link: Column) -> Column:
     link = F.regexp_replace(link, "&amp;", "&")
     scheme = F.regexp_extract(base, "^([^:]*):", 1)
+    root = F.concat(scheme, F.lit("://"), host_of(base))
+    page = F.when(path_of(base) == "", "/").otherwise(path_of(base))
+    path, rest = F.regexp_extract(link, "^([^?#]*)", 1), F.regexp_extract(link, "^[^?#]*(.*)$", 1)
     return (F.when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
-            .when(F.startswith(link, F.lit("/")), F.concat(scheme, F.lit("://"), host_of(base), link))
-            .when(F.contains(link, F.lit("://")), link))
+            .when(F.startswith(link, F.lit("/")), F.concat(root, link))
+            .when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.when(F.contains(link, F.lit("://")), link))
+            .when(~F.contains(base, F.lit("://")) | F.startswith(link, F.lit("#")), F.lit(None))
+            .when(path == "", F.concat(root, page, rest))
+            .otherwise(F.concat(root, _without_dots(F.concat(F.regexp_replace(page, "[^/]*$", ""), path)), rest)))
 
 
 def _node(url: Column) -> Column:

@@ -48,3 +48,16 @@ def test_redirect_table_and_default(spark):
 
 def test_empty_table(spark):
     assert verdicts(spark, []) == {}
+
+
+def test_relative_targets(spark):
+    from cohortlens.llm.url_filter import alias_edges
+    base = "http://c.test/a/b/page?x=1#y"
+    want = {"page.html": "/a/b/page.html", "./q": "/a/b/q", "../x": "/a/x", "../../../z/": "/z/", "..": "/a/", ".": "/a/b/",
+            "?id=3": "/a/b/page?id=3", "d/./e/../f?p=../g": "/a/b/d/f?p=../g", "go?u=http://o.test/": "/a/b/go?u=http://o.test/"}
+    edges = alias_edges(spark.createDataFrame([page(i, base, link(x)) for i, x in enumerate([*want, "mailto:a@b", "#top"])], KIND))
+    assert sorted(r.target for r in edges.collect()) == sorted("http://c.test" + x for x in want.values())
+    rows = [page(1, "http://example.com/fr/1", link("../de/1")), page(2, "http://example.com", link("de/2")),
+            page(3, "http://c.test/blog", link("?id=3")), page(4, "http://c.test/blog?id=3", link("http://example.com/de/1")),
+            page(5, "http://c.test/other", link("mailto:x@example.com"))]
+    assert {i: v[3] for i, v in verdicts(spark, rows).items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
