@@ -188,3 +188,10 @@ def op10_exact_dedup(spark, sf_dir):
     """Exact copies by a fingerprint exchange and a byte check."""
     from cohortlens.llm.exact_dedup import exact_groups
     return exact_groups(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_periodic_runs")
+def op11_periodic_runs(spark, sf_dir):
+    """Periodic runs of words in all documents, one document in ten made periodic first."""
+    from cohortlens.llm.periodic_runs import run_table
+    return run_table(table(spark, sf_dir, "documents"), planted=True)
