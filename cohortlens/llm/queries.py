@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cohortlens.llm.shared import table
 
@@ -195,3 +196,33 @@ def op11_periodic_runs(spark, sf_dir):
     """Periodic runs of words in all documents, one document in ten made periodic first."""
     from cohortlens.llm.periodic_runs import run_table
     return run_table(table(spark, sf_dir, "documents"), planted=True)
+
+
+@_query("op12_hard_negatives", """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::bigint + 1) % 10 ELSE label::bigint END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::double)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label AS own, v.vec_id AS other, v.label,
+         list_inner_product(a.q, v.q)::bigint AS score
+  FROM v a JOIN v ON a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id AND len(a.q) = len(v.q)),
+p AS (
+  SELECT * FROM s WHERE label = own
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT p.anchor_id, p.other AS positive_id, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY s.score DESC, s.other) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.own
+    AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank::int AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+""")
+def op12_hard_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector; labels of every seventh moved on by one."""
+    from cohortlens.llm.hard_negatives import hard_negatives
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.col("label").cast("long")
+    return hard_negatives(vectors.withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)))
