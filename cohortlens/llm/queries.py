@@ -30,27 +30,31 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-@_query("op1_jaccard_join", rf"""
+def _jaccard_sql(size: int, num: int, more: str = "") -> str:
+    return rf"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(regexp_split_to_array({LOWER_AZ}, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS (
-  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')) END) AS g FROM words),
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {size} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - {size - 2}), lambda i: array_to_string(w[i:i + {size - 1}], ' ')) END) AS g FROM words),
 sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
 meets AS (
   SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
   FROM sets a JOIN sets b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
 links AS (
   SELECT a, b FROM meets JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
-  WHERE 100 * c >= 90 * (x.n + y.n - c)),
+  WHERE 100 * c >= {num} * (x.n + y.n - c)),
 edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (
   SELECT doc_id AS d, doc_id AS c FROM words UNION SELECT e.b, r.c FROM reach r JOIN edges e ON e.a = r.d)
-SELECT words.doc_id, coalesce(n, 0) AS n_shingles, component_id
+SELECT words.doc_id, coalesce(n, 0) AS n_shingles, component_id{more}
 FROM words LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT d AS doc_id, min(c) AS component_id FROM reach GROUP BY d) USING (doc_id)
-""")
+"""
+
+
+@_query("op1_jaccard_join", _jaccard_sql(3, 90))
 def op1_jaccard_join(spark, sf_dir):
     """Components of documents whose sets of three-word shingles have a similarity of 0.9."""
     from cohortlens.llm.jaccard_join import jaccard_components
@@ -226,3 +230,10 @@ def op12_hard_negatives(spark, sf_dir):
     label = F.col("label").cast("long")
     return hard_negatives(vectors.withColumn(
         "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label)))
+
+
+@_query("op13_minmax_dedup", _jaccard_sql(5, 85, ", words.doc_id = component_id AS kept"))
+def op13_minmax_dedup(spark, sf_dir):
+    """Near copies among all documents: five-word shingles, a similarity of 0.85."""
+    from cohortlens.llm.minmax_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), size=5, num=85, den=100)
