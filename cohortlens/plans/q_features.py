@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cohortlens.operators.salted import salted_join
 from cohortlens.operators import abundance as ab
 from cohortlens.operators import features as fe
 from cohortlens.operators import panel as pn
@@ -308,7 +309,7 @@ def q_report_parse(spark, sf):
     """Six typed columns, names stripped, sample attached from metadata."""
     r = _reports(spark, sf)
     md = _md(spark, sf).select("run_accession", "sample_id")
-    return r.join(md, "run_accession", "left").select(
+    return salted_join(r, md, "run_accession", "left").select(
         "run_accession", "sample_id", "percentage", "clade_reads", "taxon_reads", "rank_code",
         "taxid", "name")
 
