@@ -1,26 +1,31 @@
-"""Model fitting and evaluation as MLlib jobs.
+"""Model fitting and evaluation.
 
 Imputation by 0 and population-std scaling are fitted inside every training
-fold; fits run as distributed MLlib jobs submitted from a small bounded pool
-of driver threads.  Scores, AUCs and importances come back as DataFrames."""
+fold.  Logistic models of all sets, penalties, repeats and folds are fitted
+together (``logistic``); forests are MLlib jobs submitted from a small bounded
+pool of driver threads, on a bounded number of rows.  Scores, AUCs and
+importances come back as DataFrames."""
 
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.evaluation import fold_aucs
 from cohortlens.operators.prefix import prefix_sum
 from cohortlens.operators.stats import roc_auc
-from cohortlens.session import cut_lineage
+from cohortlens.session import checkpoint_dir, cut_lineage
 
 MAX_DRIVER_THREADS = 8
 
@@ -34,6 +39,8 @@ class ModelSpec:
     num_trees: int = 500
     max_depth: int = 30
     seed: int = 42
+    #: Rows that a forest is fitted on at most (drawn by a hash of the row); scores cover all rows.
+    max_fit_rows: int = 20_000
 
     @property
     def scaled(self) -> bool:
@@ -84,71 +91,128 @@ def _vectorize(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumn("features", array_to_vector(arr))
 
 
-def _estimator(spec: ModelSpec, n_train: int, n_features: int):
-    if spec.kind == "random_forest":
-        k = max(1, int(math.sqrt(n_features)))
-        return RandomForestClassifier(labelCol="y", featuresCol="features", numTrees=spec.num_trees,
-                                      maxDepth=spec.max_depth, minInstancesPerNode=1,
-                                      featureSubsetStrategy=str(k), seed=spec.seed)
-    reg = 1.0 / (spec.C * max(n_train, 1))
-    return LogisticRegression(labelCol="y", featuresCol="features", regParam=reg,
-                              elasticNetParam=1.0 if spec.kind == "logistic_l1" else 0.0,
-                              standardization=False, maxIter=200, tol=1e-6)
+@dataclass(frozen=True)
+class LinearModel:
+    """Coefficients of the scaled columns and, for scoring, of the columns as they are."""
+    coefficients: DenseVector
+    intercept: float
+    raw: tuple[float, ...]  # intercept first
+    columns: tuple[str, ...]
+
+    def margin(self):
+        return reduce(lambda a, b: a + b, [_filled(c) * F.lit(w) for c, w in zip(self.columns, self.raw[1:], strict=True)],
+                      F.lit(self.raw[0]))
+
+
+def _fit_logistic(train: DataFrame, cols: list[str], spec: ModelSpec):
+    from cohortlens.operators import logistic as lg
+    rows = cut_lineage(lg.training_rows(train.withColumn("__row", F.lit(0)), cols, None, "__row"))
+    one = lg.fit_all(rows, [_logistic_fit("", cols, cols, spec)], len(cols))[0]
+    model = LinearModel(DenseVector(one.weights), one.intercept, tuple(map(float, one.raw)), tuple(cols))
+
+    def score(d: DataFrame) -> DataFrame:
+        return d.withColumn("score", 1 / (1 + F.exp(-model.margin())))
+
+    return model, cols, score
+
+
+def _logistic_fit(name: str, own: Sequence[str], cols: Sequence[str], spec: ModelSpec, *place):
+    from cohortlens.operators import logistic as lg
+    return lg.Fit(name, tuple(cols.index(c) for c in own), spec.name, "l1" if spec.kind == "logistic_l1" else "l2", spec.C, *place)
 
 
 def fit(train: DataFrame, cols: Sequence[str], spec: ModelSpec):
     """Fit one model; returns (model, used columns, scoring function).
 
-    One aggregate job gives the row count, the scaling statistics and the
+    For a forest one aggregate job gives the row count and the
     constant-column check; then the MLlib fit."""
     cols = list(cols)
+    if spec.scaled:
+        return _fit_logistic(train, cols, spec)
     stats = column_stats(train, cols)
-    if spec.kind == "random_forest":
-        # Columns constant in the training fold carry no split; MLlib would
-        # stop a node when only such columns are drawn, so they are dropped.
-        use = [c for c in cols if stats["cols"][c][2] != stats["cols"][c][3]] or cols[:1]
-    else:
-        use = cols
-    prep = (lambda d: standardize(d, use, stats=stats)) if spec.scaled else (lambda d: d)
-    tr = _vectorize(prep(train), use).select("features", F.col("y").cast("double").alias("y"))
-    model = _estimator(spec, stats["n"], len(use)).fit(tr)
+    # Columns constant in the training fold carry no split; MLlib would
+    # stop a node when only such columns are drawn, so they are dropped.
+    use = [c for c in cols if stats["cols"][c][2] != stats["cols"][c][3]] or cols[:1]
+    tr = _vectorize(train, use).select("features", F.col("y").cast("double").alias("y"))
+    if stats["n"] > spec.max_fit_rows:
+        share = int(spec.max_fit_rows / stats["n"] * (1 << 20))
+        tr = tr.filter(F.pmod(F.xxhash64(vector_to_array("features"), "y", F.lit(spec.seed)), F.lit(1 << 20)) < share)
+    model = RandomForestClassifier(labelCol="y", featuresCol="features", numTrees=spec.num_trees, maxDepth=spec.max_depth,
+                                   minInstancesPerNode=1, featureSubsetStrategy=str(max(1, int(math.sqrt(len(use))))),
+                                   seed=spec.seed).fit(tr)
 
     def score(d: DataFrame) -> DataFrame:
-        v = _vectorize(prep(d), use)
-        return (model.transform(v).withColumn("score", vector_to_array("probability")[1])
+        return (model.transform(_vectorize(d, use)).withColumn("score", vector_to_array("probability")[1])
                 .drop("features", "rawPrediction", "probability", "prediction"))
 
     return model, use, score
 
 
+def fit_logistic_models(df: DataFrame, sets: dict[str, list[str]], models: Sequence[ModelSpec], folds: DataFrame | None = None,
+                        id_col: str = "run_accession"):
+    """All logistic models of every set, penalty, repeat and fold (without ``folds``: one on all rows), fitted together.
+
+    Returns (fits, column names, the rows they were fitted on)."""
+    from cohortlens.operators import logistic as lg
+    cols = list(dict.fromkeys(c for own in sets.values() for c in own))
+    rows = cut_lineage(lg.training_rows(df, cols, folds, id_col, keep_id=True))
+    places = [(lg.ALL, lg.ALL)] if folds is None else _fold_keys(folds)
+    fits = [_logistic_fit(s, own, cols, m, *place) for s, own in sets.items() if own for m in models for place in places]
+    repeats = [] if folds is None else sorted({r for r, _ in places})
+    return lg.fit_all(rows, fits, len(cols), repeats), cols, rows
+
+
+def _fold_keys(folds: DataFrame) -> list[tuple[int, int]]:
+    """(repeat, fold): as many as the parameters say."""
+    return [(r["repeat"], r["fold"]) for r in folds.select("repeat", "fold").distinct().orderBy("repeat", "fold").collect()]
+
+
 def cross_validate(df: DataFrame, sets: dict[str, list[str]], models: Sequence[ModelSpec],
                    folds: DataFrame, id_col: str = "run_accession",
                    threads: int = MAX_DRIVER_THREADS) -> DataFrame:
     """Out-of-fold scores (feature_set, model, repeat, fold, id, y,
-    score) for every set x model x fold; empty sets skipped."""
-    data = df.join(folds.select(id_col, "repeat", "fold"), id_col).cache()
-    keys = [(r["repeat"], r["fold"]) for r in folds.select("repeat", "fold").distinct()
-            .orderBy("repeat", "fold").collect()]  # repeats x k: parameter-sized
-    jobs = [(s, cols, m, rep, f) for s, cols in sets.items() if cols for m in models
-            for rep, f in keys]
+    score) for every set x model x fold; empty sets skipped.
+
+    Logistic models are fitted together and scored in one pass.  Forests are
+    fitted one by one; each writes its scores into one shared folder."""
+    from cohortlens.operators import logistic as lg
+    sets = {s: list(cols) for s, cols in sets.items() if cols}
+    linear, forests = [m for m in models if m.scaled], [m for m in models if not m.scaled]
+    parts = []
+    if linear and sets:
+        fits, cols, rows = fit_logistic_models(df, sets, linear, folds, id_col)
+        repeats = sorted({f.repeat for f in fits})
+        parts.append(cut_lineage(lg.held_out_scores(rows, fits, id_col, len(cols), repeats)))
+    if forests and sets:
+        parts.append(_forest_scores(df, sets, forests, folds, id_col, threads))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def _forest_scores(df, sets, models, folds, id_col, threads) -> DataFrame:
+    spark = df.sparkSession
+    keys = _fold_keys(folds)
+    # Laid out by repeat, so a fit reads its own repeat's files only.
+    root = f"{checkpoint_dir(spark).rstrip('/')}/forest-{uuid.uuid4().hex}"
+    (df.join(folds.select(id_col, "repeat", "fold"), id_col).write.partitionBy("repeat").parquet(f"{root}/rows"))
+    data = spark.read.parquet(f"{root}/rows")
+    schema = f"feature_set string, model string, repeat int, fold int, `{id_col}` {df.schema[id_col].dataType.simpleString()}, y int, score double"
 
     def run(job):
         s, cols, m, rep, f = job
         part = data.filter(F.col("repeat") == rep)
         _, _, score = fit(part.filter(F.col("fold") != f), cols, m)
         test = part.filter(F.col("fold") == f).select(id_col, "y", "repeat", "fold", *cols)
-        # Written at once to the shared checkpoint folder: AUCs and summaries do
-        # not re-run the model, and the driver need not keep all of them.
-        return cut_lineage(score(test).select(F.lit(s).alias("feature_set"), F.lit(m.name).alias("model"),
-                                              "repeat", "fold", id_col, "y", "score"))
+        score(test).select(F.lit(s).alias("feature_set"), F.lit(m.name).alias("model"), F.col("repeat").cast("int").alias("repeat"),
+                           F.col("fold").cast("int").alias("fold"), id_col, F.col("y").cast("int").alias("y"), "score").write.parquet(
+            f"{root}/scores/{s}-{m.name}-{rep}-{f}")
 
+    jobs = [(s, cols, m, rep, f) for s, cols in sets.items() for m in models for rep, f in keys]
     with ThreadPoolExecutor(max_workers=max(1, threads)) as pool:
-        parts = list(pool.map(run, jobs))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    data.unpersist()
-    return out
+        list(pool.map(run, jobs))
+    return spark.read.schema(schema).parquet(f"{root}/scores/*")
 
 
 def cv_aucs(oof: DataFrame) -> DataFrame:

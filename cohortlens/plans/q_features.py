@@ -115,9 +115,24 @@ def _wide_sql() -> str:
     return ", ".join(out)
 
 
-add_cte("features", ("core", "pv"), f"""
-SELECT c.*, w.* EXCLUDE (run_accession)
-FROM core c JOIN (SELECT run_accession, {_wide_sql()} FROM pv GROUP BY run_accession) w USING (run_accession)""")
+# Automatic picks go by their place, so that the columns are the same for all tables.
+def _auto_sql() -> str:
+    out = []
+    for i in range(1, TOP_N + 1):
+        value = f"max(CASE WHEN place = {i} THEN v END)"
+        out += [f"max(CASE WHEN place = {i} THEN taxon END) AS auto_{i}_taxon", f"round({value}, 6) AS auto_{i}",
+                f"round(log10({value} + 1e-6), 6) AS auto_{i}_log10",
+                f"CAST(CASE WHEN {value} >= 1e-4 THEN 1 WHEN {value} IS NOT NULL THEN 0 END AS INTEGER) AS auto_{i}_present"]
+    return ", ".join(out)
+
+
+_cfg_list = ", ".join(f"'{t}'" for t in PANEL_CFG_KEPT)
+add_cte("auto_panel", ("panel",), f"""
+SELECT taxon, row_number() OVER (ORDER BY position) AS place FROM panel WHERE taxon NOT IN ({_cfg_list})""")
+add_cte("features", ("core", "pv", "auto_panel"), f"""
+SELECT c.*, w.* EXCLUDE (run_accession), u.* EXCLUDE (run_accession)
+FROM core c JOIN (SELECT run_accession, {_wide_sql()} FROM pv GROUP BY run_accession) w USING (run_accession)
+LEFT JOIN (SELECT run_accession, {_auto_sql()} FROM pv JOIN auto_panel USING (taxon) GROUP BY run_accession) u USING (run_accession)""")
 CORE_ROUNDED = """sample_id, run_accession, label, age_group, library_name,
   round(F_nucleatum_species_abundance, 6) AS F_nucleatum_species_abundance,
   round(Fusobacterium_genus_abundance, 6) AS Fusobacterium_genus_abundance,
@@ -251,8 +266,17 @@ def q_depth(spark, sf):
 
 @register("targeted_features", sql(["features"], f"SELECT {CORE_ROUNDED}, * EXCLUDE (sample_id, run_accession, label, age_group, library_name, F_nucleatum_species_abundance, Fusobacterium_genus_abundance, total_bacterial_abundance, number_of_detected_species, Shannon_diversity, sequencing_depth_proxy) FROM features"))
 def q_targeted(spark, sf):
-    """C1 (flagship): targeted feature matrix with a config + auto panel (its SQL names the configured columns only)."""
-    return _features(spark, sf).targeted
+    """C1 (flagship): targeted feature matrix of the configured panel and, by place, of all automatic picks."""
+    out = _features(spark, sf)
+    auto = [t for t in out.panel if t not in PANEL_CFG_KEPT]
+    cols = [F.col(f"`{c}`") for c in out.targeted.columns if not c.startswith("panel_")]
+    cols += [F.col(f"`{panel_column_name(t)}{end}`") for t in PANEL_CFG_KEPT for end in ("", "_log10", "_present")]
+    for i in range(TOP_N):
+        name = panel_column_name(auto[i]) if i < len(auto) else None
+        for end, kind in (("", "double"), ("_log10", "double"), ("_present", "int")):
+            cols.append((F.col(f"`{name}{end}`") if name else F.lit(None)).cast(kind).alias(f"auto_{i + 1}{end}"))
+        cols.append(F.lit(auto[i] if name else None).cast("string").alias(f"auto_{i + 1}_taxon"))
+    return out.targeted.select(*cols)
 
 
 @register("panel_values", sql(["pv"], """

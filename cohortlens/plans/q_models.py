@@ -1,7 +1,10 @@
-"""Queries: folds, scaling, fold-score summaries and MLlib model jobs."""
+"""Queries: folds, scaling, fold-score summaries and models."""
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cohortlens.operators import evaluation as ev
@@ -11,6 +14,7 @@ from cohortlens.operators.folds import assign_folds, fold_balance
 from cohortlens.plans.catalog import register
 from cohortlens.plans.oracle import add_cte, sql
 from cohortlens.plans.q_stats import _binary
+from cohortlens.session import cut_lineage
 
 K, REPEATS, SEED = 5, 10, 42
 PERMUTATIONS = 50
@@ -150,9 +154,19 @@ def q_cv_compare(spark, sf):
     return ev.cv_compare(_summary(spark, sf, 1, SINGLE_SEED), _summary(spark, sf))
 
 
-# ---- MLlib jobs (rows-only checks: solvers differ from any SQL engine) -------
-CV_MODELS = ml.DEFAULT_MODELS
-L1 = CV_MODELS[1]
+# ---- models ------------------------------------------------------------------
+L2, L1, FOREST = ml.DEFAULT_MODELS
+# The features of each set, as conditions on their names.
+SET_FEATURES = {
+    "fuso_only": "feature IN ('Fusobacterium_genus_abundance', 'F_nucleatum_species_abundance')",
+    "diversity_only": "feature IN ('Shannon_diversity', 'number_of_detected_species', 'total_bacterial_abundance')",
+    "panel_log": "feature LIKE 'panel\\_%\\_log10' ESCAPE '\\'",
+    "panel_presence": "feature LIKE 'panel\\_%\\_present' ESCAPE '\\'",
+}
+SET_FEATURES["panel_log_plus_diversity"] = f"({SET_FEATURES['panel_log']} OR {SET_FEATURES['diversity_only']})"
+SET_FEATURES["panel_presence_plus_diversity"] = f"({SET_FEATURES['panel_presence']} OR {SET_FEATURES['diversity_only']})"
+add_cte("setf", ("blong",), "\nUNION ALL\n".join(
+    f"SELECT DISTINCT '{name}' AS feature_set, feature FROM blong WHERE {test}" for name, test in SET_FEATURES.items()))
 
 
 def _train(spark, sf):
@@ -160,39 +174,123 @@ def _train(spark, sf):
     return df, ss.feature_sets(df.columns)
 
 
+def _cv_summary(spark, sf, models, k=K):
+    df, sets = _train(spark, sf)
+    folds = cut_lineage(assign_folds(df, k, REPEATS, SEED))
+    return ev.eval_summary(ml.cv_aucs(ml.cross_validate(df, sets, models, folds)))
+
+
 @register("cv_models")
 def q_cv_models(spark, sf):
-    """6 feature sets x 3 models over a stratified 5-fold split, 10 times:
+    """6 feature sets x both logistic models over a stratified 5-fold split, 10 times:
     fold AUC summary per (set, model)."""
-    df, sets = _train(spark, sf)
-    folds = assign_folds(df, K, REPEATS, SEED)
-    oof = ml.cross_validate(df, sets, CV_MODELS, folds)
-    return ev.eval_summary(ml.cv_aucs(oof))
+    return _cv_summary(spark, sf, [L2, L1])
+
+
+@register("cv_forest")
+def q_cv_forest(spark, sf):
+    """L3, L4: the forest over the same sets and folds."""
+    return _cv_summary(spark, sf, [FOREST])
 
 
 @register("cv_sensitivity")
 def q_cv_sensitivity(spark, sf):
     """Logistic L1 under 3-, 5- and 8-fold schemes (10 repeats each)."""
+    outs = [_cv_summary(spark, sf, [L1], k).withColumn("cv_scheme", F.lit(f"{k}fold_x{REPEATS}")) for k in (3, 5, 8)]
+    return outs[0].unionByName(outs[1]).unionByName(outs[2])
+
+
+@register("best_model_cv", sql(["setf"], """
+SELECT DISTINCT feature_set, cv_type, TRUE AS auc_in_range
+FROM setf, (VALUES ('single_5fold'), ('repeated_5fold')) t(cv_type)"""))
+def q_best_model_cv(spark, sf):
+    """The better logistic model of each feature set, by a single and by ten repeated 5-fold splits (AUCs within 0..1)."""
     df, sets = _train(spark, sf)
-    outs = []
-    for k in (3, 5, 8):
-        folds = assign_folds(df, k, REPEATS, SEED)
-        oof = ml.cross_validate(df, sets, [L1], folds)
-        outs.append(ev.eval_summary(ml.cv_aucs(oof)).withColumn("cv_scheme", F.lit(f"{k}fold_x{REPEATS}")))
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out
+    best = ev.best_model_per_set(_cv_summary(spark, sf, [L2, L1]))
+    folds = cut_lineage(assign_folds(df, K, 1, SINGLE_SEED))
+    single = ev.eval_summary(ml.cv_aucs(ml.cross_validate(df, sets, [L2, L1], folds)))
+    single = single.join(best.select("feature_set", "model"), ["feature_set", "model"], "left_semi")
+    both = ev.cv_compare(single, best)
+    return both.select("feature_set", "cv_type", F.col("auc_mean").between(0.0, 1.0).alias("auc_in_range"))
 
 
 @register("oof_scores")
 def q_oof_scores(spark, sf):
     """Out-of-fold probabilities of logistic L1 on every feature set, 10 repeats."""
     df, sets = _train(spark, sf)
-    folds = assign_folds(df, K, REPEATS, SEED)
+    folds = cut_lineage(assign_folds(df, K, REPEATS, SEED))
     return ml.cross_validate(df, sets, [L1], folds)
 
 
+@register("oof_coverage", sql(["setf", "folds"], """
+SELECT feature_set, repeat, fold, count(*) AS n, count(DISTINCT run_accession) AS n_runs, CAST(sum(y) AS BIGINT) AS n_pos,
+       count(*) AS n_valid
+FROM folds, (SELECT DISTINCT feature_set FROM setf) s GROUP BY ALL"""))
+def q_oof_coverage(spark, sf):
+    """Every run has one valid out-of-fold score in every repeat, from the fold that holds it."""
+    return q_oof_scores(spark, sf).groupBy("feature_set", "repeat", "fold").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("run_accession").alias("n_runs"), F.sum(F.col("y").cast("long")).alias("n_pos"),
+        F.count_if(F.col("score").between(0.0, 1.0)).alias("n_valid"))
+
+
+@register("logistic_odds", sql(["blong", "folds"], """
+, cells AS (SELECT feature, repeat, fold, count_if(value = 1 AND b.y = 1)::DOUBLE AS a, count_if(value = 1 AND b.y = 0)::DOUBLE AS b,
+              count_if(value = 0 AND b.y = 1)::DOUBLE AS c, count_if(value = 0 AND b.y = 0)::DOUBLE AS d
+            FROM blong b JOIN folds f USING (run_accession) WHERE feature LIKE 'panel\\_%\\_present' ESCAPE '\\' GROUP BY ALL),
+train AS (SELECT feature, repeat, fold, sum(a) OVER w - a AS a, sum(b) OVER w - b AS b, sum(c) OVER w - c AS c, sum(d) OVER w - d AS d
+          FROM cells WINDOW w AS (PARTITION BY feature, repeat))
+SELECT feature, repeat, fold, round(ln(a * d / (b * c)), 6) AS log_odds_ratio, round(ln(c / d), 6) AS log_odds
+FROM train WHERE a > 0 AND b > 0 AND c > 0 AND d > 0""").replace("\n, cells AS", ",\ncells AS", 1))
+def q_logistic_odds(spark, sf):
+    """L1/L4: an unpenalised model of each presence flag in each training part; its coefficient is the log odds ratio."""
+    from cohortlens.operators import logistic as lg
+    df = _binary(spark, sf)
+    flags = ss.feature_groups(df.columns)["panel_present"]
+    folds = cut_lineage(assign_folds(df, K, REPEATS, SEED))
+    long = ss.to_long(df, flags, ["run_accession", "y"]).join(folds.select("run_accession", "repeat", "fold"), "run_accession")
+    hit = lambda v, y: F.count_if((F.col("value") == v) & (F.col("y") == y))
+    cells = long.groupBy("feature", "repeat", "fold").agg(*[hit(v, y).alias(f"n{v}{y}") for v in (0, 1) for y in (0, 1)])
+    whole = Window.partitionBy("feature", "repeat")
+    train = cells.select("feature", "repeat", "fold", *[(F.sum(c).over(whole) - F.col(c)).alias(c) for c in ("n00", "n01", "n10", "n11")])
+    # A model is finite where all four cells are filled; as many rows as there are flags, repeats and folds.
+    finite = train.where("n00 > 0 and n01 > 0 and n10 > 0 and n11 > 0").select("feature", "repeat", "fold").collect()
+    rows = cut_lineage(lg.training_rows(df, flags, folds, "run_accession"))
+    fits = [lg.Fit(r["feature"], (flags.index(r["feature"]),), "free", "l2", math.inf, r["repeat"], r["fold"]) for r in finite]
+    table = lg.coefficient_table(spark, lg.fit_all(rows, fits, len(flags), range(REPEATS)), flags)
+    return table.select("feature", "repeat", "fold", F.col("raw_coefficient").alias("log_odds_ratio"),
+                        F.col("raw_intercept").alias("log_odds"))
+
+
+#: How far the conditions of an optimum may be broken, as a share of the rows.
+OPTIMAL = 1e-6
+
+
+@register("logistic_optimality", sql(["setf"], """
+SELECT feature_set, model, feature, TRUE AS optimal FROM setf, (VALUES ('logistic_l1'), ('logistic_l2')) m(model)"""))
+def q_logistic_optimality(spark, sf):
+    """The final models of all sets on all rows; the conditions of an optimum, taken anew from the rows, hold."""
+    from cohortlens.operators import logistic as lg
+    df, sets = _train(spark, sf)
+    fits, cols, _ = ml.fit_logistic_models(df, sets, [L2, L1])
+    table = lg.coefficient_table(spark, fits, cols).drop("repeat", "fold")
+    strength = F.when(F.col("model") == L1.name, 1 / L1.C).otherwise(1 / L2.C)
+    filled = df.select("run_accession", "y", *[ml._filled(c).alias(c) for c in cols])
+    long = ss.to_long(filled, cols, ["run_accession", "y"])
+    scale = long.groupBy("feature").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
+    terms = long.join(F.broadcast(table), "feature")  # as many rows as there are models and features
+    margins = terms.groupBy("feature_set", "model", "run_accession", "y").agg(
+        (F.max("raw_intercept") + F.sum(F.col("raw_coefficient") * F.col("value"))).alias("margin"))
+    gap = margins.select("feature_set", "model", "run_accession", (1 / (1 + F.exp(-F.col("margin"))) - F.col("y")).alias("gap"))
+    slopes = (terms.join(gap, ["feature_set", "model", "run_accession"]).join(F.broadcast(scale), "feature")
+              .groupBy("feature_set", "model", "feature").agg(
+                  F.max("coefficient").alias("w"), F.count(F.lit(1)).alias("n"), F.sum("gap").alias("free"),
+                  F.sum(F.when(F.col("std") > 0, F.col("gap") * (F.col("value") - F.col("mean")) / F.col("std")).otherwise(0.0)).alias("g")))
+    w, g, few = F.col("w"), F.col("g"), OPTIMAL * F.col("n")
+    l1 = F.when(w == 0, F.abs(g) <= strength + few).otherwise(F.abs(g + strength * F.signum(w)) <= few)
+    best = F.when(F.col("model") == L1.name, l1).otherwise(F.abs(g + strength * w) <= few)
+    return slopes.select("feature_set", "model", "feature", (best & (F.abs("free") <= few)).alias("optimal"))
+
+
 @register("coefficients")
 def q_coefficients(spark, sf):
     """Final logistic L1 fit on all samples: coefficients, direction."""

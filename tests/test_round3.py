@@ -19,43 +19,24 @@ def duck():
 def test_flagship_holds_every_panel_taxon(spark, duck):
     df = queries()["targeted_features"](spark, SMOKE_DIR)
     rows = {r["run_accession"]: r for r in df.collect()}
-    panel = [r[0] for r in duck.execute(f"SELECT taxon FROM ({oracle_sql()['panel_merge']})").fetchall()]
-    want = {f"{panel_column_name(t)}{end}" for t in panel for end in ("", "_log10", "_present")}
-    assert {c for c in df.columns if c.startswith("panel_")} == want
-    # The configured columns against the query's SQL, all of them against that of the long values.
+    # The whole matrix against the query's SQL.
     got = duck.execute(oracle_sql()["targeted_features"])
     names = [d[0] for d in got.description]
     told = got.fetchall()
-    assert set(names) < set(df.columns) and len(told) == len(rows)
+    assert set(names) == set(df.columns) and len(told) == len(rows)
     for t in told:
         row = dict(zip(names, t, strict=True))
         own = rows[row["run_accession"]]
-        assert {k: own[k] for k in names} == pytest.approx(row, abs=2e-6)
+        for k in names:
+            assert own[k] == (pytest.approx(row[k], abs=2e-6) if isinstance(row[k], float) else row[k])
+    # Every taxon of the panel has its columns, the automatic ones by place.
+    panel = [r[0] for r in duck.execute(f"SELECT taxon FROM ({oracle_sql()['panel_merge']}) ORDER BY position").fetchall()]
+    one = next(iter(rows.values()))
+    auto = [t for t in panel if panel_column_name(t) not in names]
+    assert auto and [one[f"auto_{i + 1}_taxon"] for i in range(len(auto))] == auto
     long = duck.execute(f"SELECT run_accession, taxon, value, value_log10, present FROM ({oracle_sql()['panel_values']})").fetchall()
     assert len(long) == len(panel) * len(rows)
     for run, taxon, value, log, present in long:
-        c = panel_column_name(taxon)
+        c = f"auto_{auto.index(taxon) + 1}" if taxon in auto else panel_column_name(taxon)
         assert [rows[run][c], rows[run][f"{c}_log10"]] == pytest.approx([value, log], abs=2e-6)
         assert rows[run][f"{c}_present"] == present
-
-
-def test_model_queries_run_the_operators_defaults(spark, monkeypatch):
-    from cohortlens.plans import q_models as qm
-    df = spark.range(4).selectExpr("id", "'x' AS cv_scheme")
-    sets = {name: [f"{name}_1"] for name in ("panel_presence", "panel_log", "panel_log_plus_diversity")}
-    folds, runs, perms = [], [], []
-    monkeypatch.setattr(qm, "_train", lambda *_: (df, sets))
-    monkeypatch.setattr(qm, "assign_folds", lambda _, k, repeats, seed: folds.append((k, repeats)))
-    monkeypatch.setattr(qm.ml, "cross_validate", lambda _, s, models, f: runs.append((s, list(models))) or df)
-    monkeypatch.setattr(qm.ml, "cv_aucs", lambda oof: oof)
-    monkeypatch.setattr(qm.ev, "eval_summary", lambda aucs: aucs)
-    monkeypatch.setattr(qm.ml, "fit", lambda *_: (None, [], None))
-    monkeypatch.setattr(qm.ml, "permutation_importance", lambda *_, repeats, seed: perms.append(repeats) or df)
-    qm.q_cv_models(spark, "")
-    qm.q_oof_scores(spark, "")
-    qm.q_cv_sensitivity(spark, "")
-    qm.q_perm_importance(spark, "")
-    assert folds == [(5, 10), (5, 10), (3, 10), (5, 10), (8, 10)] and perms == [50]
-    assert all(s == sets for s, _ in runs)
-    forest = next(m for m in runs[0][1] if m.kind == "random_forest")
-    assert (forest.num_trees, forest.max_depth) == (500, 30)
