@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.operators.prefix import prefix_sum
+from cohortlens.operators.prefix import hex_measure, prefix_sum
 
 
 def assign_folds(df: DataFrame, k: int = 5, repeats: int = 10, seed: int = 42,
@@ -22,7 +22,7 @@ def assign_folds(df: DataFrame, k: int = 5, repeats: int = 10, seed: int = 42,
     keyed = expanded.withColumn(
         "h", F.md5(F.concat_ws(":", F.lit(seed), F.col("repeat"), F.col("id").cast("string"))))
     keyed = keyed.withColumn("one", F.lit(1))
-    pos = prefix_sum(keyed, [F.col("h"), F.col("id")], ["one"], ["repeat", "y"])
+    pos = prefix_sum(keyed, ["h", "id"], ["one"], ["repeat", "y"], measure=hex_measure("h"))
     return pos.select(F.col("id").alias(id_col), F.col("y").alias(label), "repeat",
                       ((F.col("one_cum") - 1) % k).cast("int").alias("fold"))
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import erfc
 from cohortlens.operators.prefix import prefix_sum
+from cohortlens.operators.quantiles import BINS_BROADCAST_MAX, quantile_columns
+from cohortlens.operators.salted import salted_join
+from cohortlens.session import cut_lineage
 
 CORE = ("F_nucleatum_species_abundance", "Fusobacterium_genus_abundance",
         "total_bacterial_abundance", "number_of_detected_species", "Shannon_diversity",
@@ -92,32 +95,6 @@ def null_counts(df: DataFrame, top: int = 15) -> DataFrame:
     return long.orderBy(F.col("nulls").desc(), F.col("column")).limit(top)
 
 
-def quantile_columns(long: DataFrame, keys: Sequence[str], probs: Sequence[float], names: Sequence[str],
-                     value: str = "value") -> DataFrame:
-    """Exact linear-interpolation quantiles per key (numpy's default), one column each.
-
-    Distinct values are counted per key and ranked with the distributed prefix
-    sum once; one aggregation picks the two order statistics around position
-    1 + p (n - 1) of every p.  No group is ever gathered into one task."""
-    keys = list(keys)
-    v = F.col(value)
-    counts = long.filter(v.isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("c"))
-    cum = prefix_sum(counts, [v], ["c"], keys)  # c_cum: rows <= value
-    n = counts.groupBy(*keys).agg(F.sum("c").alias("n"))
-    cum = cum.join(n, keys)  # key-sized side
-    place = lambda p: F.lit(1.0) + F.lit(float(p)) * (F.col("n") - 1)  # noqa: E731  1-based, fractional
-
-    def at(rank):  # the smallest value whose cumulative count reaches the rank
-        return F.max(F.when((F.col("c_cum") >= rank) & (F.col("c_cum") - F.col("c") < rank), v))
-
-    picked = [x for i, p in enumerate(probs) for x in (
-        at(F.floor(place(p))).alias(f"__lo{i}"), at(F.ceil(place(p))).alias(f"__hi{i}"))]
-    agg = cum.groupBy(*keys).agg(F.max("n").alias("n"), *picked)
-    return agg.select(*keys, *[
-        (F.col(f"__lo{i}") + (F.col(f"__hi{i}") - F.col(f"__lo{i}")) * (place(p) - F.floor(place(p)))).alias(name)
-        for i, (p, name) in enumerate(zip(probs, names))])
-
-
 def exact_quantiles(long: DataFrame, keys: Sequence[str], probs: Sequence[float],
                     value: str = "value") -> DataFrame:
     """The quantiles of ``quantile_columns`` in long form: (keys..., prob, quantile)."""
@@ -148,10 +125,11 @@ def box_stats(df: DataFrame, cols: Sequence[str], label: str = "label") -> DataF
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     v = F.col("value")
-    # The quartile table has one row per (class, feature): bounded by the
-    # column list times the class vocabulary, so it is broadcast; a shuffle
-    # join would send every value of a (class, feature) to one task.
-    j = long.join(F.broadcast(q), [label, "feature"])
+    # One row per (class, feature): broadcast where there are few, else the
+    # values of a large (class, feature) are dealt over several tasks.
+    q = cut_lineage(q)
+    j = (long.join(F.broadcast(q), [label, "feature"]) if q.count() <= BINS_BROADCAST_MAX
+         else salted_join(long, q, [label, "feature"]))
     agg = j.groupBy(label, "feature").agg(
         F.min(F.when(v >= lo_f, v)).alias("whisker_low"),
         F.max(F.when(v <= hi_f, v)).alias("whisker_high"),
@@ -171,7 +149,7 @@ def rank_sums(long: DataFrame, keys: Sequence[str], value: str = "value", y: str
         F.count_if(F.col(y) == 0).cast("double").alias("n0"),
         F.count_if(F.col(y) == 1).cast("double").alias("n1"))
     counts = counts.withColumn("t", F.col("n0") + F.col("n1"))
-    cum = prefix_sum(counts, [v], ["t"], keys)
+    cum = prefix_sum(counts, [value], ["t"], keys, rows=long)
     avg_rank = F.col("t_cum") - F.col("t") + (F.col("t") + 1) / 2
     return cum.groupBy(*keys).agg(
         F.sum("n0").alias("N0"), F.sum("n1").alias("N1"),
@@ -291,7 +269,7 @@ def roc_curve(scores: DataFrame, score: str = "score", y: str = "y") -> DataFram
     pts = scores.groupBy(score).agg(F.count_if(F.col(y) == 1).alias("dtp"),
                                     F.count_if(F.col(y) == 0).alias("dfp"))
     pts = pts.withColumn("one", F.lit(1))
-    cum = prefix_sum(pts, [s.desc()], ["dtp", "dfp", "one"])
+    cum = prefix_sum(pts, [s.desc()], ["dtp", "dfp", "one"], measure=-s)
     cum = cum.withColumnRenamed("one_cum", "idx")
     tot = scores.agg(F.count_if(F.col(y) == 1).alias("P"), F.count_if(F.col(y) == 0).alias("Nn"),
                      F.count_distinct(s).alias("K")).first()
