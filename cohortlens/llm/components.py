@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortlens.llm.shared import cut
+from cohortlens.llm.shared import stash
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -23,32 +23,26 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     smallest = around.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("centre"), F.least("a", "m").alias("m"))
     joined = around.join(smallest, around["a"] == smallest["centre"])
-    if large:
-        linked = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    else:
-        linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
-            joined.select(F.col("a"), F.col("m").alias("b")))
+    if large:  # not more edges than before, so repeated ones may stay until the small star
+        return joined.where("b > a and b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(
+        joined.select(F.col("a"), F.col("m").alias("b")))
     return linked.where("a <> b").distinct()
 
 
-def _sum(edges: DataFrame):
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-
 def components(edges: DataFrame) -> DataFrame:
     """node, component (the smallest node of its component) for every node of ``edges`` (a, b).
 
     Null ends and loops link nothing; repeated edges count once; no edges give
-    no rows.
+    no rows.  Each round is one write, which counts its edges and sums their
+    hashes on the way; equal sums end the rounds.
     """
-    edges = cut(edges.select("a", "b").where("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    seen = _sum(edges)
-    while seen[0]:
-        edges = cut(_star(_star(edges, large=True), large=False))
-        now = _sum(edges)
-        if now == seen:
+    edges, seen = edges.select("a", "b").where("a <> b"), None
+    while True:
+        edges = stash(_star(_star(edges, large=True), large=False), "component-edges", n=F.count(F.lit(1)),
+                      sum=F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")))
+        if seen == edges.measured or not edges.measured["n"]:
             break
-        seen = now
+        seen = edges.measured
     leaves = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return leaves.union(leaves.select(F.col("component").alias("node"), "component").distinct())

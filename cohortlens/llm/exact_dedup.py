@@ -25,12 +25,15 @@ from pyspark.sql import functions as F
 
 from cohortlens.llm import golomb
 from cohortlens.llm.shared import bounded_batches, cut, lean_task, texts_of, with_ids, without_ids
+from cohortlens.operators.salted import salted_join
 
 FINGERPRINT_BITS = 48
 #: Rows that a sender sorts at a time.
 SENDER_ROWS = 1 << 20
-#: Suspect fingerprints that may be broadcast (8 bytes each); beyond it they are joined.
-BROADCAST_SUSPECTS = 4_000_000
+#: Fingerprints (with copies of one) that an owner compares at a time.
+OWNER_ROWS = 1 << 21
+#: Ids of suspects that may be broadcast (8 bytes each); beyond it texts and ids are shuffled to meet.
+BROADCAST_SUSPECTS = 1_000_000
 
 BLOCK = ("sender long, owner int, n int, bits int, code binary, uids array<long>, "
          "doc_ids array<long>, digests binary, member binary")
@@ -118,29 +121,20 @@ def _unpack(batches):
                 names=["uid", "doc_id", "digest", "suspect"])
 
 
-def _texts(known):
-    """Texts with digests; only those whose fingerprint is in ``known``, where that is given."""
-    def run(batches):
-        have = None if known is None else known.value
-        for batch in batches:
-            texts = [normalise(t) for t in texts_of(batch.column(0))]
-            digests = [hashlib.sha256(t).digest() for t in texts]
-            keep = range(len(texts))
-            if have is not None and len(texts):
-                prints = _fingerprints(digests)
-                at = np.minimum(np.searchsorted(have, prints), len(have) - 1)
-                keep = np.flatnonzero(have[at] == prints)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([digests[i] for i in keep], pa.binary()), pa.array([texts[i] for i in keep], pa.binary())],
-                names=["digest", "body"])
-    return run
+def _texts(batches):
+    """Normalised texts with their digests."""
+    for batch in batches:
+        texts = [normalise(t) for t in texts_of(batch.column(0))]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([hashlib.sha256(t).digest() for t in texts], pa.binary()), pa.array(texts, pa.binary())],
+            names=["digest", "body"])
 
 
 def fingerprint_table(docs: DataFrame, owners: int | None = None) -> DataFrame:
     """One row per document: uid, doc_id, digest (SHA-256), suspect (may have a copy)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    owners = owners or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    owners = owners or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // OWNER_ROWS))
     blocks = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean_task(_send(owners)), BLOCK))
     answers = (blocks.select("sender", "owner", "n", "bits", "code")
                .groupBy("owner").applyInArrow(_answer, "sender long, owner int, marks binary"))
@@ -151,24 +145,20 @@ def fingerprint_table(docs: DataFrame, owners: int | None = None) -> DataFrame:
 
 def exact_groups(docs: DataFrame, broadcast_suspects: int = BROADCAST_SUSPECTS) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256: one row for each row of ``docs``."""
-    spark = docs.sparkSession
     rows = fingerprint_table(docs)
     suspects = rows.where("suspect")
     groups = suspects.groupBy("digest").agg(
         F.max(F.struct("doc_id", "uid")).alias("last"), F.count(F.lit(1)).alias("group_size"))
     groups = cut(groups.where("group_size > 1"))
 
-    wanted = groups.select("digest")
-    n = groups.count()
-    if n <= broadcast_suspects:
-        found = _fingerprints([bytes(r[0]) for r in wanted.toLocalIterator()]) if n else np.empty(0, np.uint64)
-        known = spark.sparkContext.broadcast(np.unique(found)) if n else None
-        texts = docs.select("text").mapInArrow(lean_task(_texts(known)), "digest binary, body binary")
-        if not n:
-            texts = texts.where("false")
-    else:
-        texts = docs.select("text").mapInArrow(lean_task(_texts(None)), "digest binary, body binary").join(
-            wanted, "digest", "left_semi")
+    shown = rows.select("uid", "doc_id", F.lower(F.hex("digest")).alias("text_sha256"), "suspect")
+    single = [F.col("doc_id"), F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
+              F.lit(True).alias("kept"), F.col("text_sha256")]
+    if not groups.measured["n"]:
+        return shown.select(*single)
+    # Only the texts of suspects are read again; the ids go to the texts, broadcast if they are few.
+    texts = with_ids(docs.select("doc_id", "text"), suspects.select("doc_id").distinct(), most=broadcast_suspects)
+    texts = texts.select("text").mapInArrow(lean_task(_texts), "digest binary, body binary")
     # The byte check: the shuffle key is the whole text, combined before it is dealt out.
     bodies = texts.groupBy("digest", "body").agg(F.count(F.lit(1)).alias("copies"))
     checked = bodies.groupBy("digest").agg(F.count(F.lit(1)).alias("bodies"), F.sum("copies").alias("copies"))
@@ -179,15 +169,12 @@ def exact_groups(docs: DataFrame, broadcast_suspects: int = BROADCAST_SUSPECTS)
                        .otherwise(F.raise_error(F.lit("different texts share a SHA-256 digest")).cast("boolean"))
                        .alias("sure"))
                .where("sure"))
-    shown = rows.select("uid", "doc_id", F.lower(F.hex("digest")).alias("text_sha256"), "suspect")
-    alone = shown.where("not suspect").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"),
-        F.lit(True).alias("kept"), "text_sha256")
-    grouped = shown.where("suspect").join(keepers, "text_sha256", "left").select(
+    # One large group may hold much of the suspects.
+    grouped = salted_join(shown.where("suspect"), keepers, "text_sha256", "left").select(
         "doc_id", F.when(F.col("last").isNull(), F.col("doc_id")).otherwise(F.col("last.doc_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("last.uid") == F.col("uid"), F.lit(True)).alias("kept"), "text_sha256")
-    return alone.unionByName(grouped)
+    return shown.where("not suspect").select(*single).unionByName(grouped)
 
 
 def drop_exact_copies(docs: DataFrame) -> DataFrame:

@@ -299,8 +299,8 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     signs = signatures(docs, size, num, den, QUARTER)
     classes = _classes(signs)
     groups, tokens = _tokens(classes)
-    hit = cut(tokens.select("n", "prefix_key").distinct())
-    reps = cut(classes.join(hit, ["n", "prefix_key"], "left_semi").select(F.col("rep").alias("doc_id")))
+    hit = tokens.select("n", "prefix_key").distinct()
+    reps = classes.join(hit, ["n", "prefix_key"], "left_semi").select(F.col("rep").alias("doc_id"))
 
     # Again for one document of each class that has a token in common with
     # another, now in the order of all their shingles.
@@ -343,7 +343,23 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
         "lo < hi and o_lo = lower and o_hi = upper").select(
         F.col("token").alias("t"), F.col("lower").alias("l"), F.col("upper").alias("u"))
     open_ = stash(places.join(mixed, (F.col("token") == F.col("t")) & (F.least("own", "other") == F.col("l"))
-                              & (F.greatest("own", "other") == F.col("u")), "left_semi"), "jaccard-open")
+                              & (F.greatest("own", "other") == F.col("u")), "left_semi"), "jaccard-open", n=F.count(F.lit(1)))
+    if open_.measured["n"]:
+        rest = cut(_between(open_, ids, stars, profile, num, den))
+        if rest.measured["n"]:
+            parts = components(parts.where("node <> component").select(
+                F.col("node").alias("a"), F.col("component").alias("b")).union(_verified(rest, docs, size, num, den)))
+
+    found = stash(classes.join(parts, F.col("rep") == F.col("node"), "left").select(
+        F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("part")), "jaccard-found")
+    discard(classes, nodes, signs2, live, profile, open_)
+    return signs.join(found, F.col("digest") == F.col("c_digest"), "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("part")).alias("component_id"))
+
+
+def _between(open_: DataFrame, ids: DataFrame, tried: DataFrame, profile: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components in the open lists that may be similar and were not ``tried``."""
     held = open_.groupBy("token", "own", "other", "part").agg(F.max(F.col("n") - F.col("pos")).alias("room"),
                                                              F.min("n").alias("least"))
     p, q = held.alias("p"), held.alias("q")
@@ -357,19 +373,9 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
              .join(v, F.expr("w.token = v.token and w.own = v.other and w.other = v.own and w.part_q = v.part and "
                              + _sizes_fit("u", "v", num, den)))
              .select(F.least("u.id", "v.id").alias("a"), F.greatest("u.id", "v.id").alias("b")).distinct())
-    tried = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    tried = tried.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = pairs.join(tried, ["a", "b"], "left_anti")
-    rest = cut(_share_enough(rest, ids.join(profile, F.col("i_gid") == F.col("gid")).select("id", "n", "own"), num, den))
-    if not rest.isEmpty():
-        parts = components(parts.where("node <> component").select(
-            F.col("node").alias("a"), F.col("component").alias("b")).union(_verified(rest, docs, size, num, den)))
-
-    found = stash(classes.join(parts, F.col("rep") == F.col("node"), "left").select(
-        F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("part")), "jaccard-found")
-    discard(classes, nodes, signs2, live, profile, open_)
-    return signs.join(found, F.col("digest") == F.col("c_digest"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("part")).alias("component_id"))
+    return _share_enough(rest, ids.join(profile, F.col("i_gid") == F.col("gid")).select("id", "n", "own"), num, den)
 
 
 def _share_enough(pairs: DataFrame, profiles: DataFrame, num: int, den: int) -> DataFrame:

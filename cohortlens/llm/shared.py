@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch that a task turns into numpy arrays at a time.
@@ -16,22 +17,20 @@ SLICE_ROWS = 512
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir`` where it is set.
+    """The folder all executors share: ``spark.checkpoint.dir``, else the context's checkpoint folder.
 
-    Only where neither the setting nor a checkpoint folder exists (a local
-    test session) a scratch folder is made and registered.
+    Only a local session (one machine, no executors) without either gets a
+    scratch folder; on a cluster that is an error.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="text-checkpoint-"))
-    return named or context._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` once, reliably, and go on from the written rows."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="text-checkpoint-"))
+    return context._jsc.sc().getCheckpointDir().get()
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -39,15 +38,26 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stash(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
+def stash(df: DataFrame, name: str, **measures) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    ``measures`` are aggregates that the write takes on its way; they stand in
+    ``measured`` of the result.
+    """
     path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    seen = Observation()
+    observed = df.observe(seen, *[m.alias(k) for k, m in measures.items()]) if measures else df
+    observed.write.option("compression", "zstd").parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
-    out.stash_path = path
+    out.stash_path, out.measured = path, seen.get if measures else {}
     return out
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` once, reliably, and go on from the written rows; ``measured["n"]`` is their number."""
+    return stash(df, "cut", n=F.count(F.lit(1)))
+
+
 def discard(*stashed: DataFrame) -> None:
     """Remove the files of stashed frames that nothing reads any more."""
     for df in stashed:
@@ -140,18 +150,18 @@ def ragged(starts, lengths):
 BROADCAST_IDS = 1_000_000
 
 
-def _id_join(docs: DataFrame, ids: DataFrame, how: str, column: str) -> DataFrame:
+def _id_join(docs: DataFrame, ids: DataFrame, how: str, column: str, most: int) -> DataFrame:
     ids = cut(ids.select(F.col(column).alias("__wanted")))
-    if ids.count() <= BROADCAST_IDS:
+    if ids.measured["n"] <= most:
         ids = F.broadcast(ids)
     return docs.join(ids, docs[column].eqNullSafe(ids["__wanted"]), how)
 
 
-def without_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+def without_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id", most: int = BROADCAST_IDS) -> DataFrame:
     """The rows of ``docs`` whose id is not in ``ids``; the counted ids are broadcast if they are few."""
-    return _id_join(docs, ids, "left_anti", column)
+    return _id_join(docs, ids, "left_anti", column, most)
 
 
-def with_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id") -> DataFrame:
+def with_ids(docs: DataFrame, ids: DataFrame, column: str = "doc_id", most: int = BROADCAST_IDS) -> DataFrame:
     """The rows of ``docs`` whose id is in ``ids``; the counted ids are broadcast if they are few."""
-    return _id_join(docs, ids, "left_semi", column)
+    return _id_join(docs, ids, "left_semi", column, most)

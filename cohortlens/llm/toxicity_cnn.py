@@ -33,10 +33,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cohortlens.llm.shared import bounded_batches, cut, discard, lean_task, stash, text_slices
+from cohortlens.llm.shared import bounded_batches, discard, lean_task, stash, text_slices
 from cohortlens.llm.shingles import word_codes
 
 MAX_TRAIN = 6_000
@@ -202,28 +203,36 @@ def fit(column: pa.Array, toxic: np.ndarray, seed: int = 7) -> Model:
     return model
 
 
+def _best_cut(counts: pa.Table) -> pa.Table:
+    """The threshold of the best F1 (then the highest) of one language's counts by score step."""
+    counts = counts.sort_by([("step", "descending")])
+    n, hit, low, high = (counts.column(c).to_numpy() for c in ("n", "hit", "low", "high"))
+    flagged, right = np.cumsum(n), np.cumsum(hit)
+    best = int(np.argmax(2 * right / (flagged + right[-1])))
+    below = high[best + 1] if best + 1 < len(high) else 0.0
+    return pa.table({"lang": counts.column("lang").slice(0, 1), "n": [int(flagged[-1])], "hit": [int(right[-1])],
+                     "cut": [float(low[best] + below) / 2]},
+                    schema=pa.schema([("lang", pa.string()), ("n", pa.int64()), ("hit", pa.int64()), ("cut", pa.float64())]))
+
+
 def calibrate(model: Model, scored: DataFrame, least: int = 30) -> None:
     """A threshold for each language: the best F1 over ``scored`` (lang, score, toxic), rows that the fit did not see.
 
     A language with fewer than ``least`` such rows, or one class only, takes
     the threshold of all rows together.  The threshold lies midway between the
     lowest score that is flagged and the next below it, and not under 0.2.
-    Only the thresholds, a row for each language, come to the driver.
+    Rows are counted by language and score step before they meet, so a
+    language's group is bounded by the steps; only the thresholds, a row for
+    each language, come to the driver.
     """
     step = F.floor(F.log(F.col("score") / (1 - F.col("score"))) * STEPS).alias("step")
-    own = cut(scored.groupBy(F.coalesce("lang", F.lit("")).alias("lang"), step).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hit"), F.min("score").alias("low"), F.max("score").alias("high")))
     # The rows of all languages together have no language.
-    every = own.groupBy("step").agg(F.sum("n").alias("n"), F.sum("hit").alias("hit"), F.min("low").alias("low"),
-                                    F.max("high").alias("high")).withColumn("lang", F.lit(None).cast("string"))
-    whole = Window.partitionBy("lang")
-    down = whole.orderBy(F.col("step").desc())
-    sums = own.unionByName(every).select(
-        "lang", "step", "low", F.lead("high", 1, 0.0).over(down).alias("below"), F.sum("n").over(down).alias("n"),
-        F.sum("hit").over(down).alias("hit"), F.sum("n").over(whole).alias("rows"), F.sum("hit").over(whole).alias("toxic"))
-    best = sums.where("toxic > 0 and toxic < rows").where(F.col("lang").isNull() | (F.col("rows") >= least)).groupBy("lang").agg(
-        F.max_by((F.col("low") + F.col("below")) / 2, F.struct(2 * F.col("hit") / (F.col("n") + F.col("toxic")), "step")).alias("at"))
-    found = {r["lang"]: max(0.2, r["at"]) for r in best.collect()}
+    each = F.explode(F.array(F.coalesce("lang", F.lit("")), F.lit(None).cast("string"))).alias("lang")
+    counts = scored.select(each, step, "toxic", "score").groupBy("lang", "step").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("hit"), F.min("score").alias("low"), F.max("score").alias("high"))
+    cuts = counts.groupBy("lang").applyInArrow(_best_cut, "lang string, n long, hit long, cut double").collect()
+    found = {r["lang"]: max(0.2, r["cut"]) for r in cuts
+             if 0 < r["hit"] < r["n"] and (r["lang"] is None or r["n"] >= least)}
     model.threshold = found.pop(None, model.threshold)
     model.thresholds = found
 
@@ -271,9 +280,8 @@ def _fitted(docs: DataFrame, known: DataFrame) -> Model:
 
 def _scores(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang, short, score of every row, written once; texts are not shuffled to meet their labels."""
-    return stash(score(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lang(docs).alias("lang"),
-                                   _short().alias("short")), model, ("doc_id", "lang", "short")).select(
-        "doc_id", "lang", "short", F.col("__score").alias("score")), "toxicity-scores")
+    return stash(_scored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lang(docs).alias("lang"),
+                                     _short().alias("short")), model, ("doc_id", "lang", "short"), "score"), "toxicity-scores")
 
 
 def _calibrated(model: Model, scores: DataFrame, known: DataFrame) -> Model:
@@ -295,28 +303,36 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Mod
     return model
 
 
-def _score(model):
+def _score(model, alias: str):
     def run(batches):
         for piece in text_slices(batches, 0, 2 << 20):
-            scores = score_texts(model.value, piece.column(0))
-            own = [model.value.thresholds.get(x or "", model.value.threshold) for x in piece.column(1).to_pylist()]
-            flagged = (scores >= np.array(own)) & (model.value.constant is None)
             yield pa.RecordBatch.from_arrays(
-                [*piece.columns[2:], pa.array(scores, pa.float64()), pa.array(flagged)],
-                names=[*piece.schema.names[2:], "__score", "__flagged"])
+                [*piece.columns[1:], pa.array(score_texts(model.value, piece.column(0)), pa.float64())],
+                names=[*piece.schema.names[1:], alias])
     return lean_task(run)
 
 
-def score(docs: DataFrame, model: Model, columns=None) -> DataFrame:
-    """The columns of ``docs`` (or those named) with ``__score`` and ``__flagged``."""
-    from pyspark.sql import types as T
+def _scored(docs: DataFrame, model: Model, names, alias: str) -> DataFrame:
+    """The columns ``names`` of ``docs`` and the score."""
     bounded_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = docs.columns if columns is None else list(columns)
-    kind = T.StructType([*(docs.schema[c] for c in names), T.StructField("__score", T.DoubleType()),
-                         T.StructField("__flagged", T.BooleanType())])
-    return docs.select(F.col("text").cast("string").alias("__text"), _lang(docs).alias("__lang"),
-                       *[f"`{c}`" for c in names]).mapInArrow(_score(shared), kind)
+    kind = T.StructType([*(docs.schema[c] for c in names), T.StructField(alias, T.DoubleType())])
+    return docs.select(F.col("text").cast("string").alias("__text"), *[f"`{c}`" for c in names]).mapInArrow(_score(shared, alias), kind)
+
+
+def _flagged(model: Model, score: str, lang: Column) -> Column:
+    """Whether a score reaches the threshold of its language."""
+    own = F.lit(model.threshold)
+    if model.thresholds:
+        each = F.create_map(*[F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair])
+        own = F.coalesce(F.try_element_at(each, F.coalesce(lang, F.lit(""))), own)
+    return (F.col(score) >= own) & F.lit(model.constant is None)
+
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """The columns of ``docs`` with ``__score`` and ``__flagged``."""
+    out = _scored(docs, model, docs.columns, "__score")
+    return out.withColumn("__flagged", _flagged(model, "__score", _lang(docs)))
 
 
 def toxicity_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -325,16 +341,22 @@ def toxicity_table(docs: DataFrame, labels: DataFrame) -> DataFrame:
     model = _fitted(docs, known)
     scores = _scores(docs, model)
     _calibrated(model, scores, known)
-    own = F.lit(model.threshold)
-    if model.thresholds:
-        each = F.create_map(*[F.lit(x) for pair in sorted(model.thresholds.items()) for x in pair])
-        own = F.coalesce(F.try_element_at(each, F.coalesce("lang", F.lit(""))), own)
     return scores.select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"),
-        ((F.col("score") >= own) & F.lit(model.constant is None)).alias("flagged"))
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), _flagged(model, "score", F.col("lang")).alias("flagged"))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not flag, with all their columns."""
-    return score(docs, train(docs, labels)).where(~F.col("__flagged")).select(*[f"`{c}`" for c in docs.columns])
+    """The rows of ``docs`` that the classifier does not flag, with all their columns.
+
+    Each row is scored once: it is written with its score, and the thresholds
+    that the written scores give decide which rows are read back.
+    """
+    known = _labelled(labels, MAX_TRAIN)
+    model = _fitted(docs, known)
+    if model.constant is not None:
+        return docs
+    rows = stash(_scored(docs.withColumn("__short", _short()), model, [*docs.columns, "__short"], "__score"), "toxicity-rows")
+    _calibrated(model, rows.select(F.col("doc_id").cast("long").alias("doc_id"), _lang(docs).alias("lang"),
+                                   F.col("__short").alias("short"), F.col("__score").alias("score")), known)
+    return rows.where(~_flagged(model, "__score", _lang(docs))).select(*[f"`{c}`" for c in docs.columns])
