@@ -8,8 +8,11 @@ cross the blank before a word, so each distinct word is encoded once and
 texts are put together from their words; texts with runs of blanks (or a
 literal marker) are encoded whole.  Decoding goes from ids back to text, and
 every document is compared with its normalised text.  Every document is also
-encoded, whole, with the SentencePiece library; ``parity`` says whether the ids
-are equal.
+compared with the SentencePiece library; ``parity`` says whether the ids are
+equal.  Neither encoder looks over a word's bounds under the condition above,
+so texts that are put together from words are compared by their words, each
+distinct word once as it enters the cache; all others are encoded whole by the
+library too.
 
 Defined cases: a null text counts as empty and has no ids; repeated rows each
 get a row; an empty table gives an empty result; further columns are ignored.
@@ -17,6 +20,7 @@ get a row; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
+import operator
 import os
 import struct
 import zlib
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from cohortlens.llm.shared import bounded_batches, lean_task, ragged, text_slices, texts_of
 
 MARK = "▁"
-#: Of so many documents one is encoded with the SentencePiece library too (0: none); ``parity`` is null for the others.
+#: Of so many documents one is compared with the SentencePiece library too (0: none); ``parity`` is null for the others.
 PARITY_EVERY = 1
 #: Distinct words whose ids a Python worker keeps.
 WORD_CACHE = 1 << 18
@@ -123,6 +127,7 @@ class PieceCodec:
     """Encodes and decodes texts with one model file."""
 
     def __init__(self, path: str):
+        self.path, self.check = path, False
         with open(path, "rb") as file:
             self.model = ModelFile(file.read())
         self.tokenizer = build_tokenizer(self.model)
@@ -152,6 +157,13 @@ class PieceCodec:
         self.known: dict[bytes, int] = {}
         self.pool, self.used = np.empty(1 << 16, np.int32), 0
         self.word_starts, self.word_lengths = np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+        self.word_same = np.empty(1 << 14, bool)
+
+    def set_check(self, check: bool) -> None:
+        """Compare words with the library as they enter the cache; words from before have no flags."""
+        if check and not self.check:
+            self._clear()
+        self.check = check
 
     def normalise(self, text: str) -> str:
         if self.normaliser is not None:
@@ -174,8 +186,12 @@ class PieceCodec:
             self._clear()
             fresh = words
         if fresh:
-            lists = [e.ids for k in range(0, len(fresh), ENCODE_WORDS) for e in self.tokenizer.encode_batch_fast(
-                [MARK + w.decode() for w in fresh[k:k + ENCODE_WORDS]], add_special_tokens=False)]
+            lists, same = [], []
+            for k in range(0, len(fresh), ENCODE_WORDS):
+                some = [w.decode() for w in fresh[k:k + ENCODE_WORDS]]
+                found = [e.ids for e in self.tokenizer.encode_batch_fast([MARK + w for w in some], add_special_tokens=False)]
+                lists += found
+                same += list(map(operator.eq, library(self.path).encode(some), found)) if self.check else [False] * len(some)
             lengths = np.fromiter(map(len, lists), np.int64, len(lists))
             flat = np.fromiter(chain.from_iterable(lists), np.int32, int(lengths.sum()))
             while self.used + len(flat) > len(self.pool):
@@ -184,15 +200,21 @@ class PieceCodec:
             while first + len(fresh) > len(self.word_starts):
                 self.word_starts = np.concatenate([self.word_starts, np.empty_like(self.word_starts)])
                 self.word_lengths = np.concatenate([self.word_lengths, np.empty_like(self.word_lengths)])
+                self.word_same = np.concatenate([self.word_same, np.empty_like(self.word_same)])
             self.pool[self.used:self.used + len(flat)] = flat
             self.word_starts[first:first + len(fresh)] = self.used + np.cumsum(lengths) - lengths
             self.word_lengths[first:first + len(fresh)] = lengths
+            self.word_same[first:first + len(fresh)] = same
             self.known.update(zip(fresh, range(first, first + len(fresh)), strict=True))
             self.used += len(flat)
         return np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of normalised ``texts`` one after another, and the number of ids of each."""
+        """Ids of normalised ``texts`` one after another, and the number of ids of each.
+
+        ``simple`` says which texts went by words and, with ``check``, ``same``
+        whether the ids of all words of a text are the library's.
+        """
         simple = np.array([self.by_word and self.model.dummy_prefix and bool(t) and "  " not in t and MARK not in t
                            and t[0] != " " and t[-1] != " " for t in texts], bool)
         counts = np.zeros(len(texts), np.int64)
@@ -206,8 +228,10 @@ class PieceCodec:
         place = self._places(flat.dictionary.cast(pa.large_binary()).to_pylist())
         lengths = self.word_lengths[place][at]
         ids = self.pool[ragged(self.word_starts[place][at], lengths)]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        counts[easy] = np.diff(ends[np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])])
+        edges = np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+        counts[easy] = np.diff(np.concatenate([[0], np.cumsum(lengths)])[edges])
+        self.simple, self.same = simple, np.zeros(len(texts), bool)
+        self.same[easy] = np.diff(np.concatenate([[0], np.cumsum(~self.word_same[place][at])])[edges]) == 0
         if not len(rest):
             return ids, counts
         out = np.empty(int(counts.sum()), np.int32)
@@ -217,6 +241,26 @@ class PieceCodec:
             out[begins[i]:begins[i] + counts[i]] = e.ids
         return out, counts
 
+    def parity(self, raw: list[str], texts: list[str], ids: np.ndarray, counts: np.ndarray, which) -> list[bool | None]:
+        """Whether the ids that :meth:`encode` has just given for ``texts`` are the library's for the ``raw`` texts.
+
+        Texts that went by words go by their words' flags, if normalising left
+        them as they were; the others are encoded whole.  Null for texts that
+        are not in ``which``.
+        """
+        out: list[bool | None] = [None] * len(texts)
+        by_word = self.simple if self.check and self.normaliser is None else np.zeros(len(texts), bool)
+        left = []
+        for i in which:
+            if by_word[i] and raw[i] == texts[i]:
+                out[i] = bool(self.same[i])
+            else:
+                left.append(i)
+        whole = parity(self.path, raw, ids, counts, left)
+        for i in left:
+            out[i] = whole[i]
+        return out
+
     def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
         """The texts' bytes from ids; the leading blank that encoding adds is taken off."""
         lengths = self.lengths[ids]
@@ -240,12 +284,17 @@ def codec(path: str) -> PieceCodec:
 _LIBRARY: dict = {}
 
 
-def parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarray, which) -> list[bool | None]:
-    """Whether the ids of each text are those of the SentencePiece library; null for texts that are not in ``which``."""
+def library(path: str):
+    """The SentencePiece library's model (kept between tasks)."""
     import sentencepiece
     if path not in _LIBRARY:
         _LIBRARY[path] = sentencepiece.SentencePieceProcessor(model_file=path)
-    model, ends = _LIBRARY[path], np.concatenate([[0], np.cumsum(counts)]).tolist()
+    return _LIBRARY[path]
+
+
+def parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarray, which) -> list[bool | None]:
+    """Whether the ids of each text in ``which`` are those of the SentencePiece library for the whole text; else null."""
+    model, ends = library(path), np.concatenate([[0], np.cumsum(counts)]).tolist()
     out: list[bool | None] = [None] * len(texts)
     for i in which:
         out[i] = model.encode(texts[i]) == ids[ends[i]:ends[i + 1]].tolist()
@@ -262,13 +311,14 @@ def check_parity(path: str, texts: list[str], ids: np.ndarray, counts: np.ndarra
 def _run(path: str, parity_every: int, with_ids: bool):
     def run(batches):
         coder = codec(path)
+        coder.set_check(parity_every == 1)
         for piece in text_slices(batches, 1, 1 << 20):
             raw = [t.decode() for t in texts_of(piece.column(1))]
             texts = [coder.normalise(t) for t in raw]
             ids, counts = coder.encode(texts)
-            back = coder.decode(ids, counts)
             which = [i for i, t in enumerate(raw) if parity_every and zlib.crc32(t.encode()) % parity_every == 0]
-            same = parity(path, raw, ids, counts, which)
+            same = coder.parity(raw, texts, ids, counts, which)
+            back = coder.decode(ids, counts)
             ends = np.concatenate([[0], np.cumsum(counts)]).tolist()
             code = ids.astype("<u4").tobytes()
             parts = [code[4 * a:4 * b] for a, b in zip(ends, ends[1:], strict=False)]

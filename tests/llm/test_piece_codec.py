@@ -1,4 +1,6 @@
+import random
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -90,3 +92,33 @@ def test_a_difference_shows_in_its_row():
     ids = ids.copy()
     ids[counts[0]] += 1
     assert parity(PATH, texts, ids, counts, [0, 1]) == [True, False, None]
+
+
+def test_flags_of_words_equal_the_comparison_of_whole_texts():
+    rng = random.Random(8)
+    alphabet = "ab é.日😀x" + chr(0x301) + chr(0xFF41) + "\n"
+    texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 30))) for _ in range(400)] + TEXTS
+    coder = PieceCodec(PATH)
+    coder.set_check(True)
+    normal = [coder.normalise(t) for t in texts]
+    ids, counts = coder.encode(normal)
+    assert coder.simple.sum() > 50
+    assert coder.parity(texts, normal, ids, counts, range(len(texts))) == parity(PATH, texts, ids, counts, range(len(texts)))
+
+
+def test_a_wrong_word_shows_in_exactly_its_texts():
+    coder = PieceCodec(PATH)
+    coder.set_check(True)
+    real = coder.tokenizer
+
+    class Wrong:
+        def encode_batch_fast(self, words, add_special_tokens):
+            out = real.encode_batch_fast(words, add_special_tokens=add_special_tokens)
+            return [SimpleNamespace(ids=[*e.ids[:-1], e.ids[-1] + 1] if w == "▁bad" else e.ids)
+                    for w, e in zip(words, out, strict=True)]
+    coder.tokenizer = Wrong()
+    texts = ["good words", "a bad word", "worse", "bad", "badly said", "not  bad here", "the bad bad end"]
+    ids, counts = coder.encode(texts)
+    wrong = [t in ("a bad word", "bad", "the bad bad end") for t in texts]
+    assert coder.parity(texts, texts, ids, counts, range(len(texts))) == [not w for w in wrong]
+    assert parity(PATH, texts, ids, counts, range(len(texts))) == [not w for w in wrong]
