@@ -3,7 +3,8 @@
 A message whose text is a JSON object with ``tool_calls`` gives, besides its
 content, one row for each call (``id``, ``name``, ``arguments``, also in the
 nested ``function`` form); one with ``tool_call_id`` is a result.  Further
-fields of such a message go into ``more`` of its line.  Results are
+fields of such a message, or of a call, go into ``more`` of its line, and
+content that is no string stays the JSON value it is.  Results are
 hash-joined to the first call with their identifier in the conversation.  The
 order keys put every result after its call, at the later of the two turns.
 Arguments are checked against parameter schemas; every row is serialised as
@@ -64,17 +65,40 @@ def parsed_messages(chats: DataFrame) -> DataFrame:
     whole = F.schema_of_variant(given).startswith("ARRAY") & calls.isNotNull() & ~F.exists(calls, lambda c: c.isNull())
     readable = F.coalesce(whole, F.lit(False)) | (no_calls & F.col("message.tool_call_id").isNotNull())
     more = F.map_filter("fields", lambda k, _: ~k.isin("content", "tool_calls", "tool_call_id"))
+    content = F.try_element_at("fields", F.lit("content"))
     return out.select("conv_id", "turn", "role", "text", F.when(readable, F.col("message")).alias("message"),
-                      F.when(readable & (F.size(more) > 0), more).alias("more"))
+                      F.when(readable & (F.size(more) > 0), more).alias("more"),
+                      F.when(readable & (F.schema_of_variant(content) != "VOID"), content).alias("content"),
+                      F.when(readable, F.try_variant_get(given, "$", "array<variant>")).alias("given"))
+
+
+def _fields(value: Column) -> Column:
+    return F.from_json(F.to_json(value), "map<string,variant>")
+
+
+def _more_of_call() -> Column:
+    """The fields of a call that have no column of their own, those of its ``function`` object included."""
+    fields = _fields(F.col("whole"))
+    inner = F.try_element_at(fields, F.lit("function"))
+    is_object = F.coalesce(F.schema_of_variant(inner).startswith("OBJECT"), F.lit(False))
+    # A name or arguments of the nested form are left over where the outer form gives them.
+    left = F.map_filter(_fields(F.when(is_object, inner)), lambda k, _: ~(
+        ((k == "name") & F.col("call.name").isNull()) | ((k == "arguments") & F.col("call.arguments").isNull())))
+    nested = F.when(is_object & (F.size(left) > 0), F.map_from_arrays(
+        F.array(F.lit("function")), F.array(F.try_parse_json(F.to_json(left)))))
+    plain = F.map_filter(fields, lambda k, _: ~k.isin("id", "name", "arguments") & ~((k == "function") & is_object))
+    more = F.when(nested.isNull(), plain).otherwise(F.map_concat(plain, nested))
+    return F.when(F.size(more) > 0, more)
 
 
 def calls_of(messages: DataFrame) -> DataFrame:
-    """conv_id, turn, role, place, call_id, tool, arguments of every call."""
-    return messages.where("message.tool_calls is not null").select(
-        "conv_id", "turn", "role", F.posexplode("message.tool_calls").alias("place", "call")).select(
+    """conv_id, turn, role, place, call_id, tool, arguments, more (its other fields) of every call."""
+    both = F.posexplode(F.arrays_zip(F.col("message.tool_calls").alias("call"), F.col("given").alias("whole")))
+    return messages.where("message.tool_calls is not null").select("conv_id", "turn", "role", both.alias("place", "both")).select(
+        "conv_id", "turn", "role", "place", F.col("both.call").alias("call"), F.col("both.whole").alias("whole")).select(
         "conv_id", "turn", "role", "place", F.col("call.id").alias("call_id"),
         F.coalesce("call.name", "call.function.name").alias("tool"),
-        F.coalesce("call.arguments", "call.function.arguments", F.lit("{}")).alias("arguments"))
+        F.coalesce("call.arguments", "call.function.arguments", F.lit("{}")).alias("arguments"), _more_of_call().alias("more"))
 
 
 def checked_calls(calls: DataFrame, schemas=SCHEMAS) -> DataFrame:
@@ -110,7 +134,7 @@ def format_chats(chats: DataFrame, schemas=SCHEMAS) -> DataFrame:
     calls = checked_calls(calls_of(messages), schemas)
     results = messages.where("message.tool_call_id is not null").select(
         "conv_id", "turn", "role", F.col("message.tool_call_id").alias("call_id"),
-        F.coalesce("message.content", F.lit("")).alias("content"), "more")
+        F.coalesce("content", F.lit("").cast("variant")).alias("content"), "more")
     first = calls.where("call_id is not null").groupBy("conv_id", "call_id").agg(
         F.min(F.struct("turn", "place")).alias("at")).select(
         F.col("conv_id").alias("f_conv"), F.col("call_id").alias("f_call"), "at")
@@ -121,8 +145,9 @@ def format_chats(chats: DataFrame, schemas=SCHEMAS) -> DataFrame:
         "conv_id", F.col("turn").alias("at_turn"), F.lit(0).alias("step"), F.lit(0).alias("place"), "turn",
         F.lit("message").alias("kind"), F.lit(None).cast("string").alias("call_id"), F.lit("plain").alias("status"),
         F.lit("").alias("faults"),
-        F.to_json(F.struct(F.when(F.col("message").isNull(), F.col("text")).otherwise(
-            F.coalesce("message.content", F.lit(""))).alias("content"), "more", "role", "turn")).alias("line"))
+        F.when(F.col("message").isNull(), F.to_json(F.struct(F.col("text").alias("content"), "role", "turn"))).otherwise(
+            F.to_json(F.struct(F.coalesce("content", F.lit("").cast("variant")).alias("content"), "more", "role", "turn")))
+        .alias("line"))
     linked = (calls.join(first, F.col("conv_id").eqNullSafe(F.col("f_conv")) & (F.col("call_id") == F.col("f_call")), "left")
               .join(answered, F.col("conv_id").eqNullSafe(F.col("r_conv")) & (F.col("call_id") == F.col("r_call")), "left"))
     is_first = F.col("at").isNull() | (F.struct("turn", "place") == F.col("at"))
@@ -130,7 +155,7 @@ def format_chats(chats: DataFrame, schemas=SCHEMAS) -> DataFrame:
         "conv_id", F.col("turn").alias("at_turn"), F.lit(1).alias("step"), "place", "turn", F.lit("call").alias("kind"),
         "call_id", F.when(~is_first, "repeated").when(F.col("results").isNull(), "unanswered").otherwise("answered").alias("status"),
         F.array_join("faults", ",").alias("faults"),
-        F.to_json(F.struct(F.try_parse_json("canonical").alias("arguments"), "call_id", "role", "tool", "turn")).alias("line"))
+        F.to_json(F.struct(F.try_parse_json("canonical").alias("arguments"), "call_id", "more", "role", "tool", "turn")).alias("line"))
     result_rows = results.join(first, F.col("conv_id").eqNullSafe(F.col("f_conv")) & (F.col("call_id") == F.col("f_call")),
                                "left").select(
         "conv_id", F.greatest("turn", "at.turn").alias("at_turn"), F.lit(2).alias("step"),

@@ -85,3 +85,27 @@ def test_further_fields_stay_in_the_line(spark):
     assert got["message", 0] == '{"content":"","more":{"a":{"z":1},"b":[1,null]},"role":"assistant","turn":0}'
     assert got["result", 1] == '{"call_id":"a","content":"c","more":{"name":"lookup"},"role":"tool","turn":1}'
     assert got["message", 2] == '{"content":"plain","role":"user","turn":2}' and ("call", 0) in got and len(got) == 4
+
+
+def test_fields_of_calls_and_typed_content_stay(spark):
+    calls = [{"id": "a", "type": "function", "extra": {"k": [1, None]}, "function": {"name": "lookup", "arguments": {"key": "k"}, "strict": True}},
+             {"id": "b", "name": "lookup", "arguments": {"key": "k"}, "function": {"name": "other", "arguments": "{}"}},
+             {"id": "c", "name": "lookup", "arguments": {"key": "k"}, "function": "text"}, {"id": "d", "name": "lookup"}]
+    rows = [(1, 0, "assistant", json.dumps({"tool_calls": calls, "content": [{"type": "text", "text": "t"}]})),
+            (1, 1, "tool", '{"tool_call_id": "a", "content": {"k": 1}}'), (1, 2, "tool", '{"tool_call_id": "b", "content": 5}'),
+            (1, 3, "tool", '{"tool_call_id": "c", "content": "5"}'), (1, 4, "tool", '{"tool_call_id": "d", "content": null}')]
+    got = {(r["kind"], r["call_id"]): json.loads(r["line"]) for r in chat(spark, rows)}
+    assert got["message", None]["content"] == [{"type": "text", "text": "t"}]
+    assert [got["result", x]["content"] for x in "abcd"] == [{"k": 1}, 5, "5", ""]
+    assert got["call", "a"]["more"] == {"type": "function", "extra": {"k": [1, None]}, "function": {"strict": True}}
+    assert got["call", "b"]["more"] == {"function": {"name": "other", "arguments": "{}"}}
+    assert got["call", "c"]["more"] == {"function": "text"} and "more" not in got["call", "d"]
+    assert got["call", "a"]["tool"] == "lookup" and got["call", "a"]["arguments"] == {"key": "k"}
+
+
+def test_repeated_rows_of_one_call(spark):
+    call = json.dumps({"tool_calls": [{"id": "a", "name": "lookup", "arguments": {"key": "k"}}]})
+    rows = [(1, 0, "assistant", call), (1, 0, "assistant", call), (1, 1, "tool", '{"tool_call_id": "a", "content": "c"}')]
+    got = chat(spark, rows)
+    assert [r["status"] for r in got if r["kind"] == "call"] == ["answered", "answered"]
+    assert [r["status"] for r in got if r["kind"] == "result"] == ["linked"] and len(got) == 5
