@@ -1,8 +1,8 @@
 """Known licences by a canonical digest of the whole text.
 
-A text is brought to a canonical form: A-Z lowered, copyright lines dropped,
-punctuation and white space folded to single blanks, equivalent spellings
-united.  The SHA-256 digest of that form is hash-joined to the digests of
+A text is brought to a canonical form: line ends united, copyright lines and
+SPDX identifiers dropped, A-Z lowered, punctuation and white space (a
+byte-order mark, too) folded to single blanks, equivalent spellings united.  The SHA-256 digest of that form is hash-joined to the digests of
 known licence texts, which go through the same expressions.  Known are
 ``LICENSES`` and the files of ``licenses/`` (named by their SPDX identifier),
 each with and without its title lines and with and without what follows its
@@ -16,14 +16,21 @@ ignored.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A notice goes on with a sign, a year or "by"; a wrapped line of a licence may begin with "copyright" too.
-COPYRIGHT_LINE = "(^|\n)[ \t*#/;-]*(copyright[ \t:,]+(\\(c\\)|©|[0-9<\\[{]|by )|\\(c\\)|©|all rights reserved)[^\n]*"
+#: Lines of a text may end in any of these ways; a byte-order mark stands before one.
+LINE_ENDS = "\r\n?|\ufeff"
+#: Copyright is a right, not a notice, where one of these words follows it.
+NO_NOTICE = "Copyright([ \t]+(Act|Disclaimer|Holder|Interest|Law|Licen[cs]e|Notice|Office|Owner|Permission|Right|Statement|Treaty))"
+#: A notice goes on with a sign, a year, "by" or a capital letter; a wrapped line of a licence may begin with "copyright" too.
+COPYRIGHT_LINE = ("(^|\n)[ \t*#/;-]*([Cc]opyright[ \t:,]+(\\([Cc]\\)|©|[0-9<\\[{]|[Bb]y )|COPYRIGHT[ \t:,]+(\\([Cc]\\)|©|[0-9<\\[{]|BY )"
+                  "|Copyright[ \t:,]+[A-Z]|\\([Cc]\\)|©|[Aa]ll [Rr]ights [Rr]eserved|ALL RIGHTS RESERVED|[Ss][Pp][Dd][Xx]-License-Identifier:)[^\n]*")
 #: ASCII characters that are no letters or digits, and typographic marks.
 MARKS = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F\\x{2018}\\x{2019}\\x{201C}\\x{201D}\\x{2013}\\x{2014}\\x{2022}\\x{A9}\\x{A0}]+"
 # Spellings that licence texts use for one another.
@@ -79,12 +86,34 @@ you use this software in a product, an acknowledgment in the product documentati
 required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or
+as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright
+interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the
+detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of
+all present and future rights to this software under copyright law.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE
+LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT
+OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+
+For more information, please refer to <https://unlicense.org>""",
     "Apache-2.0 notice": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0 notice": "This work is licensed under the GNU General Public License, version 3.",
     "MIT notice": "Released under the MIT License.",
 }
 
+#: Further wordings of known licences: (name, what it has, what the wording has instead).
+WORDINGS = (
+    ("ISC", "modify, and/or distribute", "modify, and distribute"), ("0BSD", "modify, and/or distribute", "modify, and distribute"),
+    ("Unlicense", "https://unlicense.org", "http://unlicense.org/"), ("Unlicense", "https://unlicense.org", "http://unlicense.org"),
+)
+
 FILES = Path(__file__).with_name("licenses")
 #: Title lines at the top of a file.
 HEADS = {"Apache-2.0": 3, "Artistic-1.0-Perl": 1, "CC-BY-SA-4.0": 2, "CC0-1.0": 2, "GFDL-1.2": 2, "GFDL-1.3": 2, "GPL-1.0": 2,
@@ -101,6 +130,7 @@ TITLES = {
     "BSD-3-Clause-UC": ("BSD 3-Clause License", "BSD License"),
     "ISC": ("ISC License", "ISC License (ISC)"),
     "MIT": ("MIT License", "MIT License (MIT)", "(MIT License)", "Expat License", "MIT/Expat License", "License (MIT)"),
+    "Unlicense": ("The Unlicense", "Unlicense", "Public Domain"),
     "Zlib": ("zlib License", "zlib/libpng License"),
 }
 
@@ -119,21 +149,39 @@ def known_texts() -> list[tuple[str, str]]:
             lines = form.splitlines()
             titled = [i for i, line in enumerate(lines) if line.strip()][:HEADS.get(name, 0)]
             out += [(name, form), *((name, "\n".join(lines[i + 1:])) for i in titled)]
+        bodies_of = [body, *(body.replace(one, other) for known, one, other in WORDINGS if known == name and one in body)]
+        out += [(name, other) for other in bodies_of[1:]]
         for title in TITLES.get(name, ()):
-            out += [(name, f"{title}\n\n{body}"), (name, f"The {title}\n\n{body}"), (name, f"{name}\n\n{body}")]
+            for other in bodies_of:
+                out += [(name, f"{title}\n\n{other}"), (name, f"The {title}\n\n{other}"), (name, f"{name}\n\n{other}")]
     return out
 
 
 def canonical(text: Column) -> Column:
     """The canonical form of a text."""
-    out = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    out = F.regexp_replace(out, COPYRIGHT_LINE, "\n")
-    out = F.regexp_replace(out, MARKS, " ")
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), LINE_ENDS, "\n")
+    out = F.regexp_replace(F.regexp_replace(out, NO_NOTICE, "copyright$1"), COPYRIGHT_LINE, "\n")
+    out = F.regexp_replace(F.translate(out, UPPER, LOWER), MARKS, " ")
     for one, other in SPELLINGS:
         out = F.replace(out, F.lit(one), F.lit(other))
     return F.trim(out)
 
 
+def known_digests() -> dict[str, str]:
+    """The digest of every form of the known licences with the first name, for the SQL: by the same steps, in Python."""
+    marks = re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: chr(int(m[1], 16)), MARKS)
+    out: dict[str, str] = {}
+    for name, text in known_texts():
+        text = re.sub(COPYRIGHT_LINE, "\n", re.sub(NO_NOTICE, r"copyright\1", re.sub(LINE_ENDS, "\n", text)))
+        text = re.sub(marks, " ", text.translate(str.maketrans(UPPER, LOWER)))
+        for one, other in SPELLINGS:
+            text = text.replace(one, other)
+        if text := text.strip(" "):
+            code = hashlib.sha256(text.encode()).hexdigest()
+            out[code] = min(name, out.get(code, name))
+    return out
+
+
 def digest(text: Column) -> Column:
     return F.sha2(F.encode(canonical(text), "UTF-8"), 256)
 

@@ -69,27 +69,26 @@ def op2_token_codes(spark, sf_dir):
 
 
 def _licence_sql() -> str:
-    from cohortlens.llm.license_digest import COPYRIGHT_LINE, LICENSES, MARKS, SPELLINGS
+    from cohortlens.llm.license_digest import COPYRIGHT_LINE, LINE_ENDS, MARKS, NO_NOTICE, SPELLINGS, known_digests
 
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 
-    def form(column: str) -> str:
-        out = (f"regexp_replace(regexp_replace(translate(coalesce({column}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
-               f"'abcdefghijklmnopqrstuvwxyz'), {quoted(COPYRIGHT_LINE)}, chr(10), 'g'), {quoted(MARKS)}, ' ', 'g')")
-        for one, other in SPELLINGS:
-            out = f"replace({out}, {quoted(one)}, {quoted(other)})"
-        return f"sha256(trim({out}, ' '))"
-    names = ", ".join(f"({quoted(k)}, {quoted(v)})" for k, v in LICENSES.items())
+    form = (f"regexp_replace(regexp_replace(regexp_replace(coalesce(text, ''), {quoted(LINE_ENDS)}, chr(10), 'g'), "
+            f"{quoted(NO_NOTICE)}, 'copyright\\1', 'g'), {quoted(COPYRIGHT_LINE)}, chr(10), 'g')")
+    form = (f"regexp_replace(translate({form}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+            f"{quoted(MARKS)}, ' ', 'g')")
+    for one, other in SPELLINGS:
+        form = f"replace({form}, {quoted(one)}, {quoted(other)})"
+    known = ", ".join(f"({quoted(code)}, {quoted(name)})" for code, name in known_digests().items())
     return f"""
 SELECT doc_id, canonical_sha256, license
-FROM (SELECT doc_id, {form("text")} AS canonical_sha256 FROM documents)
-LEFT JOIN (SELECT {form("body")} AS known, min(name) AS license FROM (VALUES {names}) v(name, body) GROUP BY 1)
-  ON canonical_sha256 = known AND known <> sha256('')"""
+FROM (SELECT doc_id, sha256(trim({form}, ' ')) AS canonical_sha256 FROM documents)
+LEFT JOIN (VALUES {known}) v(known, license) ON canonical_sha256 = known"""
 
 
 def _url_sql() -> str:
-    from cohortlens.llm.url_filter import CANONICAL, GOTO, HREF, REFRESH, RULES
+    from cohortlens.llm.url_filter import BASES, CANONICAL, COMMENT, GOTO, HREF, LINKS, METAS, REFRESH, RULES
     q = lambda text: text.replace("'", "''")
     lower = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')".format
     host = lambda url: lower(f"regexp_extract(coalesce({url}, ''), '://([^/?#]*)', 1)")
@@ -100,17 +99,36 @@ def _url_sql() -> str:
         bare = f"regexp_extract({url}, '^([^#]*)', 1)"
         return (f"CASE WHEN contains({bare}, '://') THEN " + lower(f"regexp_extract({bare}, '^(.*?://[^/?#]*)', 1)")
                 + f" || regexp_extract({bare}, '^.*?://[^/?#]*(.*)$', 1) END")
+
+    def each(form: str, mark: str, value: str) -> str:
+        return (f"list_transform(list_filter(regexp_extract_all(html, '{q(form)}'), lambda t: regexp_matches(t, '{q(mark)}')), "
+                f"lambda t: regexp_extract(t, '{q(value)}', 1))")
+
+    def target(base: str, link: str) -> str:
+        scheme, bare = f"regexp_extract({base}, '^([^:]*):', 1)", f"regexp_extract({link}, '^([^?#]*)', 1)"
+        root, rest = f"{scheme} || '://' || {host(base)}", f"regexp_extract({link}, '^[^?#]*(.*)$', 1)"
+        page = f"CASE WHEN {path(base)} = '' THEN '/' ELSE {path(base)} END"
+        parts = f"string_split(regexp_replace({page}, '[^/]*$', '') || {bare}, '/')"
+        folded = (f"list_reduce(list_prepend('', {parts}[2:]), lambda done, part: CASE WHEN part = '.' THEN done "
+                  "WHEN part = '..' THEN regexp_replace(done, '/[^/]*$', '') ELSE done || '/' || part END)")
+        ends = f"CASE WHEN {parts}[-1] IN ('.', '..') THEN '/' ELSE '' END"
+        return f"""CASE WHEN starts_with({link}, '//') THEN {scheme} || ':' || {link}
+    WHEN starts_with({link}, '/') THEN {root} || {link}
+    WHEN regexp_matches({link}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN CASE WHEN contains({link}, '://') THEN {link} END
+    WHEN NOT contains({base}, '://') OR starts_with({link}, '#') THEN NULL
+    WHEN {bare} = '' THEN {root} || {page} || {rest}
+    ELSE {root} || CASE WHEN {folded} = '' THEN '/' ELSE {folded} || {ends} END || {rest} END"""
     return f"""
 WITH RECURSIVE rules(rule_host, rule_path, rule_verdict) AS (VALUES {rules}),
+clean AS (
+  SELECT url, regexp_replace(html, '{q(COMMENT)}', ' ', 'g') AS html FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
 links AS (
-  SELECT url, unnest([regexp_extract(regexp_extract(html, '{q(CANONICAL)}', 0), '{q(HREF)}', 1),
-                      regexp_extract(regexp_extract(html, '{q(REFRESH)}', 0), '{q(GOTO)}', 1)]) AS link
-  FROM pages WHERE url IS NOT NULL AND html IS NOT NULL),
-targets AS (
-  SELECT url AS source, CASE WHEN starts_with(l, '//') THEN regexp_extract(url, '^([^:]*):', 1) || ':' || l
-    WHEN starts_with(l, '/') THEN regexp_extract(url, '^([^:]*):', 1) || '://' || {host("url")} || l
-    WHEN contains(l, '://') THEN l END AS target
-  FROM (SELECT url, replace(link, '&amp;', '&') AS l FROM links WHERE link <> '')),
+  SELECT url, replace({each(BASES, HREF, HREF)}[1], '&amp;', '&') AS base,
+         unnest(list_concat({each(LINKS, CANONICAL, HREF)}, {each(METAS, REFRESH, GOTO)})) AS link FROM clean),
+bases AS (
+  SELECT url, coalesce(CASE WHEN base <> '' THEN {target("url", "base")} END, url) AS base, replace(link, '&amp;', '&') AS l
+  FROM links WHERE link <> ''),
+targets AS (SELECT url AS source, {target("base", "l")} AS target FROM bases),
 edges AS (SELECT {node("source")} AS a, {node("target")} AS b FROM targets WHERE target IS NOT NULL),
 ways AS (SELECT a, b FROM edges WHERE a <> b UNION SELECT b, a FROM edges WHERE a <> b),
 reach AS (SELECT a AS node, a AS other FROM ways UNION SELECT reach.node, ways.b FROM reach JOIN ways ON ways.a = reach.other),

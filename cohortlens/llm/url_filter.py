@@ -5,9 +5,11 @@ rule decides.  A page that no rule fits takes the decision of its aliases:
 connected components over redirect and canonical-link edges carry an explicit
 allow, else a block, to every member; else the default holds.
 
-Edges come from the pages (``<link rel=canonical>``, ``<meta http-equiv=refresh>``)
-and from a table of redirects (source, target), if one is given.  Targets that
-are relative to the scheme, the root or the page's URL are resolved; those of
+Edges come from all ``<link>`` tags of a page with ``canonical`` among their
+``rel`` words, from all its ``<meta http-equiv=refresh>`` and from a table of
+redirects (source, target), if one is given.  Comments are left out; a tag ends
+at its first ``>``.  Targets that are relative to the scheme, the root or the
+base (the page's first ``<base href>``, else its URL) are resolved; those of
 schemes without ``://`` (``mailto:``) are no edges.  A node is a URL without its
 fragment.
 
@@ -29,9 +31,11 @@ RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com"
          ("org", "/fr/", "allow"))
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-CANONICAL = r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*>"""
-REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*>"""
-HREF = r"""(?i)\bhref\s*=\s*["']?([^"'\s>]+)"""
+COMMENT = r"(?s)<!--.*?(?:-->|\z)"
+LINKS, METAS, BASES = (rf"(?i)<{tag}\b[^>]*>" for tag in ("link", "meta", "base"))
+CANONICAL = r"""(?i)[\s"'/]rel\s*=\s*(?:"(?:[^"]*\s)?canonical(?:\s[^"]*)?"|'(?:[^']*\s)?canonical(?:\s[^']*)?'|canonical[\s>/])"""
+REFRESH = r"""(?i)[\s"'/]http-equiv\s*=\s*["']?\s*refresh["'\s>/]"""
+HREF = r"""(?i)[\s"'/]href\s*=\s*["']?\s*([^"'\s>]+)"""
 GOTO = r"""(?i)\burl\s*=\s*["']?([^"'\s>;]+)"""
 
 
@@ -85,10 +89,16 @@ def _node(url: Column) -> Column:
 
 def alias_edges(pages: DataFrame) -> DataFrame:
     """source, target of the canonical links and refreshes in ``pages``."""
-    links = pages.where("url is not null and html is not null").select("url", F.explode(F.array(
-        F.regexp_extract(F.regexp_extract("html", CANONICAL, 0), HREF, 1),
-        F.regexp_extract(F.regexp_extract("html", REFRESH, 0), GOTO, 1))).alias("link")).where("link <> ''")
-    return links.select(F.col("url").alias("source"), _target(F.col("url"), F.col("link")).alias("target")).where(
+    html = F.regexp_replace("html", COMMENT, " ")
+    tags = lambda form: F.regexp_extract_all("html", F.lit(form), F.lit(0))
+    each = lambda form, mark, value: F.transform(F.filter(tags(form), lambda t: t.rlike(mark)),
+                                                 lambda t: F.regexp_extract(t, value, 1))
+    base = F.regexp_extract(F.try_element_at(F.filter(tags(BASES), lambda t: t.rlike(HREF)), F.lit(1)), HREF, 1)
+    links = (pages.where("url is not null and html is not null").select("url", html.alias("html"))
+             .select("url", base.alias("base"), F.explode(F.array_distinct(F.concat(
+                 each(LINKS, CANONICAL, HREF), each(METAS, REFRESH, GOTO)))).alias("link")).where("link <> ''"))
+    links = links.withColumn("base", F.coalesce(F.when(F.col("base") != "", _target(F.col("url"), F.col("base"))), "url"))
+    return links.select(F.col("url").alias("source"), _target(F.col("base"), F.col("link")).alias("target")).where(
         "target is not null")
 
 

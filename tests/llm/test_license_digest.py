@@ -41,3 +41,29 @@ def test_usual_headed_files_and_long_licences(spark, make_docs):
     ]
     got = {r.doc_id: r.license for r in license_matches(make_docs([(i, t) for i, (_, t) in enumerate(cases)])).collect()}
     assert got == {i: name for i, (name, _) in enumerate(cases)}
+
+
+def test_notices_without_year_and_foreign_line_ends(make_docs):
+    mit, bsd = LICENSES["MIT"], (FILES / "BSD-2-Clause.txt").read_text().split("\n", 1)[1]
+    cases = [("MIT", "Copyright Jane Doe\n\n" + mit), ("MIT", "# Copyright: The Foo Authors\nCopyright Foo Inc. and others\n" + mit),
+             ("MIT", chr(0xFEFF) + "MIT License\r\n\r\nCopyright (c) 2020 X\r\n\r\n" + mit.replace("\n", "\r\n")),
+             ("MIT", "MIT License\r\rCopyright X\r\r" + mit.replace("\n", "\r")), ("MIT", "// SPDX-License-Identifier: MIT\n" + mit),
+             ("BSD-2-Clause", "Copyright Jane Doe\n" + bsd), ("ISC", LICENSES["ISC"].replace("and/or", "and")),
+             ("Unlicense", "The Unlicense\n\n" + LICENSES["Unlicense"]), (None, "SPDX-License-Identifier: MIT"),
+             (None, mit.replace("The above copyright notice", "\nCopyright Notice and")), (None, "Copyright Jane Doe")]
+    got = {r.doc_id: r.license for r in license_matches(make_docs([(i, t) for i, (_, t) in enumerate(cases)])).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(cases)}
+
+
+def test_sql_knows_all_texts(make_docs):
+    import duckdb
+
+    from cohortlens.llm.license_digest import known_texts
+    from cohortlens.llm.queries import ORACLE
+    dress = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: chr(0xFEFF) + "Copyright Some One\n" + t, lambda t: t + "\n\n ** "]
+    docs = make_docs([(i, dress[i % 4](t)) for i, (_, t) in enumerate(known_texts())] + [(1000, None), (1001, "x"), (1002, "")])
+    con = duckdb.connect()
+    con.register("documents", docs.select("doc_id", "text").toPandas())
+    want = con.execute(f"SELECT doc_id, canonical_sha256, license FROM ({ORACLE['op5_license_digest']})").fetchall()
+    got = sorted(map(tuple, license_matches(docs).select("doc_id", "canonical_sha256", "license").collect()))
+    assert got == sorted(want) and sum(r[2] is not None for r in want) == len(known_texts())

@@ -1,4 +1,4 @@
-from cohortlens.llm.url_filter import url_verdicts
+from cohortlens.llm.url_filter import alias_edges, url_verdicts
 
 KIND = "page_id long, url string, html string, host string, node string, component string"
 
@@ -61,3 +61,55 @@ def test_relative_targets(spark):
             page(3, "http://c.test/blog", link("?id=3")), page(4, "http://c.test/blog?id=3", link("http://example.com/de/1")),
             page(5, "http://c.test/other", link("mailto:x@example.com"))]
     assert {i: v[3] for i, v in verdicts(spark, rows).items()} == {1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
+def targets(spark, html, url="http://h.a/x/y.html?q"):
+    pages = spark.createDataFrame([(1, url, html)], "page_id long, url string, html string")
+    return sorted(r.target for r in alias_edges(pages).collect())
+
+
+def test_all_links_of_a_page_count(spark):
+    html = ('<link rel="canonical" href="http://one.a/"><LINK href=http://two.a/ rel=canonical>'
+            "<link rel='shortcut canonical' href='http://three.a/'><link rel=\"x canonical\ty\" href=\"http://four.a/\">"
+            '<meta http-equiv="refresh" content="0; url=http://five.a/"><meta content="0;URL=\'http://six.a/\'" http-equiv=Refresh>')
+    assert targets(spark, html) == [f"http://{x}.a/" for x in sorted(("one", "two", "three", "four", "five", "six"))]
+
+
+def test_comments_other_rels_and_attributes_do_not_count(spark):
+    html = ('<!-- <link rel="canonical" href="http://no.a/"> --><link rel="canonical-x" href="http://no.a/">'
+            '<link data-rel="canonical" rel="icon" href="http://no.a/"><link rel="canonical" data-href="http://no.a/">'
+            '<!-- open <meta http-equiv="refresh" content="0; url=http://no.a/">')
+    assert targets(spark, html) == []
+
+
+def test_base_of_relative_targets(spark):
+    link = '<link rel="canonical" href="../z/./w.html?p=1">'
+    assert targets(spark, link) == ["http://h.a/z/w.html?p=1"]
+    assert targets(spark, '<base target=x><base href="http://b.a/p/q/"><base href="/no/">' + link) == ["http://b.a/p/z/w.html?p=1"]
+    assert targets(spark, '<base href="/r/s/t">' + link) == ["http://h.a/r/z/w.html?p=1"]
+    assert targets(spark, "<link " + 'x="" ' * 60_000 + 'rel=canonical href="/long">') == ["http://h.a/long"]
+
+
+def test_sql_agrees_on_links_of_every_form(spark):
+    import duckdb
+
+    from cohortlens.llm.queries import ORACLE, QUERIES  # noqa: F401
+    from cohortlens.llm.url_filter import url_verdicts
+    forms = ["http://b{i}.net/", "//b{i}.net/p", "/root{i}", "p{i}.html", "../up/./d{i}/..", "?id={i}", "#f", "mailto:a@b", "./", "..", "x&amp;y={i}"]
+    rows = []
+    for i in range(120):
+        link = forms[i % len(forms)].format(i=i % 7)
+        tag = (f'<link rel="canonical" href="{link}">' if i % 3 else f'<meta http-equiv=refresh content="1; url={link}">')
+        base = f'<base href="/base{i % 4}/sub/x">' if i % 5 == 0 else ""
+        hide = f"<!--{tag}-->" if i % 11 == 0 else tag
+        rows.append((i, [f"http://h{i % 9}.com/d/e{i % 13}", f"http://b{i % 7}.net/p", None, "no scheme", f"HTTP://Ex.org/fr/{i}?x#y"][i % 5],
+                     None if i % 29 == 0 else base + hide))
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = url_verdicts(pages)
+    con = duckdb.connect()
+    con.register("frame", pages.toPandas())
+    con.execute("CREATE VIEW pages AS SELECT * FROM frame")
+    want = con.execute(ORACLE["op4_url_filter"]).fetchall()
+    names = [d[0] for d in con.description]
+    assert sorted(map(tuple, got.select(*names).collect()), key=repr) == sorted(want, key=repr)
+    assert sum(r[names.index("component")] is not None for r in want) > 20
