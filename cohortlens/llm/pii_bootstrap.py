@@ -1,8 +1,10 @@
 """Personal data by fixed forms and by bootstrapped contexts.
 
 Base spans follow fixed forms (e-mail, IP, card with Luhn check, phone).  They
-are the seeds: the words before a seed make lexical patterns.  Tokens that
-look like an identifier of a kind but miss its fixed form are candidates.
+are the seeds: the one and the two whole words before a seed make lexical
+patterns (of a word of more than ``LONG_WORD`` code points its digest stands in
+them).  Tokens that look like an identifier of a kind (``LOOSE``) but miss its
+fixed form are candidates, names of any length included.
 Patterns and values form a bipartite graph of distinct (pattern, kind, value)
 edges; Spark scores it in a few rounds: a pattern's confidence is the share of
 its values that are believed, a value's belief grows with the patterns that
@@ -20,6 +22,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -27,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.shared import bounded_batches, cut, lean_task, stash
+from cohortlens.operators.salted import salted_join
 
 KINDS = ("email", "ip", "card", "phone")
 ROUNDS = 3
@@ -40,11 +44,15 @@ IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[0-9]")
+WORD = re.compile(r"\S+")
+#: Code points of a word that a pattern shows as it is.
+LONG_WORD = 64
 NOT_DIGIT = re.compile(r"[^0-9]")
 
 #: What an identifier of a kind can look like without having its fixed form.
 LOOSE = (
-    ("email", re.compile(r"[A-Za-z0-9._%+-]{2,64}(?:@|\(at\)|\[at\])[A-Za-z0-9-]{2,64}(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]{1,64})*")),
+    # A name begins where its run of characters begins, so a long run is tried once.
+    ("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(?:@|\(at\)|\[at\])[A-Za-z0-9-]+(?:(?:\.|\(dot\)|\[dot\])[A-Za-z0-9-]+)*")),
     ("ip", re.compile(r"[0-9a-fA-F]{0,4}(?::[0-9a-fA-F]{0,4}){4,7}|[0-9]{1,3}(?:[.,][0-9]{1,3}){3}")),
     ("card", re.compile(r"[0-9](?:[.\x20/-]?[0-9]){12,18}")),
     ("phone", re.compile(r"(?:00[0-9]|\(?0?[0-9]{2,5}\)?)(?:[\x20/.-]?[0-9]){5,12}")),
@@ -97,17 +105,34 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def patterns(text: str, start: int) -> list[str]:
-    """The one and the two words before a place, digits folded."""
-    words = re.sub(r"[0-9]", "0", text[max(0, start - 48):start].lower()).split()
-    if not words:
-        return ["^"]
-    return [" ".join(words[-k:]) for k in (1, 2) if len(words) >= k]
+class Words:
+    """The words of a text (without white space), to find those before a place."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.ends = [m.span() for m in WORD.finditer(text)]
+        self.starts = [a for a, _ in self.ends]
+
+    def _folded(self, start: int, end: int) -> str:
+        word = DIGITS.sub("0", self.text[start:end].lower())
+        return word if len(word) <= LONG_WORD else hashlib.blake2b(word.encode(), digest_size=16).hexdigest()
+
+    def patterns(self, place: int) -> list[str]:
+        """The one and the two words before ``place``, digits folded; of a word around it, what stands before."""
+        last = bisect_left(self.starts, place) - 1
+        words = [self._folded(a, min(b, place)) for a, b in self.ends[max(0, last - 1):last + 1]]
+        return [" ".join(words[-k:]) for k in (1, 2) if len(words) >= k] or ["^"]
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
     """Loose forms that stand alone and meet no base span."""
-    taken = sorted((a, b) for _, a, b in base)
+    begins, ends = [], []  # the base spans, united where they meet
+    for a, b in sorted((a, b) for _, a, b in base):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            begins.append(a)
+            ends.append(b)
     out = []
     for kind, (_, form) in enumerate(LOOSE):
         if not (DIGITS.search(text) if kind else ("@" in text or "at)" in text or "at]" in text)):
@@ -115,7 +140,10 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
         for m in form.finditer(text):
             a, b = m.span()
             alone = (a == 0 or not text[a - 1].isalnum()) and (b == len(text) or not text[b].isalnum())
-            if alone and not any(a < y and x < b for x, y in taken):
+            if not alone:
+                continue
+            at = bisect_right(ends, a)  # the first base span that ends behind the candidate's begin
+            if at == len(begins) or begins[at] >= b:
                 out.append((kind, a, b))
     return out
 
@@ -135,13 +163,14 @@ def _scan(batches):
             text = text or ""
             base = base_spans(text)
             near = [(k, a, b, True) for k, a, b in base] + [(k, a, b, False) for k, a, b in candidates(text, base)]
+            words = Words(text) if near else None
             for k in range(len(KINDS)):
                 counts[k].append(sum(s[0] == k for s in base))
             sums.append(hashlib.sha256(spans_text(base).encode()).hexdigest())
             bases.append([{"kind": k, "start": a, "end": b} for k, a, b in base])
             nears.append([{"kind": k, "start": a, "end": b, "seed": seed,
                            "value": hashlib.blake2b(text[a:b].lower().encode(), digest_size=12).hexdigest(),
-                           "patterns": patterns(text, a)} for k, a, b, seed in near])
+                           "patterns": words.patterns(a)} for k, a, b, seed in near])
         uids = pa.array(range((part << 40) + at, (part << 40) + at + batch.num_rows), pa.int64())
         at += batch.num_rows
         yield pa.RecordBatch.from_arrays(
@@ -153,8 +182,8 @@ def _scan(batches):
 def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """pattern, kind, confidence, seeds from distinct edges (pattern, kind, value, seed).
 
-    Sums are combined before they are dealt out, so a frequent pattern or value
-    does not gather its edges in one task.
+    Sums are combined before they are dealt out, and joins deal the edges of a
+    frequent pattern or value over several tasks.
     """
     edges = cut(edges)
     size = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("values"))
@@ -167,7 +196,7 @@ def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
                   .select("pattern", "kind", "seeds", (F.col("believed") / (F.col("values") + 0.5)).alias("confidence")))
         scored = cut(scored)
         strong = scored.where(F.col("confidence") >= 0.5).select("pattern", "kind", "confidence")
-        raised = edges.where("not seed").join(strong, ["pattern", "kind"]).groupBy("kind", "value").agg(
+        raised = salted_join(edges.where("not seed"), strong, ["pattern", "kind"]).groupBy("kind", "value").agg(
             (1 - F.exp(F.sum(F.log(1 - 0.9 * F.col("confidence"))))).alias("belief"))
         unseen = edges.where("not seed").select("kind", "value").distinct().join(raised, ["kind", "value"], "left").select(
             "kind", "value", F.coalesce("belief", F.lit(0.0)).alias("belief"))
@@ -183,8 +212,8 @@ def personal_data(docs: DataFrame, confidence: float = CONFIDENCE, support: int
     seen = near.select("kind", "value", "seed", F.explode("patterns").alias("pattern"))
     edges = seen.groupBy("pattern", "kind", "value").agg(F.bool_or("seed").alias("seed"))
     good = score_patterns(edges).where((F.col("confidence") >= confidence) & (F.col("seeds") >= support))
-    added = (near.where("not seed").withColumn("pattern", F.explode("patterns"))
-             .join(good.select("pattern", F.col("kind"), "confidence"), ["pattern", "kind"])
+    behind = near.where("not seed").select("uid", "start", "end", "kind", F.explode("patterns").alias("pattern"))
+    added = (salted_join(behind, good.select("pattern", "kind", "confidence"), ["pattern", "kind"])
              .groupBy("uid", "start", "end").agg(F.max(F.struct("confidence", (-F.col("kind")).alias("rank"))).alias("best"))
              .select("uid", F.struct((-F.col("best.rank")).alias("kind"), "start", "end").alias("span")))
     # The spans of one document: as many as it has candidates.

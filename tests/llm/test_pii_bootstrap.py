@@ -5,7 +5,7 @@ import re
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from cohortlens.llm.pii_bootstrap import base_spans, luhn, personal_data, spans_text
+from cohortlens.llm.pii_bootstrap import Words, base_spans, candidates, luhn, personal_data, score_patterns, spans_text
 
 FORMS = (("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
          ("card", r"[0-9]([\x20-]?[0-9])+"), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"))
@@ -64,3 +64,65 @@ def test_documents_match_brute_force_and_contexts_add(make_docs):
 
 def test_empty_table(make_docs):
     assert personal_data(make_docs([])).collect() == []
+
+
+def test_many_spans_in_one_text_take_linear_time():
+    import time
+    took = []
+    for n in (4_000, 16_000):
+        text = " ".join(f"mail u{i}@h{i}.com or j{i}(at)m{i}(dot)com" for i in range(n))
+        began = time.perf_counter()
+        base = base_spans(text)
+        near = candidates(text, base)
+        words = Words(text)
+        found = {tuple(words.patterns(a)) for _, a, _ in near}
+        took.append(time.perf_counter() - began)
+        assert len(base) == n and len([k for k, _, _ in near if k == 0]) == n
+        assert ("or", "u000@h000.com or") in found
+    assert took[1] < 12 * took[0]
+    began = time.perf_counter()
+    assert candidates("a" * 400_000 + "(at)" + "b" * 400_000, []) == [(0, 0, 800_004)]
+    assert candidates("x" * 400_000 + " (at)", []) == [] and time.perf_counter() - began < 5
+
+
+def test_short_names_and_long_words():
+    text = "to j(at)mail(dot)com"
+    assert candidates(text, []) == [(0, 3, 20)]
+    long = "w" * 100
+    words = Words(f"{long} mail a(at)b(dot)c {long[:-1]} x")
+    one, two = words.patterns(106)
+    assert one == "mail" and two.endswith(" mail") and two != Words(f"{long[:-1]} mail a").patterns(105)[1]
+    assert Words("contact:(a(at)b").patterns(9) == ["contact:("] and Words("x").patterns(0) == ["^"]
+    spans = sorted((k, a, b) for k, a, b in candidates("1.2.3.4, 5.6.7.8 and 9,9,9,9", [(1, 0, 7)]) if k == 1)
+    assert spans == [(1, 9, 16), (1, 21, 28)]
+
+
+def brute_scores(edges, rounds=3):
+    """The pattern-value graph scored edge by edge."""
+    import math
+    belief = {(k, v): 1.0 if seed else 0.0 for _, k, v, seed in edges}
+    size = {}
+    for p, *_ in edges:
+        size[p] = size.get(p, 0) + 1
+    for _ in range(rounds):
+        scores = {}
+        for p, k, v, seed in edges:
+            believed, seeds = scores.get((p, k), (0.0, 0))
+            scores[p, k] = (believed + belief[k, v], seeds + seed)
+        scores = {(p, k): (b / (size[p] + 0.5), s) for (p, k), (b, s) in scores.items()}
+        for k, v in belief:
+            if not any(seed for _, k2, v2, seed in edges if (k2, v2) == (k, v)):
+                doubt = [math.log(1 - 0.9 * scores[p, k][0]) for p, k2, v2, _ in edges if (k2, v2) == (k, v) and scores[p, k][0] >= 0.5]
+                belief[k, v] = 1 - math.exp(sum(doubt)) if doubt else 0.0
+    return {key: (round(c, 9), s) for key, (c, s) in scores.items()}
+
+
+def test_the_graph_is_scored_as_by_hand(spark):
+    import random
+    rng = random.Random(6)
+    seeds = {(k, f"v{i}"): rng.random() < 0.5 for k in range(3) for i in range(25)}
+    edges = sorted({(f"p{min(rng.randrange(12), rng.randrange(12))}", k, v) for _ in range(260) for k, v in [rng.choice(sorted(seeds))]})
+    edges = [(*e, seeds[e[1:]]) for e in edges]
+    df = spark.createDataFrame(edges, "pattern string, kind int, value string, seed boolean")
+    got = {(r.pattern, r.kind): (round(r.confidence, 9), r.seeds) for r in score_patterns(df).collect()}
+    assert got == brute_scores(edges)
