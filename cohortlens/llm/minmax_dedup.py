@@ -154,21 +154,20 @@ def _promising(least: int):
             upper = np.array([r[6] != lo for r in rows])
             codes = np.frombuffer(b"".join(r[7] for r in rows), np.uint16).reshape(len(rows), 2 * PERMUTATIONS)
             a, b = (np.flatnonzero(~upper), np.flatnonzero(upper)) if lo != hi else (np.arange(len(rows)),) * 2
-            agree = np.zeros((len(a), len(b)), np.int16)
             allowed = parts[a][:, None] != parts[b]
             if lo == hi:
                 allowed &= reps[a][:, None] < reps[b]
             if not allowed.any():
                 continue
-            for k in range(BANDS):
-                whole = np.ones_like(allowed)
-                for c in range(k * BAND, (k + 1) * BAND):
-                    same = codes[a, c][:, None] == codes[b, c]
-                    agree += same
-                    if k < band:
-                        whole &= same
-                if k < band:  # met in an earlier bucket
-                    allowed &= ~whole
+            agree = np.zeros((len(a), len(b)), np.int16)
+            # A band at a time for large groups, all values at once for small ones.
+            step = BAND if len(a) * len(b) > 4096 else 2 * PERMUTATIONS
+            for c in range(0, 2 * PERMUTATIONS, step):
+                same = codes[a, c:c + step][:, None] == codes[b, c:c + step]
+                agree += same.sum(axis=2, dtype=np.int16)
+                if c < band * BAND:  # pairs that met in an earlier bucket
+                    earlier = same[:, :, :max(0, min(step, band * BAND - c))]
+                    allowed &= ~earlier.reshape(len(a), len(b), -1, BAND).all(axis=3).any(axis=2)
             x, y = np.nonzero(allowed & (agree >= least))
             if not len(x):
                 continue
@@ -280,7 +279,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, num: int = 85, den: int = 10
             .groupBy("rep").agg(F.max(F.struct("agree", (-F.col("hub")).alias("hub"))).alias("best"))
             .select("rep", (-F.col("best.hub")).alias("hub")))
     best = stash(best, "minmax-stars")
-    many = best.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / (2 * BLOCK)).cast("int").alias("parts")).withColumnRenamed("hub", "h")
+    many = best.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) * 2 / BLOCK).cast("int").alias("parts")).withColumnRenamed("hub", "h")
     spokes = best.join(many, F.col("hub") == F.col("h")).select(
         "hub", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("deal"), "rep", F.array("hub").alias("partners"))
     centres = many.select(F.col("h").alias("hub"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("deal"),
