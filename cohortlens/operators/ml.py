@@ -15,15 +15,16 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.operators.evaluation import fold_aucs
-from cohortlens.operators.prefix import prefix_sum
+from cohortlens.operators.bijection import ROUNDS, permutation_keys, permute
+from cohortlens.operators.prefix import hex_measure, prefix_sum
 from cohortlens.operators.stats import roc_auc
 from cohortlens.session import checkpoint_dir, cut_lineage
 
@@ -231,38 +232,50 @@ def coefficients(model, cols: Sequence[str], spark) -> DataFrame:
               .orderBy(F.col("abs_coefficient").desc(), F.col("feature")))
 
 
-def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn, repeats: int = 50,
-                           seed: int = 42, id_col: str = "run_accession") -> DataFrame:
+def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn=None, repeats: int = 50,
+                           seed: int = 42, id_col: str = "run_accession", model: LinearModel | None = None,
+                           digits: int | None = None) -> DataFrame:
     """Mean and population std over repeats of the AUC drop when one
     column is permuted.
 
-    Permutations are keyed (md5 of seed, feature, repeat, id): every sample
-    gets a position from the prefix sum over ids, and for each (feature,
-    repeat) the donor at the same position in md5 order supplies the value.
-    All (feature, repeat, sample) rows are scored in one transform."""
+    Rows are numbered by a digest of their id.  For each (feature, repeat) a
+    keyed bijection of the numbers (``permute``) names the row whose value is
+    taken, so rows x features x repeats need no sort.  With a linear ``model``
+    a row's margin is its own margin plus the coefficient times the change of
+    the one value, and whole rows do not travel; else ``score_fn`` scores the
+    changed rows.  ``digits`` rounds margins before they are ranked."""
     cols = list(cols)
+    settle = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     base = df.select(id_col, F.col("y").cast("int").alias("y"), *[F.col(f"`{c}`") for c in cols])
-    base = base.withColumn("one", F.lit(1))
-    pos = prefix_sum(base, [F.col(id_col)], ["one"]).withColumnRenamed("one_cum", "pos").drop("one")
-    feats = F.array(*[F.struct(F.lit(i).alias("j"), F.col(f"`{c}`").cast("double").alias("v"))
+    keyed = base.withColumns({"one": F.lit(1), "__h": F.md5(F.col(id_col).cast("string"))})
+    pos = prefix_sum(keyed, ["__h", id_col], ["one"], measure=hex_measure("__h"))
+    pos = cut_lineage(pos.withColumn("pos", F.col("one_cum").cast("bigint") - 1).drop("one", "one_cum", "__h"))
+    n = pos.count()
+    # As many rows as there are features and repeats.
+    keys = F.broadcast(df.sparkSession.createDataFrame(
+        [(j, r, *permutation_keys(seed, j, r)) for j in range(len(cols)) for r in range(repeats)],
+        "j int, r int, " + ", ".join(f"k{i} long" for i in range(ROUNDS))))
+    feats = F.array(*[F.struct(F.lit(i).alias("j"), (_filled(c) if model else F.col(f"`{c}`").cast("double")).alias("v"))
                       for i, c in enumerate(cols)])
-    long = pos.select(id_col, "pos", F.explode(feats).alias("fv")).select(id_col, "pos", "fv.j", "fv.v")
-    reps = long.select(id_col, "j", "v", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("r"))
-    reps = reps.withColumn("h", F.md5(F.concat_ws(":", F.lit(seed), F.col("j"), F.col("r"),
-                                                  F.col(id_col).cast("string"))))
-    reps = reps.withColumn("one", F.lit(1))
-    donors = (prefix_sum(reps, [F.col("h"), F.col(id_col)], ["one"], ["j", "r"])
-              .select("j", "r", F.col("one_cum").alias("pos"), F.col("v").alias("pv")))
-    # Target rows: every sample for every (feature, repeat), with its position.
-    targets = pos.select(id_col, "y", "pos", *[F.col(f"`{c}`") for c in cols]).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(len(cols) - 1))).alias("j"))
-    targets = targets.select("*", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))).alias("r"))
-    joined = targets.join(donors, ["j", "r", "pos"])
-    permuted = joined.withColumns({c: F.when(F.col("j") == i, F.col("pv")).otherwise(F.col(f"`{c}`"))
-                                   for i, c in enumerate(cols)})
-    scored = score_fn(permuted)
-    perm_auc = roc_auc(scored, ["j", "r"])
-    base_auc = roc_auc(score_fn(df)).first()["auc"]
+    values = pos.select(F.col("pos").alias("d_pos"), F.inline(feats).alias("d_j", "pv"))
+    if model:
+        weights = F.array(*map(F.lit, model.raw[1:]))
+        targets = pos.select("y", "pos", model.margin().alias("margin"), F.inline(feats).alias("j", "v")).withColumn(
+            "weight", F.element_at(weights, F.col("j") + 1))
+    else:
+        targets = pos.select(id_col, "y", "pos", *[F.col(f"`{c}`") for c in cols], F.explode(F.sequence(
+            F.lit(0), F.lit(len(cols) - 1))).alias("j"))
+    moved = permute(targets.join(keys, "j"), n)
+    joined = moved.join(values.hint("shuffle_hash"), (F.col("donor") == F.col("d_pos")) & (F.col("j") == F.col("d_j")))
+    if model:
+        scored = joined.select("j", "r", "y", settle(F.col("margin") + F.col("weight") * (F.col("pv") - F.col("v"))).alias("score"))
+        own = pos.select("y", settle(model.margin()).alias("score"))
+    else:
+        permuted = joined.withColumns({c: F.when(F.col("j") == i, F.col("pv")).otherwise(F.col(f"`{c}`"))
+                                       for i, c in enumerate(cols)})
+        scored, own = score_fn(permuted), score_fn(df)
+    perm_auc = roc_auc(scored, ["j", "r"], most=n)  # every (feature, repeat) has each row once
+    base_auc = roc_auc(own, most=n).first()["auc"]
     names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "j int, feature string")
     drop = perm_auc.select("j", (F.lit(base_auc) - F.col("auc")).alias("d"))
     return (drop.groupBy("j").agg(F.avg("d").alias("importance_mean"),
@@ -271,23 +284,70 @@ def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn, repeats
                 .orderBy(F.col("importance_mean").desc(), F.col("feature")))
 
 
+def importance_heads(importance: DataFrame, coefficients: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The 20 features of the greatest mean importance and the 15 of the greatest absolute coefficient."""
+    return (importance.orderBy(F.col("importance_mean").desc(), "feature").limit(20),
+            coefficients.orderBy(F.col("abs_coefficient").desc(), "feature").limit(15))
+
+
+def gram(df: DataFrame, cols: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, means, population deviations and the correlation matrix (a constant column has zeros).
+
+    Two aggregates of one row each: the columns' statistics, then the
+    p (p + 1) / 2 sums of products about the means."""
+    cols = list(cols)
+    stats = column_stats(df, cols)
+    mean, std = (np.array([stats["cols"][c][i] for c in cols]) for i in (0, 1))
+    z = [(_filled(c) - F.lit(float(m))) / F.lit(float(s)) if s > 0 else F.lit(0.0) for c, m, s in zip(cols, mean, std)]
+    upper = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    row = df.agg(*[F.avg(z[i] * z[j]).alias(f"g{k}") for k, (i, j) in enumerate(upper)]).first()
+    out = np.zeros((len(cols), len(cols)))
+    for k, (i, j) in enumerate(upper):
+        out[i, j] = out[j, i] = row[f"g{k}"] or 0.0
+    return stats["n"], mean, std, out
+
+
+def jacobi(matrix: np.ndarray, sweeps: int = 60) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues (descending) and eigenvectors (columns) of a small symmetric matrix by rotations."""
+    a, v = np.array(matrix, float), np.eye(len(matrix))
+    for _ in range(sweeps):
+        off = np.abs(np.triu(a, 1)).max(initial=0.0)
+        if off <= 1e-15 * max(1.0, np.abs(np.diag(a)).max(initial=0.0)):
+            break
+        for p in range(len(a)):
+            for q in range(p + 1, len(a)):
+                if a[p, q]:
+                    # The angle that makes this entry zero.
+                    angle = 0.5 * math.atan2(2 * a[p, q], a[q, q] - a[p, p])
+                    c, s = math.cos(angle), math.sin(angle)
+                    turn = np.array([[c, s], [-s, c]])
+                    a[:, [p, q]] = a[:, [p, q]] @ turn
+                    a[[p, q]] = turn.T @ a[[p, q]]
+                    v[:, [p, q]] = v[:, [p, q]] @ turn
+    order = np.argsort(-np.diag(a), kind="stable")
+    return np.diag(a)[order], v[:, order]
+
+
 def pca2(df: DataFrame, cols: Sequence[str], id_col: str = "run_accession"):
     """M6: two principal components of standardised, 0-imputed features.
 
-    Returns (scores DataFrame, explained variance ratios); the sign of each
-    component is fixed so that its largest-magnitude loading is positive."""
+    The correlation matrix is one aggregate, its eigenvectors come from
+    rotations of that bounded matrix.  Returns (scores DataFrame, explained
+    variance ratios); the sign of each component is fixed so that its
+    largest-magnitude loading (the first of equal ones) is positive."""
     cols = list(cols)
     if len(cols) < 2:
         return None, []
-    z = _vectorize(standardize(df, cols), cols)
-    model = PCA(k=2, inputCol="features", outputCol="pc").fit(z)
-    pcs = model.pc.toArray()
-    signs = []
+    _, mean, std, matrix = gram(df, cols)
+    values, vectors = jacobi(matrix)
+    total = float(values.sum())
+    parts = []
     for k in range(2):
-        col = pcs[:, k]
-        signs.append(-1.0 if col[abs(col).argmax()] < 0 else 1.0)
-    arr = vector_to_array("pc")
+        load = vectors[:, k]
+        first = int(np.argmax(np.abs(load) > np.abs(load).max() - 1e-9))
+        load = -load if load[first] < 0 else load
+        parts.append(reduce(lambda x, y: x + y, [(_filled(c) - F.lit(float(m))) / F.lit(float(s)) * F.lit(float(w))
+                                                 for c, m, s, w in zip(cols, mean, std, load) if s > 0] or [F.lit(0.0)]))
     ids = [c for c in ("sample_id", id_col, "label") if c in df.columns]
-    out = model.transform(z).select(*ids, (arr[0] * signs[0]).alias("pc1"),
-                                    (arr[1] * signs[1]).alias("pc2"))
-    return out, [float(x) for x in model.explainedVariance.toArray()]
+    out = df.select(*ids, parts[0].alias("pc1"), parts[1].alias("pc2"))
+    return out, [float(x) / total if total else 0.0 for x in values[:2]]

@@ -140,8 +140,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], label: str = "label") -> DataF
 
 
 # ---- rank-sum machinery (M1, M2) ---------------------------------------------
-def rank_sums(long: DataFrame, keys: Sequence[str], value: str = "value", y: str = "y") -> DataFrame:
-    """Per key: N0, N1, R0 (= rank sum of class 0, tied ranks averaged),
+def rank_sums(long: DataFrame, keys: Sequence[str], value: str = "value", y: str = "y", most: int | None = None) -> DataFrame:
+    """Per key (of ``most`` rows at most, where that is known): N0, N1, R0 (= rank sum of class 0, tied ranks averaged),
     R1 and the tie term sum(t^3 - t).  Works on distinct values only."""
     keys = list(keys)
     v = F.col(value)
@@ -149,7 +149,7 @@ def rank_sums(long: DataFrame, keys: Sequence[str], value: str = "value", y: str
         F.count_if(F.col(y) == 0).cast("double").alias("n0"),
         F.count_if(F.col(y) == 1).cast("double").alias("n1"))
     counts = counts.withColumn("t", F.col("n0") + F.col("n1"))
-    cum = prefix_sum(counts, [value], ["t"], keys, rows=long)
+    cum = prefix_sum(counts, [value], ["t"], keys, rows=long if most is None else most)
     avg_rank = F.col("t_cum") - F.col("t") + (F.col("t") + 1) / 2
     return cum.groupBy(*keys).agg(
         F.sum("n0").alias("N0"), F.sum("n1").alias("N1"),
@@ -253,9 +253,9 @@ def least_varying(sanity: DataFrame, n: int = 20) -> DataFrame:
     return sanity.orderBy("n_unique", "feature").limit(n)
 
 
-def roc_auc(scores: DataFrame, keys: Sequence[str] = (), score: str = "score", y: str = "y") -> DataFrame:
+def roc_auc(scores: DataFrame, keys: Sequence[str] = (), score: str = "score", y: str = "y", most: int | None = None) -> DataFrame:
     """M2: AUC = (R1 - N1(N1+1)/2) / (N0 N1), ties counted half."""
-    rs = rank_sums(scores.select(*keys, F.col(score).alias("value"), y), keys, "value", y)
+    rs = rank_sums(scores.select(*keys, F.col(score).alias("value"), y), keys, "value", y, most)
     auc = (F.col("R1") - F.col("N1") * (F.col("N1") + 1) / 2) / (F.col("N0") * F.col("N1"))
     return rs.select(*keys, auc.alias("auc"), F.col("N1").cast("bigint").alias("n_pos"),
                      F.col("N0").cast("bigint").alias("n_neg"))

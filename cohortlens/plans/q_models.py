@@ -12,8 +12,10 @@ from cohortlens.operators import ml
 from cohortlens.operators import stats as ss
 from cohortlens.operators.folds import assign_folds, fold_balance
 from cohortlens.plans.catalog import register
-from cohortlens.plans.oracle import add_cte, sql
-from cohortlens.plans.q_stats import _binary
+from cohortlens.functions.columns import panel_column_name
+from cohortlens.operators.bijection import AGAIN, PRIME, ROUNDS, TIMES
+from cohortlens.plans.oracle import PANEL_CFG_KEPT, add_cte, sql
+from cohortlens.plans.q_stats import _binary, _effects_sql, _settled
 from cohortlens.session import cut_lineage
 
 K, REPEATS, SEED = 5, 10, 42
@@ -303,24 +305,98 @@ def q_coefficients(spark, sf):
 def _perm(spark, sf, repeats=PERMUTATIONS):
     df, sets = _train(spark, sf)
     cols = sets["panel_log_plus_diversity"]
-    _, use, score = ml.fit(df, cols, L1)
-    return ml.permutation_importance(df, use, score, repeats=repeats, seed=SEED)
+    model, use, _ = ml.fit(df, cols, L1)
+    return ml.permutation_importance(df, use, repeats=repeats, seed=SEED, model=model)
 
 
 @register("perm_importance")
 def q_perm_importance(spark, sf):
-    """Permutation importance (AUC drop, 50 keyed permutations per feature)."""
+    """Permutation importance of the final L1 model (AUC drop, 50 keyed permutations per feature)."""
     return _perm(spark, sf)
 
 
+def _effects(df):
+    g = ss.feature_groups(df.columns)
+    return (ss.univariate_effects(df, g["panel_present"], "presence").withColumn("feature_type", F.lit("presence"))
+            .unionByName(ss.univariate_effects(df, g["panel_log"], "log10_abundance").withColumn("feature_type", F.lit("log10_abundance"))))
+
+
 @register("effect_importance")
 def q_effect_importance(spark, sf):
     """Presence and log effects joined with permutation importance."""
+    return _effects(_binary(spark, sf)).join(_perm(spark, sf), "feature", "inner")
+
+
+#: A linear score that is given, not fitted: log abundances of the first configured taxa with these weights.
+GIVEN = {f"{panel_column_name(t)}_log10": w for t, w in zip(PANEL_CFG_KEPT, (0.125, -0.25, 0.375))}
+MARGIN_DIGITS = 9
+#: Repetitions of the cycle walk that the SQL writes out; enough for any n of 2 or more.
+SQL_WALK = 12
+
+
+def _given_perm_sql() -> str:
+    """The permutations, the margins and the AUC drops, step by step."""
+    cols = list(GIVEN)
+    base = " + ".join(f"x{j} * {w!r}" for j, w in enumerate(GIVEN.values()))
+    mixed = lambda x, k: (f"(({x} + 1) * {TIMES} + {k}) % {PRIME}", lambda t: f"((({t} * {t}) % {PRIME}) * {AGAIN} + {k}) % {PRIME}")
+    layers = []
+    for turn in range(SQL_WALK + 1):
+        parts, left, right = [], "(x % a)", "(x // a)"
+        for i in range(ROUNDS):
+            inner, outer = mixed(left if i % 2 else right, f"k{i}")
+            parts.append(f"{inner} AS t{i}")
+            if i % 2:
+                parts.append(f"({right} + {outer(f't{i}')}) % b AS r{i}")
+                right = f"r{i}"
+            else:
+                parts.append(f"({left} + {outer(f't{i}')}) % a AS l{i}")
+                left = f"l{i}"
+        keep = "x" if turn else "-1"
+        layers.append(f"""w{turn + 1} AS (SELECT j, r, pos, n, a, b, {", ".join(f"k{i}" for i in range(ROUNDS))},
+  CASE WHEN {keep} >= 0 AND {keep} < n THEN x ELSE {left} + a * {right} END AS x FROM (SELECT *, {", ".join(parts)} FROM w{turn}) u)""")
+    auc = lambda source, keys: f"""SELECT {keys} (sum(n1 * (cum - t + (t + 1) / 2)) - sum(n1) * (sum(n1) + 1) / 2) / (sum(n0) * sum(n1)) AS auc
+FROM (SELECT *, n0 + n1 AS t, sum(n0 + n1) OVER ({"PARTITION BY j, r " if keys else ""}ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum
+      FROM (SELECT {keys} m, count_if(y = 1)::DOUBLE AS n1, count_if(y = 0)::DOUBLE AS n0 FROM {source} GROUP BY ALL) c) d{" GROUP BY j, r" if keys else ""}"""
+    wide = ", ".join(f"max(CASE WHEN feature = '{c}' THEN value END) AS x{j}" for j, c in enumerate(cols))
+    value = lambda t: "CASE j " + " ".join(f"WHEN {j} THEN {t}.x{j}" for j in range(len(cols))) + " END"
+    weight = "CASE j " + " ".join(f"WHEN {j} THEN {w!r}" for j, w in enumerate(GIVEN.values())) + " END"
+    return sql(["blong"], f"""
+, wide AS (SELECT run_accession, y, {wide} FROM (SELECT * REPLACE (round(value, 9) AS value) FROM blong) b GROUP BY ALL),
+pos AS (SELECT *, row_number() OVER (ORDER BY md5(run_accession), run_accession) - 1 AS pos, {base} AS margin FROM wide),
+size AS (SELECT n, a, (n + a - 1) // a AS b FROM (SELECT n, CAST(floor(sqrt(n - 1)) AS BIGINT) + 1 AS a FROM (SELECT count(*) AS n FROM pos) s) s),
+grid AS (SELECT j, r, {", ".join(f"('0x' || substr(h, {8 * i + 1}, 8))::BIGINT % {PRIME} AS k{i}" for i in range(ROUNDS))}
+         FROM (SELECT j, r, md5('{SEED}:' || j || ':' || r) AS h FROM range({len(cols)}) f(j), range({PERMUTATIONS}) g(r)) q),
+w0 AS (SELECT j, r, pos, n, a, b, {", ".join(f"k{i}" for i in range(ROUNDS))}, pos AS x FROM pos, grid, size),
+{", ".join(layers)},
+changed AS (SELECT w.j, w.r, o.y, round(o.margin + {weight} * ({value("d")} - {value("o")}), {MARGIN_DIGITS}) AS m
+            FROM w{SQL_WALK + 1} w JOIN pos o ON o.pos = w.pos JOIN pos d ON d.pos = w.x),
+own AS (SELECT y, round(margin, {MARGIN_DIGITS}) AS m FROM pos),
+drops AS (SELECT j, (SELECT auc FROM ({auc("own", "")}) z) - auc AS d FROM ({auc("changed", "j, r,")}) p)
+SELECT CASE j {" ".join(f"WHEN {j} THEN '{c}'" for j, c in enumerate(cols))} END AS feature,
+       round(avg(d), 6) AS importance_mean, round(stddev_pop(d), 6) AS importance_std FROM drops GROUP BY j""").replace("\n, wide AS", ",\nwide AS", 1)
+
+
+def _given_importance(df):
+    model = ml.LinearModel(None, 0.0, (0.0, *GIVEN.values()), tuple(GIVEN))
+    return ml.permutation_importance(_settled(df, list(GIVEN)), list(GIVEN), repeats=PERMUTATIONS, seed=SEED, model=model,
+                                     digits=MARGIN_DIGITS)
+
+
+@register("perm_given_score", _given_perm_sql())
+def q_perm_given_score(spark, sf):
+    """Permutation importance of a given linear score (50 keyed permutations per feature)."""
+    return _given_importance(_binary(spark, sf))
+
+
+@register("effect_importance_given", f"""
+SELECT e.*, 'log10_abundance' AS feature_type, importance_mean, importance_std
+FROM ({_effects_sql(chr(92) + "_log10", "log10_abundance")}) e JOIN ({_given_perm_sql()}) p USING (feature)""")
+def q_effect_importance_given(spark, sf):
+    """Effects joined with the importance of a given linear score."""
     df = _binary(spark, sf)
-    g = ss.feature_groups(df.columns)
-    eff = (ss.univariate_effects(df, g["panel_present"], "presence").withColumn("feature_type", F.lit("presence"))
-           .unionByName(ss.univariate_effects(df, g["panel_log"], "log10_abundance").withColumn("feature_type", F.lit("log10_abundance"))))
-    return eff.join(_perm(spark, sf), "feature", "inner")
+    cols = ss.feature_groups(df.columns)["panel_log"]
+    effects = ss.univariate_effects(_settled(df, cols), cols, "log10_abundance").withColumn("feature_type", F.lit("log10_abundance"))
+    return effects.join(_given_importance(df), "feature", "inner")
 
 
 @register("pca")
@@ -331,3 +407,19 @@ def q_pca(spark, sf):
     scores, ratio = ml.pca2(df, cols)
     return scores.withColumn("explained_variance_1", F.lit(ratio[0])).withColumn(
         "explained_variance_2", F.lit(ratio[1]))
+
+
+@register("pca_two_columns", sql(["blong"], """
+, w AS (SELECT run_accession, max(CASE WHEN feature = 'Shannon_diversity' THEN value END) AS x,
+               max(CASE WHEN feature = 'number_of_detected_species' THEN value END) AS y FROM blong GROUP BY run_accession),
+z AS (SELECT run_accession, (x - avg(x) OVER ()) / stddev_pop(x) OVER () AS x, (y - avg(y) OVER ()) / stddev_pop(y) OVER () AS y FROM w),
+c AS (SELECT avg(x * y) AS r FROM z)
+SELECT run_accession, round((x + sign(r) * y) / sqrt(2), 6) AS pc1, round((x - sign(r) * y) / sqrt(2), 6) AS pc2,
+       round((1 + abs(r)) / 2, 6) AS explained_variance_1, round((1 - abs(r)) / 2, 6) AS explained_variance_2
+FROM z, c""").replace("\n, w AS", ",\nw AS", 1))
+def q_pca_two_columns(spark, sf):
+    """M6: the components of two columns, which are known in closed form: their sum and their difference."""
+    df, _ = _train(spark, sf)
+    scores, ratio = ml.pca2(df, ["Shannon_diversity", "number_of_detected_species"])
+    return scores.select("run_accession", "pc1", "pc2", F.lit(ratio[0]).alias("explained_variance_1"),
+                         F.lit(ratio[1]).alias("explained_variance_2"))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.operators.stages import stage_failures
@@ -27,15 +28,51 @@ def append_stage_log(log: DataFrame, path: str, stage: str) -> None:
     log.withColumn("stage", F.lit(stage)).write.mode("append").partitionBy("stage").parquet(path)
 
 
+def commit_stage_log(log: DataFrame, path: str, stage: str, attempt: str) -> bool:
+    """K2: append the rows of one attempt once, however often it is tried again.
+
+    An attempt writes into a folder of its own, replacing what an earlier try
+    has left there, and then enters the manifest, a folder of one entry for
+    each finished attempt.  A finished attempt is not written again; returns
+    whether it was written now."""
+    if not re.fullmatch(r"[A-Za-z0-9][A-Za-z0-9._-]*", attempt):
+        raise ValueError(f"{attempt!r} is no name of an attempt")
+    spark = log.sparkSession
+    entry, entries = _hadoop_path(spark, f"{path}/manifest/attempt={attempt}/_SUCCESS")
+    if entries.exists(entry):
+        return False
+    log.withColumn("stage", F.lit(stage)).write.mode("overwrite").parquet(f"{path}/rows/attempt={attempt}")
+    # The entry is complete when the writer has committed it.
+    spark.range(1).select(F.lit(stage).alias("stage")).coalesce(1).write.mode("overwrite").parquet(f"{path}/manifest/attempt={attempt}")
+    return True
+
+
+def read_stage_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of all finished attempts (``schema``, stage, attempt); no attempt, no rows."""
+    root, files = _hadoop_path(spark, f"{path}/manifest")
+    named = f"{schema}, stage string"
+    if not files.exists(root):
+        return spark.createDataFrame([], f"{named}, attempt string")
+    done = sorted(s.getPath().getName().split("=", 1)[1] for s in files.listStatus(root)
+                  if s.isDirectory() and files.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS")))
+    if not done:
+        return spark.createDataFrame([], f"{named}, attempt string")
+    return (spark.read.schema(f"{named}, attempt string").option("basePath", f"{path}/rows")
+            .parquet(*[f"{path}/rows/attempt={a}" for a in done]))
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def write_failures(log: DataFrame, path: str) -> bool:
     """K2: failures file only when there are failures; otherwise any old
     file is removed.  Returns whether a file was written."""
     failed = stage_failures(log)
     spark = log.sparkSession
     if failed.isEmpty():
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        p, fs = _hadoop_path(spark, path)
         if fs.exists(p):
             fs.delete(p, True)
         return False
