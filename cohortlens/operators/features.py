@@ -1,9 +1,9 @@
 """Per-run features from long abundance, taxonomy reports and QC reports.
 
-All per-run quantities come out of ONE grouped aggregation of the long
-abundance table by ``run_accession`` (conditional sums), so the genus
-fallback, panel lookups with species precedence, detection counts and
-diversity need no per-run join and no second pass.
+All per-run quantities come out of one pass over the long abundance table:
+sums by (run, name), then one map of values a run.  The genus fallback, panel
+lookups with species precedence, detection counts and diversity need no
+per-run join and no second pass.
 """
 
 from __future__ import annotations
@@ -52,18 +52,6 @@ def prepare_long(long: DataFrame) -> DataFrame:
         first_token(F.col("taxon")).alias("__tok"))
 
 
-def _species_sum(taxon: str) -> Column:
-    return F.sum(F.when(_is_s() & (F.col("taxon") == taxon), _val()))
-
-
-def _genus_value(taxon: str) -> Column:
-    """Genus-level value with the fallback: real genus rows when the run has
-    any, otherwise species rows grouped by their first token.  NULL = absent."""
-    direct = F.sum(F.when(_is_g() & (F.col("taxon") == taxon), _val()))
-    derived = F.sum(F.when(_is_s() & (F.col("__tok") == taxon), _val()))
-    return F.when(F.max(_is_g()), direct).otherwise(derived)
-
-
 def shannon_expr() -> Column:
     """-sum(x ln x) over species rows with x > 0; natural log; not renormalised."""
     x = F.col("relative_abundance")
@@ -75,21 +63,46 @@ def detected_expr() -> Column:
     return F.count_if(_is_s() & (F.col("relative_abundance") > 0)).cast("bigint")
 
 
+def _entries(wanted: Sequence[str]) -> Column:
+    """What a row adds to its run's map of values, one entry for each name it counts for.
+
+    Names: ``s:`` species, ``d:`` a species' first word (the genus it stands
+    for where a run has no genus rows), ``g:`` genus; only those of ``wanted``
+    taxa.  The entry without a name carries the row's own sums."""
+    x = F.col("relative_abundance")
+    found = _is_s() & (x > 0)
+    own = lambda name, v, n, h, g: F.struct(name.alias("name"), v.alias("v"), n.alias("n"), h.alias("h"), g.alias("g"))
+    no, zero = F.lit(False), F.lit(0.0)
+    named = lambda test, mark, column: F.when(
+        test & F.col(column).isin(list(wanted)), own(F.concat(F.lit(mark), F.col(column)), _val(), F.lit(0), zero, no))
+    return F.array_compact(F.array(
+        own(F.lit(""), zero, F.when(found, 1).otherwise(0), F.when(found, x * F.ln(x)).otherwise(zero), _is_g()),
+        named(_is_s(), "s:", "taxon"), named(_is_s(), "d:", "__tok"), named(_is_g(), "g:", "taxon")))
+
+
 def run_profile(long: DataFrame, panel: Sequence[str], focal_species: str,
                 focal_genus: str) -> DataFrame:
     """One row per run with abundance rows: focal values, detected species,
     Shannon and the panel values (species wins by key presence, then genus
-    with fallback, else 0)."""
-    aggs = [
-        F.coalesce(_species_sum(focal_species), F.lit(0.0)).alias("F_nucleatum_species_abundance"),
-        F.coalesce(_genus_value(focal_genus), F.lit(0.0)).alias("Fusobacterium_genus_abundance"),
-        detected_expr().alias("number_of_detected_species"),
-        shannon_expr().alias("Shannon_diversity"),
-    ]
-    for i, taxon in enumerate(panel):
-        aggs.append(F.coalesce(_species_sum(taxon), _genus_value(taxon), F.lit(0.0))
-                    .alias(f"__p{i}"))
-    return prepare_long(long).groupBy("run_accession").agg(*aggs)
+    with fallback, else 0).
+
+    Rows are summed by (run, name) first, a plain aggregate of any number of
+    taxa; the sums of a run, as many as the panel names, become one map, and
+    every value is a lookup in it."""
+    wanted = sorted({*panel, focal_species, focal_genus})
+    sums = prepare_long(long).select("run_accession", F.inline(_entries(wanted))).groupBy("run_accession", "name").agg(
+        F.sum("v").alias("v"), F.sum("n").alias("n"), F.sum("h").alias("h"), F.max("g").alias("g"))
+    runs = sums.groupBy("run_accession").agg(
+        F.sum("n").cast("bigint").alias("number_of_detected_species"), (F.lit(0.0) - F.sum("h")).alias("Shannon_diversity"),
+        F.max("g").alias("__genus"),
+        F.map_from_entries(F.collect_list(F.when(F.col("name") != "", F.struct("name", "v")))).alias("__values"))
+    value = lambda mark, taxon: F.try_element_at("__values", F.lit(mark + taxon))
+    genus = lambda taxon: F.when(F.col("__genus"), value("g:", taxon)).otherwise(value("d:", taxon))
+    return runs.select(
+        "run_accession", F.coalesce(value("s:", focal_species), F.lit(0.0)).alias("F_nucleatum_species_abundance"),
+        F.coalesce(genus(focal_genus), F.lit(0.0)).alias("Fusobacterium_genus_abundance"),
+        "number_of_detected_species", "Shannon_diversity",
+        *[F.coalesce(value("s:", t), genus(t), F.lit(0.0)).alias(f"__p{i}") for i, t in enumerate(panel)])
 
 
 def domain_abundance(reports: DataFrame, domain: str) -> DataFrame:

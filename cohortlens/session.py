@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,13 +56,16 @@ def get_spark(master: str | None = None, app: str = "cohortlens",
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when neither it nor the context
-    names one (local tests) is a fresh scratch folder created.  The folder is
-    registered once in a session, so all checkpoints share one subfolder.
+    The cluster's setting always wins.  Only a local session (one machine, no
+    executors) without it gets a fresh scratch folder; on a cluster that is an
+    error.  The folder is registered once in a session, so all checkpoints
+    share one subfolder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="cohortlens-ckpt-"))
     return named or context._jsc.sc().getCheckpointDir().get()
 
