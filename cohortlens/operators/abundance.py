@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import first_token, level_suffix, normalize_taxon, trim_ws
+from cohortlens.operators.prefix import prefix_sum
 from cohortlens.operators.salted import salted_join
 
 LONG_SCHEMA = "run_accession string, sample_id string, level string, taxon string, relative_abundance double"
@@ -153,3 +154,23 @@ def combine_abundance(tables: DataFrame, md: DataFrame, level: str = "S") -> Dat
     rest = [c for c in tables.columns if c != "run_accession"]
     return joined.select("run_accession", "sample_id", *rest,
                          level_suffix(F.lit(level)).alias("level_suffix"))
+
+
+def taxon_numbers(long: DataFrame) -> DataFrame:
+    """A dense number from 0 for every taxon, in the order of the names' bytes; any number of taxa."""
+    taxa = long.select("taxon").where("taxon is not null").distinct().withColumn("one", F.lit(1))
+    # The first six bytes as a number never fall along the order.
+    head = F.conv(F.substring(F.rpad(F.hex(F.encode("taxon", "UTF-8")), 12, "0"), 1, 12), 16, 10).cast("bigint")
+    return prefix_sum(taxa, ["taxon"], ["one"], measure=head).select("taxon", (F.col("one_cum") - 1).cast("int").alias("number"))
+
+
+def abundance_vectors(long: DataFrame) -> DataFrame:
+    """A1 in sparse form: per sample the ascending numbers of its taxa and their summed abundances.
+
+    The header stays a table (``taxon_numbers``); nothing of it comes to the driver."""
+    sums = long.where("taxon is not null").groupBy("sample_id", "taxon").agg(
+        F.sum(F.coalesce("relative_abundance", F.lit(0.0))).alias("value"))
+    numbers = taxon_numbers(long).withColumnRenamed("taxon", "t")
+    held = sums.join(numbers, F.col("taxon") == F.col("t")).groupBy("sample_id").agg(
+        F.sort_array(F.collect_list(F.struct("number", "value"))).alias("held"))
+    return held.select("sample_id", F.col("held.number").alias("indices"), F.col("held.value").alias("values"))

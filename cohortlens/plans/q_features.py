@@ -230,6 +230,18 @@ def q_abundance_matrix(spark, sf):
     return ab.abundance_matrix(_long(spark, sf), _TAXA)
 
 
+@register("abundance_sparse", sql(["long"], """
+, numbers AS (SELECT taxon, row_number() OVER (ORDER BY taxon) - 1 AS number FROM (SELECT DISTINCT taxon FROM long) t),
+sums AS (SELECT sample_id, taxon, sum(coalesce(relative_abundance, 0.0)) AS v FROM long GROUP BY ALL)
+SELECT sample_id, string_agg(number, ',' ORDER BY number) AS indices, round(sum(v), 6) AS total,
+       round(max(v), 6) AS largest FROM sums JOIN numbers USING (taxon) GROUP BY sample_id""").replace("\n, numbers AS", ",\nnumbers AS", 1))
+def q_abundance_sparse(spark, sf):
+    """A1: sample vectors over densely numbered taxa, without a header on the driver."""
+    v = ab.abundance_vectors(_long(spark, sf))
+    return v.select("sample_id", F.array_join(F.transform("indices", lambda i: i.cast("string")), ",").alias("indices"),
+                    F.aggregate("values", F.lit(0.0), lambda a, b: a + b).alias("total"), F.array_max("values").alias("largest"))
+
+
 @register("diversity", sql(["long"], """
 SELECT run_accession, round(coalesce(0.0 - sum(CASE WHEN level = 'species' AND relative_abundance > 0
        THEN relative_abundance * ln(relative_abundance) END), 0.0), 6) AS Shannon_diversity

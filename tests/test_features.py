@@ -128,3 +128,18 @@ def test_detection_counts_and_histogram(spark):
     const = spark.createDataFrame([(0.0,), (0.0,)], "F_nucleatum_species_abundance double")
     hc = {r.bin: r["count"] for r in focal_histogram(const).collect()}
     assert hc[11] == 2 and sum(hc.values()) == 2
+
+
+def test_sparse_vectors_equal_the_wide_matrix(spark):
+    from cohortlens.operators import abundance as ab
+    rows = [(f"S{i % 5}", f"R{i}", "species", f"taxon {i * 7 % 11}" if i % 9 else "Ärt", i / 10) for i in range(60)]
+    rows += [("S9", "R99", "genus", "only", None), ("S9", "R99", "genus", None, 1.0)]
+    long = spark.createDataFrame(rows, "sample_id string, run_accession string, level string, taxon string, relative_abundance double")
+    numbers = {r.taxon: r.number for r in ab.taxon_numbers(long).collect()}
+    assert sorted(numbers, key=lambda t: t.encode()) == sorted(numbers, key=numbers.get) and set(numbers.values()) == set(range(len(numbers)))
+    wide = {r["sample_id"]: r for r in ab.abundance_matrix(long.where("taxon is not null"), sorted(numbers)).collect()}
+    for r in ab.abundance_vectors(long).collect():
+        held = dict(zip(r.indices, r["values"]))
+        assert list(r.indices) == sorted(held)
+        for taxon, i in numbers.items():
+            assert abs(wide[r.sample_id][taxon] - held.get(i, 0.0)) < 1e-12
