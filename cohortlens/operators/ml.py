@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.operators.evaluation import fold_aucs
 from cohortlens.operators.bijection import ROUNDS, permutation_keys, permute
+from cohortlens.operators.permuted import permuted_aucs
 from cohortlens.operators.prefix import hex_measure, prefix_sum
 from cohortlens.operators.stats import roc_auc
 from cohortlens.session import checkpoint_dir, cut_lineage
@@ -163,6 +164,36 @@ def fit_logistic_models(df: DataFrame, sets: dict[str, list[str]], models: Seque
     return lg.fit_all(rows, fits, len(cols), repeats), cols, rows
 
 
+def optimality_sums(df: DataFrame, table: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(feature_set, model, feature, w, n, free, g): for each model of a coefficient table and each of its features the
+    coefficient, the rows, the sum of the gaps (chance less y) and that of the gaps times the scaled column.
+
+    The gaps of a row are one array, so all sums are one pass over the rows."""
+    # As many rows as there are models and features.
+    models: dict[tuple[str, str], dict] = {}
+    for r in table.collect():
+        models.setdefault((r["feature_set"], r["model"]), {"free": r["raw_intercept"], "own": {}})["own"][r["feature"]] = (
+            r["coefficient"], r["raw_coefficient"])
+    stats = column_stats(df, cols)
+    rows = df.select(F.col("y").cast("double").alias("y"), *[_filled(c).alias(f"x{i}") for i, c in enumerate(cols)])
+    at = {c: i for i, c in enumerate(cols)}
+    for m, spec in enumerate(models.values()):
+        margin = reduce(lambda a, b: a + b, [F.col(f"x{at[c]}") * F.lit(raw) for c, (_, raw) in spec["own"].items()], F.lit(spec["free"]))
+        rows = rows.withColumn(f"g{m}", 1 / (1 + F.exp(-margin)) - F.col("y"))
+    sums, kept = [F.count(F.lit(1)).alias("n")], []
+    for m, ((name, model), spec) in enumerate(models.items()):
+        sums.append(F.sum(f"g{m}").alias(f"free{m}"))
+        for c, (w, _) in spec["own"].items():
+            mean, std = stats["cols"][c][:2]
+            x = (F.col(f"x{at[c]}") - F.lit(mean)) / F.lit(std) if std > 0 else F.lit(0.0)
+            sums.append(F.sum(F.col(f"g{m}") * x).alias(f"g{m}_{at[c]}"))
+            kept.append(F.struct(F.lit(name).alias("feature_set"), F.lit(model).alias("model"), F.lit(c).alias("feature"),
+                                 F.lit(w).alias("w"), F.col("n"), F.col(f"free{m}").alias("free"), F.col(f"g{m}_{at[c]}").alias("g")))
+    found = rows.agg(*sums)
+    return found.where("n > 0").select(F.inline(F.array(*kept))) if kept else found.sparkSession.createDataFrame(
+        [], "feature_set string, model string, feature string, w double, n long, free double, g double")
+
+
 def _fold_keys(folds: DataFrame) -> list[tuple[int, int]]:
     """(repeat, fold): as many as the parameters say."""
     return [(r["repeat"], r["fold"]) for r in folds.select("repeat", "fold").distinct().orderBy("repeat", "fold").collect()]
@@ -261,40 +292,35 @@ def permutation_importance(df: DataFrame, cols: Sequence[str], score_fn=None, re
     keyed bijection of the numbers (``permute``) names the row whose value is
     taken, so rows x features x repeats need no sort.  With a linear ``model``
     a row's margin is its own margin plus the coefficient times the change of
-    the one value, and whole rows do not travel; else ``score_fn`` scores the
-    changed rows.  ``digits`` rounds margins before they are ranked."""
+    the one value, and values travel in packs (``permuted``); else ``score_fn``
+    scores the changed rows.  ``digits`` rounds a model's margins before they
+    are ranked."""
     cols = list(cols)
-    settle = (lambda c: F.round(c, digits)) if digits is not None else (lambda c: c)
     base = df.select(id_col, F.col("y").cast("int").alias("y"), *[F.col(f"`{c}`") for c in cols])
     keyed = base.withColumns({"one": F.lit(1), "__h": F.md5(F.col(id_col).cast("string"))})
     pos = prefix_sum(keyed, ["__h", id_col], ["one"], measure=hex_measure("__h"))
     pos = cut_lineage(pos.withColumn("pos", F.col("one_cum").cast("bigint") - 1).drop("one", "one_cum", "__h"))
     n = pos.count()
-    # As many rows as there are features and repeats.
-    keys = F.broadcast(df.sparkSession.createDataFrame(
-        [(j, r, *permutation_keys(seed, j, r)) for j in range(len(cols)) for r in range(repeats)],
-        "j int, r int, " + ", ".join(f"k{i} long" for i in range(ROUNDS))))
-    feats = F.array(*[F.struct(F.lit(i).alias("j"), (_filled(c) if model else F.col(f"`{c}`").cast("double")).alias("v"))
-                      for i, c in enumerate(cols)])
-    values = pos.select(F.col("pos").alias("d_pos"), F.inline(feats).alias("d_j", "pv"))
     if model:
-        weights = F.array(*map(F.lit, model.raw[1:]))
-        targets = pos.select("y", "pos", model.margin().alias("margin"), F.inline(feats).alias("j", "v")).withColumn(
-            "weight", F.element_at(weights, F.col("j") + 1))
+        rows = pos.select("pos", "y", model.margin().alias("margin"), *[_filled(c).alias(f"x{j}") for j, c in enumerate(cols)])
+        aucs = cut_lineage(permuted_aucs(rows, n, list(model.raw[1:]), repeats, seed, digits))  # a row for each feature and repeat
+        perm_auc = aucs.where(F.col("j") < len(cols))
+        base_auc = next((r["auc"] for r in aucs.where(F.col("j") == len(cols)).collect()), None)
     else:
+        # As many rows as there are features and repeats.
+        keys = F.broadcast(df.sparkSession.createDataFrame(
+            [(j, r, *permutation_keys(seed, j, r)) for j in range(len(cols)) for r in range(repeats)],
+            "j int, r int, " + ", ".join(f"k{i} long" for i in range(ROUNDS))))
+        feats = F.array(*[F.struct(F.lit(i).alias("j"), F.col(f"`{c}`").cast("double").alias("v")) for i, c in enumerate(cols)])
+        values = pos.select(F.col("pos").alias("d_pos"), F.inline(feats).alias("d_j", "pv"))
         targets = pos.select(id_col, "y", "pos", *[F.col(f"`{c}`") for c in cols], F.explode(F.sequence(
             F.lit(0), F.lit(len(cols) - 1))).alias("j"))
-    moved = permute(targets.join(keys, "j"), n)
-    joined = moved.join(values.hint("shuffle_hash"), (F.col("donor") == F.col("d_pos")) & (F.col("j") == F.col("d_j")))
-    if model:
-        scored = joined.select("j", "r", "y", settle(F.col("margin") + F.col("weight") * (F.col("pv") - F.col("v"))).alias("score"))
-        own = pos.select("y", settle(model.margin()).alias("score"))
-    else:
+        moved = permute(targets.join(keys, "j"), n)
+        joined = moved.join(values.hint("shuffle_hash"), (F.col("donor") == F.col("d_pos")) & (F.col("j") == F.col("d_j")))
         permuted = joined.withColumns({c: F.when(F.col("j") == i, F.col("pv")).otherwise(F.col(f"`{c}`"))
                                        for i, c in enumerate(cols)})
-        scored, own = score_fn(permuted), score_fn(df)
-    perm_auc = roc_auc(scored, ["j", "r"], most=n)  # every (feature, repeat) has each row once
-    base_auc = roc_auc(own, most=n).first()["auc"]
+        perm_auc = roc_auc(score_fn(permuted), ["j", "r"], most=n)  # every (feature, repeat) has each row once
+        base_auc = roc_auc(score_fn(df), most=n).first()["auc"]
     names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(cols)], "j int, feature string")
     drop = perm_auc.select("j", (F.lit(base_auc) - F.col("auc")).alias("d"))
     return (drop.groupBy("j").agg(F.avg("d").alias("importance_mean"),
