@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from cohortlens.operators import logistic as lg
@@ -97,3 +98,12 @@ def test_forest_rows_are_bounded(spark):
     spec = ml.ModelSpec("f", "random_forest", num_trees=5, max_depth=4, max_fit_rows=100)
     model, use, score = ml.fit(df, ["a", "b"], spec)
     assert score(df).count() == 300 and score(df).agg(F.max("score")).first()[0] <= 1
+
+
+def test_a_forest_scores_in_a_session_that_has_observed_a_query(spark):
+    seen = Observation("rows")
+    spark.range(10).observe(seen, F.count(F.lit(1)).alias("n")).collect()
+    assert seen.get["n"] == 10
+    df, _, _ = frame(spark, 60, 2)
+    _, _, score = ml.fit(df, ["a", "b"], ml.ModelSpec("f", "random_forest", num_trees=2, max_depth=2))
+    assert score(df).where("score between 0 and 1").count() == 60
