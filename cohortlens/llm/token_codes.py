@@ -46,10 +46,10 @@ BLOCK = (f"shard_doc long, shard_null boolean, block int, doc_ids array<long>, o
 
 def encode_levels(ids: np.ndarray) -> list[dict]:
     """Chunk levels of unsigned ids, lowest chunk first."""
-    rest, levels = np.asarray(ids, np.uint64), []
+    rest, levels = np.asarray(ids, np.uint64 if np.asarray(ids).dtype.itemsize > 4 else np.uint32), []
     while True:
-        chunks = (rest & np.uint64((1 << CHUNK_BITS) - 1)).astype(np.uint8)
-        rest = rest >> np.uint64(CHUNK_BITS)
+        chunks = rest.astype(np.uint8)
+        rest = rest >> rest.dtype.type(CHUNK_BITS)
         more = rest > 0
         packed = np.packbits(more, bitorder="little")
         padded = np.zeros(-(-len(packed) // (RANK_BITS // 8)) * (RANK_BITS // 8), np.uint8)
@@ -93,6 +93,18 @@ def read_id(levels: list[dict], index: int) -> int:
 
 # ---- words to ids
 
+def _tails(words: pa.LargeStringArray) -> tuple[np.ndarray, np.ndarray]:
+    """The last byte of each word (0: none), and whether it is a full stop or comma after an ASCII letter."""
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, np.int64)[words.offset:words.offset + len(words) + 1]
+    # Two bytes ahead stand for those that short words do not have.
+    text = np.concatenate([np.zeros(2, np.uint8), np.frombuffer(data, np.uint8)[:ends[-1]] if data else np.empty(0, np.uint8)])
+    size, at = np.diff(ends), ends[1:] + 2
+    last = np.where(size > 0, text[at - 1], 0)
+    before = np.where(size > 1, text[at - 2], 0) | 32
+    return last, ((last == ord(".")) | (last == ord(","))) & (before >= ord("a")) & (before <= ord("z"))
+
+
 class WordEncoder:
     """Encodes texts word by word with a tokenizer that never joins across white space.
 
@@ -153,11 +165,12 @@ class WordEncoder:
         at = flat.indices.to_numpy()
         words = flat.dictionary.cast(pa.large_binary()).to_pylist()
         # A full stop or comma after an ASCII letter is a word of its own for the tokenizer.
-        tail = np.array([w[-1:] in (b".", b",") and w[-2:-1].isalpha() for w in words], bool)
-        place = self.places([w[:-1] if t else w for w, t in zip(words, tail, strict=True)] + [b".", b",", b""])
+        last, tail = _tails(flat.dictionary)
+        for i in np.flatnonzero(tail).tolist():
+            words[i] = words[i][:-1]
+        place = self.places(words + [b".", b",", b""])
         stop, comma, none = place[-3:]
-        ending = np.array([none if not t else stop if w[-1:] == b"." else comma
-                           for w, t in zip(words, tail, strict=True)], np.int64)
+        ending = np.where(tail, np.where(last == ord("."), stop, comma), none)
         # The ids of each distinct word of these texts, one after another; empty
         # words (white space at an end of a text) have none.
         both = np.stack([place[:-3], ending], axis=1).ravel()
@@ -249,7 +262,8 @@ def _documents(batches):
         for r in batch.to_pylist():
             ids = decode_levels(r["levels"]).astype("<u4")
             offsets = np.frombuffer(r["offsets"], "<i8")
-            sums = [zlib.crc32(ids[a:b].tobytes()) for a, b in zip(offsets, offsets[1:], strict=False)]
+            data, at = memoryview(ids).cast("B"), (offsets * ids.itemsize).tolist()
+            sums = [zlib.crc32(data[a:b]) for a, b in zip(at, at[1:], strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r["shard_doc"]] * len(sums), pa.int64()), pa.array([r["shard_null"]] * len(sums)),
                  pa.array([r["block"]] * len(sums), pa.int32()), pa.array(r["doc_ids"], pa.int64()),

@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from cohortlens.llm import token_codes as tc
 from cohortlens.llm.queries import tokenizer_file
 from cohortlens.llm.token_codes import WordEncoder, decode_levels, encode_levels, read_id, token_table
 
@@ -57,3 +58,15 @@ def test_files_match_brute_force(make_docs, path):
 
 def test_empty_table(make_docs, path):
     assert token_table(make_docs([]), path).collect() == []
+
+
+def test_tails_of_words_are_read_from_their_bytes():
+    import pyarrow as pa
+
+    words = ["a.", ".", "", "B,", "1.", "..", "é.", "x", "ab,,", "[.", "{,", "@.", "`.", "z.", "A."]
+    for column in (pa.array(words, pa.large_string()), pa.array(["q."] + words, pa.large_string())[1:]):
+        last, tail = tc._tails(column)
+        raw = [w.encode() for w in words]
+        assert tail.tolist() == [w[-1:] in (b".", b",") and w[-2:-1].isalpha() for w in raw]
+        assert last.tolist() == [w[-1] if w else 0 for w in raw]
+    assert [len(x) for x in tc._tails(pa.array([], pa.large_string()))] == [0, 0]
