@@ -16,6 +16,8 @@ REPORT_SCHEMA = ("run_accession string, percentage double, clade_reads bigint, "
                  "taxon_reads bigint, rank_code string, taxid bigint, name string")
 # Above this many distinct taxa the matrix stays long (Spark's pivot limit).
 BLOCK_COLUMNS = 2000
+#: Rows of the long table whose samples one task turns into matrix rows, about.
+ROWS_PER_TASK = 500_000
 
 
 def empty_long(spark: SparkSession) -> DataFrame:
@@ -109,10 +111,14 @@ def abundance_matrix(long: DataFrame, taxa: Sequence[str] | None = None) -> Data
 
     Rows come from the abundance table (not the metadata).  The header is
     part of the schema; for vocabularies too wide for one schema see
-    ``matrix_blocks`` and ``abundance_matrix_long``."""
+    ``matrix_blocks`` and ``abundance_matrix_long``.
+
+    The summed cells are dealt by sample into tasks of a bounded number, so
+    what a task holds while it turns them does not grow with the table."""
     if taxa is None:
         taxa = matrix_taxa(long)
-    cells = abundance_matrix_long(long)
+    tasks = max(long.sparkSession.sparkContext.defaultParallelism, -(-long.count() // ROWS_PER_TASK))
+    cells = abundance_matrix_long(long).repartition(tasks, "sample_id")
     wide = cells.groupBy("sample_id").pivot("taxon", list(taxa)).agg(F.first("value"))
     return wide.na.fill(0.0, subset=list(taxa)) if taxa else wide
 

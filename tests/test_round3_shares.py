@@ -53,3 +53,14 @@ def test_run_shares_shuffle_lines_once_by_order_in_tasks_of_bounded_size(spark,
     # 140 lines: 14 tasks, each with its own file, where the lines of one order lie together.
     where = shares.select("o_orderkey", F.input_file_name().alias("f")).distinct().collect()
     assert len({r.f for r in where}) > 4 and len(where) == len({r.o_orderkey for r in where}) == 60
+
+
+def test_matrix_cells_are_dealt_by_sample_into_tasks_of_bounded_size(spark, monkeypatch):
+    from cohortlens.operators import abundance as ab
+    monkeypatch.setattr(ab, "ROWS_PER_TASK", 20, raising=False)
+    rows = [(f"R{i}", f"S{i % 100}", "species", t, 0.25) for i in range(200) for t in ("a", "b")]
+    out = ab.abundance_matrix(spark.createDataFrame(rows, ab.LONG_SCHEMA), ["a", "b", "c"])
+    # 400 rows: 20 tasks, each with the whole rows of its samples.
+    held = out.withColumn("task", F.spark_partition_id()).collect()
+    assert sorted((r.sample_id, r.a, r.b, r.c) for r in held) == sorted((f"S{i}", 0.5, 0.5, 0.0) for i in range(100))
+    assert len({r.task for r in held}) > 10
