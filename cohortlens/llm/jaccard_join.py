@@ -43,8 +43,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm import golomb
-from cohortlens.llm.components import components
-from cohortlens.llm.shared import bounded_batches, cut, discard, lean_task, stash, text_slices, with_ids, without_ids
+from cohortlens.llm.components import leaves
+from cohortlens.llm.shared import (LEAST_PARTITIONS, bounded_batches, cut, discard, gathered, lean_task, stash, text_slices,
+                                   with_ids, without_ids)
 from cohortlens.llm.shingles import shingle_sets
 
 #: Masks of the shingles that are counted and stand first in the order: those
@@ -52,12 +53,16 @@ from cohortlens.llm.shingles import shingle_sets
 QUARTER, ALL = 3, 0
 #: Shingles of a chunk of documents.
 CHUNK_TOKENS = 1 << 18
+#: Documents whose shingles an owner of a hash range counts at least, where there are more than a few owners.
+DOCS_PER_OWNER = 4096
 #: Counting goes by the upper bits of a shingle.
 KEY_BITS = 48
 #: Steps of set size between n and t n, by which tokens are matched.
 FINE = 4
 #: Parts into which a document's partners are dealt for verification.
 VERIFY_PARTS = 64
+#: Pairs that a task verifies, about.
+PAIRS_PER_PARTITION = 1024
 
 CHUNK = "chunk long, doc_ids array<long>, sizes binary, digests binary, counted binary, tokens binary, filled binary, fill binary"
 SIGNATURE = ("doc_id long, n long, digest binary, prefix_key binary, typical float, pos array<int>, tokens array<long>")
@@ -182,15 +187,18 @@ def _sign(num: int, den: int):
 
 
 def signatures(docs: DataFrame, size: int, num: int, den: int, mask: int) -> DataFrame:
-    """Size, digest, prefix key and the shared prefix tokens with their places, per document."""
-    owners = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    chunks = stash(docs.mapInArrow(lean_task(_chunks(size, num, den, mask)), CHUNK), "jaccard-chunks")
+    """Size, digest, prefix key and the shared prefix tokens with their places, per document; ``measured["n"]`` counts them."""
+    chunks = stash(docs.mapInArrow(lean_task(_chunks(size, num, den, mask)), CHUNK), "jaccard-chunks", n=F.sum(F.size("doc_ids")))
+    n = chunks.measured["n"] or 0
+    # A range of hashes for each shuffle partition, but none for a handful of documents.
+    owners = max(1, min(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(LEAST_PARTITIONS, -(-n // DOCS_PER_OWNER))))
     sent = chunks.select("chunk", "tokens").mapInArrow(
         lean_task(_send(owners)), "chunk long, owner int, n int, bits int, code binary, counts binary")
     answers = (sent.groupBy("owner").applyInArrow(_grade, "chunk long, owner int, grades binary")
                .groupBy(F.col("chunk").alias("a_chunk")).agg(F.collect_list(F.struct("owner", "grades")).alias("answers")))
     joined = chunks.join(answers, F.col("chunk") == F.col("a_chunk"), "left").drop("a_chunk", "chunk")
-    out = stash(joined.mapInArrow(lean_task(_sign(num, den)), SIGNATURE), "jaccard-signatures")
+    out = stash(gathered(joined, n).mapInArrow(lean_task(_sign(num, den)), SIGNATURE), "jaccard-signatures")
+    out.measured = {"n": n}
     discard(chunks)
     return out
 
@@ -229,8 +237,8 @@ def _verify(num: int, den: int):
     return run
 
 
-def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Those ``pairs`` (a, b) whose sets reach the similarity num/den.
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int, rows: int) -> DataFrame:
+    """Those ``pairs`` (a, b; ``rows`` of them) whose sets reach the similarity num/den.
 
     A set travels once to each of its pairs' parts: the partners of ``a`` are
     dealt into parts, and the set of ``a`` goes once to each part.
@@ -240,8 +248,8 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
     centres = parted.select("a", "part").distinct()
     centres = centres.join(sets, centres["a"] == sets["doc_id"]).select(
         "a", "part", F.lit(None).cast("long").alias("b"), "members")
-    return (partners.union(centres).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
-            .mapInArrow(lean_task(_verify(num, den)), "a long, b long"))
+    dealt = partners.union(centres).repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    return gathered(dealt, rows, PAIRS_PER_PARTITION).mapInArrow(lean_task(_verify(num, den)), "a long, b long")
 
 
 # ---- the join
@@ -271,10 +279,10 @@ def _least_common(a: str, b: str, num: int, den: int) -> str:
     return f"least({_prefix(a, num, den)} - {a}.n, {_prefix(b, num, den)} - {b}.n) + {need}"
 
 
-def _classes(signs: DataFrame) -> DataFrame:
+def _classes(signs: DataFrame, rows: int) -> DataFrame:
     """One row for each distinct set: its prefix and the smallest ``doc_id`` (rep)."""
     classes = signs.where("n > 0").groupBy("n", "digest", "prefix_key", "typical", "pos", "tokens").agg(F.min("doc_id").alias("rep"))
-    return stash(classes.where("rep is not null"), "jaccard-classes")
+    return stash(gathered(classes.where("rep is not null"), rows), "jaccard-classes")
 
 
 def _tokens(classes: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -297,39 +305,42 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     bounded_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     signs = signatures(docs, size, num, den, QUARTER)
-    classes = _classes(signs)
+    n = signs.measured["n"]
+    classes = _classes(signs, n)
     groups, tokens = _tokens(classes)
     hit = tokens.select("n", "prefix_key").distinct()
     reps = classes.join(hit, ["n", "prefix_key"], "left_semi").select(F.col("rep").alias("doc_id"))
 
     # Again for one document of each class that has a token in common with
     # another, now in the order of all their shingles.
-    signs2 = signatures(with_ids(docs, reps), size, num, den, ALL)
-    nodes = _classes(signs2)
+    signs2 = signatures(with_ids(docs, reps, rows=n), size, num, den, ALL)
+    m = signs2.measured["n"]
+    nodes = _classes(signs2, m)
     groups, tokens = _tokens(nodes)
-    live = stash(tokens.withColumn(
-        "band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int")), "jaccard-tokens")
+    live = stash(gathered(tokens, m).withColumn(
+        "band", F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(den / num)) + 1e-9).cast("int")), "jaccard-tokens", n=F.count(F.lit(1)))
 
     # Stars: each group with the most typical of its token and band, each class with its group's first.
     best = live.groupBy("token", "band").agg(F.max(F.struct("typical", "gid")).alias("best")).select(
         F.col("token").alias("t"), F.col("band").alias("d"), F.col("best.gid").alias("hub"))
     near = (live.join(best, (F.col("token") == F.col("t")) & (F.col("band") == F.col("d")))
             .where("gid <> hub").select("hub", "gid").distinct())
-    profile = stash(live.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list("token").alias("own")), "jaccard-profiles")
+    profile = stash(gathered(live.groupBy("gid").agg(F.first("n").alias("n"), F.collect_list("token").alias("own")), m),
+                    "jaccard-profiles")
     stars = _share_enough(near.toDF("a", "b"), profile.withColumnRenamed("gid", "id"), num, den)
     member = nodes.select("rep", F.col("n").alias("m_n"), "prefix_key")
     first = groups.where("classes > 1").select("gid", "n", F.col("prefix_key").alias("p_key"))
-    expanded = cut(member.join(first, (F.col("prefix_key") == F.col("p_key")) & (F.col("m_n") == F.col("n")))
-                   .select("gid", "rep"))
+    expanded = cut(gathered(member.join(first, (F.col("prefix_key") == F.col("p_key")) & (F.col("m_n") == F.col("n")))
+                            .select("gid", "rep"), m))
     within = expanded.where("gid <> rep").select(F.col("gid").alias("a"), F.col("rep").alias("b"))
-    stars = cut(stars.union(within))
+    stars = cut(gathered(stars.union(within), live.measured["n"] + m))
     links = _verified(stars, docs, size, num, den)
-    parts = components(links)
+    parts = leaves(links, links.measured["n"])
 
     # What is left: pairs between components that share tokens, members expanded.
     # A token counts for a partner of a given size only if it stands early
     # enough for the overlap such a pair needs; sizes go by fine steps.
-    ids = live.select("gid").distinct().join(expanded.withColumnRenamed("gid", "e_gid"), F.col("gid") == F.col("e_gid"), "left")
+    ids = profile.select("gid").join(expanded.withColumnRenamed("gid", "e_gid"), F.col("gid") == F.col("e_gid"), "left")
     ids = ids.select("gid", F.coalesce("rep", "gid").alias("id")).join(parts, F.col("id") == F.col("node"), "left").select(
         F.col("gid").alias("i_gid"), "id", F.coalesce("component", "id").alias("part"))
     places = live.join(ids, F.col("gid") == F.col("i_gid")).select("token", "n", "pos", "id", "part")
@@ -347,11 +358,11 @@ def jaccard_components(docs: DataFrame, size: int = 5, num: int = 80, den: int =
     if open_.measured["n"]:
         rest = cut(_between(open_, ids, stars, profile, num, den))
         if rest.measured["n"]:
-            parts = components(parts.where("node <> component").select(
-                F.col("node").alias("a"), F.col("component").alias("b")).union(_verified(rest, docs, size, num, den)))
+            more = _verified(rest, docs, size, num, den)
+            parts = leaves(parts.toDF("a", "b").union(more), m + more.measured["n"])
 
-    found = stash(classes.join(parts, F.col("rep") == F.col("node"), "left").select(
-        F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("part")), "jaccard-found")
+    found = stash(gathered(classes.join(parts, F.col("rep") == F.col("node"), "left").select(
+        F.col("digest").alias("c_digest"), F.coalesce("component", "rep").alias("part")), n), "jaccard-found")
     discard(classes, nodes, signs2, live, profile, open_)
     return signs.join(found, F.col("digest") == F.col("c_digest"), "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
@@ -389,9 +400,10 @@ def _share_enough(pairs: DataFrame, profiles: DataFrame, num: int, den: int) ->
 
 def _verified(pairs: DataFrame, docs: DataFrame, size: int, num: int, den: int) -> DataFrame:
     """Read the texts of the paired documents again and verify the pairs on their sets."""
+    rows = pairs.measured["n"]
     involved = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = stash(with_ids(docs, involved).mapInArrow(lean_task(_sets(size)), "doc_id long, members binary"), "jaccard-sets")
-    links = cut(verified(pairs, sets, num, den))
+    sets = stash(with_ids(docs, involved, rows=2 * rows).mapInArrow(lean_task(_sets(size)), "doc_id long, members binary"), "jaccard-sets")
+    links = cut(verified(pairs, sets, num, den, rows))
     discard(sets)
     return links
 
