@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlens.operators import ml
 from cohortlens.operators.permuted import permuted_aucs
 from cohortlens.session import FREED, freed_shuffles
 
@@ -57,3 +58,47 @@ def test_freed_shuffles_hold_inside_the_block_only(spark):
     with pytest.raises(ValueError), freed_shuffles(spark):
         raise ValueError
     assert spark.conf.get(FREED, None) == kept
+
+
+def test_a_forest_is_fitted_on_all_rows(spark, monkeypatch):
+    # One row in 25,000 tells: the only ones with x = 1. A forest on part of the rows, or bounds from part of them, may miss them.
+    n = 25_000
+    df = spark.range(n, numPartitions=4).select(
+        F.concat(F.lit("r"), "id").alias("run_accession"), (F.col("id") < 2).cast("int").alias("y"),
+        (F.col("id") < 2).cast("double").alias("x"), F.rand(1).alias("noise"))
+    spec = ml.ModelSpec("f", "random_forest", num_trees=20, max_depth=3)
+    seen = []
+    plain = ml.RandomForestClassifier.fit
+    monkeypatch.setattr(ml.RandomForestClassifier, "fit", lambda self, rows: seen.append(rows.count()) or plain(self, rows))
+    _, use, score = ml.fit(df, ["x", "noise"], spec)
+    assert seen == [n] and use == ["x", "noise"]
+    got = {r.y: r.s for r in score(df).groupBy("y").agg(F.avg("score").alias("s")).collect()}
+    assert got[1] > 0.2 and got[0] < 0.01
+
+
+def test_bounds_of_bins_come_from_all_rows(spark):
+    rows = spark.range(40_000, numPartitions=4).select(
+        F.col("id").cast("double").alias("even"), F.when(F.col("id") == 7, 9.0).when(F.col("id") % 2 == 0, -1.0).alias("rare"), F.lit(3.0).alias("flat"))
+    even, rare, flat = ml.bin_bounds(rows, ["even", "rare", "flat"])
+    assert len(even) == 31 and all(abs(b - 1250 * (i + 1)) < 10 for i, b in enumerate(even))
+    assert rare == [0.0, 9.0] and flat == []
+
+
+def test_parts_of_a_forest_score_every_row_once_by_all_its_trees(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    y = rng.integers(0, 2, 200)
+    # One id comes twice.
+    df = spark.createDataFrame([(f"r{max(i, 1)}", int(y[i]), float(y[i] + rng.normal()), float(rng.normal())) for i in range(200)],
+                               "run_accession string, y int, a double, b double")
+    folds = spark.createDataFrame([(f"r{i}", 0, i % 2) for i in range(1, 200)], "run_accession string, repeat int, fold int")
+    spec = ml.ModelSpec("f", "random_forest", num_trees=10, max_depth=4)
+    whole = ml.cross_validate(df, {"s": ["a", "b"]}, [spec], folds, threads=1)
+    monkeypatch.setattr(ml, "TREE_ROWS", 300)  # three trees of 100 rows
+    trees = []
+    plain = ml._fit_trees
+    monkeypatch.setattr(ml, "_fit_trees", lambda *a: trees.append(a[2].num_trees) or plain(*a))
+    parts = ml.cross_validate(df, {"s": ["a", "b"]}, [spec], folds, threads=1)
+    assert whole.columns == parts.columns and whole.count() == parts.count() == 200
+    assert sum(trees) == 2 * spec.num_trees and len(trees) > 2
+    a, b = ({r.fold: r.auc for r in ml.cv_aucs(d).collect()} for d in (whole, parts))
+    assert all(abs(a[f] - b[f]) < 0.15 and b[f] > 0.6 for f in (0, 1))
