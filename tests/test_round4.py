@@ -1,3 +1,4 @@
+import os
 import time
 
 import numpy as np
@@ -5,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.operators import ml
+from cohortlens.operators import reads as rd
 from cohortlens.operators.permuted import permuted_aucs
-from cohortlens.session import FREED, freed_shuffles
+from cohortlens.session import FREED, freed_shuffles, settings
 
 
 def shuffle_files(spark):
@@ -102,3 +104,57 @@ def test_parts_of_a_forest_score_every_row_once_by_all_its_trees(spark, monkeypa
     assert sum(trees) == 2 * spec.num_trees and len(trees) > 2
     a, b = ({r.fold: r.auc for r in ml.cv_aucs(d).collect()} for d in (whole, parts))
     assert all(abs(a[f] - b[f]) < 0.15 and b[f] > 0.6 for f in (0, 1))
+
+
+def fastq(n, tag):
+    return [(f"@{tag}{i}", "ACGT", "+", "@III") for i in range(n)]
+
+
+def test_records_over_files_of_a_folder_and_over_blocks(spark, tmp_dir):
+    # The first file ends inside a record, the second one goes on; a third folder's file has a part of a record at its end.
+    text = [x for r in fastq(9, "a") for x in r]
+    files = {"run_accession=A/mate=1/part-0.txt": text[:18], "run_accession=A/mate=1/part-1.txt": text[18:], "run_accession=A/mate=2/part-0.txt": text[:4],
+             "run_accession=B/mate=1/part-0.txt": text[:11]}
+    for name, lines in files.items():
+        os.makedirs(os.path.dirname(f"{tmp_dir}/{name}"), exist_ok=True)
+        with open(f"{tmp_dir}/{name}", "w") as f:
+            f.write("".join(x + "\n" for x in lines))
+    want = sorted([("A", 1, i, f"@a{i}", "ACGT", "+", "@III") for i in range(9)] + [("A", 2, 0, "@a0", "ACGT", "+", "@III")] + [
+        ("B", 1, i, f"@a{i}", "ACGT", "+", "@III") for i in range(2)])
+    assert sorted(map(tuple, rd.read_reads(spark, tmp_dir).collect())) == want
+    with settings(spark, {"spark.sql.files.maxPartitionBytes": "37", "spark.sql.execution.arrow.maxRecordsPerBatch": "3"}):
+        assert sorted(map(tuple, rd.read_reads(spark, tmp_dir).collect())) == want
+
+
+def test_many_files_are_listed_and_scanned_by_few_tasks(spark, tmp_dir):
+    rows = [(f"r{i}", 1, 0, *fastq(1, i)[0]) for i in range(120)]
+    reads = spark.createDataFrame(rows, "run_accession string, mate int, rec_id long, header string, seq string, plus string, qual string")
+    rd.write_fastq(reads, f"{tmp_dir}/out")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("few", "few")
+    try:
+        back = rd.read_reads(spark, f"{tmp_dir}/out").collect()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(map(tuple, back)) == sorted(map(tuple, rows))
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("few") for s in tracker.getJobInfo(j).stageIds]
+    most = max(4, rd.LISTERS * spark.sparkContext.defaultParallelism)
+    assert stages and max(s.numTasks for s in stages if s) <= most
+
+
+def test_written_folders_are_those_of_sparks_writer(spark, tmp_dir):
+    odd = ["plain", "a/b", "c:d=e", "100%", "[x]^{y", "tab\tq?*", None, "", "é"]
+    rows = [(r, m, i, *fastq(1, i)[0]) for r in odd for m in (1, 2) for i in range(3)]
+    reads = spark.createDataFrame(rows, "run_accession string, mate int, rec_id long, header string, seq string, plus string, qual string")
+    rd.write_fastq(reads, f"{tmp_dir}/own")
+    text = F.concat_ws("\n", "header", "seq", "plus", "qual").alias("value")
+    reads.select("run_accession", "mate", text).write.partitionBy("run_accession", "mate").text(f"{tmp_dir}/spark")
+    folders = lambda top: {os.path.relpath(d, top) for d, _, names in os.walk(top) if any(n.startswith("part-") for n in names)}
+    assert folders(f"{tmp_dir}/own") == folders(f"{tmp_dir}/spark")
+    # One file a run and mate here, no crc beside it, none left half written; what was there goes.
+    files = [n for _, _, names in os.walk(f"{tmp_dir}/own") for n in names]
+    assert sum(n.startswith("part-") for n in files) >= len(folders(f"{tmp_dir}/own")) and not any(".txt." in n for n in files)
+    key = lambda d: sorted((r.run_accession, r.mate, r.header, r.seq, r.plus, r.qual) for r in d.collect())
+    assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/own").collect()) == sorted(r.value for r in spark.read.text(f"{tmp_dir}/spark").collect())
+    rd.write_fastq(reads.where("run_accession = 'plain'"), f"{tmp_dir}/own")
+    assert key(rd.read_reads(spark, f"{tmp_dir}/own")) == sorted(("plain", m, *fastq(1, i)[0]) for m in (1, 2) for i in range(3))
