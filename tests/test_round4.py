@@ -2,11 +2,14 @@ import os
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from cohortlens.operators import logistic as lg
 from cohortlens.operators import ml
 from cohortlens.operators import reads as rd
+from cohortlens.operators.folds import assign_folds, deal
 from cohortlens.operators.permuted import permuted_aucs
 from cohortlens.session import FREED, freed_shuffles, settings
 
@@ -158,3 +161,74 @@ def test_written_folders_are_those_of_sparks_writer(spark, tmp_dir):
     assert sorted(r.value for r in spark.read.text(f"{tmp_dir}/own").collect()) == sorted(r.value for r in spark.read.text(f"{tmp_dir}/spark").collect())
     rd.write_fastq(reads.where("run_accession = 'plain'"), f"{tmp_dir}/own")
     assert key(rd.read_reads(spark, f"{tmp_dir}/own")) == sorted(("plain", m, *fastq(1, i)[0]) for m in (1, 2) for i in range(3))
+
+
+def test_dealt_rows_have_the_folds_of_assign_folds(spark):
+    rng = np.random.default_rng(3)
+    rows = [(f"r{i}", int(rng.integers(0, 2)), float(i), None if i % 9 == 0 else float(rng.normal())) for i in range(500)]
+    rows[3] = (None, *rows[3][1:])
+    df = spark.createDataFrame(rows, "run_accession string, y int, a double, b double").repartition(3)
+    sets = {"s": ["b", "a"]}
+    plain = ml.deal_folds(df, sets, [3, 5, 8], 4, 42)
+    wide = df.select(F.col("run_accession").alias("__id"), "y", F.array("b", "a").alias("x"))
+    for k, dealt, small in zip((3, 5, 8), plain, deal(wide, ["b", "a"], [3, 5, 8], 4, 42, rows_per_bucket=60, size=37)):
+        want = {(r.run_accession, r.repeat): r.fold for r in assign_folds(df, k, 4, 42).collect()}
+        for one in (dealt, small):
+            got = one.training_rows().collect()
+            assert {(r["__id"], i): f for r in got for i, f in enumerate(r.parts)} == want and len(got) == 500
+            assert one.keys == tuple((r, f) for r in range(4) for f in range(k)) and one.columns == ("b", "a")
+        own = {r["__id"]: (r.y, r.x) for r in dealt.training_rows().collect()}
+        assert own == {r[0]: (r[1], [r[3] or 0.0, r[2]]) for r in rows}
+
+
+def test_few_rows_repeated_ids_and_no_rows_are_dealt(spark):
+    df = spark.createDataFrame([("a", 1, 1.0), ("a", 1, 2.0), ("b", 0, 3.0)], "run_accession string, y int, v double")
+    dealt, = ml.deal_folds(df, {"s": ["v"]}, [5], 2, 42)
+    rows = dealt.training_rows().collect()
+    assert sorted((r["__id"], r.x[0]) for r in rows) == [("a", 1.0), ("a", 2.0), ("b", 3.0)]
+    # Both rows of a are dealt; only two folds hold rows.
+    assert dealt.keys == ((0, 0), (0, 1), (1, 0), (1, 1)) and sorted(tuple(r.parts) for r in rows if r["__id"] == "a") == [(0, 0), (1, 1)]
+    none, = ml.deal_folds(df.where("y = 7"), {"s": ["v"]}, [5], 2, 42)
+    assert none.keys == () and none.training_rows().count() == 0
+
+
+def test_models_on_dealt_rows_are_those_on_assigned_folds(spark):
+    rng = np.random.default_rng(6)
+    y = rng.integers(0, 2, 300)
+    df = spark.createDataFrame([(f"r{i}", int(y[i]), float(y[i] + rng.normal()), float(rng.normal())) for i in range(300)],
+                               "run_accession string, y int, a double, b double")
+    sets, models = {"s": ["a", "b"], "t": ["b"]}, [ml.ModelSpec("l1", "logistic_l1", C=2.0)]
+    dealt, = ml.deal_folds(df, sets, [4], 2, 7)
+    key = lambda d: {(r.feature_set, r.repeat, r.fold, r.run_accession): (r.y, round(r.score, 9)) for r in d.collect()}
+    assert key(ml.cross_validate(df, sets, models, dealt)) == key(ml.cross_validate(df, sets, models, assign_folds(df, 4, 2, 7)))
+    plan = ml.cross_validate(df, sets, models, dealt)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Generate" not in plan
+
+
+def test_models_at_one_point_have_the_sums_of_each(spark):
+    rng = np.random.default_rng(2)
+    x, y, parts = rng.normal(size=(90, 3)), rng.integers(0, 2, 90).astype(float), rng.integers(0, 3, (90, 1)).astype(np.int32)
+    lists = lambda v, w: pa.ListArray.from_arrays(pa.array(np.arange(91) * w, pa.int32()), pa.array(v.ravel()))
+    batch = pa.RecordBatch.from_arrays([pa.array(y), lists(x, 3), lists(parts, 1)], names=["y", "x", "parts"])
+
+    def fit(fold, *raw):
+        return lg.Fit("s", (0, 2), "m", "l2", 1.0, 0, fold, raw=np.array(raw))
+
+    def sums(fits):
+        shared = type("Shared", (), {"value": (fits, np.zeros(3), {0: 0})})
+        found = {}
+        for b in lg._pass(shared, 3)([batch]):
+            found |= dict(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+        return [found[i] for i in range(len(fits))]
+    fits = [fit(0, 0.5, 1.0, -1.0), fit(1, 0.5, 1.0, -1.0), fit(2, 0.25, 0.0, 2.0), fit(2, 0.5, 1.0, -1.0)]
+    for one, alone in zip(sums(fits), [sums([f])[0] for f in fits]):
+        assert one == pytest.approx(alone, rel=1e-12)
+
+
+def test_scores_of_all_folds_come_in_one_batch_a_set(spark, monkeypatch):
+    df = spark.createDataFrame([(f"r{i}", i % 2, float(i % 5)) for i in range(60)], "run_accession string, y int, v double").coalesce(1)
+    dealt, = ml.deal_folds(df, {"s": ["v"]}, [5], 10, 42)
+    scores = ml.cross_validate(df, {"s": ["v"]}, [ml.ModelSpec("l1", "logistic_l1", C=2.0)], dealt)
+    sizes = scores.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches), "n long")
+    got = [r.n for r in sizes.collect()]
+    assert sum(got) == 600 and len(got) == 1
